@@ -13,8 +13,6 @@ measured sun table, and the per-day grouping reuses the join partitioning.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,21 +75,43 @@ def beach_day(hours: DataFrame, compat: bool = False, method: str = "islands") -
     return merge_periods(only_good(hours), GROUP, "hora", compat=compat, method=method)
 
 
-@dataclass
 class Chain:
-    """All stages over one set of source logs (lazy DataFrames)."""
+    """All stages over one set of source logs (lazy DataFrames, built on first use)."""
 
-    temperature: DataFrame
-    precipitation: DataFrame
-    uv_index: DataFrame
-    sunrise: DataFrame
-    sunset: DataFrame
+    def __init__(self, temperature=None, precipitation=None, uv_index=None,
+                 sunrise=None, sunset=None, base: DataFrame | None = None):
+        self._tables = {"temperature": temperature, "precipitationProbability": precipitation,
+                        "uvIndex": uv_index, "sunrise": sunrise, "sunset": sunset}
+        self._base = base
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, city_key: str = "city") -> "Chain":
-        t = weather.weather_tables(spark, sf_dir, city_key)
-        return cls(t["temperature"], t["precipitationProbability"], t["uvIndex"],
-                   t["sunrise"], t["sunset"])
+        return cls(base=weather.base(spark, sf_dir, city_key))
+
+    def _table(self, name: str) -> DataFrame:
+        if self._tables[name] is None:
+            self._tables[name] = weather.DERIVE[name](self._base)
+        return self._tables[name]
+
+    @property
+    def temperature(self) -> DataFrame:
+        return self._table("temperature")
+
+    @property
+    def precipitation(self) -> DataFrame:
+        return self._table("precipitationProbability")
+
+    @property
+    def uv_index(self) -> DataFrame:
+        return self._table("uvIndex")
+
+    @property
+    def sunrise(self) -> DataFrame:
+        return self._table("sunrise")
+
+    @property
+    def sunset(self) -> DataFrame:
+        return self._table("sunset")
 
     def sun_hour(self) -> DataFrame:
         return sun_hour(self.sunrise, self.sunset)

@@ -17,6 +17,10 @@ def _st(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+# The ``events`` test table the weather logs are derived from.
+EVENTS = _st(("event_id", L), ("ts", TS), ("user_id", L), ("event_type", S), ("value", D),
+             ("props", S))
+
 TEMPERATURE = _st(("off", L), ("local", S), ("hora", TS), ("temperatura", D))
 PRECIPITATION = _st(("off", L), ("local", S), ("hora", TS), ("pp", D))
 UV_INDEX = _st(("off", L), ("local", S), ("hora", TS), ("uv_index", D))

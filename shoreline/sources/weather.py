@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoreline.functions import day_start, hour_floor, plus_minutes
+from shoreline.schemas import EVENTS
 
 # The five cities, in the order of the city file.
 CITY_NAMES = ("Ubatuba", "Guarapari", "Porto de Galinhas", "Balneario Camboriu", "Cabo Frio")
@@ -30,12 +31,16 @@ def city_of(ci: Column) -> Column:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    # Explicit schema: no footer sampling on the driver when the plan is built.
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def base(spark: SparkSession, sf_dir: str, city_key: str = "city") -> DataFrame:
     """Events with ``off, ci, local, hora, dia, k`` plus the raw columns the tables need."""
-    ev = events(spark, sf_dir)
+    return base_of(events(spark, sf_dir), city_key)
+
+
+def base_of(ev: DataFrame, city_key: str = "city") -> DataFrame:
     ci = F.col("user_id") % 5
     local = city_of(ci)
     if city_key == "user":
@@ -54,48 +59,69 @@ def base(spark: SparkSession, sf_dir: str, city_key: str = "city") -> DataFrame:
     )
 
 
-def temperature(spark: SparkSession, sf_dir: str, city_key: str = "city") -> DataFrame:
-    b = base(spark, sf_dir, city_key)
+def temperature_of(b: DataFrame) -> DataFrame:
     return b.select("off", "local", "hora", (F.lit(15.0) + F.col("value") / F.lit(5.0))
                     .alias("temperatura"))
 
 
-def precipitation(spark: SparkSession, sf_dir: str, city_key: str = "city") -> DataFrame:
-    b = base(spark, sf_dir, city_key)
+def precipitation_of(b: DataFrame) -> DataFrame:
     return (b.filter(F.col("event_type") != "signup")
             .select("off", "local", "hora", F.col("k").cast("double").alias("pp")))
 
 
-def uv_index(spark: SparkSession, sf_dir: str, city_key: str = "city") -> DataFrame:
-    b = base(spark, sf_dir, city_key)
+def uv_index_of(b: DataFrame) -> DataFrame:
     uv = F.when(F.col("off") % 17 == 0, F.lit(None).cast("double")).otherwise(
         (F.col("off") * 37 % 110).cast("double") / F.lit(10.0))
     return (b.filter(F.col("event_type") != "purchase")
             .select("off", "local", "hora", uv.alias("uv_index")))
 
 
-def _sun(spark: SparkSession, sf_dir: str, base_min: int, city_key: str) -> DataFrame:
-    b = base(spark, sf_dir, city_key)
+def _sun_of(b: DataFrame, base_min: int) -> DataFrame:
     minutes = F.lit(base_min) + F.col("ci") * 5 + F.col("off") % 3
     return b.select("off", "local", plus_minutes("dia", minutes.cast("int")).alias("hora"))
 
 
-def sunrise(spark: SparkSession, sf_dir: str, city_key: str = "city") -> DataFrame:
-    return _sun(spark, sf_dir, SUNRISE_BASE_MIN, city_key)
+def sunrise_of(b: DataFrame) -> DataFrame:
+    return _sun_of(b, SUNRISE_BASE_MIN)
 
 
-def sunset(spark: SparkSession, sf_dir: str, city_key: str = "city") -> DataFrame:
-    return _sun(spark, sf_dir, SUNSET_BASE_MIN, city_key)
+def sunset_of(b: DataFrame) -> DataFrame:
+    return _sun_of(b, SUNSET_BASE_MIN)
 
 
-TABLES = {
-    "temperature": temperature,
-    "precipitationProbability": precipitation,
-    "uvIndex": uv_index,
-    "sunrise": sunrise,
-    "sunset": sunset,
+DERIVE = {
+    "temperature": temperature_of,
+    "precipitationProbability": precipitation_of,
+    "uvIndex": uv_index_of,
+    "sunrise": sunrise_of,
+    "sunset": sunset_of,
 }
 
 
+def table(spark: SparkSession, sf_dir: str, name: str, city_key: str = "city") -> DataFrame:
+    return DERIVE[name](base(spark, sf_dir, city_key))
+
+
+def temperature(spark: SparkSession, sf_dir: str, city_key: str = "city") -> DataFrame:
+    return table(spark, sf_dir, "temperature", city_key)
+
+
+def precipitation(spark: SparkSession, sf_dir: str, city_key: str = "city") -> DataFrame:
+    return table(spark, sf_dir, "precipitationProbability", city_key)
+
+
+def uv_index(spark: SparkSession, sf_dir: str, city_key: str = "city") -> DataFrame:
+    return table(spark, sf_dir, "uvIndex", city_key)
+
+
+def sunrise(spark: SparkSession, sf_dir: str, city_key: str = "city") -> DataFrame:
+    return table(spark, sf_dir, "sunrise", city_key)
+
+
+def sunset(spark: SparkSession, sf_dir: str, city_key: str = "city") -> DataFrame:
+    return table(spark, sf_dir, "sunset", city_key)
+
+
 def weather_tables(spark: SparkSession, sf_dir: str, city_key: str = "city") -> dict[str, DataFrame]:
-    return {name: fn(spark, sf_dir, city_key) for name, fn in TABLES.items()}
+    b = base(spark, sf_dir, city_key)
+    return {name: fn(b) for name, fn in DERIVE.items()}
