@@ -1 +1,138 @@
-"""Registered queries (ingest_queries)."""
+"""Registered queries: payload ingest, horizon filter, topic fan-out, emission
+counts and the city dimension (build-plan step 6)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from shoreline.functions import wire_time
+from shoreline.plans.catalog import chain, register
+from shoreline.sources import payloads, weather
+from shoreline.sources.cities import city_coordinates
+from shoreline.sources.cities import city_dimension as cities_df
+from shoreline.sources.topics import json_value
+
+NOW = "2024-01-15 08:45:00"
+
+# Shared SQL: payload position of each event = row number inside (local, run)
+# ordered by (hora, off); the ingest offset is run * 168 + position.
+_HOURLY_ROWS = """
+hourly_rows AS (
+  SELECT off, local, hora, 15 + value / 5.0 AS temperatura,
+         CASE WHEN event_type <> 'signup' THEN CAST(k AS DOUBLE) END AS pp
+  FROM base),
+hourly_ingest AS (
+  SELECT (off // 168) * 168
+           + row_number() OVER (PARTITION BY local, off // 168 ORDER BY hora, off) - 1 AS off,
+         local, hora, temperatura, pp
+  FROM hourly_rows)
+"""
+
+
+def _with(extra_ctes: str, body: str) -> str:
+    # Appended to the shared CTE list by ``register`` (which prefixes "WITH base...").
+    return ", " + extra_ctes.strip() + "\n" + body.strip()
+
+
+def _hourly_rows(spark, sf_dir) -> DataFrame:
+    b = weather.base(spark, sf_dir)
+    pp = F.when(F.col("event_type") != "signup", F.col("k").cast("double"))
+    return b.select("off", "local", "hora",
+                    (F.lit(15.0) + F.col("value") / F.lit(5.0)).alias("temperatura"),
+                    pp.alias("pp"))
+
+
+def _hourly_ingest(spark, sf_dir, now=None) -> DataFrame:
+    return payloads.ingest_hourly(payloads.hourly_payloads(_hourly_rows(spark, sf_dir)), now)
+
+
+@register("payload_hourly_ingest", _with(_HOURLY_ROWS, """
+SELECT off, local, hora, temperatura, pp FROM hourly_ingest"""))
+def payload_hourly_ingest(spark, sf_dir):
+    return _hourly_ingest(spark, sf_dir)
+
+
+@register("payload_uv_ingest", """
+SELECT (off // 168) * 168
+         + row_number() OVER (PARTITION BY local, off // 168 ORDER BY hora, off) - 1 AS off,
+       local, hora, uv_index
+FROM uv_index""")
+def payload_uv_ingest(spark, sf_dir):
+    return payloads.ingest_uv(payloads.uv_payloads(weather.uv_index(spark, sf_dir)))
+
+
+@register("payload_daily_ingest", f"""
+SELECT (off // 168) * 168
+         + row_number() OVER (PARTITION BY local, off // 168 ORDER BY dia, off) - 1 AS off,
+       local,
+       dia + to_minutes(CAST({weather.SUNRISE_BASE_MIN} + 5 * ci + off % 3 AS BIGINT)) AS sunrise,
+       dia + to_minutes(CAST({weather.SUNSET_BASE_MIN} + 5 * ci + off % 3 AS BIGINT)) AS sunset
+FROM base""")
+def payload_daily_ingest(spark, sf_dir):
+    b = weather.base(spark, sf_dir)
+    sun = b.select("off", "local", F.col("dia").alias("hora"),
+                   weather.sun_time(weather.SUNRISE_BASE_MIN).alias("sunrise"),
+                   weather.sun_time(weather.SUNSET_BASE_MIN).alias("sunset"))
+    return payloads.ingest_daily(payloads.daily_payloads(sun))
+
+
+@register("horizon_filter", _with(_HOURLY_ROWS, f"""
+SELECT off, local, hora, temperatura, pp FROM hourly_ingest
+WHERE hora >= date_trunc('hour', TIMESTAMP '{NOW}')"""))
+def horizon_filter(spark, sf_dir):
+    return _hourly_ingest(spark, sf_dir, now=NOW)
+
+
+_FANOUT_SQL = """
+fanout AS (
+  SELECT 'temperature' AS topic, off, local AS key,
+         json_object('local', local, 'hora', strftime(hora, '%Y-%m-%dT%H:%M'),
+                     'temperatura', temperatura)::VARCHAR AS value,
+         off // 168 AS run
+  FROM hourly_ingest
+  UNION ALL
+  SELECT 'precipitationProbability', off, local,
+         json_object('local', local, 'hora', strftime(hora, '%Y-%m-%dT%H:%M'), 'pp', pp)::VARCHAR,
+         off // 168
+  FROM hourly_ingest)
+"""
+
+
+def _fanout(spark, sf_dir) -> DataFrame:
+    rows = _hourly_ingest(spark, sf_dir).withColumn("hora", wire_time("hora"))
+    topics = payloads.split_topics(rows, {"temperature": ["hora", "temperatura"],
+                                          "precipitationProbability": ["hora", "pp"]})
+    value = F.when(F.col("topic") == "temperature",
+                   json_value(["local", "hora", "temperatura"])).otherwise(
+        json_value(["local", "hora", "pp"]))
+    return topics.select("topic", "off", F.col("local").alias("key"), value.alias("value"),
+                         F.floor(F.col("off") / F.lit(payloads.RUN_SLOTS)).cast("bigint")
+                         .alias("run"))
+
+
+@register("topic_fanout", _with(_HOURLY_ROWS + "," + _FANOUT_SQL,
+                                "SELECT topic, off, key, value FROM fanout"))
+def topic_fanout(spark, sf_dir):
+    return _fanout(spark, sf_dir).drop("run")
+
+
+@register("emit_counts", _with(_HOURLY_ROWS + "," + _FANOUT_SQL, """
+SELECT topic, key AS local, run, count(*) AS n_events FROM fanout GROUP BY topic, key, run"""))
+def emit_counts(spark, sf_dir):
+    return (_fanout(spark, sf_dir).groupBy("topic", F.col("key").alias("local"), "run")
+            .agg(F.count(F.lit(1)).alias("n_events")))
+
+
+_COORDS = ", ".join(f"('{name}', CAST({lat} AS DOUBLE), CAST({lon} AS DOUBLE))"
+                    for name, lat, lon in city_coordinates())
+
+
+@register("city_dimension", f"""
+SELECT h.local, h.hora, h.isDay, h.boaHora, c.latitude, c.longitude
+FROM beach_hour h JOIN (VALUES {_COORDS}) AS c(local, latitude, longitude) ON h.local = c.local""")
+def city_dimension(spark, sf_dir):
+    hours = chain(spark, sf_dir).beach_hour().select("local", "hora", "isDay", "boaHora")
+    # The dimension is the static five-row city file: a proven bound, so broadcast.
+    return hours.join(F.broadcast(cities_df(spark)), "local", "inner")
+

@@ -1 +1,71 @@
-"""Registered queries (wire_queries)."""
+"""Registered queries: sinks and wire formats (build-plan step 7)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shoreline.functions import parse_wire, wire_date, wire_period_end, wire_time
+from shoreline.operators.periods import as_intervalos
+from shoreline.plans import beach
+from shoreline.plans.catalog import chain, register
+from shoreline.schemas import BEACH_HOUR_FILTERED_WIRE
+from shoreline.session import shared_dir
+from shoreline.sources import topics
+
+
+def beach_day_records(day):
+    """beachDay wire records: booleans as "true"/"false" text, ``fim`` as ``HH:59``."""
+    value = topics.json_value([
+        "local",
+        F.col("isDay").cast("string").alias("isDay"),
+        wire_date("dia").alias("dia"),
+        F.col("boaHora").cast("string").alias("boaHora"),
+        wire_time("inicio").alias("inicio"),
+        wire_period_end("fim").alias("fim"),
+    ])
+    return day.select(F.col("local").alias("key"), value.alias("value"))
+
+
+@register("beach_day_wire", """
+SELECT local AS key,
+       json_object('local', local, 'isDay', CAST(isDay AS VARCHAR),
+                   'dia', strftime(dia, '%Y-%m-%d'), 'boaHora', CAST(boaHora AS VARCHAR),
+                   'inicio', strftime(inicio, '%Y-%m-%dT%H:%M'),
+                   'fim', strftime(fim, '%Y-%m-%dT%H:59'))::VARCHAR AS value
+FROM beach_day""")
+def beach_day_wire(spark, sf_dir):
+    return beach_day_records(chain(spark, sf_dir).beach_day())
+
+
+def grouped_records(grouped):
+    """beachDayGrouped wire records: ``intervalos`` is a JSON array *string* inside the JSON."""
+    hours = F.transform(as_intervalos("horas"),
+                        lambda s: F.struct(wire_time(s["hora"]).alias("hora")))
+    value = topics.json_value([
+        "local", "boaHora", "isDay", wire_date("dia").alias("dia"),
+        F.to_json(hours).alias("intervalos"),
+    ])
+    return grouped.select(F.col("local").alias("key"), value.alias("value"))
+
+
+@register("grouped_wire_json", """
+SELECT local AS key,
+       json_object('local', local, 'boaHora', boaHora, 'isDay', isDay,
+                   'dia', strftime(dia, '%Y-%m-%d'),
+                   'intervalos', to_json(list({'hora': strftime(hora, '%Y-%m-%dT%H:%M')}
+                                              ORDER BY hora))::VARCHAR)::VARCHAR AS value
+FROM good GROUP BY local, dia, isDay, boaHora""")
+def grouped_wire_json(spark, sf_dir):
+    return grouped_records(beach.beach_day_grouped(chain(spark, sf_dir).beach_hour()))
+
+
+@register("topic_roundtrip", "SELECT local, hora, temperatura, pp, uv FROM filtered")
+def topic_roundtrip(spark, sf_dir):
+    """Write beachHourFiltered as a keyed JSON topic below the shared folder, read it back."""
+    path = shared_dir(spark, "topics", "beachHourFiltered")
+    rows = chain(spark, sf_dir).filtered()
+    records = topics.to_records(rows, ["local", wire_time("hora").alias("hora"), "temperatura",
+                                       "pp", "uv"], off=None, topic="beachHourFiltered")
+    topics.write_topic(records, path)
+    decoded = topics.decode(topics.read_topic(spark, path), BEACH_HOUR_FILTERED_WIRE, keep=())
+    return decoded.select("local", parse_wire("hora").alias("hora"), "temperatura", "pp", "uv")

@@ -29,6 +29,8 @@ SUNSET = _st(("off", L), ("local", S), ("hora", TS))
 
 SUN_HOUR = _st(("local", S), ("dia", DT), ("sunrise", TS), ("sunset", TS))
 BEACH_HOUR_FILTERED = _st(("local", S), ("hora", TS), ("temperatura", D), ("pp", D), ("uv", D))
+# Wire form: times travel as ``yyyy-MM-dd'T'HH:mm`` text.
+BEACH_HOUR_FILTERED_WIRE = _st(("local", S), ("hora", S), ("temperatura", D), ("pp", D), ("uv", D))
 BEACH_HOUR = _st(("local", S), ("hora", TS), ("temperatura", D), ("pp", D), ("uv", D),
                  ("isDay", B), ("boaHora", B))
 BEACH_DAY_GROUPED = _st(("local", S), ("dia", DT), ("isDay", B), ("boaHora", B),

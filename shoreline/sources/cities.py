@@ -29,9 +29,12 @@ def _coords(query: str) -> tuple[float, float]:
     return float(parts["latitude"]), float(parts["longitude"])
 
 
+def city_coordinates() -> list[tuple[str, float, float]]:
+    return [(name, *_coords(q)) for name, q in CITY_COORDINATES.items()]
+
+
 def city_dimension(spark: SparkSession) -> DataFrame:
-    rows = [(name, *_coords(q)) for name, q in CITY_COORDINATES.items()]
-    return spark.createDataFrame(rows, CITIES)
+    return spark.createDataFrame(city_coordinates(), CITIES)
 
 
 def read_cities(spark: SparkSession, path: str) -> DataFrame:

@@ -76,9 +76,14 @@ def uv_index_of(b: DataFrame) -> DataFrame:
             .select("off", "local", "hora", uv.alias("uv_index")))
 
 
-def _sun_of(b: DataFrame, base_min: int) -> DataFrame:
+def sun_time(base_min: int) -> Column:
+    """Sunrise/sunset time of a base row: its day plus a city- and offset-dependent minute."""
     minutes = F.lit(base_min) + F.col("ci") * 5 + F.col("off") % 3
-    return b.select("off", "local", plus_minutes("dia", minutes.cast("int")).alias("hora"))
+    return plus_minutes("dia", minutes.cast("int"))
+
+
+def _sun_of(b: DataFrame, base_min: int) -> DataFrame:
+    return b.select("off", "local", sun_time(base_min).alias("hora"))
 
 
 def sunrise_of(b: DataFrame) -> DataFrame:
