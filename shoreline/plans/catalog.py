@@ -29,13 +29,15 @@ _QUERIES: dict[str, QueryFn] = {}
 _ORACLES: dict[str, str] = {}
 
 
-def register(name: str, sql: str | None = None):
+def register(name: str, sql: str | None = None, raw_sql: bool = False):
+    """Register a query; ``sql`` is its oracle, prefixed with the shared CTEs unless
+    ``raw_sql``."""
     def deco(fn: QueryFn) -> QueryFn:
         if name in _QUERIES:
             raise ValueError(f"duplicate query {name}")
         _QUERIES[name] = fn
         if sql is not None:
-            _ORACLES[name] = with_base(sql)
+            _ORACLES[name] = sql.strip() if raw_sql else with_base(sql)
         return fn
     return deco
 

@@ -1 +1,184 @@
-"""Registered queries (stream_queries)."""
+"""Registered queries: streaming chain and retention (build-plan step 8).
+
+Each streaming query lands the derived weather logs as keyed JSON topics below
+the shared folder in ``N_RUNS`` producer runs (contiguous offset ranges, the
+whole table), runs the stream app(s) once per run with
+``trigger(availableNow=True)`` — every run restarts from the checkpoint — and
+returns the served table (latest version per key).  The final served table of
+the latest-value stages equals the batch result, so the batch oracles apply.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from shoreline.functions import parse_wire, wire_time
+from shoreline.operators.latest import latest_per_key
+from shoreline.operators.periods import GROUP
+from shoreline.plans.catalog import register
+from shoreline.plans.oracle import BASE_CTES
+from shoreline.session import shared_dir
+from shoreline.sources import topics, weather
+from shoreline.streaming import apps
+
+N_RUNS = 3
+RETENTION_NOW = "2024-01-30 23:30:00"
+RETENTION_MINUTES = 59
+
+_S, _D = T.StringType(), T.DoubleType()
+VALUE_SCHEMAS = {
+    "temperature": [("temperatura", _D)],
+    "precipitationProbability": [("pp", _D)],
+    "uvIndex": [("uv_index", _D)],
+    "sunrise": [],
+    "sunset": [],
+}
+
+
+def _value_schema(name: str) -> T.StructType:
+    fields = [T.StructField("local", _S), T.StructField("hora", _S)]
+    fields += [T.StructField(n, t) for n, t in VALUE_SCHEMAS[name]]
+    return T.StructType(fields)
+
+
+def run_of(lo: int, hi: int, n: int = N_RUNS):
+    """Producer run of an offset: ``n`` contiguous offset ranges over [lo, hi]."""
+    return F.expr(f"((off - {lo}) * {n}) div ({hi - lo + 1})")
+
+
+class Landing:
+    """The derived logs landed as topics, one producer run at a time."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, names: list[str]):
+        self.spark = spark
+        self.root = shared_dir(spark, "stream")
+        base = weather.base(spark, sf_dir)
+        bounds = base.agg(F.min("off").alias("lo"), F.max("off").alias("hi")).first()
+        self.lo, self.hi = int(bounds["lo"]), int(bounds["hi"])
+        self.tables = {n: weather.DERIVE[n](base) for n in names}
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/topics/{name}"
+
+    def land(self, run: int) -> None:
+        for name, df in self.tables.items():
+            fields = ["local", wire_time("hora").alias("hora"), *[n for n, _ in VALUE_SCHEMAS[name]]]
+            rows = df.filter(run_of(self.lo, self.hi) == run)
+            topics.write_topic(topics.to_records(rows, fields, topic=name), self.path(name))
+
+    def stream(self, name: str) -> DataFrame:
+        s = apps.topic_stream(self.spark, self.path(name), _value_schema(name))
+        return s.withColumn("hora", parse_wire("hora"))
+
+
+def _run_chain(spark: SparkSession, sf_dir: str, names: list[str],
+               stages: list[tuple[str, Callable[[Landing], DataFrame], tuple[str, ...]]]) -> Landing:
+    landing = Landing(spark, sf_dir, names)
+    for run in range(N_RUNS):
+        landing.land(run)
+        for stage, build, part in stages:
+            apps.run_available_now(build(landing), f"{landing.root}/{stage}",
+                                   f"{landing.root}/_checkpoints/{stage}", stage, part)
+    return landing
+
+
+HOURLY = ["temperature", "precipitationProbability", "uvIndex"]
+SUN = ["sunrise", "sunset"]
+HOUR_VERSION = T.StructType([
+    T.StructField("local", _S), T.StructField("hora", T.TimestampNTZType()),
+    T.StructField("dia", T.DateType()), T.StructField("temperatura", _D),
+    T.StructField("pp", _D), T.StructField("uv", _D), T.StructField("isDay", T.BooleanType()),
+    T.StructField("boaHora", T.BooleanType()), T.StructField("present", T.BooleanType()),
+    T.StructField("version", T.LongType()),
+])
+
+
+def _beach_hour_stage(l: Landing) -> DataFrame:
+    return apps.beach_hour_updates(*(l.stream(n) for n in HOURLY + SUN))
+
+
+def _hour_versions_stream(l: Landing) -> DataFrame:
+    return l.spark.readStream.schema(HOUR_VERSION).parquet(f"{l.root}/beachHour")
+
+
+@register("stream_sun_hour", "SELECT local, dia, sunrise, sunset FROM sun_hour")
+def stream_sun_hour(spark, sf_dir):
+    l = _run_chain(spark, sf_dir, SUN, [
+        ("sunHour", lambda l: apps.sun_hour_updates(l.stream("sunrise"), l.stream("sunset")), ())])
+    return apps.latest_versions(spark.read.parquet(f"{l.root}/sunHour"), ["local", "dia"],
+                                ["sunrise", "sunset", "present"])
+
+
+@register("stream_beach_hour_filtered", "SELECT local, hora, temperatura, pp, uv FROM filtered")
+def stream_beach_hour_filtered(spark, sf_dir):
+    l = _run_chain(spark, sf_dir, HOURLY, [
+        ("beachHourFiltered", lambda l: apps.filtered_updates(*(l.stream(n) for n in HOURLY)), ())])
+    return apps.latest_versions(spark.read.parquet(f"{l.root}/beachHourFiltered"),
+                                ["local", "hora"], ["temperatura", "pp", "uv", "present"])
+
+
+@register("stream_beach_hour",
+          "SELECT local, hora, temperatura, pp, uv, isDay, boaHora FROM beach_hour")
+def stream_beach_hour(spark, sf_dir):
+    l = _run_chain(spark, sf_dir, HOURLY + SUN, [("beachHour", _beach_hour_stage, ())])
+    return apps.latest_versions(spark.read.parquet(f"{l.root}/beachHour"), ["local", "hora"],
+                                ["temperatura", "pp", "uv", "isDay", "boaHora", "present"])
+
+
+@register("stream_beach_day", "SELECT local, dia, isDay, boaHora, inicio, fim FROM beach_day")
+def stream_beach_day(spark, sf_dir):
+    l = _run_chain(spark, sf_dir, HOURLY + SUN, [
+        ("beachHour", _beach_hour_stage, ()),
+        ("beachDay", lambda l: apps.days_latest(_hour_versions_stream(l)), ()),
+    ])
+    days = apps.serve_days(spark.read.parquet(f"{l.root}/beachDay").drop("version"),
+                           ["local", "dia"], "day_version")
+    return days.filter(F.col("inicio").isNotNull()).select(*GROUP, "inicio", "fim")
+
+
+def _ever_good_sql() -> str:
+    """Union over producer runs of the good hours as of the end of each run."""
+    bound = ("((event_id - (SELECT min(event_id) FROM events)) * {n}) // "
+             "((SELECT max(event_id) FROM events) - (SELECT min(event_id) FROM events) + 1)")
+    parts = []
+    for r in range(N_RUNS):
+        ctes = BASE_CTES.replace(
+            "FROM events)", f"FROM events WHERE {bound.format(n=N_RUNS)} <= {r})", 1)
+        parts.append(f"(WITH {ctes.strip()} SELECT local, dia, isDay, boaHora, hora FROM good)")
+    return f"""
+WITH ever AS (SELECT DISTINCT * FROM ({' UNION ALL '.join(parts)})),
+isl AS (
+  SELECT *, hora - to_hours(row_number() OVER (PARTITION BY local, dia, isDay, boaHora
+                                               ORDER BY hora)) AS grp
+  FROM ever)
+SELECT local, dia, isDay, boaHora, min(hora) AS inicio, max(hora) + INTERVAL 59 MINUTE AS fim
+FROM isl GROUP BY local, dia, isDay, boaHora, grp"""
+
+
+@register("stream_ever_good", _ever_good_sql(), raw_sql=True)
+def stream_ever_good(spark, sf_dir):
+    l = _run_chain(spark, sf_dir, HOURLY + SUN, [
+        ("beachHour", _beach_hour_stage, ()),
+        ("beachDayEver", lambda l: apps.days_ever_good(_hour_versions_stream(l)), ()),
+    ])
+    return apps.serve_days(spark.read.parquet(f"{l.root}/beachDayEver"), GROUP, "version")
+
+
+@register("retention_filter", f"""
+SELECT local, hora, temperatura, off FROM (
+  SELECT t.*, row_number() OVER (PARTITION BY local, hora ORDER BY off DESC) AS rn
+  FROM temperature t JOIN events e ON e.event_id = t.off
+  WHERE e.ts >= TIMESTAMP '{RETENTION_NOW}' - INTERVAL {RETENTION_MINUTES} MINUTE)
+WHERE rn = 1""")
+def retention_filter(spark, sf_dir):
+    """Latest temperature per key as a reader sees it when the log keeps only the last
+    59 minutes of records (record time = event time ``ts``)."""
+    ev = weather.events(spark, sf_dir)
+    kept = ev.filter(F.col("ts") >= F.lit(RETENTION_NOW).cast("timestamp_ntz")
+                     - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(RETENTION_MINUTES)))
+    temp = weather.temperature_of(weather.base_of(kept))
+    return latest_per_key(temp, ["local", "hora"], ["temperatura"])
