@@ -28,6 +28,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shoreline.functions import q
+
 
 def _off(name: str) -> str:
     return f"_off_{name}"
@@ -41,7 +43,11 @@ def tag_sources(
     """Union the sources, each projected to keys + its values + its own offset column."""
     tagged = None
     for name, (df, values) in sources.items():
-        part = df.select(*keys, F.col(order).alias(_off(name)), *values)
+        if all(isinstance(k, str) for k in keys):
+            part = df.selectExpr(*[q(k) for k in keys], f"{q(order)} AS {q(_off(name))}",
+                                 *[q(v) for v in values])
+        else:
+            part = df.select(*keys, F.col(order).alias(_off(name)), *values)
         tagged = part if tagged is None else tagged.unionByName(part, allowMissingColumns=True)
     if tagged is None:
         raise ValueError("latest_join needs at least one source")
@@ -68,16 +74,13 @@ def latest_join(
     tagged = tag_sources(sources, keys, order)
     aggs = []
     for name, (_, values) in sources.items():
-        aggs += [F.max_by(F.col(v), F.col(_off(name))).alias(v) for v in values]
-        aggs.append(F.max(_off(name)).alias(_off(name)))
+        o = q(_off(name))
+        aggs += [F.expr(f"max_by({q(v)}, {o}) AS {q(v)}") for v in values]
+        aggs.append(F.expr(f"max({o}) AS {o}"))
     joined = tagged.groupBy(*keys).agg(*aggs)
     need = list(required) if required is not None else list(sources)
-    cond = None
-    for name in need:
-        c = F.col(_off(name)).isNotNull()
-        cond = c if cond is None else cond & c
-    if cond is not None:
-        joined = joined.filter(cond)
+    if need:
+        joined = joined.where(" AND ".join(f"{q(_off(n))} IS NOT NULL" for n in need))
     if keep_offsets:
         return joined.withColumnsRenamed({_off(n): f"off_{n}" for n in sources})
     return joined.drop(*[_off(n) for n in sources])

@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shoreline.functions import q
+
 
 def latest_per_key(
     df: DataFrame,
@@ -31,10 +33,10 @@ def latest_per_key(
     ``values`` defaults to every column that is neither a key nor the order column.
     The winning ``order`` value is returned as well.
     """
-    key_cols = [F.col(k) if isinstance(k, str) else k for k in keys]
     plain_keys = {k for k in keys if isinstance(k, str)}
     if values is None:
         values = [c for c in df.columns if c not in plain_keys and c != order]
-    aggs = [F.max_by(F.col(v), F.col(order)).alias(v) for v in values]
-    aggs.append(F.max(order).alias(order))
-    return df.groupBy(*key_cols).agg(*aggs)
+    o = q(order)
+    aggs = [F.expr(f"max_by({q(v)}, {o}) AS {q(v)}") for v in values]
+    aggs.append(F.expr(f"max({o}) AS {o}"))
+    return df.groupBy(*keys).agg(*aggs)

@@ -27,87 +27,88 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoreline.functions import period_end, plus_hours
+from shoreline.functions import period_end_sql, plus_hours_sql, q
 
 GROUP = ("local", "dia", "isDay", "boaHora")
 
 
+def _cols(group: Sequence[str]) -> str:
+    return ", ".join(q(g) for g in group)
+
+
 def group_hours(hours: DataFrame, group: Sequence[str] = GROUP, time: str = "hora",
                 out: str = "horas") -> DataFrame:
     """One row per group with the sorted distinct hours (``ARRAY<TIMESTAMP_NTZ>``)."""
-    return hours.groupBy(*group).agg(F.array_sort(F.collect_set(time)).alias(out))
+    return hours.groupBy(*group).agg(F.expr(f"array_sort(collect_set({q(time)})) AS {q(out)}"))
 
 
 def as_intervalos(hours_col: str = "horas") -> Column:
     """``ARRAY<STRUCT<hora>>`` form of a sorted hour array."""
-    return F.transform(F.col(hours_col), lambda h: F.struct(h.alias("hora")))
-
-
-def _span(start: Column, last: Column) -> Column:
-    return F.struct(start.alias("inicio"), last.alias("last"))
-
-
-def periods_of(hours_col: Column | str, compat: bool = False) -> Column:
-    """``ARRAY<STRUCT<inicio, last>>`` of consecutive runs in a sorted distinct hour array."""
-    arr = F.col(hours_col) if isinstance(hours_col, str) else hours_col
-    n = F.size(arr)
-    first = F.element_at(arr, 1)
+    return F.expr(f"transform({q(hours_col)}, h -> named_struct('hora', h))")
+
+
+def periods_sql(arr: str, compat: bool = False) -> str:
+    """SQL: ``ARRAY<STRUCT<inicio, lasthour>>`` of the consecutive runs of a sorted distinct
+    hour array (``aggregate`` higher-order function; NULL for an empty array)."""
+    span = "named_struct('inicio', {a}, 'lasthour', {b})"
+    tail = "element_at(acc, -1)"
+    step = (f"CASE WHEN h = {plus_hours_sql(tail + '.lasthour', 1)} "
+            f"THEN concat(slice(acc, 1, size(acc) - 1), "
+            f"array({span.format(a=tail + '.inicio', b='h')})) "
+            f"ELSE concat(acc, array({span.format(a='h', b='h')})) END")
+    first = f"element_at({arr}, 1)"
+    merged = (f"aggregate(slice({arr}, 2, greatest(size({arr}) - 1, 0)), "
+              f"array({span.format(a=first, b=first)}), (acc, h) -> {step})")
+    if compat:
+        # Bind the merged array once (transform over a one-element array) and drop a
+        # final single-hour run when the day has more than one hour.
+        merged = (f"element_at(transform(array({merged}), m -> CASE WHEN size({arr}) > 1 "
+                  f"AND element_at(m, -1).inicio = element_at(m, -1).lasthour "
+                  f"THEN slice(m, 1, size(m) - 1) ELSE m END), 1)")
+    return f"CASE WHEN size({arr}) > 0 THEN {merged} END"
 
-    def step(acc: Column, h: Column) -> Column:
-        tail = F.element_at(acc, -1)
-        extend = F.concat(F.slice(acc, 1, F.size(acc) - 1),
-                          F.array(_span(tail["inicio"], h)))
-        return F.when(h == plus_hours(tail["last"], 1), extend).otherwise(
-            F.concat(acc, F.array(_span(h, h))))
 
-    merged = F.aggregate(F.slice(arr, 2, F.greatest(n - 1, F.lit(0))),
-                         F.array(_span(first, first)), step)
-    if compat:
-        tail = F.element_at(merged, -1)
-        merged = F.when((n > 1) & (tail["inicio"] == tail["last"]),
-                        F.slice(merged, 1, F.size(merged) - 1)).otherwise(merged)
-    # An empty group has no periods (NULL explodes to no rows).
-    return F.when(n > 0, merged)
+def periods_of(hours_col: str, compat: bool = False) -> Column:
+    """Column form of ``periods_sql`` over the array column ``hours_col``."""
+    return F.expr(periods_sql(q(hours_col), compat))
 
 
 def explode_periods(grouped: DataFrame, periods_col: str = "periodos",
                     keep: Sequence[str] = GROUP) -> DataFrame:
     """One row per period: group columns + ``inicio`` + ``fim`` (= last hour + 59 min)."""
     return (grouped
-            .select(*keep, F.inline(F.col(periods_col)))
-            .select(*keep, "inicio", period_end("last").alias("fim")))
+            .selectExpr(*[q(k) for k in keep], f"inline({q(periods_col)})")
+            .selectExpr(*[q(k) for k in keep], "inicio", f"{period_end_sql('lasthour')} AS fim"))
 
 
 def merge_periods_array(hours: DataFrame, group: Sequence[str] = GROUP, time: str = "hora",
                         compat: bool = False) -> DataFrame:
     grouped = group_hours(hours, group, time)
-    with_periods = grouped.select(*group, periods_of("horas", compat).alias("periodos"))
+    with_periods = grouped.selectExpr(*[q(c) for c in group],
+                                      f"{periods_sql('horas', compat)} AS periodos")
     return explode_periods(with_periods, keep=group)
 
 
 def merge_periods_islands(hours: DataFrame, group: Sequence[str] = GROUP, time: str = "hora",
                           compat: bool = False) -> DataFrame:
-    w = Window.partitionBy(*group).orderBy(time)
-    t, prev = F.col(time), F.lag(time).over(w)
+    g, t = _cols(group), q(time)
+    w = f"OVER (PARTITION BY {g} ORDER BY {t})"
     # A run starts unless the previous hour is this hour (duplicate) or one hour before.
-    starts = F.when(prev.isNull() | ((t != prev) & (t != plus_hours(prev, 1))), 1).otherwise(0)
-    marked = hours.select(*group, t.alias("_t"), starts.alias("_start"))
-    w2 = Window.partitionBy(*group).orderBy("_t")
-    whole = w2.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    runs = marked.select(
-        *group, "_t",
-        F.sum("_start").over(w2).alias("_run"),
-        F.min("_t").over(whole).alias("_gmin"),
-        F.max("_t").over(whole).alias("_gmax"),
-    )
+    prev = f"lag({t}) {w}"
+    marked = hours.selectExpr(
+        *[q(c) for c in group], f"{t} AS _t",
+        f"CASE WHEN {prev} IS NULL OR ({t} <> {prev} AND {t} <> {plus_hours_sql(prev, 1)}) "
+        f"THEN 1 ELSE 0 END AS _start")
+    w2 = f"OVER (PARTITION BY {g} ORDER BY _t)"
+    whole = f"OVER (PARTITION BY {g})"
+    runs = marked.selectExpr(*[q(c) for c in group], "_t", f"sum(_start) {w2} AS _run",
+                             f"min(_t) {whole} AS _gmin", f"max(_t) {whole} AS _gmax")
     periods = runs.groupBy(*group, "_run").agg(
-        F.min("_t").alias("inicio"), F.max("_t").alias("_last"),
-        F.first("_gmin").alias("_gmin"), F.first("_gmax").alias("_gmax"))
+        F.expr("min(_t) AS inicio"), F.expr("max(_t) AS _last"),
+        F.expr("first(_gmin) AS _gmin"), F.expr("first(_gmax) AS _gmax"))
     if compat:
-        dropped = ((F.col("_gmin") != F.col("_gmax")) & (F.col("inicio") == F.col("_last"))
-                   & (F.col("inicio") == F.col("_gmax")))
-        periods = periods.filter(~dropped)
-    return periods.select(*group, "inicio", period_end("_last").alias("fim"))
+        periods = periods.where("NOT (_gmin <> _gmax AND inicio = _last AND inicio = _gmax)")
+    return periods.selectExpr(*[q(c) for c in group], "inicio", f"{period_end_sql('_last')} AS fim")
 
 
 def merge_periods_session(hours: DataFrame, group: Sequence[str] = GROUP, time: str = "hora",
@@ -115,8 +116,8 @@ def merge_periods_session(hours: DataFrame, group: Sequence[str] = GROUP, time:
     if compat:
         raise ValueError("compat mode is only defined for the islands and array plans")
     sessions = hours.groupBy(*group, F.session_window(time, "1 hour")).agg(
-        F.min(time).alias("inicio"), F.max(time).alias("_last"))
-    return sessions.select(*group, "inicio", period_end("_last").alias("fim"))
+        F.expr(f"min({q(time)}) AS inicio"), F.expr(f"max({q(time)}) AS _last"))
+    return sessions.selectExpr(*[q(c) for c in group], "inicio", f"{period_end_sql('_last')} AS fim")
 
 
 PLANS = {

@@ -14,7 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoreline.functions import plus_hours, wire_date, wire_period_end, wire_time
+from shoreline.functions import plus_hours_sql, wire_date_sql, wire_period_end_sql, wire_time_sql
 from shoreline.sources.weather import CITY_NAMES
 
 
@@ -31,7 +31,8 @@ def require_city(city: str, known: Iterable[str] = CITY_NAMES) -> str:
 
 
 def for_city(df: DataFrame, city: str, known: Iterable[str] = CITY_NAMES) -> DataFrame:
-    return df.filter(F.col("local") == F.lit(require_city(city, known)))
+    name = require_city(city, known).replace("\\", "\\\\").replace("'", "\\'")
+    return df.where(f"local = '{name}'")
 
 
 def known_cities_only(df: DataFrame, cities: DataFrame) -> DataFrame:
@@ -44,26 +45,26 @@ def known_cities_only(df: DataFrame, cities: DataFrame) -> DataFrame:
 
 
 def beach_day_view(day: DataFrame) -> DataFrame:
-    return day.select(
+    return day.selectExpr(
         "local", "isDay", "boaHora",
-        wire_date("dia").alias("dia"),
-        wire_time("inicio").alias("inicio"),
-        wire_period_end("fim").alias("fim"),
+        f"{wire_date_sql('dia')} AS dia",
+        f"{wire_time_sql('inicio')} AS inicio",
+        f"{wire_period_end_sql('fim')} AS fim",
     )
 
 
 def beach_hour_view(hour: DataFrame) -> DataFrame:
-    return hour.select(
+    return hour.selectExpr(
         "local", "boaHora", "isDay",
-        F.col("temperatura").cast("string").alias("temperatura"),
-        F.col("pp").cast("string").alias("pp"),
-        F.col("uv").cast("string").alias("uv"),
-        wire_time("hora").alias("hora"),
+        "CAST(temperatura AS STRING) AS temperatura",
+        "CAST(pp AS STRING) AS pp",
+        "CAST(uv AS STRING) AS uv",
+        f"{wire_time_sql('hora')} AS hora",
     )
 
 
 def uv_view(uv: DataFrame) -> DataFrame:
-    return uv.select("local", wire_time("hora").alias("hora"), "uv_index")
+    return uv.selectExpr("local", f"{wire_time_sql('hora')} AS hora", "uv_index")
 
 
 def sorted_periods(view: DataFrame) -> DataFrame:
@@ -76,15 +77,14 @@ def sorted_hours(view: DataFrame) -> DataFrame:
 
 def hour_periods(hours: DataFrame) -> DataFrame:
     """Hour rows as one-hour periods: ``inicio = hora``, ``fim = hora + 1h``."""
-    return hours.withColumn("inicio", F.col("hora")).withColumn("fim", plus_hours("hora", 1))
+    return hours.selectExpr("*", "hora AS inicio", f"{plus_hours_sql('hora', 1)} AS fim")
 
 
 def calendar_events(periods: DataFrame) -> DataFrame:
-    return periods.select("local", F.col("inicio").alias("start"), F.col("fim").alias("end"))
+    return periods.selectExpr("local", "inicio AS start", "fim AS `end`")
 
 
 def week_window(periods: DataFrame, week_start: str, days: int = 7) -> DataFrame:
     """Periods that start inside [week_start, week_start + days)."""
-    start = F.lit(week_start).cast("timestamp_ntz")
-    end = start + F.make_dt_interval(F.lit(days))
-    return periods.filter((F.col("inicio") >= start) & (F.col("inicio") < end))
+    start = f"CAST('{week_start}' AS TIMESTAMP_NTZ)"
+    return periods.where(f"inicio >= {start} AND inicio < {start} + make_dt_interval({int(days)})")

@@ -14,12 +14,10 @@ measured sun table, and the per-day grouping reuses the join partitioning.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from shoreline.functions import day_of
 from shoreline.operators.joins import fk_join, latest_join
 from shoreline.operators.periods import GROUP, group_hours, merge_periods
-from shoreline.operators.rules import drop_incomplete, only_good, with_day_flag, with_good_flag
+from shoreline.operators.rules import day_flag_sql, drop_incomplete, good_hour_sql, only_good
 from shoreline.sources import weather
 
 HOUR_KEY = ("local", "hora")
@@ -29,8 +27,8 @@ BEACH_HOUR_COLS = ("local", "hora", "temperatura", "pp", "uv", "isDay", "boaHora
 
 def sun_hour(sunrise: DataFrame, sunset: DataFrame) -> DataFrame:
     """Latest sunrise ⋈ latest sunset per (local, day of the report)."""
-    rise = sunrise.select("off", "local", day_of("hora").alias("dia"), F.col("hora").alias("sunrise"))
-    sets = sunset.select("off", "local", day_of("hora").alias("dia"), F.col("hora").alias("sunset"))
+    rise = sunrise.selectExpr("off", "local", "to_date(hora) AS dia", "hora AS sunrise")
+    sets = sunset.selectExpr("off", "local", "to_date(hora) AS dia", "hora AS sunset")
     return latest_join({"sunrise": (rise, ["sunrise"]), "sunset": (sets, ["sunset"])}, DAY_KEY)
 
 
@@ -55,14 +53,15 @@ def beach_hour_filtered(temperature: DataFrame, precipitation: DataFrame,
 
 def beach_hour_sun(filtered: DataFrame, sun: DataFrame) -> DataFrame:
     """Each hour meets the sun row of its (local, day); hours without one vanish."""
-    return fk_join(filtered.withColumn("dia", day_of("hora")), sun, DAY_KEY)
+    return fk_join(filtered.selectExpr("*", "to_date(hora) AS dia"), sun, DAY_KEY)
 
 
 def beach_hour(filtered: DataFrame, sun: DataFrame, **thresholds) -> DataFrame:
     """Hours with ``isDay`` and ``boaHora``; keeps ``dia`` for the per-day grouping."""
     joined = beach_hour_sun(filtered, sun)
-    flagged = with_good_flag(with_day_flag(joined), **thresholds)
-    return flagged.select(*BEACH_HOUR_COLS, "dia")
+    return joined.selectExpr("local", "hora", "temperatura", "pp", "uv",
+                             f"{day_flag_sql()} AS isDay", f"{good_hour_sql(**thresholds)} AS boaHora",
+                             "dia")
 
 
 def beach_day_grouped(hours: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.functions import day_start, hour_floor, plus_minutes
+from shoreline.functions import day_start_sql, hour_floor_sql, plus_minutes_sql
 from shoreline.schemas import EVENTS
 
 # The five cities, in the order of the city file.
@@ -26,8 +26,9 @@ SUNRISE_BASE_MIN = 330
 SUNSET_BASE_MIN = 1050
 
 
-def city_of(ci: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(c) for c in CITY_NAMES]), (ci + 1).cast("int"))
+def city_sql(ci: str) -> str:
+    names = ", ".join("'" + c.replace("'", "\\'") + "'" for c in CITY_NAMES)
+    return f"element_at(array({names}), CAST({ci} + 1 AS INT))"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,49 +42,51 @@ def base(spark: SparkSession, sf_dir: str, city_key: str = "city") -> DataFrame:
 
 
 def base_of(ev: DataFrame, city_key: str = "city") -> DataFrame:
-    ci = F.col("user_id") % 5
-    local = city_of(ci)
+    local = city_sql("user_id % 5")
     if city_key == "user":
-        local = F.concat_ws("#", local, F.col("user_id").cast("string"))
+        local = f"concat_ws('#', {local}, CAST(user_id AS STRING))"
     elif city_key != "city":
         raise ValueError(f"unknown city_key {city_key!r}")
-    return ev.select(
-        F.col("event_id").alias("off"),
-        ci.alias("ci"),
-        local.alias("local"),
-        hour_floor("ts").alias("hora"),
-        day_start("ts").alias("dia"),
-        F.regexp_extract("props", r"([0-9]+)", 1).cast("int").alias("k"),
+    return ev.selectExpr(
+        "event_id AS off",
+        "user_id % 5 AS ci",
+        f"{local} AS local",
+        f"{hour_floor_sql('ts')} AS hora",
+        f"{day_start_sql('ts')} AS dia",
+        "TRY_CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k",
         "event_type",
         "value",
     )
 
 
 def temperature_of(b: DataFrame) -> DataFrame:
-    return b.select("off", "local", "hora", (F.lit(15.0) + F.col("value") / F.lit(5.0))
-                    .alias("temperatura"))
+    return b.selectExpr("off", "local", "hora", "15.0D + value / 5.0D AS temperatura")
 
 
 def precipitation_of(b: DataFrame) -> DataFrame:
-    return (b.filter(F.col("event_type") != "signup")
-            .select("off", "local", "hora", F.col("k").cast("double").alias("pp")))
+    return b.where("event_type <> 'signup'").selectExpr("off", "local", "hora",
+                                                        "CAST(k AS DOUBLE) AS pp")
+
+
+UV_SQL = "CASE WHEN off % 17 = 0 THEN NULL ELSE CAST(off * 37 % 110 AS DOUBLE) / 10.0D END"
 
 
 def uv_index_of(b: DataFrame) -> DataFrame:
-    uv = F.when(F.col("off") % 17 == 0, F.lit(None).cast("double")).otherwise(
-        (F.col("off") * 37 % 110).cast("double") / F.lit(10.0))
-    return (b.filter(F.col("event_type") != "purchase")
-            .select("off", "local", "hora", uv.alias("uv_index")))
+    return b.where("event_type <> 'purchase'").selectExpr("off", "local", "hora",
+                                                          f"{UV_SQL} AS uv_index")
 
 
-def sun_time(base_min: int) -> Column:
+def sun_time_sql(base_min: int) -> str:
     """Sunrise/sunset time of a base row: its day plus a city- and offset-dependent minute."""
-    minutes = F.lit(base_min) + F.col("ci") * 5 + F.col("off") % 3
-    return plus_minutes("dia", minutes.cast("int"))
+    return plus_minutes_sql("dia", f"CAST({base_min} + ci * 5 + off % 3 AS INT)")
+
+
+def sun_time(base_min: int) -> Column:
+    return F.expr(sun_time_sql(base_min))
 
 
 def _sun_of(b: DataFrame, base_min: int) -> DataFrame:
-    return b.select("off", "local", sun_time(base_min).alias("hora"))
+    return b.selectExpr("off", "local", f"{sun_time_sql(base_min)} AS hora")
 
 
 def sunrise_of(b: DataFrame) -> DataFrame:
