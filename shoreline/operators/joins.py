@@ -31,6 +31,11 @@ from pyspark.sql import functions as F
 from shoreline.functions import q
 
 
+def offset_column(name: str) -> str:
+    """Name of the per-source offset column in a tagged frame."""
+    return f"_off_{name}"
+
+
 def _off(name: str) -> str:
     return f"_off_{name}"
 
@@ -68,22 +73,36 @@ def latest_join(
     must appear in (default: all — an inner join).  Keys are given as column
     names; derive expression keys with ``withColumn`` before calling.
     """
-    key_names = [k if isinstance(k, str) else None for k in keys]
-    if None in key_names:
+    if any(not isinstance(k, str) for k in keys):
         raise ValueError("latest_join keys must be column names")
     tagged = tag_sources(sources, keys, order)
+    return latest_join_tagged(tagged, {n: v for n, (_, v) in sources.items()}, keys,
+                              required, keep_offsets)
+
+
+def latest_join_tagged(
+    tagged: DataFrame,
+    values: Mapping[str, Sequence[str]],
+    keys: Sequence[str],
+    required: Sequence[str] | None = None,
+    keep_offsets: bool = False,
+) -> DataFrame:
+    """``latest_join`` over an already tagged frame: for each source name ``n`` the
+    frame carries ``_off_n`` (NULL where the row is not an event of ``n``) and the
+    source's value columns.  Several logs that live in one physical table can be
+    tagged in a single projection and joined without scanning the table once per log."""
     aggs = []
-    for name, (_, values) in sources.items():
+    for name, cols in values.items():
         o = q(_off(name))
-        aggs += [F.expr(f"max_by({q(v)}, {o}) AS {q(v)}") for v in values]
+        aggs += [F.expr(f"max_by({q(v)}, {o}) AS {q(v)}") for v in cols]
         aggs.append(F.expr(f"max({o}) AS {o}"))
     joined = tagged.groupBy(*keys).agg(*aggs)
-    need = list(required) if required is not None else list(sources)
+    need = list(required) if required is not None else list(values)
     if need:
         joined = joined.where(" AND ".join(f"{q(_off(n))} IS NOT NULL" for n in need))
     if keep_offsets:
-        return joined.withColumnsRenamed({_off(n): f"off_{n}" for n in sources})
-    return joined.drop(*[_off(n) for n in sources])
+        return joined.withColumnsRenamed({_off(n): f"off_{n}" for n in values})
+    return joined.drop(*[_off(n) for n in values])
 
 
 def fk_join(

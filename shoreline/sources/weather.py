@@ -106,6 +106,30 @@ DERIVE = {
 }
 
 
+def tagged_hourly(b: DataFrame) -> DataFrame:
+    """Temperature, precipitation and UV logs tagged in ONE pass over the events
+    (``latest_join_tagged`` input): every event is a temperature event, a
+    precipitation event unless a signup, a UV event unless a purchase."""
+    return b.selectExpr(
+        "local", "hora",
+        "off AS _off_temperature", "15.0D + value / 5.0D AS temperatura",
+        "CASE WHEN event_type <> 'signup' THEN off END AS _off_precipitation",
+        "CASE WHEN event_type <> 'signup' THEN CAST(k AS DOUBLE) END AS pp",
+        "CASE WHEN event_type <> 'purchase' THEN off END AS _off_uv",
+        f"CASE WHEN event_type <> 'purchase' THEN {UV_SQL} END AS uv",
+    )
+
+
+def tagged_sun(b: DataFrame) -> DataFrame:
+    """Sunrise and sunset logs tagged in one pass; both reports of an event fall on
+    the event's day, which is their join key."""
+    return b.selectExpr(
+        "local", "CAST(dia AS DATE) AS dia",
+        "off AS _off_sunrise", f"{sun_time_sql(SUNRISE_BASE_MIN)} AS sunrise",
+        "off AS _off_sunset", f"{sun_time_sql(SUNSET_BASE_MIN)} AS sunset",
+    )
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, city_key: str = "city") -> DataFrame:
     return DERIVE[name](base(spark, sf_dir, city_key))
 
