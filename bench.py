@@ -6,8 +6,8 @@ Prints one JSON line: {"metric", "value" (sum of per-query seconds), "unit",
 "queries": {name: seconds}, "sf", ...}.  Each query is built afresh and run to
 completion through the ``noop`` sink (full computation, no driver transfer);
 the reported time is the best of ``BENCH_REPS`` runs after one warm-up pass.
-``*_wide`` entries re-run the chain with one "city" per user (1,500 keys at
-sf0.1 instead of 5) to exercise the key space a large deployment would have.
+``*_wide`` queries run the chain with one "city" per user (1,500 keys at sf0.1
+instead of 5), the key space a large deployment would have.
 """
 
 from __future__ import annotations
@@ -20,22 +20,17 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from shoreline.plans import beach, catalog  # noqa: E402
+from shoreline.plans import catalog  # noqa: E402
 from shoreline.session import build_session  # noqa: E402
 
 HEADLINE = [
     "latest_temperature", "sun_hour", "beach_hour_filtered", "beach_hour",
     "beach_day_grouped", "beach_day", "beach_day_compat", "all_beach_day",
     "all_beach_hour", "all_uv_index", "calendar_week",
+    "beach_hour_wide", "beach_day_wide", "beach_day_wide_compat",
 ]
 
 
-def _wide(method: str = "islands"):
-    def run(spark, sf_dir):
-        return beach.Chain.from_testdata(spark, sf_dir, city_key="user").beach_day(method=method)
-    return run
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -44,8 +39,6 @@ def main() -> None:
 
     qs = catalog.queries()
     todo = {name: qs[name] for name in HEADLINE if name in qs}
-    todo["beach_day_wide"] = _wide()
-    todo["beach_day_wide_array"] = _wide("array")
 
     def run_once(fn):
         t0 = time.perf_counter()

@@ -29,15 +29,15 @@ _QUERIES: dict[str, QueryFn] = {}
 _ORACLES: dict[str, str] = {}
 
 
-def register(name: str, sql: str | None = None, raw_sql: bool = False):
+def register(name: str, sql: str | None = None, raw_sql: bool = False, wide: bool = False):
     """Register a query; ``sql`` is its oracle, prefixed with the shared CTEs unless
-    ``raw_sql``."""
+    ``raw_sql`` (``wide``: the CTEs with one "city" per user)."""
     def deco(fn: QueryFn) -> QueryFn:
         if name in _QUERIES:
             raise ValueError(f"duplicate query {name}")
         _QUERIES[name] = fn
         if sql is not None:
-            _ORACLES[name] = sql.strip() if raw_sql else with_base(sql)
+            _ORACLES[name] = sql.strip() if raw_sql else with_base(sql, wide)
         return fn
     return deco
 
@@ -180,6 +180,28 @@ def beach_day_session(spark, sf_dir):
     return chain(spark, sf_dir).beach_day(method="session")
 
 
+# Widened key space: one "city" per user (150 keys at sf0.01, 1,500 at sf0.1).
+
+def wide_chain(spark: SparkSession, sf_dir: str) -> beach.Chain:
+    return beach.Chain.from_testdata(spark, sf_dir, city_key="user")
+
+
+@register("beach_hour_wide",
+          "SELECT local, hora, temperatura, pp, uv, isDay, boaHora FROM beach_hour", wide=True)
+def beach_hour_wide(spark, sf_dir):
+    return wide_chain(spark, sf_dir).beach_hour().select(*beach.BEACH_HOUR_COLS)
+
+
+@register("beach_day_wide", _DAY_SQL.format("beach_day"), wide=True)
+def beach_day_wide(spark, sf_dir):
+    return wide_chain(spark, sf_dir).beach_day()
+
+
+@register("beach_day_wide_compat", _DAY_SQL.format("beach_day_compat"), wide=True)
+def beach_day_wide_compat(spark, sf_dir):
+    return wide_chain(spark, sf_dir).beach_day(compat=True, method="array")
+
+
 # --------------------------------------------------------------- step 5: read views
 
 _DAY_VIEW_SQL = "SELECT local, isDay, boaHora, dia, inicio, fim FROM beach_day_view"

@@ -99,5 +99,10 @@ beach_hour_view AS (
 """
 
 
-def with_base(body: str) -> str:
-    return "WITH " + BASE_CTES.strip() + "\n" + body.strip()
+# The same CTEs with one "city" per user (the widened key space of scale runs).
+WIDE_BASE_CTES = BASE_CTES.replace(
+    f"{_CITY_CASE} AS local", f"concat_ws('#', {_CITY_CASE}, CAST(user_id AS VARCHAR)) AS local", 1)
+
+
+def with_base(body: str, wide: bool = False) -> str:
+    return "WITH " + (WIDE_BASE_CTES if wide else BASE_CTES).strip() + "\n" + body.strip()

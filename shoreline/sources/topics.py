@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoreline.functions import tolerant_double
 from shoreline.schemas import TOPIC_RECORD
 
 JSON_OPTIONS = {"ignoreNullFields": "false"}
@@ -62,7 +63,19 @@ def read_topic(spark: SparkSession, path: str, fmt: str = "json",
     return spark.read.schema(TOPIC_RECORD).format(fmt).load(path)
 
 
-def decode(records: DataFrame, schema: T.StructType, keep: Sequence[str] = ("off",)) -> DataFrame:
-    """``from_json(value, schema)`` -> typed columns (plus ``keep``)."""
-    parsed = records.select(*keep, F.from_json("value", schema).alias("v"))
-    return parsed.select(*keep, "v.*")
+def decode(records: DataFrame, schema: T.StructType, keep: Sequence[str] = ("off",),
+           tolerant: bool = False) -> DataFrame:
+    """``from_json(value, schema)`` -> typed columns (plus ``keep``).
+
+    ``tolerant=True`` reads DOUBLE fields the lenient way (a number written as text
+    is parsed, any other non-numeric text becomes 0.0, NULL stays NULL) instead of
+    turning a malformed number into NULL."""
+    if not tolerant:
+        parsed = records.select(*keep, F.from_json("value", schema).alias("v"))
+        return parsed.select(*keep, "v.*")
+    text = T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.DoubleType)
+                                       else f.dataType) for f in schema.fields])
+    parsed = records.select(*keep, F.from_json("value", text).alias("v"))
+    return parsed.select(*keep, *[
+        tolerant_double(F.col(f"v.{f.name}")).alias(f.name) if isinstance(f.dataType, T.DoubleType)
+        else F.col(f"v.{f.name}").alias(f.name) for f in schema.fields])

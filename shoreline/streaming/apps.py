@@ -200,6 +200,33 @@ def version_sink(path: str, partition_by: Sequence[str] = ()):
     return write
 
 
+def topic_sink(path: str, topic: str, key: str = "local"):
+    """foreachBatch writer: the batch as keyed JSON topic records (``key`` + the other
+    columns as a JSON value, NULL fields kept) — the wire form of a derived stream."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        values = [c for c in batch.columns if c != key]
+        records = topics.to_records(batch.withColumn("off", F.lit(batch_id).cast("bigint")),
+                                    [key, *values], key=key, off="off", topic=topic)
+        topics.write_topic(records, path)
+    return write
+
+
+def debug_console(updates: DataFrame, name: str, checkpoint: str):
+    """Print every emitted row (development aid): the console sink in update mode."""
+    return (updates.writeStream.outputMode("update").format("console")
+            .option("truncate", "false").option("checkpointLocation", checkpoint)
+            .queryName(name).start())
+
+
+def start_periodic(updates: DataFrame, sink, checkpoint: str, name: str,
+                   every: str = "1 hour"):
+    """Long-running form: a micro-batch every ``every`` (the producers' hourly cadence).
+    ``sink`` is a foreachBatch writer such as ``version_sink`` or ``topic_sink``."""
+    return (updates.writeStream.outputMode("update").foreachBatch(sink)
+            .option("checkpointLocation", checkpoint).queryName(name)
+            .trigger(processingTime=every).start())
+
+
 def run_available_now(updates: DataFrame, sink_path: str, checkpoint: str, name: str,
                       partition_by: Sequence[str] = ()) -> None:
     """Process everything that has landed since the last run, then stop."""

@@ -96,3 +96,15 @@ def test_city_file_and_dimension_agree(spark, tmp_path):
     a = sorted(tuple(r) for r in read_cities(spark, str(f)).collect())
     b = sorted(tuple(r) for r in city_dimension(spark).collect())
     assert a == b and len(a) == 5
+
+
+def test_tolerant_numeric_read(spark):
+    from pyspark.sql import types as T
+    recs = spark.createDataFrame(
+        [('{"local":"A","pp":12.5}',), ('{"local":"A","pp":"7"}',), ('{"local":"A","pp":"x"}',),
+         ('{"local":"A","pp":null}',)], "value string")
+    schema = T.StructType([T.StructField("local", T.StringType()), T.StructField("pp", T.DoubleType())])
+    got = [r["pp"] for r in topics.decode(recs, schema, keep=(), tolerant=True).collect()]
+    assert got == [12.5, 7.0, 0.0, None]
+    strict = [r["pp"] for r in topics.decode(recs, schema, keep=()).collect()]
+    assert strict[0] == 12.5 and strict[2] is None

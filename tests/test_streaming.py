@@ -151,3 +151,21 @@ def test_latest_day_tombstone_when_no_good_hour_left(spark):
     stages()
     latest = apps.serve_days(t.versions("latest").drop("version"), ["local", "dia"], "day_version")
     assert latest.filter("inicio IS NOT NULL").count() == 0
+
+
+def test_stream_to_keyed_json_topic(spark):
+    import json
+    t = Topics(spark)
+    t.ensure(HOURLY)
+    t.send("temperature", [(1, "A", ts(7), 25.0)])
+    t.send("precipitationProbability", [(2, "A", ts(7), 10.0)])
+    t.send("uvIndex", [(3, "A", ts(7), 1.0)])
+    out = f"{t.root}/topics/beachHourFiltered"
+    q = (apps.filtered_updates(*(t.stream(n) for n in HOURLY)).writeStream.outputMode("update")
+         .foreachBatch(apps.topic_sink(out, "beachHourFiltered"))
+         .option("checkpointLocation", f"{t.root}/_ckpt/sink").trigger(availableNow=True).start())
+    q.awaitTermination()
+    rec = topics.read_topic(spark, out).first()
+    v = json.loads(rec["value"])
+    assert rec["key"] == "A" and rec["topic"] == "beachHourFiltered"
+    assert (v["temperatura"], v["pp"], v["uv"], v["present"]) == (25.0, 10.0, 1.0, True)
