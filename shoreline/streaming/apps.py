@@ -35,6 +35,7 @@ rows again, which the latest-version view absorbs.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -219,23 +220,42 @@ def debug_console(updates: DataFrame, name: str, checkpoint: str):
 
 
 def start_periodic(updates: DataFrame, sink, checkpoint: str, name: str,
-                   every: str = "1 hour"):
+                   every: str = "1 hour", partitions: int | None = None):
     """Long-running form: a micro-batch every ``every`` (the producers' hourly cadence).
     ``sink`` is a foreachBatch writer such as ``version_sink`` or ``topic_sink``."""
-    return (updates.writeStream.outputMode("update").foreachBatch(sink)
-            .option("checkpointLocation", checkpoint).queryName(name)
-            .trigger(processingTime=every).start())
+    with state_partitions(updates.sparkSession, partitions):
+        return (updates.writeStream.outputMode("update").foreachBatch(sink)
+                .option("checkpointLocation", checkpoint).queryName(name)
+                .trigger(processingTime=every).start())
+
+
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """Number of state-store partitions for queries *started* inside the block.
+
+    A stateful query fixes its state partitioning at its first start (it is kept
+    in the checkpoint) and adaptive execution does not coalesce stateful stages,
+    so it is sized here: by default one partition per core of the cluster
+    (``defaultParallelism``).  The session setting is restored afterwards."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n or max(1, spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def run_available_now(updates: DataFrame, sink_path: str, checkpoint: str, name: str,
-                      partition_by: Sequence[str] = ()) -> None:
+                      partition_by: Sequence[str] = (), partitions: int | None = None) -> None:
     """Process everything that has landed since the last run, then stop."""
-    q = (updates.writeStream.outputMode("update")
-         .foreachBatch(version_sink(sink_path, partition_by))
-         .option("checkpointLocation", checkpoint)
-         .queryName(name)
-         .trigger(availableNow=True)
-         .start())
+    with state_partitions(updates.sparkSession, partitions):
+        q = (updates.writeStream.outputMode("update")
+             .foreachBatch(version_sink(sink_path, partition_by))
+             .option("checkpointLocation", checkpoint)
+             .queryName(name)
+             .trigger(availableNow=True)
+             .start())
     q.awaitTermination()
     err = q.exception()
     if err is not None:
