@@ -9,6 +9,7 @@ the order is deterministic.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -84,6 +85,14 @@ def calendar_events(periods: DataFrame) -> DataFrame:
     return periods.selectExpr("local", "inicio AS start", "fim AS `end`")
 
 
+def week_days(week_start: str, days: int = 7) -> tuple[str, str]:
+    """The week as a day range [first, end).  Periods never cross midnight, so a
+    period starts inside the week exactly when its day does: the range can be
+    applied to the day key before any aggregation (``Chain(..., days=...)``)."""
+    first = dt.date.fromisoformat(week_start[:10])
+    return first.isoformat(), (first + dt.timedelta(days=days)).isoformat()
+
+
 def week_window(periods: DataFrame, week_start: str, days: int = 7) -> DataFrame:
     """Periods that start inside [week_start, week_start + days)."""
     start = f"CAST('{week_start}' AS TIMESTAMP_NTZ)"

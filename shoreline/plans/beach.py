@@ -117,27 +117,42 @@ class Chain:
     def _fused(self) -> bool:
         return self._base is not None and all(t is None for t in self._tables.values())
 
-    def sun_hour(self) -> DataFrame:
+    # ``days=(first, end)`` restricts every stage to days in [first, end) — on the
+    # grouping keys, so Catalyst pushes it below the aggregations down to the scans
+    # of BOTH join inputs (and prunes day-partitioned logs).
+    @staticmethod
+    def _days(df: DataFrame, day_expr: str, days: tuple[str, str] | None) -> DataFrame:
+        if days is None:
+            return df
+        first, end = days
+        return df.where(f"{day_expr} >= DATE'{first}' AND {day_expr} < DATE'{end}'")
+
+    def sun_hour(self, days: tuple[str, str] | None = None) -> DataFrame:
         if self._fused():
-            return latest_join_tagged(weather.tagged_sun(self._base),
-                                      {"sunrise": ["sunrise"], "sunset": ["sunset"]}, DAY_KEY)
-        return sun_hour(self.sunrise, self.sunset)
+            sun = latest_join_tagged(weather.tagged_sun(self._base),
+                                     {"sunrise": ["sunrise"], "sunset": ["sunset"]}, DAY_KEY)
+        else:
+            sun = sun_hour(self.sunrise, self.sunset)
+        return self._days(sun, "dia", days)
 
-    def joined(self) -> DataFrame:
+    def joined(self, days: tuple[str, str] | None = None) -> DataFrame:
         if self._fused():
-            return latest_join_tagged(weather.tagged_hourly(self._base),
-                                      {"temperature": ["temperatura"], "precipitation": ["pp"],
-                                       "uv": ["uv"]}, HOUR_KEY)
-        return beach_hour_joined(self.temperature, self.precipitation, self.uv_index)
+            hours = latest_join_tagged(weather.tagged_hourly(self._base),
+                                       {"temperature": ["temperatura"], "precipitation": ["pp"],
+                                        "uv": ["uv"]}, HOUR_KEY)
+        else:
+            hours = beach_hour_joined(self.temperature, self.precipitation, self.uv_index)
+        return self._days(hours, "to_date(hora)", days)
 
-    def filtered(self) -> DataFrame:
-        return drop_incomplete(self.joined())
+    def filtered(self, days: tuple[str, str] | None = None) -> DataFrame:
+        return drop_incomplete(self.joined(days))
 
-    def hour_sun(self) -> DataFrame:
-        return beach_hour_sun(self.filtered(), self.sun_hour())
+    def hour_sun(self, days: tuple[str, str] | None = None) -> DataFrame:
+        return beach_hour_sun(self.filtered(days), self.sun_hour(days))
 
-    def beach_hour(self, **thresholds) -> DataFrame:
-        return beach_hour(self.filtered(), self.sun_hour(), **thresholds)
+    def beach_hour(self, days: tuple[str, str] | None = None, **thresholds) -> DataFrame:
+        return beach_hour(self.filtered(days), self.sun_hour(days), **thresholds)
 
-    def beach_day(self, compat: bool = False, method: str = "islands") -> DataFrame:
-        return beach_day(self.beach_hour(), compat=compat, method=method)
+    def beach_day(self, compat: bool = False, method: str = "islands",
+                  days: tuple[str, str] | None = None) -> DataFrame:
+        return beach_day(self.beach_hour(days), compat=compat, method=method)

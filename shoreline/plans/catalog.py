@@ -274,7 +274,8 @@ SELECT local, inicio AS start, fim AS "end" FROM beach_day
 WHERE local = '{CITY}' AND boaHora
   AND inicio >= TIMESTAMP '{WEEK_START}' AND inicio < TIMESTAMP '{WEEK_START}' + INTERVAL 7 DAY""")
 def calendar_week(spark, sf_dir):
-    day = views.for_city(chain(spark, sf_dir).beach_day(), CITY)
+    hours = views.for_city(chain(spark, sf_dir).beach_hour(days=views.week_days(WEEK_START)), CITY)
+    day = beach.beach_day(hours)
     return views.calendar_events(views.week_window(only_good(day), WEEK_START))
 
 
