@@ -11,8 +11,9 @@ Each payload is one producer run for one city; the events it yields get the
 offset ``run * RUN_SLOTS + position``, so a later run always wins over an
 earlier one and, inside a run, a later slot over an earlier one.
 
-``payloads_from_events`` rebuilds payloads from the derived weather logs so the
-ingest path can be exercised on the test tables: one payload per (city, run)
+``hourly_payloads`` / ``uv_payloads`` / ``daily_payloads`` rebuild payloads from
+the derived weather logs so the ingest path runs on the test tables: one payload
+per (city, run)
 where a run is a block of ``RUN_SLOTS`` consecutive event offsets — at most one
 forecast horizon (7 days x 24 hours) per payload, however large the input.
 """
@@ -24,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoreline.functions import hour_floor, parse_wire, wire_time
+from shoreline.functions import hour_floor, parse_wire, q, wire_time
 
 # Fixed value: one forecast horizon, 7 days of hourly slots.
 RUN_SLOTS = 168
@@ -83,13 +84,21 @@ def ingest_daily(payload: DataFrame) -> DataFrame:
 
 def split_topics(rows: DataFrame, topics: dict[str, Sequence[str]],
                  keep: Sequence[str] = ("off", "local")) -> DataFrame:
-    """Fan one row set out to several topics: ``topic`` + the kept columns + each topic's
-    value columns (NULL for the other topics).  One union, no extra scan."""
-    out = None
-    for topic, cols in topics.items():
-        part = rows.select(F.lit(topic).alias("topic"), *keep, *cols)
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+    """Fan one row set out to several topics in ONE pass: each row becomes one row per
+    topic (``topic`` + the kept columns + that topic's value columns, NULL for the
+    others) via ``inline`` over an array of per-topic structs — no union, so the
+    input is computed once."""
+    types = dict(rows.dtypes)
+    cols = list(keep) + [c for t in topics.values() for c in t if c not in keep]
+    cols = list(dict.fromkeys(cols))
+    structs = []
+    for topic, tcols in topics.items():
+        fields = [f"'topic', '{topic}'"]
+        for c in cols:
+            v = q(c) if (c in keep or c in tcols) else f"CAST(NULL AS {types[c]})"
+            fields.append(f"'{c}', {v}")
+        structs.append(f"named_struct({', '.join(fields)})")
+    return rows.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 # ------------------------------------------------------------------ payload fixtures
