@@ -92,19 +92,19 @@ def merge_periods_array(hours: DataFrame, group: Sequence[str] = GROUP, time: st
 def merge_periods_islands(hours: DataFrame, group: Sequence[str] = GROUP, time: str = "hora",
                           compat: bool = False) -> DataFrame:
     g, t = _cols(group), q(time)
-    w = f"OVER (PARTITION BY {g} ORDER BY {t})"
+    ordered = f"OVER (PARTITION BY {g} ORDER BY {t})"
+    whole = f"OVER (PARTITION BY {g})"
     # A run starts unless the previous hour is this hour (duplicate) or one hour before.
-    prev = f"lag({t}) {w}"
+    prev = f"lag({t}) {ordered}"
     marked = hours.selectExpr(
-        *[q(c) for c in group], f"{t} AS _t",
+        *[q(c) for c in group], t,
         f"CASE WHEN {prev} IS NULL OR ({t} <> {prev} AND {t} <> {plus_hours_sql(prev, 1)}) "
         f"THEN 1 ELSE 0 END AS _start")
-    w2 = f"OVER (PARTITION BY {g} ORDER BY _t)"
-    whole = f"OVER (PARTITION BY {g})"
-    runs = marked.selectExpr(*[q(c) for c in group], "_t", f"sum(_start) {w2} AS _run",
-                             f"min(_t) {whole} AS _gmin", f"max(_t) {whole} AS _gmax")
+    # Same partitioning and ordering as above: one sort serves both window passes.
+    runs = marked.selectExpr(*[q(c) for c in group], t, f"sum(_start) {ordered} AS _run",
+                             f"min({t}) {whole} AS _gmin", f"max({t}) {whole} AS _gmax")
     periods = runs.groupBy(*group, "_run").agg(
-        F.expr("min(_t) AS inicio"), F.expr("max(_t) AS _last"),
+        F.expr(f"min({t}) AS inicio"), F.expr(f"max({t}) AS _last"),
         F.expr("first(_gmin) AS _gmin"), F.expr("first(_gmax) AS _gmax"))
     if compat:
         periods = periods.where("NOT (_gmin <> _gmax AND inicio = _last AND inicio = _gmax)")
