@@ -8,7 +8,6 @@ session has none (unit tests, a laptop) do we create one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -93,12 +92,3 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, "shoreline", *parts, uuid.uuid4().hex])
-
-
-def local_path(path: str) -> str | None:
-    """The local filesystem path of ``path`` if it is one (``file:`` or bare)."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return path if os.path.isabs(path) else None

@@ -169,3 +169,23 @@ def test_stream_to_keyed_json_topic(spark):
     v = json.loads(rec["value"])
     assert rec["key"] == "A" and rec["topic"] == "beachHourFiltered"
     assert (v["temperatura"], v["pp"], v["uv"], v["present"]) == (25.0, 10.0, 1.0, True)
+
+
+def test_periodic_query_processes_new_files(spark):
+    t = Topics(spark)
+    t.ensure(HOURLY)
+    t.send("temperature", [(1, "A", ts(7), 25.0)])
+    t.send("precipitationProbability", [(2, "A", ts(7), 10.0)])
+    t.send("uvIndex", [(3, "A", ts(7), 1.0)])
+    q = apps.start_periodic(apps.filtered_updates(*(t.stream(n) for n in HOURLY)),
+                            apps.version_sink(f"{t.root}/p"), f"{t.root}/_ckpt/p", "periodic_test",
+                            every="1 second")
+    try:
+        q.processAllAvailable()
+        t.send("temperature", [(4, "A", ts(7), 27.0)])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    served = apps.latest_versions(t.versions("p"), ["local", "hora"],
+                                  ["temperatura", "pp", "uv", "present"])
+    assert [r["temperatura"] for r in served.collect()] == [27.0]
