@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import DAY, PRECIPITATION, SUNRISE, SUNSET, TEMPERATURE, UV_INDEX, frame, ts
 from shoreline.operators.latest import latest_per_key
-from shoreline.operators.rules import drop_incomplete, with_day_flag, with_good_flag
+from shoreline.operators.rules import with_day_flag, with_good_flag
 from shoreline.plans import beach
 
 
