@@ -97,6 +97,18 @@ HOUR_VERSION = T.StructType([
 ])
 
 
+FILTERED_VERSION = T.StructType([
+    T.StructField("local", _S), T.StructField("hora", T.TimestampNTZType()),
+    T.StructField("temperatura", _D), T.StructField("pp", _D), T.StructField("uv", _D),
+    T.StructField("present", T.BooleanType()), T.StructField("version", T.LongType()),
+])
+SUN_VERSION = T.StructType([
+    T.StructField("local", _S), T.StructField("dia", T.DateType()),
+    T.StructField("sunrise", T.TimestampNTZType()), T.StructField("sunset", T.TimestampNTZType()),
+    T.StructField("present", T.BooleanType()), T.StructField("version", T.LongType()),
+])
+
+
 def _beach_hour_stage(l: Landing) -> DataFrame:
     return apps.beach_hour_updates(*(l.stream(n) for n in HOURLY + SUN))
 
@@ -129,6 +141,24 @@ def stream_beach_hour(spark, sf_dir):
                                 ["temperatura", "pp", "uv", "isDay", "boaHora", "present"])
 
 
+@register("stream_beach_hour_keyed",
+          "SELECT local, hora, temperatura, pp, uv, isDay, boaHora FROM beach_hour")
+def stream_beach_hour_keyed(spark, sf_dir):
+    """The original app chain: filtered hours and sun hours as two stateful apps,
+    then the keyed many-to-one join app reading their versioned outputs."""
+    def keyed(l: Landing) -> DataFrame:
+        return apps.beach_hour_keyed(
+            l.spark.readStream.schema(FILTERED_VERSION).parquet(f"{l.root}/beachHourFiltered"),
+            l.spark.readStream.schema(SUN_VERSION).parquet(f"{l.root}/sunHour"))
+    l = _run_chain(spark, sf_dir, HOURLY + SUN, [
+        ("beachHourFiltered", lambda l: apps.filtered_updates(*(l.stream(n) for n in HOURLY)), ()),
+        ("sunHour", lambda l: apps.sun_hour_updates(l.stream("sunrise"), l.stream("sunset")), ()),
+        ("beachHourKeyed", keyed, ()),
+    ])
+    return apps.latest_versions(spark.read.parquet(f"{l.root}/beachHourKeyed"), ["local", "hora"],
+                                ["temperatura", "pp", "uv", "isDay", "boaHora", "present"])
+
+
 @register("stream_beach_day", "SELECT local, dia, isDay, boaHora, inicio, fim FROM beach_day")
 def stream_beach_day(spark, sf_dir):
     l = _run_chain(spark, sf_dir, HOURLY + SUN, [

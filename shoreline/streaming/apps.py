@@ -19,6 +19,10 @@ Stateful design — one stateful operator per query, no stream-stream join:
 * Emitted rows carry ``present`` instead of being filtered: when a newer
   version fails the null filter the key must disappear from the served table,
   and in ``update`` mode a filtered-out row would leave the old version behind.
+* ``beach_hour_keyed`` — the same join as a keyed stateful operator on
+  (local, dia) over the versioned outputs of the filtered-hours and sun apps
+  (``applyInPandasWithState``; state = the day's hours + its sun row).  Exact for
+  any time values; the single-aggregation form above needs hourly slots.
 * ``days_ever_good`` — the original accumulation: hours once good stay in the
   day (``collect_set`` in ``update`` mode) and periods are rebuilt with the
   ``aggregate`` higher-order function.
@@ -191,6 +195,104 @@ def days_latest(hour_versions: DataFrame, compat: bool = False) -> DataFrame:
         _day_state_fn(compat), DAY_OUT, DAY_STATE, "update", "NoTimeout")
 
 
+# ------------------------------------------------------------------ keyed FK join
+
+KEYED_OUT = T.StructType([
+    T.StructField("local", T.StringType()), T.StructField("dia", T.DateType()),
+    T.StructField("hora", T.TimestampNTZType()), T.StructField("temperatura", T.DoubleType()),
+    T.StructField("pp", T.DoubleType()), T.StructField("uv", T.DoubleType()),
+    T.StructField("isDay", T.BooleanType()), T.StructField("boaHora", T.BooleanType()),
+    T.StructField("present", T.BooleanType()),
+])
+KEYED_STATE = T.StructType([
+    T.StructField("horas", T.ArrayType(T.TimestampNTZType())),
+    T.StructField("hvers", T.ArrayType(T.LongType())),
+    T.StructField("temps", T.ArrayType(T.DoubleType())),
+    T.StructField("pps", T.ArrayType(T.DoubleType())),
+    T.StructField("uvs", T.ArrayType(T.DoubleType())),
+    T.StructField("hpresent", T.ArrayType(T.BooleanType())),
+    T.StructField("sver", T.LongType()),
+    T.StructField("sunrise", T.TimestampNTZType()),
+    T.StructField("sunset", T.TimestampNTZType()),
+    T.StructField("spresent", T.BooleanType()),
+])
+
+
+def _num(x):
+    return None if x is None or pd.isna(x) else float(x)
+
+
+def _keyed_join_fn(temp_min: float, uv_max: float, pp_max: float):
+    def fn(key, batches, state):
+        local, dia = key
+        hours: dict = {}
+        sun = None                                   # (version, sunrise, sunset, present)
+        if state.exists:
+            hs, hv, tt, pp, uu, hp, sv, sr, ss, sp = state.get
+            for h, v, t, p_, u, pr in zip(hs, hv, tt, pp, uu, hp):
+                hours[pd.Timestamp(h)] = (v, t, p_, u, pr)
+            if sv is not None:
+                sun = (sv, pd.Timestamp(sr) if sr is not None else None,
+                       pd.Timestamp(ss) if ss is not None else None, sp)
+        changed, sun_changed = set(), False
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                v = int(r.version)
+                if r.kind == "s":
+                    if sun is None or v >= sun[0]:
+                        sun = (v, None if pd.isna(r.sunrise) else pd.Timestamp(r.sunrise),
+                               None if pd.isna(r.sunset) else pd.Timestamp(r.sunset),
+                               bool(r.present))
+                        sun_changed = True
+                else:
+                    h = pd.Timestamp(r.hora)
+                    if h not in hours or v >= hours[h][0]:
+                        hours[h] = (v, _num(r.temperatura), _num(r.pp), _num(r.uv), bool(r.present))
+                        changed.add(h)
+        items = sorted(hours.items())
+        state.update(([h.to_pydatetime() for h, _ in items], [x[0] for _, x in items],
+                      [x[1] for _, x in items], [x[2] for _, x in items],
+                      [x[3] for _, x in items], [x[4] for _, x in items],
+                      None if sun is None else sun[0],
+                      None if sun is None or sun[1] is None else sun[1].to_pydatetime(),
+                      None if sun is None or sun[2] is None else sun[2].to_pydatetime(),
+                      None if sun is None else sun[3]))
+        if sun is None:
+            return                                   # hours wait for their day's sun row
+        out = []
+        for h in (hours if sun_changed else changed):
+            _, t, p_, u, pr = hours[h]
+            present = bool(pr and sun[3] and sun[1] is not None and sun[2] is not None)
+            is_day = bool(present and sun[1] < h < sun[2])
+            good = bool(present and t > temp_min and u < uv_max and p_ < pp_max)
+            out.append((local, dia, h, t, p_, u, is_day, good, present))
+        if out:
+            yield pd.DataFrame(out, columns=[f.name for f in KEYED_OUT.fields])
+    return fn
+
+
+def beach_hour_keyed(filtered_versions: DataFrame, sun_versions: DataFrame,
+                     temp_min: float = 20.0, uv_max: float = 5.0,
+                     pp_max: float = 30.0) -> DataFrame:
+    """The many-to-one hour -> day join as a keyed stateful operator on (local, dia).
+
+    Consumes the versioned outputs of the filtered-hours app and the sun app
+    (the original app chain).  State per key: the latest row of each hour of the
+    day and the day's sun row.  An hour revision re-emits that hour, a sun
+    revision re-emits every hour of the day, hours wait until their sun row
+    exists.  Exact for any time values (no hourly-slot assumption)."""
+    hours = filtered_versions.selectExpr(
+        "'h' AS kind", "local", "to_date(hora) AS dia", "hora", "temperatura", "pp", "uv",
+        "CAST(NULL AS TIMESTAMP_NTZ) AS sunrise", "CAST(NULL AS TIMESTAMP_NTZ) AS sunset",
+        "present", "version")
+    sun = sun_versions.selectExpr(
+        "'s' AS kind", "local", "dia", "CAST(NULL AS TIMESTAMP_NTZ) AS hora",
+        "CAST(NULL AS DOUBLE) AS temperatura", "CAST(NULL AS DOUBLE) AS pp",
+        "CAST(NULL AS DOUBLE) AS uv", "sunrise", "sunset", "present", "version")
+    return hours.unionByName(sun).groupBy("local", "dia").applyInPandasWithState(
+        _keyed_join_fn(temp_min, uv_max, pp_max), KEYED_OUT, KEYED_STATE, "update", "NoTimeout")
+
+
 # ------------------------------------------------------------------ sinks and serving
 
 def version_sink(path: str, partition_by: Sequence[str] = ()):

@@ -189,3 +189,43 @@ def test_periodic_query_processes_new_files(spark):
     served = apps.latest_versions(t.versions("p"), ["local", "hora"],
                                   ["temperatura", "pp", "uv", "present"])
     assert [r["temperatura"] for r in served.collect()] == [27.0]
+
+
+def test_keyed_fk_join_handles_any_time_and_sun_revisions(spark):
+    t = Topics(spark)
+    t.ensure(HOURLY + ["sunrise", "sunset"])
+    for h, m, off in ((7, 30, 1), (8, 0, 4)):
+        t.send("temperature", [(off, "A", ts(h, m), 25.0)])
+        t.send("precipitationProbability", [(off + 1, "A", ts(h, m), 10.0)])
+        t.send("uvIndex", [(off + 2, "A", ts(h, m), 1.0)])
+
+    def stages():
+        t.run("f", lambda: apps.filtered_updates(*(t.stream(n) for n in HOURLY)))
+        t.run("s", lambda: apps.sun_hour_updates(t.stream("sunrise"), t.stream("sunset")))
+        fv = spark.readStream.schema(t.versions("f").schema).parquet(f"{t.root}/f")
+        sv = spark.readStream.schema(t.versions("s").schema).parquet(f"{t.root}/s")
+        t.run("k", lambda: apps.beach_hour_keyed(fv, sv))
+
+    t.send("sunrise", [])
+    stages()                                          # no sun yet: nothing emitted
+    assert spark.read.parquet(f"{t.root}/k").count() == 0 if _exists(spark, f"{t.root}/k") else True
+    t.send("sunrise", [(10, "A", ts(7, 45))])
+    t.send("sunset", [(11, "A", ts(17, 40))])
+    stages()
+    served = {r["hora"]: r["isDay"] for r in apps.latest_versions(
+        t.versions("k"), ["local", "hora"], ["isDay", "boaHora", "present"]).collect()}
+    assert served == {ts(7, 30): False, ts(8): True}
+    t.send("sunrise", [(12, "A", ts(7, 0))])          # revised sunrise: 07:30 becomes day
+    stages()
+    v = t.versions("k")
+    last = v.agg(F.max("version")).first()[0]
+    assert {r["hora"] for r in v.filter(F.col("version") == last).collect()} == {ts(7, 30), ts(8)}
+    served = {r["hora"]: r["isDay"] for r in apps.latest_versions(
+        v, ["local", "hora"], ["isDay", "boaHora", "present"]).collect()}
+    assert served == {ts(7, 30): True, ts(8): True}
+
+
+def _exists(spark, path):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
