@@ -8,6 +8,9 @@ completion through the ``noop`` sink (full computation, no driver transfer);
 the reported time is the best of ``BENCH_REPS`` runs after one warm-up pass.
 ``*_wide`` queries run the chain with one "city" per user (1,500 keys at sf0.1
 instead of 5), the key space a large deployment would have.
+``stream_beach_hour`` is one ``availableNow`` run of the streaming hour stage
+over the whole log landed as keyed JSON topics (landing not timed); the
+``stream`` object adds its input rows/s and state rows/bytes.
 """
 
 from __future__ import annotations
@@ -31,6 +34,31 @@ HEADLINE = [
 ]
 
 
+def stream_bench(spark, sf_dir: str) -> dict:
+    """Land the derived logs as keyed JSON topics (untimed), then time one
+    ``availableNow`` run of the streaming hour stage over all of them."""
+    from shoreline.plans import stream_queries as sq
+    from shoreline.streaming import apps
+
+    landing = sq.Landing(spark, sf_dir, sq.HOURLY + sq.SUN)
+    for run in range(sq.N_RUNS):
+        landing.land(run)
+    t0 = time.perf_counter()
+    q = apps.run_available_now(sq._beach_hour_stage(landing), f"{landing.root}/beachHour",
+                               f"{landing.root}/_checkpoints/beachHour", "bench_stream_hour")
+    secs = time.perf_counter() - t0
+    progress = q.recentProgress
+    rows = sum(p["numInputRows"] for p in progress)
+    state = progress[-1]["stateOperators"] if progress else []
+    return {
+        "seconds": round(secs, 4),
+        "input_rows": rows,
+        "rows_per_sec": round(rows / secs, 1) if secs else None,
+        "state_rows": sum(s_["numRowsTotal"] for s_ in state),
+        "state_bytes": sum(s_["memoryUsedBytes"] for s_ in state),
+    }
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -48,6 +76,8 @@ def main() -> None:
     for fn in todo.values():  # warm-up: JIT, class loading, file listing caches
         run_once(fn)
     times = {name: round(min(run_once(fn) for _ in range(reps)), 4) for name, fn in todo.items()}
+    stream = stream_bench(spark, sf_dir)
+    times["stream_beach_hour"] = stream["seconds"]
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
@@ -58,6 +88,7 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
         "reps": reps,
+        "stream": stream,
     }))
     spark.stop()
 

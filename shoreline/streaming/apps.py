@@ -349,8 +349,9 @@ def state_partitions(spark: SparkSession, n: int | None = None):
 
 
 def run_available_now(updates: DataFrame, sink_path: str, checkpoint: str, name: str,
-                      partition_by: Sequence[str] = (), partitions: int | None = None) -> None:
-    """Process everything that has landed since the last run, then stop."""
+                      partition_by: Sequence[str] = (), partitions: int | None = None):
+    """Process everything that has landed since the last run, then stop; returns the
+    finished query (its ``recentProgress`` holds rows, durations and state sizes)."""
     with state_partitions(updates.sparkSession, partitions):
         q = (updates.writeStream.outputMode("update")
              .foreachBatch(version_sink(sink_path, partition_by))
@@ -362,6 +363,7 @@ def run_available_now(updates: DataFrame, sink_path: str, checkpoint: str, name:
     err = q.exception()
     if err is not None:
         raise RuntimeError(f"streaming query {name} failed: {err}")
+    return q
 
 
 def latest_versions(versions: DataFrame, keys: Sequence[str],
