@@ -43,10 +43,17 @@ def stream_bench(spark, sf_dir: str) -> dict:
     landing = sq.Landing(spark, sf_dir, sq.HOURLY + sq.SUN)
     for run in range(sq.N_RUNS):
         landing.land(run)
-    t0 = time.perf_counter()
-    q = apps.run_available_now(sq._beach_hour_stage(landing), f"{landing.root}/beachHour",
-                               f"{landing.root}/_checkpoints/beachHour", "bench_stream_hour")
-    secs = time.perf_counter() - t0
+    best, q = None, None
+    for attempt in range(3):  # first run warms the JVM; each run starts from scratch
+        t0 = time.perf_counter()
+        qa = apps.run_available_now(sq._beach_hour_stage(landing),
+                                    f"{landing.root}/beachHour{attempt}",
+                                    f"{landing.root}/_checkpoints/beachHour{attempt}",
+                                    f"bench_stream_hour_{attempt}")
+        secs = time.perf_counter() - t0
+        if attempt and (best is None or secs < best):
+            best, q = secs, qa
+    secs = best
     progress = q.recentProgress
     rows = sum(p["numInputRows"] for p in progress)
     state = progress[-1]["stateOperators"] if progress else []

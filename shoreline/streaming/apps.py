@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoreline.functions import day_of, day_start
+from shoreline.functions import day_of, q
 from shoreline.operators.joins import latest_join
 from shoreline.operators.latest import latest_per_key
 from shoreline.operators.periods import GROUP, explode_periods, periods_of
@@ -67,12 +67,13 @@ def topic_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def _day_slots(sun: DataFrame, name: str) -> DataFrame:
-    """A sun report -> one row per hour slot of its day (24 rows)."""
-    slot = F.explode(F.sequence(F.lit(0), F.lit(23))).alias("_h")
-    rows = sun.select("off", "local", F.col("hora").alias(name), slot)
-    return rows.select("off", "local",
-                       (day_start(name) + F.make_dt_interval(F.lit(0), F.col("_h"))).alias("hora"),
-                       name)
+    """A sun report -> one row per hour slot of its day (24 rows), generated with
+    ``explode(sequence(...))`` so the slots cost no per-slot arithmetic."""
+    start = f"CAST(to_date({q(name)}) AS TIMESTAMP_NTZ)"
+    return sun.selectExpr("off", "local", f"hora AS {q(name)}").selectExpr(
+        "off", "local",
+        f"explode(sequence({start}, {start} + INTERVAL 23 HOURS, INTERVAL 1 HOUR)) AS hora",
+        q(name))
 
 
 def _all_not_null(cols: Sequence[str]) -> Column:
