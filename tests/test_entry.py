@@ -49,3 +49,17 @@ def test_query_matches_oracle(spark, con, name):
     drows, dcols = rows_of([d[0] for d in res.description], res.fetchall())
     assert scols == dcols
     assert Counter(srows) == Counter(drows)
+
+
+@pytest.mark.parametrize("name", ["beach_day", "all_beach_day", "calendar_week", "payload_daily_ingest"])
+def test_results_do_not_depend_on_the_session_time_zone(spark, con, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = entry.queries()[name](spark, SF)
+        srows, scols = rows_of(df.columns, df.collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    res = con.execute(entry.oracle_sql()[name])
+    drows, dcols = rows_of([d[0] for d in res.description], res.fetchall())
+    assert scols == dcols and Counter(srows) == Counter(drows)
