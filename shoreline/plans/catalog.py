@@ -54,7 +54,12 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_extensions() -> None:
     # Modules that register further queries on import.
-    from shoreline.plans import ingest_queries, stream_queries, wire_queries  # noqa: F401
+    from shoreline.plans import (  # noqa: F401
+        ingest_queries,
+        served_queries,
+        stream_queries,
+        wire_queries,
+    )
 
 
 def chain(spark: SparkSession, sf_dir: str) -> beach.Chain:

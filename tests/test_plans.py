@@ -48,3 +48,10 @@ def test_week_calendar_filters_reach_the_scans(spark):
     plan = final_plan(entry.queries()["calendar_week"](spark, SF))
     pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", plan)
     assert sum("GreaterThanOrEqual(ts" in p and "LessThan(ts" in p for p in pushed) >= 1
+
+
+def test_served_week_view_prunes_day_directories(spark):
+    plan = final_plan(entry.queries()["served_calendar_week"](spark, SF))
+    parts = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+    assert any("dia" in p and ">=" in p and "<" in p for p in parts)
+    assert any("EqualTo(local," in p for p in re.findall(r"PushedFilters: \[([^\]]*)\]", plan))
