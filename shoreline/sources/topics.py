@@ -79,3 +79,20 @@ def decode(records: DataFrame, schema: T.StructType, keep: Sequence[str] = ("off
     return parsed.select(*keep, *[
         tolerant_double(F.col(f"v.{f.name}")).alias(f.name) if isinstance(f.dataType, T.DoubleType)
         else F.col(f"v.{f.name}").alias(f.name) for f in schema.fields])
+
+
+def split_rejected(records: DataFrame, required: Sequence[str] = ("local", "hora"),
+                   ) -> tuple[DataFrame, DataFrame]:
+    """Split topic records into (accepted, rejected).
+
+    A record is rejected when its value is not a JSON object or lacks one of the
+    ``required`` fields (an *absent* field, unlike an explicit ``null``, which is
+    a valid value the null filter handles later).  Both outputs are lazy filters
+    of the same input, so a streaming query can write each to its own sink."""
+    keys = F.json_object_keys(F.col("value"))
+    ok = keys.isNotNull()
+    for name in required:
+        ok = ok & F.array_contains(keys, name)
+    ok = F.coalesce(ok, F.lit(False))
+    return records.where(ok), records.where(~ok).withColumn("_rejected_reason", F.when(
+        keys.isNull(), F.lit("not a JSON object")).otherwise(F.lit("missing required field")))

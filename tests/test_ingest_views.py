@@ -108,3 +108,16 @@ def test_tolerant_numeric_read(spark):
     assert got == [12.5, 7.0, 0.0, None]
     strict = [r["pp"] for r in topics.decode(recs, schema, keep=()).collect()]
     assert strict[0] == 12.5 and strict[2] is None
+
+
+def test_records_without_key_fields_are_rejected(spark):
+    recs = spark.createDataFrame(
+        [("A", '{"local":"A","hora":"2024-01-05T07:00","pp":1.0}', 1),
+         ("A", '{"local":"A","hora":null,"pp":1.0}', 2),          # explicit null: accepted
+         ("A", '{"local":"A","pp":1.0}', 3),                      # hora absent: rejected
+         ("A", 'not json', 4)],
+        "key string, value string, off long")
+    ok, bad = topics.split_rejected(recs)
+    assert sorted(r["off"] for r in ok.collect()) == [1, 2]
+    assert {(r["off"], r["_rejected_reason"]) for r in bad.collect()} == \
+        {(3, "missing required field"), (4, "not a JSON object")}
