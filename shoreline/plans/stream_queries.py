@@ -78,11 +78,12 @@ class Landing:
 def _run_chain(spark: SparkSession, sf_dir: str, names: list[str],
                stages: list[tuple[str, Callable[[Landing], DataFrame], tuple[str, ...]]]) -> Landing:
     landing = Landing(spark, sf_dir, names)
+    tag = landing.root.rstrip("/").rsplit("/", 1)[-1][:8]   # unique per landing
     for run in range(N_RUNS):
         landing.land(run)
         for stage, build, part in stages:
             apps.run_available_now(build(landing), f"{landing.root}/{stage}",
-                                   f"{landing.root}/_checkpoints/{stage}", stage, part)
+                                   f"{landing.root}/_checkpoints/{stage}", f"{stage}_{tag}", part)
     return landing
 
 
