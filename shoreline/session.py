@@ -38,11 +38,17 @@ def build_session(
     master: str | None = "local[*]",
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
+    input_bytes: int | None = None,
+    cores: int | None = None,
 ) -> SparkSession:
+    """Session with the library defaults.  On a cluster pass ``master=None`` and the
+    expected input size and total cores to size shuffles (``scale_conf``)."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = dict(_BASE_CONF)
+    if input_bytes and cores:
+        settings.update(scale_conf(input_bytes, cores))
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
