@@ -61,18 +61,24 @@ def build_session(
 
 
 def scale_conf(input_bytes: int, cores_total: int,
-               target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+               split_bytes: int = 256 << 20,
+               shuffle_fraction: float = 0.1,
+               reducer_bytes: int = 256 << 20) -> dict[str, str]:
     """Shuffle/scan sizing for a cluster run.
 
-    Initial shuffle partitions are chosen so each reducer gets about
-    ``target_partition_bytes`` before AQE coalesces small ones; never fewer than
-    twice the cores so every core has work.
+    * Scan splits of ``split_bytes`` (100 TB -> ~400k tasks, ~50 waves on 8k cores).
+    * Initial reducers sized from the expected *shuffle* volume, not the input:
+      the first exchange carries partial aggregates (``shuffle_fraction`` of the
+      input at most), later ones deduplicated rows.  Clamped to [2, 4] x cores so
+      map-output metadata (maps x reducers) stays bounded; AQE coalesces small
+      partitions and splits skewed ones at run time.
     """
-    parts = max(2 * cores_total, -(-input_bytes // target_partition_bytes))
+    wanted = -(-int(input_bytes * shuffle_fraction) // reducer_bytes)
+    parts = min(max(2 * cores_total, wanted), 4 * cores_total)
     return {
         "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(reducer_bytes),
         # Broadcast decisions are taken from measured shuffle sizes (AQE),
         # never from static guesses over compressed files.
         "spark.sql.autoBroadcastJoinThreshold": "-1",

@@ -8,8 +8,12 @@ from shoreline.session import scale_conf, shared_dir
 def test_scale_conf_sizes_partitions_from_input():
     tb100 = 100 * (1 << 40)
     conf = scale_conf(tb100, cores_total=8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == tb100 // (128 << 20)
+    # 10 TB of partial aggregates / 256 MB = 40,960 reducers, capped at 4 x cores
+    assert int(conf["spark.sql.shuffle.partitions"]) == 32000
+    assert int(conf["spark.sql.files.maxPartitionBytes"]) == 256 << 20
     assert conf["spark.sql.autoBroadcastJoinThreshold"] == "-1"
+    mid = scale_conf(1 << 40, cores_total=1000)              # 1 TB: 410 wanted -> 2 x cores
+    assert int(mid["spark.sql.shuffle.partitions"]) == 2000
     small = scale_conf(1 << 30, cores_total=64)
     assert int(small["spark.sql.shuffle.partitions"]) == 128   # never below 2 x cores
 
