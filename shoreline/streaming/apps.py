@@ -60,10 +60,21 @@ HOUR_VALUES = ("temperatura", "pp", "uv")
 
 # ------------------------------------------------------------------ sources
 
-def topic_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Streaming read of a file-backed topic, decoded to ``off`` + typed columns."""
+def topic_stream(spark: SparkSession, path: str, schema: T.StructType,
+                 required: Sequence[str] = ("local", "hora")) -> DataFrame:
+    """Streaming read of a file-backed topic, decoded to ``off`` + typed columns.
+    Records lacking a ``required`` field (or not JSON at all) are left out; read
+    them with ``rejected_stream`` and give them their own sink."""
     raw = spark.readStream.schema(topics.TOPIC_RECORD).json(path)
-    return topics.decode(raw, schema)
+    accepted, _ = topics.split_rejected(raw, required)
+    return topics.decode(accepted, schema)
+
+
+def rejected_stream(spark: SparkSession, path: str,
+                    required: Sequence[str] = ("local", "hora")) -> DataFrame:
+    """The records of a topic that ``topic_stream`` leaves out, with a reason."""
+    raw = spark.readStream.schema(topics.TOPIC_RECORD).json(path)
+    return topics.split_rejected(raw, required)[1]
 
 
 def _day_slots(sun: DataFrame, name: str) -> DataFrame:

@@ -229,3 +229,23 @@ def _exists(spark, path):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def test_stream_leaves_out_records_without_key_fields(spark):
+    t = Topics(spark)
+    t.ensure(HOURLY)
+    t.send("temperature", [(1, "A", ts(7), 25.0)])
+    t.send("precipitationProbability", [(2, "A", ts(7), 10.0)])
+    t.send("uvIndex", [(3, "A", ts(7), 1.0)])
+    bad = spark.createDataFrame([("temperature", "A", '{"local":"A","temperatura":99.0}', 9)],
+                                "topic string, key string, value string, off long")
+    topics.write_topic(bad, t.path("temperature"))
+    t.run("f", lambda: apps.filtered_updates(*(t.stream(n) for n in HOURLY)))
+    served = apps.latest_versions(t.versions("f"), ["local", "hora"],
+                                  ["temperatura", "pp", "uv", "present"])
+    assert [(r["hora"], r["temperatura"]) for r in served.collect()] == [(ts(7), 25.0)]
+    q = (apps.rejected_stream(spark, t.path("temperature")).writeStream
+         .foreachBatch(apps.version_sink(f"{t.root}/rejected"))
+         .option("checkpointLocation", f"{t.root}/_ckpt/rejected").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert [r["off"] for r in spark.read.parquet(f"{t.root}/rejected").collect()] == [9]
