@@ -249,3 +249,21 @@ def test_stream_leaves_out_records_without_key_fields(spark):
          .option("checkpointLocation", f"{t.root}/_ckpt/rejected").trigger(availableNow=True).start())
     q.awaitTermination()
     assert [r["off"] for r in spark.read.parquet(f"{t.root}/rejected").collect()] == [9]
+
+
+def test_reexecuted_batch_does_not_change_the_served_table(spark):
+    path = shared_dir(spark, "test-idempotent")
+    sink = apps.version_sink(path)
+    b0 = spark.createDataFrame([("A", ts(7), 25.0, True), ("A", ts(8), 26.0, True)],
+                               "local string, hora timestamp_ntz, temperatura double, present boolean")
+    b1 = spark.createDataFrame([("A", ts(8), 30.0, True)],
+                               "local string, hora timestamp_ntz, temperatura double, present boolean")
+    sink(b0, 0)
+    sink(b1, 1)
+    once = sorted(tuple(r) for r in apps.latest_versions(
+        spark.read.parquet(path), ["local", "hora"], ["temperatura", "present"]).collect())
+    sink(b1, 1)                      # the same batch id again, as after a retry
+    sink(b0, 0)
+    twice = sorted(tuple(r) for r in apps.latest_versions(
+        spark.read.parquet(path), ["local", "hora"], ["temperatura", "present"]).collect())
+    assert once == twice == [("A", ts(7), 25.0), ("A", ts(8), 30.0)]
