@@ -315,14 +315,21 @@ def version_sink(path: str, partition_by: Sequence[str] = ()):
     return write
 
 
-def topic_sink(path: str, topic: str, key: str = "local"):
+def topic_sink(path: str, topic: str, key: str = "local", records=None):
     """foreachBatch writer: the batch as keyed JSON topic records (``key`` + the other
-    columns as a JSON value, NULL fields kept) — the wire form of a derived stream."""
+    columns as a JSON value, NULL fields kept) — the wire form of a derived stream.
+    ``records`` may shape the batch into ``key, value`` itself (e.g. the beachDay
+    wire form with text booleans); the batch id becomes the records' offset."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        values = [c for c in batch.columns if c != key]
-        records = topics.to_records(batch.withColumn("off", F.lit(batch_id).cast("bigint")),
-                                    [key, *values], key=key, off="off", topic=topic)
-        topics.write_topic(records, path)
+        if records is not None:
+            shaped = records(batch).select(
+                F.lit(topic).alias("topic"), "key", "value",
+                F.lit(batch_id).cast("bigint").alias("off"))
+        else:
+            values = [c for c in batch.columns if c != key]
+            shaped = topics.to_records(batch.withColumn("off", F.lit(batch_id).cast("bigint")),
+                                       [key, *values], key=key, off="off", topic=topic)
+        topics.write_topic(shaped, path)
     return write
 
 

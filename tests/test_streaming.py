@@ -267,3 +267,28 @@ def test_reexecuted_batch_does_not_change_the_served_table(spark):
     twice = sorted(tuple(r) for r in apps.latest_versions(
         spark.read.parquet(path), ["local", "hora"], ["temperatura", "present"]).collect())
     assert once == twice == [("A", ts(7), 25.0), ("A", ts(8), 30.0)]
+
+
+def test_day_periods_stream_to_wire_topic(spark):
+    import json
+    from shoreline.plans.wire_queries import beach_day_records
+    t = Topics(spark)
+    t.ensure(HOURLY + ["sunrise", "sunset"])
+    t.send("sunrise", [(1, "A", ts(6, 30))])
+    t.send("sunset", [(2, "A", ts(17, 40))])
+    for h, off in ((9, 3), (10, 6)):
+        t.send("temperature", [(off, "A", ts(h), 25.0)])
+        t.send("precipitationProbability", [(off + 1, "A", ts(h), 10.0)])
+        t.send("uvIndex", [(off + 2, "A", ts(h), 1.0)])
+    t.run("h", lambda: _beach_hour(t))
+    hv = spark.readStream.schema(t.versions("h").schema).parquet(f"{t.root}/h")
+    out = f"{t.root}/topics/beachDay"
+    q = (apps.days_ever_good(hv).writeStream.outputMode("update")
+         .foreachBatch(apps.topic_sink(out, "beachDay", records=beach_day_records))
+         .option("checkpointLocation", f"{t.root}/_ckpt/wire").trigger(availableNow=True).start())
+    q.awaitTermination()
+    rec = topics.read_topic(spark, out).first()
+    assert rec["key"] == "A" and rec["topic"] == "beachDay"
+    assert json.loads(rec["value"]) == {"local": "A", "isDay": "true", "dia": "2024-01-05",
+                                        "boaHora": "true", "inicio": "2024-01-05T09:00",
+                                        "fim": "2024-01-05T10:59"}
