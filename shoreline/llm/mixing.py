@@ -40,6 +40,9 @@ TARGETS = {(1, 0): 0.93, (1, 1): 0.05, (0, 0): 0.018, (0, 1): 0.002}
 FIT_DOCS = 8_000
 ITERATIONS = 40
 TOLERANCE = 1e-3
+#: Steps end once one takes away less than this part of the distance (targets that no
+#: rates can reach).
+STALL = 0.99
 SEED = 7
 
 
@@ -187,9 +190,12 @@ def fit_rates(rows: DataFrame, weights: list[float], iterations: int = ITERATION
     target = share * (now[0] / share[0] if share[0] else now.sum())
     rows = rows.withColumn("rate", F.lit(1.0))
     scale = max(target.sum(), 1e-12)
+    before = np.inf
     for step in range(iterations):
-        if np.abs(now - target).sum() <= tolerance * scale:
+        off = np.abs(now - target).sum()
+        if off <= tolerance * scale or off > STALL * before:
             break
+        before = off
         g = np.linalg.solve(gram, now - target)
         move = sum((F.col("p")[i] * float(g[i]) for i in range(k)), F.lit(0.0))
         rows = rows.withColumn("rate", F.greatest(F.lit(0.0), F.col("rate") - move))

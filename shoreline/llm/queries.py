@@ -4,13 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, quality, simhash_dedup, token_counts
+from . import (embedding_dedup, exact_dedup, html_extract, mixing, packing, pii, quality, simhash_dedup,
+               token_counts, toxicity)
 from .common import fold, table
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = html_extract.main_text(table(spark, sf_dir, "pages"))
+    return text.select(F.col("id").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", model.score_column(spark, F.col("text")).alias("score"))
+    return _held_out(scored, 0.5)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return (exact_dedup.duplicate_groups(docs)
@@ -32,6 +45,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _held_out(docs.select("doc_id", model.score_column(F.col("text")).alias("score")), quality.THRESHOLD)
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = embedding_dedup.near_duplicate_groups(table(spark, sf_dir, "embeddings"))
+    return got.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = mixing.rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return got.select(F.col("id").alias("doc_id"), "n_tokens",
@@ -49,9 +67,20 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def _joined(spans: str) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"size(filter(spans, s -> s.kind = '{k}'))").cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(_joined("plain"), 256).alias("base_sha256"),
+                        _joined("spans").alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_exact_dedup, op4_token_counts, op5_quality, op7_mixing, op8_simhash,
-                                    op9_packing)}
+    return {f.__name__: f for f in (op1_html_extract, op2_toxicity, op3_exact_dedup, op4_token_counts, op5_quality,
+                                    op6_embedding_dedup, op7_mixing, op8_simhash, op9_packing, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
