@@ -74,8 +74,8 @@ class Posterior:
         self.weights, self.models = weights, models
 
     def predict(self, codes: list[bytes]) -> np.ndarray:
-        x = np.array([_features(np.frombuffer(c, "<u4"), self.weights) for c in codes]).reshape(len(codes), -1)
-        p = np.array([m.predict(x) for m in self.models]).T.reshape(len(codes), -1)
+        x = np.array([_features(np.frombuffer(c, "<u4"), self.weights) for c in codes]).reshape(-1, 2 * self.weights.shape[1])
+        p = np.array([m.predict(x) for m in self.models]).T.reshape(-1, len(self.models))
         return p / p.sum(axis=1, keepdims=True)
 
 
@@ -142,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, domains:
     got = (rows.where("fold = 1").select("doc_id", "label", "t")
            .mapInArrow(measure, f"doc_id {id_type}, label int, x array<double>").collect())
     got.sort(key=lambda r: r.doc_id)
-    x = np.array([r.x for r in got], float).reshape(len(got), -1)
+    x = np.array([r.x for r in got], float)
     models = [Logistic(x, [r.label == i for r in got]) if len(got) else Logistic(np.zeros((1, 2 * len(present))), [1])
               for i in present]
     return Posterior(weights, models), present
