@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 # Fixed value: the wire format of every time field (``yyyy-MM-dd'T'HH:mm``).
 WIRE_FORMAT = "yyyy-MM-dd'T'HH:mm"
+WIRE_PATTERN = "^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}$"
 _WIRE_SQL = "'yyyy-MM-dd\\'T\\'HH:mm'"
 _END_SQL = "'yyyy-MM-dd\\'T\\'HH\\':59\\''"
 
@@ -54,7 +55,8 @@ def period_end_sql(c: str) -> str:
 
 
 def parse_wire_sql(c: str) -> str:
-    return f"to_timestamp_ntz({c}, {_WIRE_SQL})"
+    """NULL for text that is not a wire time (a malformed record must not stop a job)."""
+    return f"CASE WHEN {c} RLIKE '{WIRE_PATTERN}' THEN try_cast({c} AS TIMESTAMP_NTZ) END"
 
 
 def wire_time_sql(c: str) -> str:
@@ -120,7 +122,7 @@ def parse_wire(col: Column | str) -> Column:
     """Parse ``yyyy-MM-dd'T'HH:mm`` text into TIMESTAMP_NTZ (NULL if malformed)."""
     if isinstance(col, str):
         return F.expr(parse_wire_sql(q(col)))
-    return F.to_timestamp_ntz(col, F.lit(WIRE_FORMAT))
+    return F.when(col.rlike(WIRE_PATTERN), col.try_cast("timestamp_ntz"))
 
 
 def wire_time(col: Column | str) -> Column:

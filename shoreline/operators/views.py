@@ -37,12 +37,9 @@ def for_city(df: DataFrame, city: str, known: Iterable[str] = CITY_NAMES) -> Dat
 
 
 def known_cities_only(df: DataFrame, cities: DataFrame) -> DataFrame:
-    """Rows whose ``local`` is in the city dimension.
-
-    The dimension is the static city file (a handful of rows, a proven bound),
-    so it is broadcast.
-    """
-    return df.join(F.broadcast(cities.select("local").distinct()), "local", "left_semi")
+    """Rows whose ``local`` is in the city dimension (broadcast only where its measured
+    size allows it)."""
+    return df.join(cities.select("local").distinct(), "local", "left_semi")
 
 
 def beach_day_view(day: DataFrame) -> DataFrame:
@@ -76,6 +73,11 @@ def sorted_hours(view: DataFrame) -> DataFrame:
     return view.orderBy("hora", "local")
 
 
+def sorted_uv(uv: DataFrame) -> DataFrame:
+    """The UV log as a view, sorted; ``off`` orders the versions of one hour."""
+    return uv_view(uv.orderBy("hora", "local", "off"))
+
+
 def hour_periods(hours: DataFrame) -> DataFrame:
     """Hour rows as one-hour periods: ``inicio = hora``, ``fim = hora + 1h``."""
     return hours.selectExpr("*", "hora AS inicio", f"{plus_hours_sql('hora', 1)} AS fim")
@@ -86,11 +88,14 @@ def calendar_events(periods: DataFrame) -> DataFrame:
 
 
 def week_days(week_start: str, days: int = 7) -> tuple[str, str]:
-    """The week as a day range [first, end).  Periods never cross midnight, so a
-    period starts inside the week exactly when its day does: the range can be
-    applied to the day key before any aggregation (``Chain(..., days=...)``)."""
-    first = dt.date.fromisoformat(week_start[:10])
-    return first.isoformat(), (first + dt.timedelta(days=days)).isoformat()
+    """The days [first, end) that a period of the window can lie on.  Periods never
+    cross midnight, so the range can be applied to the day key before any aggregation
+    (``Chain(..., days=...)``); a window that starts after midnight ends within one
+    more day."""
+    start = dt.datetime.fromisoformat(week_start)
+    stop = start + dt.timedelta(days=days)
+    end = stop.date() + dt.timedelta(days=1 if stop.time() > dt.time() else 0)
+    return start.date().isoformat(), end.isoformat()
 
 
 def week_window(periods: DataFrame, week_start: str, days: int = 7) -> DataFrame:

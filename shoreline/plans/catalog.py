@@ -23,6 +23,7 @@ from shoreline.sources import weather
 # Parameters of the parameterised views (shared with the oracles).
 CITY = "Ubatuba"
 WEEK_START = "2024-01-08 00:00:00"
+WEEK_NOON = "2024-01-08 12:00:00"
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, QueryFn] = {}
@@ -242,13 +243,13 @@ _UV_VIEW_SQL = ("SELECT local, strftime(hora, '%Y-%m-%dT%H:%M') AS hora, uv_inde
 
 @register("all_uv_index", _UV_VIEW_SQL + " ORDER BY hora, local")
 def all_uv_index(spark, sf_dir):
-    return views.sorted_hours(views.uv_view(weather.uv_index(spark, sf_dir)))
+    return views.sorted_uv(weather.uv_index(spark, sf_dir))
 
 
 @register("uv_index_city", _UV_VIEW_SQL + f" WHERE local = '{CITY}' ORDER BY hora")
 def uv_index_city(spark, sf_dir):
     uv = views.for_city(weather.uv_index(spark, sf_dir), CITY)
-    return views.sorted_hours(views.uv_view(uv))
+    return views.sorted_uv(uv)
 
 
 @register("calendar_periods", f"""
@@ -284,6 +285,25 @@ def calendar_week(spark, sf_dir):
     return views.calendar_events(views.week_window(only_good(day), WEEK_START))
 
 
+@register("calendar_week_noon", f"""
+SELECT local, inicio AS start, fim AS "end" FROM beach_day
+WHERE local = '{CITY}' AND boaHora
+  AND inicio >= TIMESTAMP '{WEEK_NOON}' AND inicio < TIMESTAMP '{WEEK_NOON}' + INTERVAL 7 DAY""")
+def calendar_week_noon(spark, sf_dir):
+    """A window that starts at noon reaches into an eighth day."""
+    hours = views.for_city(chain(spark, sf_dir).beach_hour(days=views.week_days(WEEK_NOON)), CITY)
+    return views.calendar_events(views.week_window(only_good(beach.beach_day(hours)), WEEK_NOON))
+
+
+@register("calendar_hours_day_only", f"""
+SELECT local, hora AS start, hora + INTERVAL 1 HOUR AS "end" FROM beach_hour
+WHERE local = '{CITY}' AND boaHora AND isDay""")
+def calendar_hours_day_only(spark, sf_dir):
+    """Good hours of the daytime as calendar entries."""
+    hours = only_day(only_good(views.for_city(chain(spark, sf_dir).beach_hour(), CITY)))
+    return views.calendar_events(views.hour_periods(hours))
+
+
 @register("known_city_semi", """
 SELECT local, hora, temperatura, pp, uv, isDay, boaHora FROM beach_hour
 WHERE local IN (SELECT local FROM (VALUES """ + ", ".join(

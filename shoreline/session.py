@@ -94,7 +94,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in tests / local runs where nothing names a shared folder.
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="shoreline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

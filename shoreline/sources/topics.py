@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoreline.functions import tolerant_double
+from shoreline.functions import parse_wire, tolerant_double
 from shoreline.schemas import TOPIC_RECORD
 
 JSON_OPTIONS = {"ignoreNullFields": "false"}
@@ -45,12 +45,17 @@ def write_topic(records: DataFrame, path: str, fmt: str = "json", mode: str = "a
     """Append records to a topic.  ``fmt="kafka"`` writes to a broker instead
     (``options`` then carry ``kafka.bootstrap.servers`` and ``topic``)."""
     if fmt == "kafka":
-        (records.select("key", "value").write.format("kafka")
-         .options(**(options or {})).save())
+        kafka_records(records, options).write.format("kafka").options(**(options or {})).save()
         return
     records.write.mode(mode).format(fmt).save(path)
 
 
+def kafka_records(records: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
+    """The columns a broker takes: each record's own topic unless the options name one
+    topic for all of them (the broker gives the offsets)."""
+    return records.select(*([] if "topic" in (options or {}) else ["topic"]), "key", "value")
+
+
 def read_topic(spark: SparkSession, path: str, fmt: str = "json",
                options: dict[str, str] | None = None) -> DataFrame:
     """All records of a topic (batch, earliest -> now)."""
@@ -82,17 +87,24 @@ def decode(records: DataFrame, schema: T.StructType, keep: Sequence[str] = ("off
 
 
 def split_rejected(records: DataFrame, required: Sequence[str] = ("local", "hora"),
-                   ) -> tuple[DataFrame, DataFrame]:
+                   times: Sequence[str] = ("hora",)) -> tuple[DataFrame, DataFrame]:
     """Split topic records into (accepted, rejected).
 
     A record is rejected when its value is not a JSON object or lacks one of the
     ``required`` fields (an *absent* field, unlike an explicit ``null``, which is
-    a valid value the null filter handles later).  Both outputs are lazy filters
+    a valid value the null filter handles later), or where one of ``times`` holds
+    text that is not a wire time.  Both outputs are lazy filters
     of the same input, so a streaming query can write each to its own sink."""
     keys = F.json_object_keys(F.col("value"))
     ok = keys.isNotNull()
     for name in required:
         ok = ok & F.array_contains(keys, name)
     ok = F.coalesce(ok, F.lit(False))
-    return records.where(ok), records.where(~ok).withColumn("_rejected_reason", F.when(
-        keys.isNull(), F.lit("not a JSON object")).otherwise(F.lit("missing required field")))
+    readable = F.lit(True)
+    for name in times:
+        text = F.get_json_object("value", f"$.{name}")
+        readable = readable & (text.isNull() | parse_wire(text).isNotNull())
+    good = ok & readable
+    reason = (F.when(keys.isNull(), F.lit("not a JSON object"))
+              .when(~ok, F.lit("missing required field")).otherwise(F.lit("malformed time")))
+    return records.where(good), records.where(~good).withColumn("_rejected_reason", reason)

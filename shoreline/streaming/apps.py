@@ -38,10 +38,12 @@ rows again, which the latest-version view absorbs.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from contextlib import contextmanager
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +55,9 @@ from shoreline.operators.periods import GROUP, explode_periods, periods_of
 from shoreline.operators.rules import good_hour_condition
 from shoreline.sources import topics
 
+# The state functions travel by value: executors need not be able to import this module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 HOUR_KEY = ("local", "hora")
 DAY_KEY = ("local", "dia")
 HOUR_VALUES = ("temperatura", "pp", "uv")
@@ -201,7 +206,7 @@ def _day_state_fn(compat: bool):
 
 def days_latest(hour_versions: DataFrame, compat: bool = False) -> DataFrame:
     """Periods of the current good hours per (local, dia); state <= one entry per hour."""
-    rows = hour_versions.select("local", "dia", "hora", "version", "isDay",
+    rows = hour_versions.where("hora IS NOT NULL").select("local", "dia", "hora", "version", "isDay",
                                 (F.col("present") & F.col("boaHora")).alias("good"))
     return rows.groupBy("local", "dia").applyInPandasWithState(
         _day_state_fn(compat), DAY_OUT, DAY_STATE, "update", "NoTimeout")
@@ -293,7 +298,7 @@ def beach_hour_keyed(filtered_versions: DataFrame, sun_versions: DataFrame,
     day and the day's sun row.  An hour revision re-emits that hour, a sun
     revision re-emits every hour of the day, hours wait until their sun row
     exists.  Exact for any time values (no hourly-slot assumption)."""
-    hours = filtered_versions.selectExpr(
+    hours = filtered_versions.where("hora IS NOT NULL").selectExpr(
         "'h' AS kind", "local", "to_date(hora) AS dia", "hora", "temperatura", "pp", "uv",
         "CAST(NULL AS TIMESTAMP_NTZ) AS sunrise", "CAST(NULL AS TIMESTAMP_NTZ) AS sunset",
         "present", "version")
@@ -397,7 +402,8 @@ def latest_versions(versions: DataFrame, keys: Sequence[str],
 
 def serve_days(day_versions: DataFrame, group_key: Sequence[str] = GROUP,
                version_col: str = "version") -> DataFrame:
-    """Rows of the latest version of each group (a group re-emits all its periods)."""
+    """Rows of the latest version of each group (a group re-emits all its periods); a
+    micro-batch that was executed again left the same rows twice, which count once."""
     newest = day_versions.groupBy(*group_key).agg(F.max(version_col).alias("_v"))
     rows = day_versions.join(newest, list(group_key), "inner").filter(F.col(version_col) == F.col("_v"))
-    return rows.drop("_v", version_col)
+    return rows.drop("_v", version_col).distinct()

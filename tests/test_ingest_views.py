@@ -121,3 +121,34 @@ def test_records_without_key_fields_are_rejected(spark):
     assert sorted(r["off"] for r in ok.collect()) == [1, 2]
     assert {(r["off"], r["_rejected_reason"]) for r in bad.collect()} == \
         {(3, "missing required field"), (4, "not a JSON object")}
+
+
+def test_malformed_times_are_null_and_rejected(spark):
+    from shoreline.functions import parse_wire
+    from shoreline.sources import topics
+
+    texts = ["2024-01-08T09:30", "2024-13-08T09:00", "soon", "2024", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] is not None for r in df.select(parse_wire("t")).collect()] == [True] + [False] * 5
+    values = ['{"local":"a","hora":"2024-01-08T09:30"}', '{"local":"a","hora":"soon"}', '{"local":"a","hora":null}', '{"local":"a"}', "x"]
+    recs = spark.createDataFrame([(None, "a", v, i) for i, v in enumerate(values)], topics.TOPIC_RECORD)
+    ok, bad = topics.split_rejected(recs)
+    assert sorted(r.off for r in ok.collect()) == [0, 2]
+    assert {r.off: r._rejected_reason for r in bad.collect()} == {
+        1: "malformed time", 3: "missing required field", 4: "not a JSON object"}
+
+
+def test_a_fan_out_keeps_the_topic_of_each_record(spark):
+    from shoreline.sources import topics
+
+    recs = spark.createDataFrame([("t1", "a", "{}", 1), ("t2", "a", "{}", 2)], topics.TOPIC_RECORD)
+    assert topics.kafka_records(recs).columns == ["topic", "key", "value"]
+    assert topics.kafka_records(recs, {"topic": "one"}).columns == ["key", "value"]
+
+
+def test_week_days_cover_the_whole_window():
+    from shoreline.operators.views import week_days
+
+    assert week_days("2024-01-08") == ("2024-01-08", "2024-01-15")
+    assert week_days("2024-01-08 00:00:00") == ("2024-01-08", "2024-01-15")
+    assert week_days("2024-01-08 12:00") == ("2024-01-08", "2024-01-16")

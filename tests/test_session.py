@@ -22,3 +22,22 @@ def test_shared_dir_is_below_the_checkpoint_dir(spark):
     base = spark.sparkContext.getCheckpointDir()
     a, b = shared_dir(spark, "x"), shared_dir(spark, "x")
     assert a.startswith(base.rstrip("/")) and a != b
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    import pytest
+
+    from shoreline.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())

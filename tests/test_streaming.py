@@ -292,3 +292,10 @@ def test_day_periods_stream_to_wire_topic(spark):
     assert json.loads(rec["value"]) == {"local": "A", "isDay": "true", "dia": "2024-01-05",
                                         "boaHora": "true", "inicio": "2024-01-05T09:00",
                                         "fim": "2024-01-05T10:59"}
+
+
+def test_a_doubled_batch_serves_each_period_once(spark):
+    rows = [("rio", "2024-01-08", False, True, "2024-01-08 07:00:00", v) for v in (0, 1, 1)]
+    df = spark.createDataFrame(rows, "local string, dia string, isDay boolean, boaHora boolean, inicio string, version long")
+    assert apps.serve_days(df).count() == 1
+    assert apps.serve_days(df.withColumnRenamed("version", "day_version"), ["local", "dia"], "day_version").count() == 1
