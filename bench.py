@@ -33,6 +33,7 @@ HEADLINE = [
     "beach_day_grouped", "beach_day", "beach_day_compat", "all_beach_day",
     "all_beach_hour", "all_uv_index", "calendar_week",
     "beach_hour_wide", "beach_day_wide", "beach_day_wide_compat",
+    "five_log_beach_hour", "five_log_beach_day",
 ]
 
 

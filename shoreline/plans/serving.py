@@ -16,8 +16,9 @@ views that read it:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from shoreline.session import shared_dir
@@ -27,9 +28,39 @@ def materialize(spark: SparkSession, df: DataFrame, name: str,
                 partition_by: Sequence[str] = ("dia",),
                 cluster_by: Sequence[str] = ("local",)) -> DataFrame:
     """Write ``df`` as a served table and return a reader of it."""
+    return spark.read.parquet(write_table(spark, df, name, partition_by, cluster_by))
+
+
+def write_table(spark: SparkSession, df: DataFrame, name: str,
+                partition_by: Sequence[str] = ("dia",),
+                cluster_by: Sequence[str] = ("local",)) -> str:
     path = shared_dir(spark, "tables", name)
     keys = [*partition_by, *cluster_by]
     (df.repartitionByRange(*keys)
        .sortWithinPartitions(*keys)
        .write.mode("overwrite").partitionBy(*partition_by).parquet(path))
-    return spark.read.parquet(path)
+    return path
+
+
+# (application, source, table) -> folder of the table as last written
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def served(spark: SparkSession, source: str, name: str, build: Callable[[], DataFrame],
+           partition_by: Sequence[str] = ("dia",), cluster_by: Sequence[str] = ("local",)) -> DataFrame:
+    """The served table ``name`` of ``source``: written on first use (or after
+    ``refresh``, or where its folder is gone), only read afterwards."""
+    key = (spark.sparkContext.applicationId, source, name)
+    if key in _WRITTEN:
+        try:
+            return spark.read.parquet(_WRITTEN[key])
+        except AnalysisException:
+            pass
+    _WRITTEN[key] = write_table(spark, build(), name, partition_by, cluster_by)
+    return spark.read.parquet(_WRITTEN[key])
+
+
+def refresh(spark: SparkSession, source: str, name: str) -> None:
+    """Let the next read of a served table write it anew; readers of the old one keep
+    theirs, since every write has a folder of its own."""
+    _WRITTEN.pop((spark.sparkContext.applicationId, source, name), None)

@@ -55,3 +55,19 @@ def test_served_week_view_prunes_day_directories(spark):
     parts = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
     assert any("dia" in p and ">=" in p and "<" in p for p in parts)
     assert "PushedFilters: [" in plan and "EqualTo(local,Ubatuba)" in plan
+
+
+def test_a_served_table_is_written_once(spark, tmp_path):
+    from shoreline.plans import serving
+
+    built = []
+
+    def build():
+        built.append(1)
+        return spark.createDataFrame([("a", "2024-01-08", 1)], "local string, dia string, v int")
+
+    for _ in range(3):
+        assert serving.served(spark, str(tmp_path), "t", build).count() == 1
+    assert len(built) == 1
+    serving.refresh(spark, str(tmp_path), "t")
+    assert serving.served(spark, str(tmp_path), "t", build).count() == 1 and len(built) == 2
