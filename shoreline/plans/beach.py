@@ -127,21 +127,31 @@ class Chain:
         first, end = days
         return df.where(f"{day_expr} >= DATE'{first}' AND {day_expr} < DATE'{end}'")
 
+    # The same range on the raw time column of every log, so that each reader gets it
+    # (day keys are computed, and a range on them does not always reach the file scan).
+    @staticmethod
+    def _raw(df: DataFrame, time: str, days: tuple[str, str] | None) -> DataFrame:
+        if days is None:
+            return df
+        first, end = (f"CAST('{d} 00:00:00' AS TIMESTAMP_NTZ)" for d in days)
+        return df.where(f"{time} >= {first} AND {time} < {end}")
+
     def sun_hour(self, days: tuple[str, str] | None = None) -> DataFrame:
         if self._fused():
-            sun = latest_join_tagged(weather.tagged_sun(self._base),
+            sun = latest_join_tagged(weather.tagged_sun(self._raw(self._base, "ts", days)),
                                      {"sunrise": ["sunrise"], "sunset": ["sunset"]}, DAY_KEY)
         else:
-            sun = sun_hour(self.sunrise, self.sunset)
+            sun = sun_hour(self._raw(self.sunrise, "hora", days), self._raw(self.sunset, "hora", days))
         return self._days(sun, "dia", days)
 
     def joined(self, days: tuple[str, str] | None = None) -> DataFrame:
         if self._fused():
-            hours = latest_join_tagged(weather.tagged_hourly(self._base),
+            hours = latest_join_tagged(weather.tagged_hourly(self._raw(self._base, "ts", days)),
                                        {"temperature": ["temperatura"], "precipitation": ["pp"],
                                         "uv": ["uv"]}, HOUR_KEY)
         else:
-            hours = beach_hour_joined(self.temperature, self.precipitation, self.uv_index)
+            hours = beach_hour_joined(*(self._raw(log, "hora", days)
+                                        for log in (self.temperature, self.precipitation, self.uv_index)))
         return self._days(hours, "to_date(hora)", days)
 
     def filtered(self, days: tuple[str, str] | None = None) -> DataFrame:

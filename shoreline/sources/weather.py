@@ -56,6 +56,7 @@ def base_of(ev: DataFrame, city_key: str = "city") -> DataFrame:
         "TRY_CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k",
         "event_type",
         "value",
+        "ts",  # the raw time, for range filters that reach the reader
     )
 
 

@@ -7,6 +7,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from shoreline.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 
@@ -37,7 +38,7 @@ def test_beach_day_shuffles_and_no_static_broadcast(spark):
     assert "BroadcastExchange" not in plan          # sun table only on measured size
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if not n.startswith("stream_")])
+@pytest.mark.parametrize("name", [n for n in catalog.queries() if not n.startswith("stream_")])
 def test_batch_queries_run_without_python_evaluation(spark, name):
     plan = final_plan(entry.queries()[name](spark, SF))
     for op in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
@@ -47,7 +48,15 @@ def test_batch_queries_run_without_python_evaluation(spark, name):
 def test_week_calendar_filters_reach_the_scans(spark):
     plan = final_plan(entry.queries()["calendar_week"](spark, SF))
     pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", plan)
-    assert sum("GreaterThanOrEqual(ts" in p and "LessThan(ts" in p for p in pushed) >= 1
+    assert len(pushed) >= 2 and all("GreaterThanOrEqual(ts" in p and "LessThan(ts" in p for p in pushed)
+
+
+def test_week_filters_reach_the_scans_of_five_logs(spark):
+    from shoreline.plans.served_queries import five_logs
+
+    plan = final_plan(five_logs(spark, SF).beach_hour(days=("2024-01-08", "2024-01-15")))
+    pushed = re.findall(r"PushedFilters: [^\n]*", plan)  # long lists are cut, without a bracket
+    assert len(pushed) == 5 and all("GreaterThanOrEqual(hora" in p for p in pushed)
 
 
 def test_served_week_view_prunes_day_directories(spark):
