@@ -7,6 +7,7 @@ import types
 import uuid
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +66,20 @@ def worker_cache(key, build, keep: int = 6):
     return mod.store[key]
 
 
+class Shipped:
+    """A broadcast object of this package, pickled by value like the functions."""
+
+    def __init__(self, spark: SparkSession, item):
+        self.data = spark.sparkContext.broadcast(cloudpickle.dumps(item))
+        self.item = None
+
+    @property
+    def value(self):
+        if self.item is None:
+            self.item = cloudpickle.loads(self.data.value)
+        return self.item
+
+
 def drop_rows(docs: DataFrame, keys: DataFrame, on: dict[str, Column],
               how: str = "left_anti") -> DataFrame:
     """``docs`` without the rows whose key is in ``keys`` (null matches null), or

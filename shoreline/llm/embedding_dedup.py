@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import Shipped, materialise
 from .components import connected_components, forest
 
 THRESHOLD = 0.95
@@ -230,7 +230,7 @@ def near_duplicate_groups(table: DataFrame, id_col: str = "vec_id", vec_col: str
         .withColumn("v", F.monotonically_increasing_id()), "distinct")
     size = distinct.count()
     k, tables = plan(size, threshold, width, recall)
-    hasher = spark.sparkContext.broadcast(Hasher(dim, k, tables, width))
+    hasher = Shipped(spark, Hasher(dim, k, tables, width))
 
     hashed = materialise(distinct.select("v", "unit").mapInArrow(_hash(hasher), "bucket long, v long"), "buckets")
     full = materialise(

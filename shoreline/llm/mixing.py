@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Logistic, fold, fresh, materialise, sample_ids, worker_cache
+from .common import Logistic, Shipped, fold, fresh, materialise, sample_ids, worker_cache
 from .tokens import ChunkEncoder, tokenizer_path
 
 #: (quality, toxic) -> share of the tokens; the first one is the domain that is kept.
@@ -155,7 +155,7 @@ def memberships(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     domains = domains or list(TARGETS)
     vocab = _vocabulary(docs.sparkSession, vocabulary)
     model, present = fit(docs, labels, id_col, text_col, domains, vocab)
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    shipped = Shipped(docs.sparkSession, model)
 
     def run(batches):
         encoder, posterior = _encoder(vocab), shipped.value

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Logistic, labelled, materialise, sample_ids, worker_cache
+from .common import Logistic, Shipped, labelled, materialise, sample_ids, worker_cache
 
 ORDER = 5
 SHARED = 2
@@ -176,7 +176,7 @@ class Model:
         self.kneser_ney, self.calibration, self.key = kneser_ney, calibration, key
 
     def score_column(self, spark, text: Column) -> Column:
-        shipped, key, calibration = spark.sparkContext.broadcast(self.kneser_ney), self.key, self.calibration
+        shipped, key, calibration = Shipped(spark, self.kneser_ney), self.key, self.calibration
 
         def run(parts):
             scorer = worker_cache(key, lambda: Scorer(shipped.value))
@@ -252,7 +252,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     counts = np.array([grams.ordinary.to_numpy(float), grams.toxic.to_numpy(float)]).reshape(2, len(keys))
     key = ("kneser-ney", zlib.crc32(keys.tobytes()), zlib.crc32(counts.tobytes()))
     model = KneserNey(keys, counts)
-    shipped = spark.sparkContext.broadcast(model)
+    shipped = Shipped(spark, model)
 
     def measure(parts):
         scorer = worker_cache(key, lambda: Scorer(shipped.value))
