@@ -16,11 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoreline.functions import parse_wire, wire_time
+from shoreline.functions import parse_wire, plus_minutes, wire_time
 from shoreline.operators.latest import latest_per_key
 from shoreline.operators.periods import GROUP
 from shoreline.plans.catalog import register
 from shoreline.plans.oracle import BASE_CTES
+from shoreline.schemas import DAY_VERSION, FILTERED_VERSION, HOUR_VERSION, SUN_VERSION
 from shoreline.session import shared_dir
 from shoreline.sources import topics, weather
 from shoreline.streaming import apps
@@ -50,20 +51,34 @@ def run_of(lo: int, hi: int, n: int = N_RUNS):
     return F.expr(f"((off - {lo}) * {n}) div ({hi - lo + 1})")
 
 
+def _hourly_slots(name: str, log: DataFrame) -> DataFrame:
+    return log
+
+
+def _any_minute(name: str, log: DataFrame) -> DataFrame:
+    """The hourly logs with times off the full hour (a rule of the hour, so that the three
+    logs still meet on equal keys)."""
+    return log.withColumn("hora", plus_minutes(F.col("hora"), F.hour("hora") * 7 % 60)) if name in HOURLY else log
+
+
 class Landing:
     """The derived logs landed as topics, one producer run at a time."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, names: list[str]):
+    def __init__(self, spark: SparkSession, sf_dir: str, names: list[str], shape=_hourly_slots):
         self.spark = spark
         self.root = shared_dir(spark, "stream")
         base = weather.base(spark, sf_dir)
         bounds = base.agg(F.min("off").alias("lo"), F.max("off").alias("hi")).first()
-        self.lo, self.hi = int(bounds["lo"]), int(bounds["hi"])
-        self.tables = {n: weather.DERIVE[n](base) for n in names}
+        # An empty table has no offsets: every run then lands an empty topic.
+        self.lo, self.hi = int(bounds["lo"] or 0), int(bounds["hi"] or 0)
+        self.tables = {n: shape(n, weather.DERIVE[n](base)) for n in names}
 
     def path(self, name: str) -> str:
         return f"{self.root}/topics/{name}"
 
+    def out(self, stage: str) -> str:
+        return f"{self.root}/{stage}"
+
     def land(self, run: int) -> None:
         for name, df in self.tables.items():
             fields = ["local", wire_time("hora").alias("hora"), *[n for n, _ in VALUE_SCHEMAS[name]]]
@@ -74,100 +89,114 @@ class Landing:
         s = apps.topic_stream(self.spark, self.path(name), _value_schema(name))
         return s.withColumn("hora", parse_wire("hora"))
 
+    def versions(self, stage: str) -> DataFrame:
+        return apps.read_versions(self.spark, self.out(stage), VERSIONS[stage])
 
-def _run_chain(spark: SparkSession, sf_dir: str, names: list[str],
-               stages: list[tuple[str, Callable[[Landing], DataFrame], tuple[str, ...]]]) -> Landing:
-    landing = Landing(spark, sf_dir, names)
-    tag = landing.root.rstrip("/").rsplit("/", 1)[-1][:8]   # unique per landing
-    for run in range(N_RUNS):
-        landing.land(run)
-        for stage, build, part in stages:
-            apps.run_available_now(build(landing), f"{landing.root}/{stage}",
-                                   f"{landing.root}/_checkpoints/{stage}", f"{stage}_{tag}", part)
-    return landing
+    def version_stream(self, stage: str) -> DataFrame:
+        return apps.stream_versions(self.spark, self.out(stage), VERSIONS[stage])
 
 
 HOURLY = ["temperature", "precipitationProbability", "uvIndex"]
 SUN = ["sunrise", "sunset"]
-HOUR_VERSION = T.StructType([
-    T.StructField("local", _S), T.StructField("hora", T.TimestampNTZType()),
-    T.StructField("dia", T.DateType()), T.StructField("temperatura", _D),
-    T.StructField("pp", _D), T.StructField("uv", _D), T.StructField("isDay", T.BooleanType()),
-    T.StructField("boaHora", T.BooleanType()), T.StructField("present", T.BooleanType()),
-    T.StructField("version", T.LongType()),
-])
+VERSIONS = {"sunHour": SUN_VERSION, "beachHourFiltered": FILTERED_VERSION, "beachHour": HOUR_VERSION,
+            "beachDay": DAY_VERSION, "beachDayEver": DAY_VERSION}
+
+# Stage -> (its stream, its sink).
+STAGES: dict[str, Callable[[Landing], tuple[DataFrame, Callable]]] = {
+    "sunHour": lambda l: (apps.sun_hour_updates(*(l.stream(n) for n in SUN)),
+                          apps.version_sink(l.out("sunHour"), ["dia"])),
+    "beachHourFiltered": lambda l: (apps.filtered_updates(*(l.stream(n) for n in HOURLY)),
+                                    apps.version_sink(l.out("beachHourFiltered"), ["dia"])),
+    "beachHour": lambda l: (
+        apps.day_changes(l.version_stream("beachHourFiltered"), l.version_stream("sunHour")),
+        apps.beach_hours_sink(l.out("beachHour"), l.out("beachHourFiltered"), l.out("sunHour"))),
+    "beachDay": lambda l: (apps.day_changes(l.version_stream("beachHour")),
+                           apps.beach_days_sink(l.out("beachDay"), l.out("beachHour"))),
+    "beachDayEver": lambda l: (apps.days_ever_good(l.version_stream("beachHour")),
+                               apps.version_sink(l.out("beachDayEver"), ["dia"])),
+}
+HOUR_CHAIN = ["beachHourFiltered", "sunHour", "beachHour"]
 
 
-FILTERED_VERSION = T.StructType([
-    T.StructField("local", _S), T.StructField("hora", T.TimestampNTZType()),
-    T.StructField("temperatura", _D), T.StructField("pp", _D), T.StructField("uv", _D),
-    T.StructField("present", T.BooleanType()), T.StructField("version", T.LongType()),
-])
-SUN_VERSION = T.StructType([
-    T.StructField("local", _S), T.StructField("dia", T.DateType()),
-    T.StructField("sunrise", T.TimestampNTZType()), T.StructField("sunset", T.TimestampNTZType()),
-    T.StructField("present", T.BooleanType()), T.StructField("version", T.LongType()),
-])
+def run_stages(landing: Landing, stages: list[str]) -> list:
+    """Each app once over what has landed since its last run; the finished queries."""
+    tag = landing.root.rstrip("/").rsplit("/", 1)[-1][:8]   # unique per landing
+    done = []
+    for stage in stages:
+        updates, sink = STAGES[stage](landing)
+        done.append(apps.run_available_now(updates, sink, f"{landing.root}/_checkpoints/{stage}", f"{stage}_{tag}"))
+    return done
 
 
-def _beach_hour_stage(l: Landing) -> DataFrame:
-    return apps.beach_hour_updates(*(l.stream(n) for n in HOURLY + SUN))
+def _run_chain(spark: SparkSession, sf_dir: str, names: list[str], stages: list[str],
+               runs: list[int] | None = None, shape=_hourly_slots) -> Landing:
+    landing = Landing(spark, sf_dir, names, shape)
+    for run in runs if runs is not None else range(N_RUNS):
+        landing.land(run)
+        run_stages(landing, stages)
+    return landing
 
 
-def _hour_versions_stream(l: Landing) -> DataFrame:
-    return l.spark.readStream.schema(HOUR_VERSION).parquet(f"{l.root}/beachHour")
+def _served_filtered(l: Landing) -> DataFrame:
+    return apps.latest_versions(l.versions("beachHourFiltered"), ["local", "hora"],
+                                ["temperatura", "pp", "uv", "present"])
+
+
+def _served_hours(l: Landing) -> DataFrame:
+    return apps.latest_versions(l.versions("beachHour"), ["local", "hora"],
+                                ["temperatura", "pp", "uv", "isDay", "boaHora", "present"])
 
 
 @register("stream_sun_hour", "SELECT local, dia, sunrise, sunset FROM sun_hour")
 def stream_sun_hour(spark, sf_dir):
-    l = _run_chain(spark, sf_dir, SUN, [
-        ("sunHour", lambda l: apps.sun_hour_updates(l.stream("sunrise"), l.stream("sunset")), ())])
-    return apps.latest_versions(spark.read.parquet(f"{l.root}/sunHour"), ["local", "dia"],
-                                ["sunrise", "sunset", "present"])
+    l = _run_chain(spark, sf_dir, SUN, ["sunHour"])
+    return apps.latest_versions(l.versions("sunHour"), ["local", "dia"], ["sunrise", "sunset", "present"])
+
 
+_FILTERED_SQL = "SELECT local, hora, temperatura, pp, uv FROM filtered"
+_HOUR_SQL = "SELECT local, hora, temperatura, pp, uv, isDay, boaHora FROM beach_hour"
 
-@register("stream_beach_hour_filtered", "SELECT local, hora, temperatura, pp, uv FROM filtered")
+
+@register("stream_beach_hour_filtered", _FILTERED_SQL)
 def stream_beach_hour_filtered(spark, sf_dir):
-    l = _run_chain(spark, sf_dir, HOURLY, [
-        ("beachHourFiltered", lambda l: apps.filtered_updates(*(l.stream(n) for n in HOURLY)), ())])
-    return apps.latest_versions(spark.read.parquet(f"{l.root}/beachHourFiltered"),
-                                ["local", "hora"], ["temperatura", "pp", "uv", "present"])
+    return _served_filtered(_run_chain(spark, sf_dir, HOURLY, ["beachHourFiltered"]))
+
+
+@register("late_arrival", _FILTERED_SQL)
+def late_arrival(spark, sf_dir):
+    """The newest run lands first: what lands later with smaller offsets joins the state
+    and does not win."""
+    return _served_filtered(_run_chain(spark, sf_dir, HOURLY, ["beachHourFiltered"],
+                                       runs=list(reversed(range(N_RUNS)))))
 
 
-@register("stream_beach_hour",
-          "SELECT local, hora, temperatura, pp, uv, isDay, boaHora FROM beach_hour")
+@register("stream_beach_hour", _HOUR_SQL)
 def stream_beach_hour(spark, sf_dir):
-    l = _run_chain(spark, sf_dir, HOURLY + SUN, [("beachHour", _beach_hour_stage, ())])
-    return apps.latest_versions(spark.read.parquet(f"{l.root}/beachHour"), ["local", "hora"],
-                                ["temperatura", "pp", "uv", "isDay", "boaHora", "present"])
+    return _served_hours(_run_chain(spark, sf_dir, HOURLY + SUN, HOUR_CHAIN))
 
 
-@register("stream_beach_hour_keyed",
-          "SELECT local, hora, temperatura, pp, uv, isDay, boaHora FROM beach_hour")
+@register("stream_beach_hour_keyed", _HOUR_SQL)
 def stream_beach_hour_keyed(spark, sf_dir):
-    """The original app chain: filtered hours and sun hours as two stateful apps,
-    then the keyed many-to-one join app reading their versioned outputs."""
-    def keyed(l: Landing) -> DataFrame:
-        return apps.beach_hour_keyed(
-            l.spark.readStream.schema(FILTERED_VERSION).parquet(f"{l.root}/beachHourFiltered"),
-            l.spark.readStream.schema(SUN_VERSION).parquet(f"{l.root}/sunHour"))
-    l = _run_chain(spark, sf_dir, HOURLY + SUN, [
-        ("beachHourFiltered", lambda l: apps.filtered_updates(*(l.stream(n) for n in HOURLY)), ()),
-        ("sunHour", lambda l: apps.sun_hour_updates(l.stream("sunrise"), l.stream("sunset")), ()),
-        ("beachHourKeyed", keyed, ()),
-    ])
-    return apps.latest_versions(spark.read.parquet(f"{l.root}/beachHourKeyed"), ["local", "hora"],
-                                ["temperatura", "pp", "uv", "isDay", "boaHora", "present"])
+    """The join app runs before the sun app of each run and again after it: hours wait
+    for their day's sun row."""
+    return _served_hours(_run_chain(spark, sf_dir, HOURLY + SUN,
+                                    ["beachHourFiltered", "beachHour", "sunHour", "beachHour"]))
+
+
+_ANY_TIME_CTES = BASE_CTES.replace(
+    "date_trunc('hour', ts) AS hora",
+    "date_trunc('hour', ts) + to_minutes(CAST(hour(ts) * 7 % 60 AS BIGINT)) AS hora", 1)
+
+
+@register("stream_beach_hour_any_time", f"WITH {_ANY_TIME_CTES.strip()} {_HOUR_SQL}", raw_sql=True)
+def stream_beach_hour_any_time(spark, sf_dir):
+    return _served_hours(_run_chain(spark, sf_dir, HOURLY + SUN, HOUR_CHAIN, shape=_any_minute))
 
 
 @register("stream_beach_day", "SELECT local, dia, isDay, boaHora, inicio, fim FROM beach_day")
 def stream_beach_day(spark, sf_dir):
-    l = _run_chain(spark, sf_dir, HOURLY + SUN, [
-        ("beachHour", _beach_hour_stage, ()),
-        ("beachDay", lambda l: apps.days_latest(_hour_versions_stream(l)), ()),
-    ])
-    days = apps.serve_days(spark.read.parquet(f"{l.root}/beachDay").drop("version"),
-                           ["local", "dia"], "day_version")
+    l = _run_chain(spark, sf_dir, HOURLY + SUN, [*HOUR_CHAIN, "beachDay"])
+    days = apps.serve_days(l.versions("beachDay"), ["local", "dia"])
     return days.filter(F.col("inicio").isNotNull()).select(*GROUP, "inicio", "fim")
 
 
@@ -192,11 +221,8 @@ FROM isl GROUP BY local, dia, isDay, boaHora, grp"""
 
 @register("stream_ever_good", _ever_good_sql(), raw_sql=True)
 def stream_ever_good(spark, sf_dir):
-    l = _run_chain(spark, sf_dir, HOURLY + SUN, [
-        ("beachHour", _beach_hour_stage, ()),
-        ("beachDayEver", lambda l: apps.days_ever_good(_hour_versions_stream(l)), ()),
-    ])
-    return apps.serve_days(spark.read.parquet(f"{l.root}/beachDayEver"), GROUP, "version")
+    l = _run_chain(spark, sf_dir, HOURLY + SUN, [*HOUR_CHAIN, "beachDayEver"])
+    return apps.serve_days(l.versions("beachDayEver"), GROUP)
 
 
 @register("retention_filter", f"""
@@ -206,10 +232,14 @@ SELECT local, hora, temperatura, off FROM (
   WHERE e.ts >= TIMESTAMP '{RETENTION_NOW}' - INTERVAL {RETENTION_MINUTES} MINUTE)
 WHERE rn = 1""")
 def retention_filter(spark, sf_dir):
-    """Latest temperature per key as a reader sees it when the log keeps only the last
-    59 minutes of records (record time = event time ``ts``)."""
+    """Latest temperature per key as a reader of the topic sees it when the log keeps only
+    the last 59 minutes of records (record time = event time ``ts``)."""
+    path = shared_dir(spark, "topics", "temperatureRetained")
     ev = weather.events(spark, sf_dir)
-    kept = ev.filter(F.col("ts") >= F.lit(RETENTION_NOW).cast("timestamp_ntz")
-                     - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(RETENTION_MINUTES)))
-    temp = weather.temperature_of(weather.base_of(kept))
-    return latest_per_key(temp, ["local", "hora"], ["temperatura"])
+    temp = weather.temperature_of(weather.base_of(ev)).join(
+        ev.select(F.col("event_id").alias("off"), "ts"), "off", "inner")
+    topics.write_topic(topics.to_records(temp, ["local", wire_time("hora").alias("hora"), "temperatura"],
+                                         topic="temperature", time="ts"), path)
+    kept = topics.retain(topics.read_topic(spark, path), RETENTION_NOW, RETENTION_MINUTES)
+    log = topics.decode(kept, _value_schema("temperature")).withColumn("hora", parse_wire("hora"))
+    return latest_per_key(log, ["local", "hora"], ["temperatura"])

@@ -55,5 +55,16 @@ PAYLOAD_UV = _st(("local", S), ("run", L), ("hourly", _st(
 PAYLOAD_DAILY = _st(("local", S), ("run", L), ("daily", _st(
     ("sunrise", T.ArrayType(S)), ("sunset", T.ArrayType(S)))))
 
-# A topic as files: one row per record, key + JSON value + explicit offset.
-TOPIC_RECORD = _st(("topic", S), ("key", S), ("value", S), ("off", L))
+# A topic as files: one row per record, key + JSON value + explicit offset, and the
+# record's time where its writer gave one.
+TOPIC_RECORD = _st(("topic", S), ("key", S), ("value", S), ("off", L), ("timestamp", TS))
+
+# The versions a streaming stage stores.
+SUN_VERSION = _st(("local", S), ("dia", DT), ("sunrise", TS), ("sunset", TS), ("present", B),
+                  ("version", L))
+FILTERED_VERSION = _st(("local", S), ("hora", TS), ("dia", DT), ("temperatura", D), ("pp", D),
+                       ("uv", D), ("present", B), ("version", L))
+HOUR_VERSION = _st(("local", S), ("hora", TS), ("dia", DT), ("temperatura", D), ("pp", D), ("uv", D),
+                   ("isDay", B), ("boaHora", B), ("present", B), ("version", L))
+DAY_VERSION = _st(("local", S), ("dia", DT), ("isDay", B), ("boaHora", B), ("inicio", TS),
+                  ("fim", TS), ("version", L))

@@ -1,7 +1,8 @@
 """Topics as keyed JSON records, file-backed or Kafka.
 
-A topic record is ``key`` (the city), ``value`` (a JSON object) and ``off``
-(its position in the log).  File-backed topics are folders of JSON-lines files
+A topic record is ``key`` (the city), ``value`` (a JSON object), ``off``
+(its position in the log) and, where its writer gave one, ``timestamp`` (the time it was
+written, which retention goes by).  File-backed topics are folders of JSON-lines files
 below a shared folder, so batch and streaming readers see the same data; the
 Kafka connector is used only when it is on the classpath
 (``format="kafka"``; not the case in the test image).
@@ -30,13 +31,15 @@ def json_value(cols: Sequence[str | Column]) -> Column:
 
 
 def to_records(df: DataFrame, value_cols: Sequence[str | Column], key: str = "local",
-               off: str | None = "off", topic: str | None = None) -> DataFrame:
-    """Rows -> ``topic, key, value, off`` records."""
+               off: str | None = "off", topic: str | None = None, time: str | None = None) -> DataFrame:
+    """Rows -> ``topic, key, value, off`` records (and ``timestamp``, from column ``time``)."""
+    stamp = [F.col(time).cast("timestamp_ntz").alias("timestamp")] if time else []
     return df.select(
         (F.lit(topic) if topic else F.lit(None).cast("string")).alias("topic"),
         F.col(key).cast("string").alias("key"),
         json_value(value_cols).alias("value"),
         (F.col(off) if off else F.lit(None)).cast("bigint").alias("off"),
+        *stamp,
     )
 
 
@@ -56,18 +59,39 @@ def kafka_records(records: DataFrame, options: dict[str, str] | None = None) ->
     return records.select(*([] if "topic" in (options or {}) else ["topic"]), "key", "value")
 
 
-def read_topic(spark: SparkSession, path: str, fmt: str = "json",
+def _broker_records(raw: DataFrame) -> DataFrame:
+    """Records as the broker's connector delivers them -> the columns of a topic here (and
+    the ``partition`` its offset counts in)."""
+    return raw.select("topic", F.col("key").cast("string").alias("key"),
+                      F.col("value").cast("string").alias("value"), F.col("offset").alias("off"),
+                      F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "partition")
+
+
+def read_topic(spark: SparkSession, path: str | None, fmt: str = "json",
                options: dict[str, str] | None = None) -> DataFrame:
     """All records of a topic (batch, earliest -> now)."""
     if fmt == "kafka":
-        raw = (spark.read.format("kafka").option("startingOffsets", "earliest")
-               .options(**(options or {})).load())
-        return raw.select(F.col("topic"), F.col("key").cast("string").alias("key"),
-                          F.col("value").cast("string").alias("value"),
-                          F.col("offset").alias("off"))
+        return _broker_records(spark.read.format("kafka").option("startingOffsets", "earliest")
+                               .options(**(options or {})).load())
     return spark.read.schema(TOPIC_RECORD).format(fmt).load(path)
 
 
+def stream_records(spark: SparkSession, path: str | None, fmt: str = "json",
+                   options: dict[str, str] | None = None) -> DataFrame:
+    """The records of a topic as a stream, from the earliest on."""
+    if fmt == "kafka":
+        return _broker_records(spark.readStream.format("kafka").option("startingOffsets", "earliest")
+                               .options(**(options or {})).load())
+    return spark.readStream.schema(TOPIC_RECORD).format(fmt).options(**(options or {})).load(path)
+
+
+def retain(records: DataFrame, now: str, minutes: int, time: str = "timestamp") -> DataFrame:
+    """What a log that keeps the last ``minutes`` holds at ``now``: records without a time,
+    or older, are gone."""
+    kept_from = F.lit(now).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
+    return records.where(F.col(time) >= kept_from)
+
+
 def decode(records: DataFrame, schema: T.StructType, keep: Sequence[str] = ("off",),
            tolerant: bool = False) -> DataFrame:
     """``from_json(value, schema)`` -> typed columns (plus ``keep``).

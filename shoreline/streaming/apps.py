@@ -5,59 +5,51 @@ query has its own checkpoint folder below ``spark.checkpoint.dir`` and is run
 with ``trigger(availableNow=True)``, so a run resumes exactly where the last
 one stopped (after a driver or executor loss too).
 
-Stateful design — one stateful operator per query, no stream-stream join:
+One app per stage, each reading what the stages before it wrote; everything is
+built-in expressions, with no Python state:
 
 * ``sun_hour_updates`` / ``filtered_updates`` — the table-table joins as one
   ``groupBy(key)`` over the union of the tagged sources (``latest_join``) in
-  ``update`` mode; a revision on any side re-emits the joined row.
-* ``beach_hour_updates`` — the whole ``beachHour`` stage (3-way hourly join,
-  null filter, many-to-one sun join, rules) as ONE aggregation on
-  ``(local, hora)``: each sunrise/sunset report is fanned out to the 24 hour
-  slots of its day, so the sun row meets its hours inside the same group.  A
-  sun revision therefore re-emits every hour of that day.  Forecast times are
-  hourly slots (``HH:00``); that is what makes the fan-out exact.
-* Emitted rows carry ``present`` instead of being filtered: when a newer
-  version fails the null filter the key must disappear from the served table,
-  and in ``update`` mode a filtered-out row would leave the old version behind.
-* ``beach_hour_keyed`` — the same join as a keyed stateful operator on
-  (local, dia) over the versioned outputs of the filtered-hours and sun apps
-  (``applyInPandasWithState``; state = the day's hours + its sun row).  Exact for
-  any time values; the single-aggregation form above needs hourly slots.
+  ``update`` mode; a revision on any side re-emits the joined row.  A key is
+  emitted once every side has reported; rows then carry ``present`` instead of
+  being filtered: when a newer version fails the null filter the key must
+  disappear from the served table, and in ``update`` mode a filtered-out row
+  would leave the old version behind.  Records without a time have no key, so
+  they leave before the state.
+* ``beach_hours`` / ``beach_days`` — the many-to-one sun join with the rules, and
+  the periods of the current good hours.  Their stream only says which
+  (city, day) changed (``day_changes``); ``refresh_sink`` computes these days
+  again from the stored versions with the batch operators and writes them as a
+  new version.  The stored tables are the state, so any time value is exact, a
+  day needs no bound on its hours in a state store, and a batch executed again
+  writes the same days again.
 * ``days_ever_good`` — the original accumulation: hours once good stay in the
   day (``collect_set`` in ``update`` mode) and periods are rebuilt with the
   ``aggregate`` higher-order function.
-* ``days_latest`` — periods of the *current* good hours: per (local, dia) a
-  small state (at most one entry per hour of the day) kept by
-  ``applyInPandasWithState``; every change re-emits the day's periods with a
-  day version, and an empty day is emitted as a tombstone.
-
-Sinks append each micro-batch with its ``version`` (the batch id); serving
-views take the latest version per key.  A re-executed batch writes identical
-rows again, which the latest-version view absorbs.
+
+A sink writes each micro-batch to its own ``version=<n>`` folder, in overwrite
+mode: a re-executed batch replaces its rows.  Serving views take the latest
+version per key.  Versions are (epoch, batch id); raise the epoch when a stage
+starts from a new checkpoint over an old output.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoreline.functions import day_of, q
-from shoreline.operators.joins import latest_join
+from shoreline.functions import day_of
+from shoreline.operators.joins import fk_join, latest_join
 from shoreline.operators.latest import latest_per_key
-from shoreline.operators.periods import GROUP, explode_periods, periods_of
-from shoreline.operators.rules import good_hour_condition
+from shoreline.operators.periods import GROUP, explode_periods, merge_periods, periods_of
+from shoreline.operators.rules import day_flag_sql, good_hour_sql, only_good
+from shoreline.schemas import FILTERED_VERSION, HOUR_VERSION, SUN_VERSION
 from shoreline.sources import topics
 
-# The state functions travel by value: executors need not be able to import this module.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 HOUR_KEY = ("local", "hora")
 DAY_KEY = ("local", "dia")
 HOUR_VALUES = ("temperatura", "pp", "uv")
@@ -65,31 +57,21 @@ HOUR_VALUES = ("temperatura", "pp", "uv")
 
 # ------------------------------------------------------------------ sources
 
-def topic_stream(spark: SparkSession, path: str, schema: T.StructType,
-                 required: Sequence[str] = ("local", "hora")) -> DataFrame:
-    """Streaming read of a file-backed topic, decoded to ``off`` + typed columns.
-    Records lacking a ``required`` field (or not JSON at all) are left out; read
+def topic_stream(spark: SparkSession, path: str | None, schema: T.StructType,
+                 required: Sequence[str] = ("local", "hora"), fmt: str = "json",
+                 options: dict[str, str] | None = None, tolerant: bool = False) -> DataFrame:
+    """Streaming read of a topic (``topics.stream_records``), decoded to ``off`` + typed
+    columns.  Records lacking a ``required`` field (or not JSON at all) are left out; read
     them with ``rejected_stream`` and give them their own sink."""
-    raw = spark.readStream.schema(topics.TOPIC_RECORD).json(path)
-    accepted, _ = topics.split_rejected(raw, required)
-    return topics.decode(accepted, schema)
+    accepted, _ = topics.split_rejected(topics.stream_records(spark, path, fmt, options), required)
+    return topics.decode(accepted, schema, tolerant=tolerant)
 
 
-def rejected_stream(spark: SparkSession, path: str,
-                    required: Sequence[str] = ("local", "hora")) -> DataFrame:
+def rejected_stream(spark: SparkSession, path: str | None,
+                    required: Sequence[str] = ("local", "hora"), fmt: str = "json",
+                    options: dict[str, str] | None = None) -> DataFrame:
     """The records of a topic that ``topic_stream`` leaves out, with a reason."""
-    raw = spark.readStream.schema(topics.TOPIC_RECORD).json(path)
-    return topics.split_rejected(raw, required)[1]
-
-
-def _day_slots(sun: DataFrame, name: str) -> DataFrame:
-    """A sun report -> one row per hour slot of its day (24 rows), generated with
-    ``explode(sequence(...))`` so the slots cost no per-slot arithmetic."""
-    start = f"CAST(to_date({q(name)}) AS TIMESTAMP_NTZ)"
-    return sun.selectExpr("off", "local", f"hora AS {q(name)}").selectExpr(
-        "off", "local",
-        f"explode(sequence({start}, {start} + INTERVAL 23 HOURS, INTERVAL 1 HOUR)) AS hora",
-        q(name))
+    return topics.split_rejected(topics.stream_records(spark, path, fmt, options), required)[1]
 
 
 def _all_not_null(cols: Sequence[str]) -> Column:
@@ -101,41 +83,57 @@ def _all_not_null(cols: Sequence[str]) -> Column:
 
 # ------------------------------------------------------------------ stateful stages
 
+def _timed(log: DataFrame) -> DataFrame:
+    return log.where("hora IS NOT NULL")
+
+
 def sun_hour_updates(sunrise: DataFrame, sunset: DataFrame) -> DataFrame:
-    rise = sunrise.select("off", "local", day_of("hora").alias("dia"), F.col("hora").alias("sunrise"))
-    sets = sunset.select("off", "local", day_of("hora").alias("dia"), F.col("hora").alias("sunset"))
-    agg = latest_join({"sunrise": (rise, ["sunrise"]), "sunset": (sets, ["sunset"])}, DAY_KEY,
-                      required=[], keep_offsets=True)
-    present = _all_not_null(["off_sunrise", "off_sunset"])
-    return agg.select("local", "dia", "sunrise", "sunset", present.alias("present"))
+    """Latest sunrise with latest sunset per (local, dia), once both have reported."""
+    rise = _timed(sunrise).select("off", "local", day_of("hora").alias("dia"), F.col("hora").alias("sunrise"))
+    sets = _timed(sunset).select("off", "local", day_of("hora").alias("dia"), F.col("hora").alias("sunset"))
+    agg = latest_join({"sunrise": (rise, ["sunrise"]), "sunset": (sets, ["sunset"])}, DAY_KEY)
+    return agg.select("local", "dia", "sunrise", "sunset",
+                      _all_not_null(["sunrise", "sunset"]).alias("present"))
 
 
 def filtered_updates(temperature: DataFrame, precipitation: DataFrame,
                      uv_index: DataFrame) -> DataFrame:
-    agg = latest_join({"temperature": (temperature, ["temperatura"]),
-                       "precipitation": (precipitation, ["pp"]),
-                       "uv": (uv_index.withColumnRenamed("uv_index", "uv"), ["uv"])},
-                      HOUR_KEY, required=[], keep_offsets=True)
-    present = _all_not_null(["off_temperature", "off_precipitation", "off_uv", "local",
-                             *HOUR_VALUES])
-    return agg.select("local", "hora", *HOUR_VALUES, present.alias("present"))
-
-
-def beach_hour_updates(temperature: DataFrame, precipitation: DataFrame, uv_index: DataFrame,
-                       sunrise: DataFrame, sunset: DataFrame, **thresholds) -> DataFrame:
-    agg = latest_join({"temperature": (temperature, ["temperatura"]),
-                       "precipitation": (precipitation, ["pp"]),
-                       "uv": (uv_index.withColumnRenamed("uv_index", "uv"), ["uv"]),
-                       "sunrise": (_day_slots(sunrise, "sunrise"), ["sunrise"]),
-                       "sunset": (_day_slots(sunset, "sunset"), ["sunset"])},
-                      HOUR_KEY, required=[], keep_offsets=True)
-    present = _all_not_null(["off_temperature", "off_precipitation", "off_uv", "off_sunrise",
-                             "off_sunset", "local", *HOUR_VALUES])
-    is_day = F.coalesce((F.col("hora") > F.col("sunrise")) & (F.col("hora") < F.col("sunset")),
-                        F.lit(False))
+    """Latest of the three hourly logs per (local, hora), once all have reported."""
+    agg = latest_join({"temperature": (_timed(temperature), ["temperatura"]),
+                       "precipitation": (_timed(precipitation), ["pp"]),
+                       "uv": (_timed(uv_index).withColumnRenamed("uv_index", "uv"), ["uv"])}, HOUR_KEY)
     return agg.select("local", "hora", day_of("hora").alias("dia"), *HOUR_VALUES,
-                      is_day.alias("isDay"), good_hour_condition(**thresholds).alias("boaHora"),
-                      present.alias("present"))
+                      _all_not_null(["local", *HOUR_VALUES]).alias("present"))
+
+
+def day_changes(*versions: DataFrame) -> DataFrame:
+    """The (local, dia) of every row that the given version streams bring."""
+    changes = versions[0].select(*DAY_KEY)
+    for v in versions[1:]:
+        changes = changes.unionByName(v.select(*DAY_KEY))
+    return changes
+
+
+def beach_hours(filtered_versions: DataFrame, sun_versions: DataFrame, changed: DataFrame,
+                **thresholds) -> DataFrame:
+    """Every hour of the ``changed`` days with its day's sun row and the rules.  An hour
+    whose day has no sun row yet waits; ``present`` is false where the hour left the
+    filtered table."""
+    hours = latest_versions(filtered_versions.join(changed, list(DAY_KEY), "left_semi"), ["local", "hora", "dia"],
+                            [*HOUR_VALUES, "present"], present=None)
+    sun = latest_versions(sun_versions.join(changed, list(DAY_KEY), "left_semi"), DAY_KEY,
+                          ["sunrise", "sunset", "present"])
+    return fk_join(hours, sun, DAY_KEY).selectExpr(
+        "local", "hora", "dia", *HOUR_VALUES, f"{day_flag_sql()} AS isDay",
+        f"{good_hour_sql(**thresholds)} AS boaHora", "present")
+
+
+def beach_days(hour_versions: DataFrame, changed: DataFrame, compat: bool = False) -> DataFrame:
+    """Periods of the current good hours of the ``changed`` days; a day without any is one
+    row of NULLs (its tombstone)."""
+    hours = latest_versions(hour_versions.join(changed, list(DAY_KEY), "left_semi"), ["local", "hora", "dia"],
+                            ["isDay", "boaHora", "present"])
+    return changed.join(merge_periods(only_good(hours), GROUP, "hora", compat=compat), list(DAY_KEY), "left")
 
 
 def days_ever_good(hour_versions: DataFrame, compat: bool = False) -> DataFrame:
@@ -146,178 +144,62 @@ def days_ever_good(hour_versions: DataFrame, compat: bool = False) -> DataFrame:
     return explode_periods(with_periods, keep=GROUP)
 
 
-DAY_OUT = T.StructType([
-    T.StructField("local", T.StringType()), T.StructField("dia", T.DateType()),
-    T.StructField("isDay", T.BooleanType()), T.StructField("boaHora", T.BooleanType()),
-    T.StructField("inicio", T.TimestampNTZType()), T.StructField("fim", T.TimestampNTZType()),
-    T.StructField("day_version", T.LongType()),
-])
-DAY_STATE = T.StructType([
-    T.StructField("horas", T.ArrayType(T.TimestampNTZType())),
-    T.StructField("vers", T.ArrayType(T.LongType())),
-    T.StructField("good", T.ArrayType(T.BooleanType())),
-    T.StructField("day", T.ArrayType(T.BooleanType())),
-    T.StructField("day_version", T.LongType()),
-])
-
-
-def _merge_hours(hours: list[pd.Timestamp]) -> list[tuple[pd.Timestamp, pd.Timestamp]]:
-    """Consecutive runs (next == previous + 1h) of a sorted list of distinct hours."""
-    runs: list[list[pd.Timestamp]] = []
-    for h in hours:
-        if runs and h == runs[-1][1] + pd.Timedelta(hours=1):
-            runs[-1][1] = h
-        else:
-            runs.append([h, h])
-    return [(a, b) for a, b in runs]
+# ------------------------------------------------------------------ sinks and serving
 
+def version_sink(path: str, partition_by: Sequence[str] = (), epoch: int = 0):
+    """foreachBatch writer: the batch as folder ``version=<n>`` of ``path``, replacing what an
+    earlier attempt of the same batch left there.  ``n`` orders by (epoch, batch id)."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.write.mode("overwrite").partitionBy(*partition_by)
+         .parquet(f"{path}/version={(epoch << 32) + batch_id}"))
+    return write
 
-def _day_state_fn(compat: bool):
-    def fn(key, batches, state):
-        local, dia = key
-        if state.exists:
-            horas, vers, good, day, version = state.get
-            current = {pd.Timestamp(h): (v, g, d) for h, v, g, d in zip(horas, vers, good, day)}
-        else:
-            current, version = {}, -1
-        for pdf in batches:
-            for h, v, g, d in zip(pdf["hora"], pdf["version"], pdf["good"], pdf["isDay"]):
-                h = pd.Timestamp(h)
-                if h not in current or v >= current[h][0]:
-                    current[h] = (int(v), bool(g), bool(d))
-        version += 1
-        items = sorted(current.items())
-        state.update(([h.to_pydatetime() for h, _ in items], [v for _, (v, _, _) in items],
-                      [g for _, (_, g, _) in items], [d for _, (_, _, d) in items], version))
-        rows = []
-        for is_day in (False, True):
-            hours = [h for h, (_, g, d) in items if g and d == is_day]
-            runs = _merge_hours(hours)
-            if compat and len(hours) > 1 and runs and runs[-1][0] == runs[-1][1]:
-                runs = runs[:-1]
-            for a, b in runs:
-                rows.append((local, dia, is_day, True, a, b.floor("h") + pd.Timedelta(minutes=59),
-                             version))
-        if not rows:  # tombstone: the day has no good period any more
-            rows.append((local, dia, None, None, None, None, version))
-        yield pd.DataFrame(rows, columns=[f.name for f in DAY_OUT.fields])
-    return fn
-
-
-def days_latest(hour_versions: DataFrame, compat: bool = False) -> DataFrame:
-    """Periods of the current good hours per (local, dia); state <= one entry per hour."""
-    rows = hour_versions.where("hora IS NOT NULL").select("local", "dia", "hora", "version", "isDay",
-                                (F.col("present") & F.col("boaHora")).alias("good"))
-    return rows.groupBy("local", "dia").applyInPandasWithState(
-        _day_state_fn(compat), DAY_OUT, DAY_STATE, "update", "NoTimeout")
-
-
-# ------------------------------------------------------------------ keyed FK join
-
-KEYED_OUT = T.StructType([
-    T.StructField("local", T.StringType()), T.StructField("dia", T.DateType()),
-    T.StructField("hora", T.TimestampNTZType()), T.StructField("temperatura", T.DoubleType()),
-    T.StructField("pp", T.DoubleType()), T.StructField("uv", T.DoubleType()),
-    T.StructField("isDay", T.BooleanType()), T.StructField("boaHora", T.BooleanType()),
-    T.StructField("present", T.BooleanType()),
-])
-KEYED_STATE = T.StructType([
-    T.StructField("horas", T.ArrayType(T.TimestampNTZType())),
-    T.StructField("hvers", T.ArrayType(T.LongType())),
-    T.StructField("temps", T.ArrayType(T.DoubleType())),
-    T.StructField("pps", T.ArrayType(T.DoubleType())),
-    T.StructField("uvs", T.ArrayType(T.DoubleType())),
-    T.StructField("hpresent", T.ArrayType(T.BooleanType())),
-    T.StructField("sver", T.LongType()),
-    T.StructField("sunrise", T.TimestampNTZType()),
-    T.StructField("sunset", T.TimestampNTZType()),
-    T.StructField("spresent", T.BooleanType()),
-])
-
-
-def _num(x):
-    return None if x is None or pd.isna(x) else float(x)
-
-
-def _keyed_join_fn(temp_min: float, uv_max: float, pp_max: float):
-    def fn(key, batches, state):
-        local, dia = key
-        hours: dict = {}
-        sun = None                                   # (version, sunrise, sunset, present)
-        if state.exists:
-            hs, hv, tt, pp, uu, hp, sv, sr, ss, sp = state.get
-            for h, v, t, p_, u, pr in zip(hs, hv, tt, pp, uu, hp):
-                hours[pd.Timestamp(h)] = (v, t, p_, u, pr)
-            if sv is not None:
-                sun = (sv, pd.Timestamp(sr) if sr is not None else None,
-                       pd.Timestamp(ss) if ss is not None else None, sp)
-        changed, sun_changed = set(), False
-        for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                v = int(r.version)
-                if r.kind == "s":
-                    if sun is None or v >= sun[0]:
-                        sun = (v, None if pd.isna(r.sunrise) else pd.Timestamp(r.sunrise),
-                               None if pd.isna(r.sunset) else pd.Timestamp(r.sunset),
-                               bool(r.present))
-                        sun_changed = True
-                else:
-                    h = pd.Timestamp(r.hora)
-                    if h not in hours or v >= hours[h][0]:
-                        hours[h] = (v, _num(r.temperatura), _num(r.pp), _num(r.uv), bool(r.present))
-                        changed.add(h)
-        items = sorted(hours.items())
-        state.update(([h.to_pydatetime() for h, _ in items], [x[0] for _, x in items],
-                      [x[1] for _, x in items], [x[2] for _, x in items],
-                      [x[3] for _, x in items], [x[4] for _, x in items],
-                      None if sun is None else sun[0],
-                      None if sun is None or sun[1] is None else sun[1].to_pydatetime(),
-                      None if sun is None or sun[2] is None else sun[2].to_pydatetime(),
-                      None if sun is None else sun[3]))
-        if sun is None:
-            return                                   # hours wait for their day's sun row
-        out = []
-        for h in (hours if sun_changed else changed):
-            _, t, p_, u, pr = hours[h]
-            present = bool(pr and sun[3] and sun[1] is not None and sun[2] is not None)
-            is_day = bool(present and sun[1] < h < sun[2])
-            good = bool(present and t > temp_min and u < uv_max and p_ < pp_max)
-            out.append((local, dia, h, t, p_, u, is_day, good, present))
-        if out:
-            yield pd.DataFrame(out, columns=[f.name for f in KEYED_OUT.fields])
-    return fn
-
-
-def beach_hour_keyed(filtered_versions: DataFrame, sun_versions: DataFrame,
-                     temp_min: float = 20.0, uv_max: float = 5.0,
-                     pp_max: float = 30.0) -> DataFrame:
-    """The many-to-one hour -> day join as a keyed stateful operator on (local, dia).
-
-    Consumes the versioned outputs of the filtered-hours app and the sun app
-    (the original app chain).  State per key: the latest row of each hour of the
-    day and the day's sun row.  An hour revision re-emits that hour, a sun
-    revision re-emits every hour of the day, hours wait until their sun row
-    exists.  Exact for any time values (no hourly-slot assumption)."""
-    hours = filtered_versions.where("hora IS NOT NULL").selectExpr(
-        "'h' AS kind", "local", "to_date(hora) AS dia", "hora", "temperatura", "pp", "uv",
-        "CAST(NULL AS TIMESTAMP_NTZ) AS sunrise", "CAST(NULL AS TIMESTAMP_NTZ) AS sunset",
-        "present", "version")
-    sun = sun_versions.selectExpr(
-        "'s' AS kind", "local", "dia", "CAST(NULL AS TIMESTAMP_NTZ) AS hora",
-        "CAST(NULL AS DOUBLE) AS temperatura", "CAST(NULL AS DOUBLE) AS pp",
-        "CAST(NULL AS DOUBLE) AS uv", "sunrise", "sunset", "present", "version")
-    return hours.unionByName(sun).groupBy("local", "dia").applyInPandasWithState(
-        _keyed_join_fn(temp_min, uv_max, pp_max), KEYED_OUT, KEYED_STATE, "update", "NoTimeout")
 
+def refresh_sink(path: str, rebuild: Callable[[DataFrame], DataFrame],
+                 partition_by: Sequence[str] = ("dia",), epoch: int = 0):
+    """foreachBatch writer of a stage that is computed again where its inputs changed:
+    ``rebuild`` gets the distinct (local, dia) of the batch and returns their rows, which
+    become a new version.  Rows follow the tables as stored when the batch runs; whatever
+    is stored later comes with its own change, so the newest version is always right."""
+    write = version_sink(path, partition_by, epoch)
 
-# ------------------------------------------------------------------ sinks and serving
+    def refresh(batch: DataFrame, batch_id: int) -> None:
+        write(rebuild(batch.select(*DAY_KEY).dropna().distinct()), batch_id)
+    return refresh
 
-def version_sink(path: str, partition_by: Sequence[str] = ()):
-    """foreachBatch writer: append the batch with ``version`` = batch id."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("version", F.lit(batch_id).cast("bigint"))
-         .write.mode("append").partitionBy(*partition_by).parquet(path))
-    return write
+
+def beach_hours_sink(path: str, filtered_path: str, sun_path: str, epoch: int = 0, **thresholds):
+    """``refresh_sink`` of the hour stage over the stored filtered hours and sun rows."""
+    def rebuild(changed: DataFrame) -> DataFrame:
+        spark = changed.sparkSession
+        return beach_hours(read_versions(spark, filtered_path, FILTERED_VERSION),
+                           read_versions(spark, sun_path, SUN_VERSION), changed, **thresholds)
+    return refresh_sink(path, rebuild, epoch=epoch)
+
+
+def beach_days_sink(path: str, hours_path: str, epoch: int = 0, compat: bool = False):
+    """``refresh_sink`` of the day stage over the stored hours."""
+    def rebuild(changed: DataFrame) -> DataFrame:
+        return beach_days(read_versions(changed.sparkSession, hours_path, HOUR_VERSION), changed, compat)
+    return refresh_sink(path, rebuild, epoch=epoch)
+
+
+def _ensure_folder(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
+def read_versions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All versions of a stage (empty where it has written nothing yet)."""
+    _ensure_folder(spark, path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def stream_versions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The versions of a stage as a stream.  A batch that was executed again replaced its
+    files, so one that is gone by now is passed over: its successor comes as well."""
+    _ensure_folder(spark, path)
+    return spark.readStream.schema(schema).option("ignoreMissingFiles", "true").parquet(path)
 
 
 def topic_sink(path: str, topic: str, key: str = "local", records=None):
@@ -372,13 +254,14 @@ def state_partitions(spark: SparkSession, n: int | None = None):
         spark.conf.set(key, before)
 
 
-def run_available_now(updates: DataFrame, sink_path: str, checkpoint: str, name: str,
-                      partition_by: Sequence[str] = (), partitions: int | None = None):
-    """Process everything that has landed since the last run, then stop; returns the
-    finished query (its ``recentProgress`` holds rows, durations and state sizes)."""
+def run_available_now(updates: DataFrame, sink, checkpoint: str, name: str,
+                      partitions: int | None = None):
+    """Process everything that has landed since the last run into ``sink`` (a foreachBatch
+    writer), then stop; returns the finished query (its ``recentProgress`` holds rows,
+    durations and state sizes)."""
     with state_partitions(updates.sparkSession, partitions):
         q = (updates.writeStream.outputMode("update")
-             .foreachBatch(version_sink(sink_path, partition_by))
+             .foreachBatch(sink)
              .option("checkpointLocation", checkpoint)
              .queryName(name)
              .trigger(availableNow=True)
@@ -402,8 +285,7 @@ def latest_versions(versions: DataFrame, keys: Sequence[str],
 
 def serve_days(day_versions: DataFrame, group_key: Sequence[str] = GROUP,
                version_col: str = "version") -> DataFrame:
-    """Rows of the latest version of each group (a group re-emits all its periods); a
-    micro-batch that was executed again left the same rows twice, which count once."""
+    """Rows of the latest version of each group (a group re-emits all its periods)."""
     newest = day_versions.groupBy(*group_key).agg(F.max(version_col).alias("_v"))
     rows = day_versions.join(newest, list(group_key), "inner").filter(F.col(version_col) == F.col("_v"))
     return rows.drop("_v", version_col).distinct()

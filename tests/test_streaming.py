@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from helpers import ts
+from helpers import DAY, ts
+from shoreline import schemas
 from shoreline.functions import parse_wire
 from shoreline.session import shared_dir
 from shoreline.sources import topics
@@ -43,13 +44,43 @@ class Topics:
             .withColumn("hora", parse_wire("hora"))
 
     def run(self, stage, build):
-        apps.run_available_now(build(), f"{self.root}/{stage}", f"{self.root}/_ckpt/{stage}", stage)
+        apps.run_available_now(build(), apps.version_sink(f"{self.root}/{stage}", ["dia"]),
+                               f"{self.root}/_ckpt/{stage}", stage)
+
+    def refresh(self, stage, changes, sink):
+        apps.run_available_now(changes, sink, f"{self.root}/_ckpt/{stage}", stage)
 
     def versions(self, stage):
-        return self.spark.read.parquet(f"{self.root}/{stage}")
+        return apps.read_versions(self.spark, f"{self.root}/{stage}", SCHEMAS[stage])
+
+    def version_stream(self, stage):
+        return apps.stream_versions(self.spark, f"{self.root}/{stage}", SCHEMAS[stage])
+
+    def hours(self):
+        """Filtered hours, sun rows and the hour stage, each once."""
+        self.run("f", lambda: apps.filtered_updates(*(self.stream(n) for n in HOURLY)))
+        self.run("s", lambda: apps.sun_hour_updates(self.stream("sunrise"), self.stream("sunset")))
+        self.refresh("h", apps.day_changes(self.version_stream("f"), self.version_stream("s")), self.hours_sink())
+
+    def hours_sink(self):
+        return apps.beach_hours_sink(f"{self.root}/h", f"{self.root}/f", f"{self.root}/s")
+
+    def days(self):
+        self.refresh("latest", apps.day_changes(self.version_stream("h")), self.days_sink())
+
+    def days_sink(self):
+        return apps.beach_days_sink(f"{self.root}/latest", f"{self.root}/h")
+
+    def served_hours(self):
+        return apps.latest_versions(self.versions("h"), ["local", "hora"], ["isDay", "boaHora", "present"])
+
+    def served_days(self):
+        return apps.serve_days(self.versions("latest"), ["local", "dia"]).filter("inicio IS NOT NULL")
 
 
 HOURLY = ["temperature", "precipitationProbability", "uvIndex"]
+SCHEMAS = {"f": schemas.FILTERED_VERSION, "s": schemas.SUN_VERSION, "h": schemas.HOUR_VERSION,
+           "latest": schemas.DAY_VERSION, "ever": schemas.DAY_VERSION}
 
 
 def test_g17_join_emits_when_last_side_arrives_and_on_revision(spark):
@@ -76,10 +107,6 @@ def test_g17_join_emits_when_last_side_arrives_and_on_revision(spark):
     assert served().count() == 0
 
 
-def _beach_hour(t):
-    return apps.beach_hour_updates(*(t.stream(n) for n in HOURLY + ["sunrise", "sunset"]))
-
-
 def test_g18_sun_after_hours_emits_all_hours_and_again_on_revision(spark):
     t = Topics(spark)
     t.ensure(HOURLY + ["sunrise", "sunset"])
@@ -87,18 +114,18 @@ def test_g18_sun_after_hours_emits_all_hours_and_again_on_revision(spark):
         t.send("temperature", [(off, "A", ts(h), 25.0)])
         t.send("precipitationProbability", [(off + 1, "A", ts(h), 10.0)])
         t.send("uvIndex", [(off + 2, "A", ts(h), 1.0)])
-    t.run("h", lambda: _beach_hour(t))
+    t.hours()
     v = t.versions("h")
     assert v.filter("present").count() == 0
     t.send("sunrise", [(10, "A", ts(6, 30))])
     t.send("sunset", [(11, "A", ts(17, 40))])
-    t.run("h", lambda: _beach_hour(t))
+    t.hours()
     v = t.versions("h")
     last = v.agg(F.max("version")).first()[0]
     emitted = {r["hora"].hour for r in v.filter((F.col("version") == last) & F.col("present")).collect()}
     assert emitted == {7, 8}
     t.send("sunset", [(12, "A", ts(17, 50))])
-    t.run("h", lambda: _beach_hour(t))
+    t.hours()
     v = t.versions("h")
     last2 = v.agg(F.max("version")).first()[0]
     assert last2 > last
@@ -116,20 +143,16 @@ def test_g19_ever_good_keeps_hour_latest_removes_it(spark):
     t.send("uvIndex", [(5, "A", ts(9), 1.0), (5, "A", ts(10), 1.0)])
 
     def stages():
-        t.run("h", lambda: _beach_hour(t))
-        hv = spark.readStream.schema(t.versions("h").schema).parquet(f"{t.root}/h")
-        t.run("ever", lambda: apps.days_ever_good(hv))
-        hv = spark.readStream.schema(t.versions("h").schema).parquet(f"{t.root}/h")
-        t.run("latest", lambda: apps.days_latest(hv))
+        t.hours()
+        t.run("ever", lambda: apps.days_ever_good(t.version_stream("h")))
+        t.days()
 
     stages()
     t.send("temperature", [(9, "A", ts(10), 15.0)])   # 10:00 is no longer good
     stages()
     ever = apps.serve_days(t.versions("ever"), ["local", "dia", "isDay", "boaHora"])
     assert [(r["inicio"].hour, r["fim"].hour) for r in ever.collect()] == [(9, 10)]
-    latest = apps.serve_days(t.versions("latest").drop("version"), ["local", "dia"], "day_version")
-    got = [(r["inicio"].hour, r["fim"].hour) for r in latest.filter("inicio IS NOT NULL").collect()]
-    assert got == [(9, 9)]
+    assert [(r["inicio"].hour, r["fim"].hour) for r in t.served_days().collect()] == [(9, 9)]
 
 
 def test_latest_day_tombstone_when_no_good_hour_left(spark):
@@ -142,15 +165,14 @@ def test_latest_day_tombstone_when_no_good_hour_left(spark):
     t.send("uvIndex", [(5, "A", ts(9), 1.0)])
 
     def stages():
-        t.run("h", lambda: _beach_hour(t))
-        hv = spark.readStream.schema(t.versions("h").schema).parquet(f"{t.root}/h")
-        t.run("latest", lambda: apps.days_latest(hv))
+        t.hours()
+        t.days()
 
     stages()
     t.send("precipitationProbability", [(9, "A", ts(9), 90.0)])
     stages()
-    latest = apps.serve_days(t.versions("latest").drop("version"), ["local", "dia"], "day_version")
-    assert latest.filter("inicio IS NOT NULL").count() == 0
+    assert t.served_days().count() == 0
+    assert t.versions("latest").filter("inicio IS NULL").count() == 1
 
 
 def test_stream_to_keyed_json_topic(spark):
@@ -178,7 +200,7 @@ def test_periodic_query_processes_new_files(spark):
     t.send("precipitationProbability", [(2, "A", ts(7), 10.0)])
     t.send("uvIndex", [(3, "A", ts(7), 1.0)])
     q = apps.start_periodic(apps.filtered_updates(*(t.stream(n) for n in HOURLY)),
-                            apps.version_sink(f"{t.root}/p"), f"{t.root}/_ckpt/p", "periodic_test",
+                            apps.version_sink(f"{t.root}/f"), f"{t.root}/_ckpt/p", "periodic_test",
                             every="1 second")
     try:
         q.processAllAvailable()
@@ -186,49 +208,83 @@ def test_periodic_query_processes_new_files(spark):
         q.processAllAvailable()
     finally:
         q.stop()
-    served = apps.latest_versions(t.versions("p"), ["local", "hora"],
+    served = apps.latest_versions(t.versions("f"), ["local", "hora"],
                                   ["temperatura", "pp", "uv", "present"])
     assert [r["temperatura"] for r in served.collect()] == [27.0]
 
 
-def test_keyed_fk_join_handles_any_time_and_sun_revisions(spark):
+def test_hour_stage_takes_any_time_and_sun_revisions(spark):
     t = Topics(spark)
     t.ensure(HOURLY + ["sunrise", "sunset"])
     for h, m, off in ((7, 30, 1), (8, 0, 4)):
-        t.send("temperature", [(off, "A", ts(h, m), 25.0)])
-        t.send("precipitationProbability", [(off + 1, "A", ts(h, m), 10.0)])
-        t.send("uvIndex", [(off + 2, "A", ts(h, m), 1.0)])
-
-    def stages():
-        t.run("f", lambda: apps.filtered_updates(*(t.stream(n) for n in HOURLY)))
-        t.run("s", lambda: apps.sun_hour_updates(t.stream("sunrise"), t.stream("sunset")))
-        fv = spark.readStream.schema(t.versions("f").schema).parquet(f"{t.root}/f")
-        sv = spark.readStream.schema(t.versions("s").schema).parquet(f"{t.root}/s")
-        t.run("k", lambda: apps.beach_hour_keyed(fv, sv))
-
-    t.send("sunrise", [])
-    stages()                                          # no sun yet: nothing emitted
-    assert spark.read.parquet(f"{t.root}/k").count() == 0 if _exists(spark, f"{t.root}/k") else True
+        _good_hour(t, off, ts(h, m))
+    t.hours()                                         # no sun yet: hours wait
+    assert t.versions("h").count() == 0
     t.send("sunrise", [(10, "A", ts(7, 45))])
     t.send("sunset", [(11, "A", ts(17, 40))])
-    stages()
-    served = {r["hora"]: r["isDay"] for r in apps.latest_versions(
-        t.versions("k"), ["local", "hora"], ["isDay", "boaHora", "present"]).collect()}
-    assert served == {ts(7, 30): False, ts(8): True}
+    t.hours()
+    assert {r["hora"]: r["isDay"] for r in t.served_hours().collect()} == {ts(7, 30): False, ts(8): True}
     t.send("sunrise", [(12, "A", ts(7, 0))])          # revised sunrise: 07:30 becomes day
-    stages()
-    v = t.versions("k")
+    t.hours()
+    v = t.versions("h")
     last = v.agg(F.max("version")).first()[0]
     assert {r["hora"] for r in v.filter(F.col("version") == last).collect()} == {ts(7, 30), ts(8)}
-    served = {r["hora"]: r["isDay"] for r in apps.latest_versions(
-        v, ["local", "hora"], ["isDay", "boaHora", "present"]).collect()}
-    assert served == {ts(7, 30): True, ts(8): True}
+    assert {r["hora"]: r["isDay"] for r in t.served_hours().collect()} == {ts(7, 30): True, ts(8): True}
+
+
+def _good_hour(t, off, hora, local="A"):
+    t.send("temperature", [(off, local, hora, 25.0)])
+    t.send("precipitationProbability", [(off + 1, local, hora, 10.0)])
+    t.send("uvIndex", [(off + 2, local, hora, 1.0)])
 
 
-def _exists(spark, path):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def test_records_without_a_time_leave_before_the_state(spark):
+    t = Topics(spark)
+    t.ensure(HOURLY + ["sunrise", "sunset"])
+    _good_hour(t, 1, ts(9))
+    _good_hour(t, 20, None)                           # an explicit "hora": null is accepted input
+    t.send("sunrise", [(4, "A", ts(6, 30)), (30, "A", None)])
+    t.send("sunset", [(5, "A", ts(17, 40)), (31, "A", None)])
+    t.hours()
+    t.days()
+    assert [r["hora"] for r in t.served_hours().collect()] == [ts(9)]
+    assert [(r["inicio"], r["fim"]) for r in t.served_days().collect()] == [(ts(9), ts(9, 59))]
+
+
+def test_a_batch_of_the_hour_and_day_stages_executed_again_is_replaced(spark):
+    t = Topics(spark)
+    t.ensure(HOURLY + ["sunrise", "sunset"])
+    _good_hour(t, 1, ts(9))
+    t.send("sunrise", [(4, "A", ts(6, 30))])
+    t.send("sunset", [(5, "A", ts(17, 40))])
+    t.hours()
+    t.days()
+    changed = spark.createDataFrame([("A", DAY)], "local string, dia date")
+    for batch in (0, 0):
+        t.hours_sink()(changed, batch)
+        t.days_sink()(changed, batch)
+    assert t.versions("h").count() == 1 and t.versions("latest").count() == 1
+    # A retry after the inputs moved on replaces the batch's rows as well.
+    t.send("temperature", [(9, "A", ts(9), 5.0)])
+    t.hours()
+    last = t.versions("latest").agg(F.max("version")).first()[0]
+    t.days_sink()(changed, last)
+    assert t.served_days().count() == 0
+    # The streams go on after their input was replaced.
+    _good_hour(t, 20, ts(10))
+    t.hours()
+    t.days()
+    assert [(r["inicio"], r["fim"]) for r in t.served_days().collect()] == [(ts(10), ts(10, 59))]
+
+
+def test_a_new_epoch_wins_over_every_batch_of_the_old_one(spark):
+    path = shared_dir(spark, "test-epoch")
+    row = lambda v: spark.createDataFrame([("A", ts(7), v)], "local string, hora timestamp_ntz, temperatura double")
+    for batch in (0, 1, 2):
+        apps.version_sink(path)(row(float(batch)), batch)
+    apps.version_sink(path, epoch=1)(row(9.0), 0)
+    served = apps.latest_versions(spark.read.parquet(path), ["local", "hora"], ["temperatura"], present=None)
+    assert [r["temperatura"] for r in served.collect()] == [9.0]
 
 
 def test_stream_leaves_out_records_without_key_fields(spark):
@@ -280,10 +336,9 @@ def test_day_periods_stream_to_wire_topic(spark):
         t.send("temperature", [(off, "A", ts(h), 25.0)])
         t.send("precipitationProbability", [(off + 1, "A", ts(h), 10.0)])
         t.send("uvIndex", [(off + 2, "A", ts(h), 1.0)])
-    t.run("h", lambda: _beach_hour(t))
-    hv = spark.readStream.schema(t.versions("h").schema).parquet(f"{t.root}/h")
+    t.hours()
     out = f"{t.root}/topics/beachDay"
-    q = (apps.days_ever_good(hv).writeStream.outputMode("update")
+    q = (apps.days_ever_good(t.version_stream("h")).writeStream.outputMode("update")
          .foreachBatch(apps.topic_sink(out, "beachDay", records=beach_day_records))
          .option("checkpointLocation", f"{t.root}/_ckpt/wire").trigger(availableNow=True).start())
     q.awaitTermination()
