@@ -7,10 +7,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoreline.functions import wire_time
+from shoreline.operators import views
+from shoreline.plans.beach import BEACH_HOUR_COLS
 from shoreline.plans.catalog import chain, register
+from shoreline.schemas import PAYLOAD_DAILY, PAYLOAD_HOURLY, PAYLOAD_UV
+from shoreline.session import shared_dir
 from shoreline.sources import payloads, weather
-from shoreline.sources.cities import city_coordinates
-from shoreline.sources.cities import city_dimension as cities_df
+from shoreline.sources.cities import city_coordinates, read_cities, write_city_file
 from shoreline.sources.topics import json_value
 
 NOW = "2024-01-15 08:45:00"
@@ -62,19 +65,61 @@ def payload_uv_ingest(spark, sf_dir):
     return payloads.ingest_uv(payloads.uv_payloads(weather.uv_index(spark, sf_dir)))
 
 
-@register("payload_daily_ingest", f"""
+_DAILY_SQL = f"""
 SELECT (off // 168) * 168
          + row_number() OVER (PARTITION BY local, off // 168 ORDER BY dia, off) - 1 AS off,
        local,
        dia + to_minutes(CAST({weather.SUNRISE_BASE_MIN} + 5 * ci + off % 3 AS BIGINT)) AS sunrise,
        dia + to_minutes(CAST({weather.SUNSET_BASE_MIN} + 5 * ci + off % 3 AS BIGINT)) AS sunset
-FROM base""")
-def payload_daily_ingest(spark, sf_dir):
+FROM base"""
+
+
+def _daily_payloads(spark, sf_dir) -> DataFrame:
     b = weather.base(spark, sf_dir)
-    sun = b.select("off", "local", F.col("dia").alias("hora"),
-                   weather.sun_time(weather.SUNRISE_BASE_MIN).alias("sunrise"),
-                   weather.sun_time(weather.SUNSET_BASE_MIN).alias("sunset"))
-    return payloads.ingest_daily(payloads.daily_payloads(sun))
+    return payloads.daily_payloads(
+        b.select("off", "local", F.col("dia").alias("hora"),
+                 weather.sun_time(weather.SUNRISE_BASE_MIN).alias("sunrise"),
+                 weather.sun_time(weather.SUNSET_BASE_MIN).alias("sunset")))
+
+
+@register("payload_daily_ingest", _DAILY_SQL)
+def payload_daily_ingest(spark, sf_dir):
+    return payloads.ingest_daily(_daily_payloads(spark, sf_dir))
+
+
+def _landed(spark, payload: DataFrame, name: str, schema) -> DataFrame:
+    path = shared_dir(spark, "payloads", name)
+    payloads.write_payloads(payload, path)
+    return payloads.read_payloads(spark, path, schema)
+
+
+# Rain arrays of odd runs lack their last value, so the zip ends one slot earlier there.
+@register("documents_hourly_ingest", _with(_HOURLY_ROWS, """
+SELECT off, local, hora, temperatura, pp FROM (
+  SELECT *, count(*) OVER (PARTITION BY local, off // 168) AS n FROM hourly_ingest)
+WHERE (off // 168) % 2 = 0 OR off % 168 < n - 1"""))
+def documents_hourly_ingest(spark, sf_dir):
+    """Hourly ingest of landed JSON documents whose arrays differ in length."""
+    payload = payloads.hourly_payloads(_hourly_rows(spark, sf_dir))
+    rain = F.col("hourly.precipitation_probability")
+    shorter = F.when(F.col("run") % 2 == 0, rain).otherwise(F.slice(rain, 1, F.size(rain) - 1))
+    payload = payload.withColumn("hourly", F.col("hourly").withField("precipitation_probability", shorter))
+    return payloads.ingest_hourly(_landed(spark, payload, "hourly", PAYLOAD_HOURLY))
+
+
+@register("documents_uv_ingest", """
+SELECT (off // 168) * 168
+         + row_number() OVER (PARTITION BY local, off // 168 ORDER BY hora, off) - 1 AS off,
+       local, hora, uv_index
+FROM uv_index""")
+def documents_uv_ingest(spark, sf_dir):
+    payload = payloads.uv_payloads(weather.uv_index(spark, sf_dir))
+    return payloads.ingest_uv(_landed(spark, payload, "uv", PAYLOAD_UV))
+
+
+@register("documents_daily_ingest", _DAILY_SQL)
+def documents_daily_ingest(spark, sf_dir):
+    return payloads.ingest_daily(_landed(spark, _daily_payloads(spark, sf_dir), "daily", PAYLOAD_DAILY))
 
 
 @register("horizon_filter", _with(_HOURLY_ROWS, f"""
@@ -132,7 +177,20 @@ _COORDS = ", ".join(f"('{name}', CAST({lat} AS DOUBLE), CAST({lon} AS DOUBLE))"
 SELECT h.local, h.hora, h.isDay, h.boaHora, c.latitude, c.longitude
 FROM beach_hour h JOIN (VALUES {_COORDS}) AS c(local, latitude, longitude) ON h.local = c.local""")
 def city_dimension(spark, sf_dir):
+    """Hours with their city's coordinates, as a written city file gives them."""
+    path = shared_dir(spark, "cities")
+    write_city_file(spark, path)
     hours = chain(spark, sf_dir).beach_hour().select("local", "hora", "isDay", "boaHora")
-    # The dimension is the static five-row city file: a proven bound, so broadcast.
-    return hours.join(F.broadcast(cities_df(spark)), "local", "inner")
-
+    return hours.join(read_cities(spark, path), "local", "inner")
+
+
+@register("known_city_partial", """
+SELECT local, hora, temperatura, pp, uv, isDay, boaHora FROM beach_hour
+WHERE local IN (SELECT local FROM (VALUES """ + _COORDS + """) AS c(local, latitude, longitude)
+                WHERE latitude < -21)""")
+def known_city_partial(spark, sf_dir):
+    """Membership where most rows are of cities the dimension does not know."""
+    path = shared_dir(spark, "cities")
+    write_city_file(spark, path)
+    known = read_cities(spark, path).where("latitude < -21")
+    return views.known_cities_only(chain(spark, sf_dir).beach_hour().select(*BEACH_HOUR_COLS), known)

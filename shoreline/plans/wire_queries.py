@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shoreline.functions import parse_wire, wire_date, wire_period_end, wire_time
-from shoreline.operators.periods import as_intervalos
+from shoreline.operators.periods import GROUP, as_intervalos, explode_periods, periods_of
 from shoreline.plans import beach
 from shoreline.plans.catalog import chain, register
-from shoreline.schemas import BEACH_HOUR_FILTERED_WIRE
+from shoreline.schemas import BEACH_DAY_GROUPED_WIRE, BEACH_HOUR_FILTERED_WIRE, TEMPERATURE_WIRE
 from shoreline.session import shared_dir
-from shoreline.sources import topics
+from shoreline.sources import topics, weather
 
 
 def beach_day_records(day):
@@ -69,3 +70,66 @@ def topic_roundtrip(spark, sf_dir):
     topics.write_topic(records, path)
     decoded = topics.decode(topics.read_topic(spark, path), BEACH_HOUR_FILTERED_WIRE, keep=())
     return decoded.select("local", parse_wire("hora").alias("hora"), "temperatura", "pp", "uv")
+
+
+def grouped_rows(records):
+    """beachDayGrouped wire records -> group columns + ``horas``, the sorted distinct times of
+    ``intervalos``.  Text that is no such array is an empty day; unreadable times are left out."""
+    rows = topics.decode(records, BEACH_DAY_GROUPED_WIRE, keep=())
+    times = F.from_json("intervalos", T.ArrayType(T.StructType([T.StructField("hora", T.StringType())])))
+    parsed = F.transform(times, lambda s: parse_wire(s["hora"]))
+    return rows.select("local", F.col("dia").try_cast("date").alias("dia"), "isDay", "boaHora",
+                       F.array_sort(F.array_distinct(F.array_compact(parsed))).alias("horas"))
+
+
+@register("grouped_wire_parse", "SELECT local, dia, isDay, boaHora, inicio, fim FROM beach_day")
+def grouped_wire_parse(spark, sf_dir):
+    """The day stage from its wire input: grouped records written as a topic, read back,
+    their hour lists parsed and merged into periods."""
+    path = shared_dir(spark, "topics", "beachDayGrouped")
+    records = grouped_records(beach.beach_day_grouped(chain(spark, sf_dir).beach_hour()))
+    topics.write_topic(records, path)
+    grouped = grouped_rows(topics.read_topic(spark, path))
+    return explode_periods(grouped.select(*GROUP, periods_of("horas").alias("periodos")), keep=GROUP)
+
+
+@register("tolerant_numbers", """
+SELECT off, local, hora, CASE WHEN off % 11 = 0 THEN 0.0 ELSE temperatura END AS temperatura
+FROM temperature""")
+def tolerant_numbers(spark, sf_dir):
+    """A temperature topic in which some numbers are text (read as numbers) and some are
+    no numbers at all (read as zero)."""
+    path = shared_dir(spark, "topics", "temperatureText")
+    log = weather.temperature(spark, sf_dir)
+    number = F.to_json(F.struct("local", wire_time("hora").alias("hora"), "temperatura"))
+    text = F.to_json(F.struct("local", wire_time("hora").alias("hora"),
+                              F.when(F.col("off") % 11 == 0, "n/a")
+                              .otherwise(F.col("temperatura").cast("string")).alias("temperatura")))
+    value = F.when((F.col("off") % 11 == 0) | (F.col("off") % 7 == 0), text).otherwise(number)
+    topics.write_topic(log.select(F.lit("temperature").alias("topic"), F.col("local").alias("key"),
+                                  value.alias("value"), "off"), path)
+    read = topics.decode(topics.read_topic(spark, path), TEMPERATURE_WIRE, tolerant=True)
+    return read.withColumn("hora", parse_wire("hora"))
+
+
+@register("topic_rejects", """
+SELECT off, CASE off % 13 WHEN 0 THEN 'malformed time' WHEN 1 THEN 'missing required field'
+                          WHEN 2 THEN 'not a JSON object' ELSE 'accepted' END AS outcome,
+       CASE WHEN off % 13 > 3 THEN hora END AS hora
+FROM temperature""")
+def topic_rejects(spark, sf_dir):
+    """A temperature topic with good, malformed, absent and null times and broken values:
+    every record is either accepted or rejected with its reason."""
+    path = shared_dir(spark, "topics", "temperatureBroken")
+    log, case = weather.temperature(spark, sf_dir), F.col("off") % 13
+    hora = F.when(case == 0, "2024-13-45T99:00").when(case == 3, F.lit(None)).otherwise(wire_time("hora"))
+    value = (F.when(case == 1, topics.json_value(["local", "temperatura"]))
+             .when(case == 2, "{broken")
+             .otherwise(topics.json_value(["local", hora.alias("hora"), "temperatura"])))
+    topics.write_topic(log.select(F.lit("temperature").alias("topic"), F.col("local").alias("key"),
+                                  value.alias("value"), "off"), path)
+    accepted, rejected = topics.split_rejected(topics.read_topic(spark, path))
+    good = topics.decode(accepted, TEMPERATURE_WIRE).select(
+        "off", F.lit("accepted").alias("outcome"), parse_wire("hora").alias("hora"))
+    return good.unionByName(rejected.select("off", F.col("_rejected_reason").alias("outcome"),
+                                            F.lit(None).cast("timestamp_ntz").alias("hora")))

@@ -31,6 +31,9 @@ SUN_HOUR = _st(("local", S), ("dia", DT), ("sunrise", TS), ("sunset", TS))
 BEACH_HOUR_FILTERED = _st(("local", S), ("hora", TS), ("temperatura", D), ("pp", D), ("uv", D))
 # Wire form: times travel as ``yyyy-MM-dd'T'HH:mm`` text.
 BEACH_HOUR_FILTERED_WIRE = _st(("local", S), ("hora", S), ("temperatura", D), ("pp", D), ("uv", D))
+TEMPERATURE_WIRE = _st(("local", S), ("hora", S), ("temperatura", D))
+# ``intervalos`` is a JSON array as text.
+BEACH_DAY_GROUPED_WIRE = _st(("local", S), ("boaHora", B), ("isDay", B), ("dia", S), ("intervalos", S))
 BEACH_HOUR = _st(("local", S), ("hora", TS), ("temperatura", D), ("pp", D), ("uv", D),
                  ("isDay", B), ("boaHora", B))
 BEACH_DAY_GROUPED = _st(("local", S), ("dia", DT), ("isDay", B), ("boaHora", B),
@@ -55,9 +58,10 @@ PAYLOAD_UV = _st(("local", S), ("run", L), ("hourly", _st(
 PAYLOAD_DAILY = _st(("local", S), ("run", L), ("daily", _st(
     ("sunrise", T.ArrayType(S)), ("sunset", T.ArrayType(S)))))
 
-# A topic as files: one row per record, key + JSON value + explicit offset, and the
-# record's time where its writer gave one.
-TOPIC_RECORD = _st(("topic", S), ("key", S), ("value", S), ("off", L), ("timestamp", TS))
+# A topic as files: one row per record, key + JSON value + explicit offset; its readers
+# also get the record's time, where its writer gave one.
+TOPIC_RECORD = _st(("topic", S), ("key", S), ("value", S), ("off", L))
+TOPIC_LOG = T.StructType([*TOPIC_RECORD.fields, T.StructField("timestamp", TS)])
 
 # The versions a streaming stage stores.
 SUN_VERSION = _st(("local", S), ("dia", DT), ("sunrise", TS), ("sunset", TS), ("present", B),

@@ -37,6 +37,13 @@ def city_dimension(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(city_coordinates(), CITIES)
 
 
+def write_city_file(spark: SparkSession, path: str) -> None:
+    """The city file: one JSON object of name -> coordinate query string (five fixed rows)."""
+    names = list(CITY_COORDINATES)
+    (spark.createDataFrame([tuple(CITY_COORDINATES.values())], ", ".join(f"`{n}` string" for n in names))
+     .coalesce(1).write.mode("overwrite").json(path))
+
+
 def read_cities(spark: SparkSession, path: str) -> DataFrame:
     """Read a city file (one JSON object of name -> coordinate query string)."""
     raw = spark.read.option("multiLine", "true").json(path)

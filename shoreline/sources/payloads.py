@@ -22,8 +22,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shoreline.functions import hour_floor, parse_wire, q, wire_time
 
@@ -31,6 +32,17 @@ from shoreline.functions import hour_floor, parse_wire, q, wire_time
 RUN_SLOTS = 168
 
 
+def write_payloads(payload: DataFrame, path: str) -> None:
+    """Land payloads as JSON documents, one to a line."""
+    payload.write.mode("append").option("ignoreNullFields", "false").json(path)
+
+
+def read_payloads(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Landed forecast documents (``schemas.PAYLOAD_*``), one to a line; what is no such
+    document comes as a row of NULLs, which yields no event."""
+    return spark.read.schema(schema).json(path)
+
+
 def _zip_shortest(arrays: dict[str, Column]) -> Column:
     n = F.least(*[F.size(a) for a in arrays.values()])
     return F.arrays_zip(*[F.slice(a, 1, n).alias(name) for name, a in arrays.items()])

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoreline.functions import parse_wire, tolerant_double
-from shoreline.schemas import TOPIC_RECORD
+from shoreline.schemas import TOPIC_LOG, TOPIC_RECORD
 
 JSON_OPTIONS = {"ignoreNullFields": "false"}
 
@@ -32,7 +32,7 @@ def json_value(cols: Sequence[str | Column]) -> Column:
 
 def to_records(df: DataFrame, value_cols: Sequence[str | Column], key: str = "local",
                off: str | None = "off", topic: str | None = None, time: str | None = None) -> DataFrame:
-    """Rows -> ``topic, key, value, off`` records (and ``timestamp``, from column ``time``)."""
+    """Rows -> records of schema ``TOPIC_RECORD`` (and ``timestamp``, from column ``time``)."""
     stamp = [F.col(time).cast("timestamp_ntz").alias("timestamp")] if time else []
     return df.select(
         (F.lit(topic) if topic else F.lit(None).cast("string")).alias("topic"),
@@ -73,7 +73,7 @@ def read_topic(spark: SparkSession, path: str | None, fmt: str = "json",
     if fmt == "kafka":
         return _broker_records(spark.read.format("kafka").option("startingOffsets", "earliest")
                                .options(**(options or {})).load())
-    return spark.read.schema(TOPIC_RECORD).format(fmt).load(path)
+    return spark.read.schema(TOPIC_LOG).format(fmt).load(path)
 
 
 def stream_records(spark: SparkSession, path: str | None, fmt: str = "json",
@@ -82,7 +82,7 @@ def stream_records(spark: SparkSession, path: str | None, fmt: str = "json",
     if fmt == "kafka":
         return _broker_records(spark.readStream.format("kafka").option("startingOffsets", "earliest")
                                .options(**(options or {})).load())
-    return spark.readStream.schema(TOPIC_RECORD).format(fmt).options(**(options or {})).load(path)
+    return spark.readStream.schema(TOPIC_LOG).format(fmt).options(**(options or {})).load(path)
 
 
 def retain(records: DataFrame, now: str, minutes: int, time: str = "timestamp") -> DataFrame:

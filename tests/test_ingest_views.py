@@ -152,3 +152,33 @@ def test_week_days_cover_the_whole_window():
     assert week_days("2024-01-08") == ("2024-01-08", "2024-01-15")
     assert week_days("2024-01-08 00:00:00") == ("2024-01-08", "2024-01-15")
     assert week_days("2024-01-08 12:00") == ("2024-01-08", "2024-01-16")
+
+
+def test_retention_keeps_the_last_minutes_of_a_topic(spark):
+    from shoreline.sources import topics
+    df = spark.sql("SELECT 'A' AS local, id AS off, CASE WHEN id < 3 THEN "
+                   "timestampadd(MINUTE, -30 * id, TIMESTAMP_NTZ'2024-01-05 10:00:00') END AS ts FROM range(4)")
+    kept = topics.retain(topics.to_records(df, ["local"], time="ts"), "2024-01-05 10:00:00", 59)
+    assert {r["off"] for r in kept.collect()} == {0, 1}
+
+
+def test_landed_documents_skip_broken_lines_and_missing_arrays(spark):
+    from shoreline import schemas
+    from shoreline.session import shared_dir
+    from shoreline.sources import payloads
+    path = shared_dir(spark, "test-payloads")
+    docs = ['{"local":"A","run":0,"hourly":{"time":["2024-01-05T07:00","bad"],"uv_index":[1.5,2.0]}}',
+            '{"local":"A","run":1,"hourly":{"time":["2024-01-05T08:00"]}}', '{"local":"A","run":2}', '{broken']
+    spark.createDataFrame([(d,) for d in docs], "value string").write.text(path)
+    got = payloads.ingest_uv(payloads.read_payloads(spark, path, schemas.PAYLOAD_UV)).orderBy("off").collect()
+    assert [(r["off"], r["hora"] is None, r["uv_index"]) for r in got] == [(0, False, 1.5), (1, True, 2.0)]
+
+
+def test_broken_hour_lists_of_grouped_records(spark):
+    from shoreline.plans.wire_queries import grouped_rows
+    lists = ['[{"hora":"2024-01-05T09:00"},{"hora":"2024-01-05T08:00"},{"hora":"x"},{"hora":"2024-01-05T09:00"}]',
+             "[]", "not json"]
+    rows = [('{"local":"A","dia":"2024-01-05","isDay":true,"boaHora":true,"intervalos":%s}'
+             % __import__("json").dumps(v),) for v in lists]
+    got = grouped_rows(spark.createDataFrame(rows, "value string")).collect()
+    assert [None if r["horas"] is None else [h.hour for h in r["horas"]] for r in got] == [[8, 9], [], None]
