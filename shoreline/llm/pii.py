@@ -1,7 +1,7 @@
 """Personal data in texts, with offset-preserving undoing of disguises.
 
-Plain identifiers are found by four patterns on the text as it is.  Texts that hold
-signs of a disguise are then rewritten by small transducers, each of which emits
+Plain identifiers are found by four patterns on the text as it is.  Texts that a
+transducer can change are then rewritten by small transducers, each of which emits
 normalised characters along with the source span every one of them stands for:
 compatibility forms, decimal digits of any script, look-alike letters of other
 alphabets, invisible characters, spelled digits, and at/dot written in words or
@@ -93,6 +93,7 @@ LOOKALIKES = {
     "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x",
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N",
     "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
+    "ı": "i", "İ": "I",
     "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "−": "-", "․": ".", "。": ".", "·": ".",
 }
 # The digits as words, in the four languages of the documents.
@@ -113,13 +114,14 @@ _SPELLED_RUN = re.compile(
 _SPELLED_ONE = re.compile(rf"(?i){_NUMBER}")
 _AT = re.compile(r"(?i)[\x20]*[(\[{<][\x20]*(?:at|@|arroba)[\x20]*[)\]}>][\x20]*")
 _DOT = re.compile(r"(?i)[\x20]*[(\[{<][\x20]*(?:dot|punkt|point|punto|\.)[\x20]*[)\]}>][\x20]*")
+#: Two or three numbers after the word are a time, price or date, not a host.
 _AT_WORD = re.compile(
-    r"(?i)(?<=[a-z0-9])\x20+(?:at|arroba)\x20+(?=[a-z0-9-]+(?:(?:\x20+(?:dot|punkt|punto)\x20+|\.)[a-z0-9-]+)+)")
+    r"(?i)(?<=[a-z0-9])\x20+(?:at|arroba)\x20+(?![0-9]+(?:\.[0-9]+){1,2}(?!\.?[a-z0-9-]))(?=[a-z0-9-]+(?:(?:\x20+(?:dot|punkt|punto)\x20+|\.)[a-z0-9-]+)+)")
 _DOT_WORD = re.compile(r"(?i)(?<=[a-z0-9])\x20+(?:dot|punkt|punto)\x20+(?=[a-z0-9-])")
-_SIGNS = re.compile(
-    rf"(?i)[(\[{{<]\x20*(?:at|@|arroba|dot|punkt|point|punto|\.)\x20*[)\]}}>]|\x20(?:dot|punkt|punto)\x20"
-    rf"|(?<![^\W\d_])(?:{_NUMBER})[\x20.,-]{{1,2}}(?:{_NUMBER}|[0-9])")
-_ODD = re.compile(r"[^\x00-\x7f¡-±´-¸º-ſ‘-‟…]")
+#: What each of the patterns above needs, whatever follows; on text without odd characters.
+_BRACKETED = re.compile(r"(?i)[(\[{<]\x20*(?:at|@|arroba|dot|punkt|point|punto|\.)\x20*[)\]}>]")
+_SPELLED_PAIR = re.compile(
+    rf"(?i)(?<![^\W\d_])(?:{_NUMBER})[\x20.,-]{{1,2}}(?:{_NUMBER}|[0-9])|[0-9][\x20.,-]{{1,2}}(?:{_NUMBER})")
 _LATIN = re.compile(r"[A-Za-z0-9@.+]")
 
 
@@ -147,24 +149,29 @@ class Tape:
         return Tape("".join(text), starts + self.starts[at:], stops + self.stops[at:])
 
 
+def _flat(c: str) -> str | None:
+    """What a character stands for; None where it stays."""
+    if unicodedata.category(c) == "Cf":
+        return ""
+    digit = unicodedata.decimal(c, None)
+    if digit is not None:
+        return str(digit)
+    if c in LOOKALIKES:
+        return LOOKALIKES[c]
+    flat = unicodedata.normalize("NFKC", c)
+    return flat if flat != c and flat.isascii() else None
+
+
+#: The common letters and marks that stay.  So does an ellipsis: it ends a phrase, and as
+#: three dots it would join that phrase to the identifier after it.
+_STAY = "".join(c for c in map(chr, (*range(0xA1, 0x180), *range(0x2018, 0x2020))) if _flat(c) is None) + "…"
+_ODD = re.compile(f"[^\x00-\x7f{re.escape(_STAY)}]")
+
+
 def _characters(tape: Tape) -> Tape:
     """Compatibility forms, digits of any script, look-alikes; invisible ones go."""
-    text, out = tape.text, []
-    for m in _ODD.finditer(text):
-        c, i = m.group(), m.start()
-        if unicodedata.category(c) == "Cf":
-            out.append((i, i + 1, ""))
-            continue
-        digit = unicodedata.decimal(c, None)
-        if digit is not None:
-            out.append((i, i + 1, str(digit)))
-            continue
-        if c in LOOKALIKES:
-            out.append((i, i + 1, LOOKALIKES[c]))
-            continue
-        flat = unicodedata.normalize("NFKC", c)
-        if flat != c and flat.isascii():
-            out.append((i, i + 1, flat))
+    out = [(m.start(), m.end(), new) for m in _ODD.finditer(tape.text)
+           if (new := _flat(m.group())) is not None]
     return tape.rewrite(out) if out else tape
 
 
@@ -191,13 +198,22 @@ def _signs(tape: Tape) -> Tape:
     return tape
 
 
+def _disguised(text: str) -> bool:
+    """Whether any transducer could change the text; false only where none does."""
+    if not text.isascii() and _ODD.search(text):
+        return True
+    low = text.lower()
+    return ((" at " in low or " arroba " in low) and _AT_WORD.search(text) is not None
+            or " dot " in low or " punkt " in low or " punto " in low
+            or any(c in text for c in "([{<") and _BRACKETED.search(text) is not None
+            or _SPELLED_PAIR.search(text) is not None)
+
+
 def added_spans(text: str, plain: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Spans of disguised identifiers that no plain span of their kind touches."""
-    odd = _ODD.search(text) is not None
-    if not odd and not _SIGNS.search(text):
+    if not _disguised(text):
         return []
-    tape = _characters(Tape(text)) if odd else Tape(text)
-    tape = _signs(_spelled(tape))
+    tape = _signs(_spelled(_characters(Tape(text))))
     if tape.text == text:
         return []
     taken = {k: sorted((a, b) for kind, a, b in plain if kind == k) for k in KINDS}

@@ -310,6 +310,47 @@ def test_disguises_map_back_to_the_source(text, kind, found):
     assert (kind, text.index(found), text.index(found) + len(found)) in every
 
 
+@pytest.mark.parametrize("text,kind,found", [
+    ("write to john at example.com please", "email", "john at example.com"),
+    ("write to root at 10.0.0.1 please", "email", "root at 10.0.0.1"),
+    ("schreib an john ARROBA example.com", "email", "john ARROBA example.com"),
+    ("call +49 1 5 2 0 1 2 three", "phone", "+49 1 5 2 0 1 2 three"),
+    ("mail name@host\u00b7com", "email", "name@host\u00b7com"),
+    ("mail name@\u00adhost.com", "email", "name@\u00adhost.com"),
+    ("mail name@ma\u0131l.com", "email", "name@ma\u0131l.com"),
+    ("mail name@ho\u017ft.com", "email", "name@ho\u017ft.com"),
+])
+def test_each_disguise_counts_alone_in_a_text(text, kind, found):
+    assert (kind, text.index(found), text.index(found) + len(found)) in pii.find(text)[1]
+
+
+@pytest.mark.parametrize("text", ["\u017fix one two three", "f\u0130ve one two three", "s\u0131x one two"])
+def test_digits_spelled_in_odd_letters_do_not_fail(text):
+    assert pii.find(text) == ([], [])
+
+
+@pytest.mark.parametrize("text", ["we meet at 10.30 today", "sold at 3.50.", "seen at 12.3.2024, [at] home"])
+def test_numbers_after_at_are_no_host(text):
+    assert pii.find(text) == ([], [])
+
+
+def test_the_gate_passes_all_that_a_transducer_changes():
+    rnd = random.Random(11)
+    pieces = ["john", "x.org", " ", " ", " ", "  ", "at", "AT", "arroba", "dot", "Punkt", "punto", "point", "[", "(at)", "]", "<.>",
+              "{ @ }", "1", "23", "three", "Zwei", "FÜNF", "zéro", "-", ",", ".", "+", "é", "ß", "one"]
+    odd = [chr(i) for i in range(0x80, 0x250)] + list(pii.LOOKALIKES) + ["\u200b", "٤", "１", "Ａ", "\u212a", "…", "’"]
+    changed = 0
+    for k in range(20_000):
+        some = [rnd.choice(pieces) for _ in range(rnd.randint(1, 9))]
+        if k % 3 == 0:
+            some.insert(rnd.randint(0, len(some)), rnd.choice(odd))
+        text = "".join(some)
+        tape = pii._signs(pii._spelled(pii._characters(pii.Tape(text))))
+        changed += tape.text != text
+        assert tape.text == text or pii._disguised(text), text
+    assert changed > 2000
+
+
 @pytest.mark.parametrize("text", ["user at the house", "ring one two three four", "a dot and an at", "x@y at the dot",
                                   "one, two, three and four", "Ünïcode ½ ﬁne Ⅻ"])
 def test_prose_is_left_alone(text):
