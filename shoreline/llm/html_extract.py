@@ -8,8 +8,10 @@ capacities from the source and to the sink.  Smoothness edges join nodes that fo
 each other and nodes that share an enclosing element, stronger the deeper that element
 is.  The maximum flow's minimum cut parts content from boilerplate.
 
-Scripts, styles, forms, comments of the markup and other parts without prose never
-become blocks.  Character references are decoded, white space inside a block becomes
+Scripts, styles, controls, comments of the markup and other parts without prose never
+become blocks.  Those without an end tag end where an element around them does or the
+next flow element begins; a script or style goes on to the end of the page, as in a
+browser.  A form goes through the cut at a cost, unless it holds the page's prose.  Character references are decoded, white space inside a block becomes
 one space, and content blocks are joined by one space in page order.
 
 Defined cases: null or empty html, and html without content blocks, give an empty text;
@@ -21,6 +23,7 @@ rows.  Pages are read whole; a page of n nodes has at most 3 n edges.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import deque
 from html import unescape
 
@@ -29,14 +32,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Their whole content is left out.
-SKIPPED = frozenset("script style noscript template iframe object embed svg math canvas audio video head title "
-                    "select option datalist button textarea input form".split())
-_RAW = frozenset("script style textarea title noscript iframe template svg".split())
+SKIPPED = frozenset("script style noscript template iframe object embed svg math canvas audio video title "
+                    "select option datalist button textarea input".split())
+#: Their content is not markup.
+_RAW = frozenset("script style textarea title iframe".split())
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.IGNORECASE | re.ASCII) for t in _RAW}
+#: Fragments of their own: end tags inside them close nothing around them.
+_OPAQUE = frozenset("noscript template svg math".split())
+#: A start tag ends one that is still open.
+_SINGLE = frozenset("button select option".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s "
                     "samp small span strike strong sub sup time tt u var wbr".split())
 _CLOSES_P = frozenset("p div section article aside header footer nav main ul ol dl table h1 h2 h3 h4 h5 h6 pre "
                       "blockquote form figure hr address details fieldset menu".split())
+#: Where an element that is left out has no end tag, it ends here at the latest.
+_FLOW = _CLOSES_P | frozenset("body li dt dd tr td th".split())
 _SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
                  "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "tbody", "thead", "tfoot"},
@@ -63,6 +74,8 @@ NAME_BAD, NAME_GOOD = 7.0, -2.0
 ROLE_COST = {"navigation": 8.0, "banner": 6.0, "contentinfo": 8.0, "complementary": 8.0, "search": 8.0, "form": 8.0,
              "dialog": 8.0, "alert": 6.0, "main": -4.0, "article": -4.0}
 HIDDEN = 12.0
+FORM_COST = 8.0       # of a form, unless it holds at least FORM_SHARE of the page's prose, with an article,
+FORM_SHARE = 0.5      # a main element or a block of LONG characters in it
 LINK_COST = 4.0       # times the share of the text that is link text
 SHORT_COST = 1.5      # times the shortfall of a node below SHORT characters
 SHORT = 80
@@ -107,15 +120,121 @@ class Block:
         self.path, self.text, self.linked = path, text, linked
 
 
+def _tokens(html: str) -> list[tuple[int, int, str | None, bool, str]]:
+    """(start, stop, tag, closing, attributes) in page order; the tag is "<" for a bare
+    sign and None for comments.  A raw element is one token up to the end of its end tag;
+    without one, scripts and styles go to the end of the page, others to the next sign."""
+    out, at, n = [], 0, len(html)
+    endless = set()
+    while m := _TOKEN.search(html, at):
+        at = m.end()
+        if m.group(4):
+            out.append((m.start(), at, "<", False, ""))
+            continue
+        tag, closing = m.group(2), bool(m.group(1))
+        tag = tag and tag.lower()
+        if tag in _RAW and not closing and not m.group(3).endswith("/"):
+            end = None if tag in endless else _RAW_END[tag].search(html, at)
+            if end:
+                gt = html.find(">", end.end())
+                at = n if gt < 0 else gt + 1
+            else:
+                endless.add(tag)
+                sign = -1 if tag in ("script", "style") else html.find("<", at)
+                at = n if sign < 0 else sign
+        out.append((m.start(), at, tag, closing, m.group(3) or ""))
+    return out
+
+
+def _ends(tokens) -> dict[int, tuple[int, bool]]:
+    """Start token of each element that is left out, and of each form -> (the token it
+    ends at, whether that is its own end tag)."""
+    ends: dict[int, tuple[int, bool]] = {}
+    opened: dict[str, list[int]] = {}
+    if not any(t[2] in SKIPPED or t[2] == "form" for t in tokens):
+        return ends
+    for k, (_, _, tag, closing, raw) in enumerate(tokens):
+        if tag in _OPAQUE:
+            if not closing and not raw.endswith("/"):
+                opened.setdefault(tag, []).append(k)
+            elif closing and opened.get(tag):
+                ends[opened[tag].pop()] = k, True
+    stack: list[tuple[str, int]] = []
+    depth: dict[str, int] = {}
+    flow, loose = [], []
+
+    def pop(k, own=False):
+        tag, i = stack.pop()
+        depth[tag] -= 1
+        if tag in SKIPPED or tag == "form":
+            ends[i] = k, own
+            if not own:
+                loose.append(i)
+
+    k = 0
+    while k < len(tokens):
+        _, _, tag, closing, raw = tokens[k]
+        if k in ends:
+            k = ends[k][0] + 1
+            continue
+        if tag is None or tag == "<" or tag in _VOID or tag in _INLINE or tag in _RAW:
+            pass
+        elif closing:
+            if depth.get(tag):
+                while stack[-1][0] != tag:
+                    pop(k)
+                pop(k, True)
+        else:
+            if tag in _FLOW:
+                flow.append(k)
+            if tag in _CLOSES_P and stack and stack[-1][0] == "p":
+                pop(k)
+            if tag in _SINGLE and depth.get(tag):
+                while stack[-1][0] != tag:
+                    pop(k)
+                pop(k)
+            if not (raw.endswith("/") and tag not in ("p", "div")) and not (tag == "form" and depth.get(tag)):
+                stack.append((tag, k))
+                depth[tag] = depth.get(tag, 0) + 1
+        k += 1
+    while stack:
+        pop(len(tokens))
+    for i in loose:
+        at = bisect_right(flow, i)
+        if at < len(flow) and tokens[i][2] != "form":
+            ends[i] = min(ends[i][0], flow[at]), False
+    return ends
+
+
+def _price_forms(blocks: list[Block], forms: dict[int, bool]) -> None:
+    """Give the forms (serial number -> holds an article or main element) their cost."""
+    prose = {f: 0 for f in forms}
+    large = dict(forms)
+    total = 0
+    for b in blocks:
+        if len(b.text) < SHORT or b.linked >= 0.5 or any(c > 2 for _, c in b.path):
+            continue
+        total += len(b.text)
+        for serial, _ in b.path:
+            if serial in prose:
+                prose[serial] += len(b.text)
+                large[serial] |= len(b.text) >= LONG
+    dear = {f for f in forms if not (large[f] and prose[f] and prose[f] >= FORM_SHARE * total)}
+    new: dict[tuple, tuple] = {}
+    for b in blocks:
+        if b.path not in new:
+            new[b.path] = tuple((s, max(c, 0.0) + FORM_COST if s in dear else c) for s, c in b.path)
+        b.path = new[b.path]
+
+
 def read_blocks(html: str) -> list[Block]:
     blocks: list[Block] = []
     stack: list[tuple[str, int, float]] = []  # tag, serial, cost; inline elements are not on it
     path: tuple = ()
     parts: list[str] = []
+    forms: dict[int, bool] = {}
     linked = links = 0
-    serial = skip = 0
-    skip_tag = ""
-    at, low = 0, None
+    serial = at = k = 0
 
     def flush():
         nonlocal linked
@@ -132,48 +251,41 @@ def read_blocks(html: str) -> list[Block]:
         del stack[i:]
         path = tuple((s, c) for _, s, c in stack)
 
-    n = len(html)
-    while at < n:
-        m = _TOKEN.search(html, at)
-        stop = m.start() if m else n
-        if stop > at and not skip:
-            piece = html[at:stop]
+    tokens = _tokens(html)
+    ends = _ends(tokens)
+    while at < len(html):
+        start, stop, tag, closing, raw = tokens[k] if k < len(tokens) else (len(html), len(html), None, False, "")
+        if start > at:
+            piece = html[at:start]
             parts.append(piece)
             if links:
                 linked += len(piece.strip())
-        if not m:
-            break
-        at = m.end()
-        if m.group(4):  # a bare less-than sign is text
-            if not skip:
-                parts.append("<")
+        at, here, k = stop, k, k + 1
+        if tag == "<":  # a bare less-than sign is text
+            parts.append("<")
             continue
-        tag = m.group(2)
         if tag is None:
             continue
-        tag, closing = tag.lower(), bool(m.group(1))
-        if skip:
-            if tag == skip_tag:
-                skip += -1 if closing else (0 if m.group(3).endswith("/") else 1)
-            continue
         if tag == "br" or tag == "wbr":
             parts.append(" " if tag == "br" else "")
             continue
         if tag in SKIPPED and tag not in _VOID:
-            if closing or m.group(3).endswith("/"):
+            if closing or raw.endswith("/"):
                 continue
             if tag not in ("button", "input", "svg"):
                 flush()
-            if tag in _RAW:  # their content is not markup
-                if low is None:
-                    low = html.lower() if len(html.lower()) == n else html
-                end = low.find(f"</{tag}", at)
-                at = n if end < 0 else end
-                if end >= 0:
-                    gt = html.find(">", end)
-                    at = n if gt < 0 else gt + 1
-                continue
-            skip, skip_tag = 1, tag
+            if tag not in _RAW:
+                k, own = ends[here]
+                if own:
+                    at, k = tokens[k][1], k + 1
+                else:
+                    at = tokens[k][0] if k < len(tokens) else len(html)
+            continue
+        if tag == "head":  # what is not left out there belongs to the body
+            flush()
+            continue
+        if tag == "form" and not closing and not ends.get(here, (0, False))[1]:
+            flush()  # without an end tag, or inside another one
             continue
         if tag in _VOID:
             if tag == "hr":
@@ -209,12 +321,18 @@ def read_blocks(html: str) -> list[Block]:
                     break
                 if stack[i][0] in _SCOPE[tag]:
                     break
-        if m.group(3).endswith("/") and tag not in ("p", "div"):
+        if raw.endswith("/") and tag not in ("p", "div"):
             continue
         serial += 1
-        stack.append((tag, serial, _attribute_cost(tag, m.group(3))))
+        stack.append((tag, serial, _attribute_cost(tag, raw)))
         path += ((serial, stack[-1][2]),)
+        if tag == "form":
+            forms[serial] = False
+        elif forms and tag in ("article", "main"):
+            forms.update((s, True) for t, s, _ in stack if t == "form")
     flush()
+    if forms:
+        _price_forms(blocks, forms)
     return blocks
 
 

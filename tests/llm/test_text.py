@@ -56,6 +56,41 @@ def test_page_without_article_element():
     assert html.extract(page) == f"{para.strip()} {para.strip()}"
 
 
+PROSE = ("A paragraph that says something at length, so that it reads as prose. " * 4).strip()
+MORE = ("Another one goes on for a while about quite different matters of the day. " * 4).strip()
+
+
+@pytest.mark.parametrize("page", [
+    "<html><head><title>t</title><meta charset=x><body><article><p>{0}</p><p>{1}</p></article>",
+    "<head><title>t</title><article><p>{0}</p><p>{1}</p></article>",
+    "<body><article><p>{0}</p><form><input><p>{1}</p></article>",
+    "<body><article><p>{0}</p><button>Share<p>{1}</p></article>",
+    "<body><article><p>{0}</p><div><select><option>a<option>b</div><p>{1}</p></article>",
+    "<body><article><p>{0}</p><svg><path d=x><p>{1}</p></article>",
+    "<body><article><p>{0}</p><form>Mail<form><input></form><p>{1}</p></article>",
+    "<body><form action=x><input type=hidden><div class=menu><a href=x>Home</a></div><article><p>{0}</p><p>{1}</p></article></form>",
+    "<body><form><div><p>{0}</p></div><p>{1}</p></form>",
+    "<body><article><p>{0}</p><form>Mail<script>var t = '<form><button>';</script></form><p>{1}</p></article>",
+    "<body><article><p>{0}</p><noscript></div><p>no</p></noscript><button><script>'<button>'</script>x</button><p>{1}</p></article>",
+    "<body><article><p>{0}</p><SCRIPT>var \u0130;</SCRIPT><p>{1}</p></article>",
+    "<body><article><p>{0}</p><script>s = '</scripts>';</script><p>{1}</p></article>",
+    "<body><article><p>{0}</p><button><div>Share</div></button><object><p>no</p></object><p>{1}</p></article>",
+])
+def test_parts_left_out_end_where_they_end(page):
+    got = html.extract(page.format(PROSE, MORE))
+    assert got.replace(" Mail", "") == f"{PROSE} {MORE}"
+
+
+def test_a_small_form_is_no_content():
+    page = f"<body><article><p>{PROSE}</p><form><p>Sign up here</p><p>{'We send news. ' * 8}</p></form><p>{MORE}</p></article>"
+    assert html.extract(page) == f"{PROSE} {MORE}"
+
+
+def test_many_open_parts_take_linear_time():
+    page = "<div>" + "<button><svg><title><select><form><p>word" * 20_000
+    assert html.extract(page).count("word") in (0, 20_000)
+
+
 def test_minimum_cut_is_minimal():
     rnd = random.Random(1)
     for _ in range(150):
