@@ -9,7 +9,9 @@ the threshold shares one in some table with probability ``RECALL``.
 
 Buckets with a single vector are dropped before any vector moves; only the others are
 joined with their vectors.  In a bucket every pair is compared exactly, in double
-precision and in blocks; large buckets are dealt over shards.  A pair counts in the
+precision; the members of a large bucket are dealt into blocks of about ``SHARD_ROWS``,
+and each pair of blocks is a tile of its own, so a task holds two blocks at most and the
+vectors shuffled are m * m / ``SHARD_ROWS`` for m members.  A pair counts in the
 first table whose bucket it shares, so each link counts once without being written: a
 task hands on, per vector, the number of its links (each weighted by the other's
 copies), and a spanning forest of the links for the components.
@@ -37,9 +39,10 @@ THRESHOLD = 0.95
 WIDTH = 2.0
 RECALL = 0.998
 SEED = 6
-#: Rows of one bucket compared as queries in one shard, about.
+#: Rows of one block of a bucket, about; a task compares two blocks at a time.
 SHARD_ROWS = 1024
 _BLOCK = 2048
+_PRODUCTS = 1 << 21
 
 
 def collision(distance: float, width: float) -> float:
@@ -109,14 +112,16 @@ def _hash(hasher):
 
 
 def _compare(hasher, threshold: float):
-    """(bucket, shard, v, unit, n, query) sorted by (bucket, shard) -> rows (a, b, links):
-    b set: a forest edge; b null: links of vector a found here."""
-    def one(rows):
-        v, unit, n, query = rows
-        if len(v) < 2 or not query.any():
+    """(bucket, lo, hi, v, unit, n, left) sorted by tile (bucket, lo, hi) -> rows (a, b, links):
+    b set: a forest edge; b null: links of vector a found here.  A tile holds the two
+    blocks lo and hi of a bucket's members, or one where they are the same, and each pair
+    of members is in one tile."""
+    def one(rows, alone):
+        v, unit, n, left = rows
+        if len(v) < 2 or not alone and left.all():
             return
         order = np.argsort(v, kind="stable")
-        v, n, query = v[order], n[order], query[order]
+        v, n, left = v[order], n[order], left[order]
         x = np.stack([np.frombuffer(unit[i], "<f8") for i in order])
         bucket_of = {}
 
@@ -125,21 +130,25 @@ def _compare(hasher, threshold: float):
                 bucket_of[i] = hasher.value.buckets(x[i:i + 1])[0]
             return bucket_of[i]
 
-        rowids = np.flatnonzero(query)
-        for at in range(0, len(rowids), _BLOCK):
-            q = rowids[at:at + _BLOCK]
-            for to in range(0, len(v), _BLOCK):
-                c = x[q] @ x[to:to + _BLOCK].T
-                i, j = np.nonzero(c >= threshold - 1e-9)
-                i, j = q[i], j + to
-                ok = i != j
-                i, j = i[ok], j[ok]
+        mine, others = (np.arange(len(v)),) * 2 if alone else (np.flatnonzero(left), np.flatnonzero(~left))
+        some = max(1, _PRODUCTS // x.shape[1])
+        for at in range(0, len(mine), _BLOCK):
+            q = mine[at:at + _BLOCK]
+            for to in range(0, len(others), _BLOCK):
+                r = others[to:to + _BLOCK]
+                i, j = np.nonzero(x[q] @ x[r].T >= threshold - 1e-9)
+                i, j = q[i], r[j]
+                if alone:
+                    ok = i < j
+                    i, j = i[ok], j[ok]
                 # products in one fixed order decide at the threshold, whatever the blocks
-                ok = (x[i] * x[j]).sum(axis=1) >= threshold
+                ok = np.zeros(len(i), bool)
+                for p in range(0, len(i), some):
+                    ok[p:p + some] = (x[i[p:p + some]] * x[j[p:p + some]]).sum(axis=1) >= threshold
                 yield i[ok], j[ok], v, n, keys
 
-    def links(rows, bucket):
-        for i, j, v, n, keys in one(rows):
+    def links(rows, bucket, alone):
+        for i, j, v, n, keys in one(rows, alone):
             if not len(i):
                 continue
             need = np.unique(np.concatenate([i, j]))
@@ -162,13 +171,14 @@ def _compare(hasher, threshold: float):
     def run(batches):
         us, vs, held = [], [], 0
 
-        def group(rows, bucket):
+        def group(rows, bucket, alone):
             nonlocal held
             total = None
-            for v, n, i, j in links(rows, bucket):
+            for v, n, i, j in links(rows, bucket, alone):
                 if total is None:
                     total = np.zeros(len(v), np.int64)
                 np.add.at(total, i, n[j])
+                np.add.at(total, j, n[i])
                 u, w = forest(v[i], v[j]) if len(i) else (v[:0], v[:0])
                 us.append(u)
                 vs.append(w)
@@ -184,25 +194,25 @@ def _compare(hasher, threshold: float):
         def pieces():
             rest = None
             for b in batches:
-                cols = [b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False),
-                        b.column(2).to_numpy(zero_copy_only=False), np.array(b.column(3).to_pylist() + [None], object)[:-1],
-                        b.column(4).to_numpy(zero_copy_only=False), b.column(5).to_numpy(zero_copy_only=False)]
+                cols = [b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 3, 5, 6)]
+                cols.insert(4, np.array(b.column(4).to_pylist() + [None], object)[:-1])
                 if rest is not None:
                     cols = [np.concatenate(c) for c in zip(rest, cols, strict=True)]
                 if not len(cols[0]):
                     continue
-                key, shard = cols[0], cols[1]
-                cuts = np.flatnonzero((key[1:] != key[:-1]) | (shard[1:] != shard[:-1])) + 1
+                new = np.zeros(len(cols[0]) - 1, bool)
+                for key in cols[:3]:
+                    new |= key[1:] != key[:-1]
                 start = 0
-                for c in cuts:
-                    yield key[start], [x[start:c] for x in cols[2:]]
+                for c in np.flatnonzero(new) + 1:
+                    yield cols[0][start], cols[1][start] == cols[2][start], [x[start:c] for x in cols[3:]]
                     start = c
                 rest = [x[start:] for x in cols]
             if rest is not None and len(rest[0]):
-                yield rest[0][0], rest[2:]
+                yield rest[0][0], rest[1][0] == rest[2][0], rest[3:]
 
-        for bucket, rows in pieces():
-            for a, links_of in group(rows, bucket):
+        for bucket, alone, rows in pieces():
+            for a, links_of in group(rows, bucket, alone):
                 yield out(a, [None] * len(a), links_of)
             if held > 1_000_000:
                 u, w = forest(np.concatenate(us), np.concatenate(vs))
@@ -239,10 +249,11 @@ def near_duplicate_groups(table: DataFrame, id_col: str = "vec_id", vec_col: str
     members = hashed.join(full, "bucket").select("bucket", "v", "shards")
     members = members.join(distinct.select("v", "unit", "n"), "v")
     own = F.pmod(F.xxhash64("v"), F.col("shards")).cast("int")
-    dealt = (members.select("bucket", F.explode(F.expr("sequence(0, shards - 1)")).alias("shard"), "v", "unit", "n",
+    dealt = (members.select("bucket", F.explode(F.expr("sequence(0, shards - 1)")).alias("other"), "v", "unit", "n",
                             own.alias("own"))
-             .select("bucket", "shard", "v", "unit", "n", (F.col("own") == F.col("shard")).alias("query"))
-             .repartition("bucket", "shard").sortWithinPartitions("bucket", "shard"))
+             .select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "v", "unit",
+                     "n", (F.col("own") <= F.col("other")).alias("left"))
+             .repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi"))
     found = materialise(dealt.mapInArrow(_compare(hasher, threshold), "a long, b long, links long"), "found")
 
     linked = found.where("b IS NULL").groupBy("a").agg(F.sum("links").alias("links"))

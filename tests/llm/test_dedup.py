@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -217,6 +218,40 @@ def test_large_bucket_over_shards(spark, monkeypatch):
     assert all(got[i].n_links <= n for i, n in enumerate(want))
 
 
+def test_a_task_holds_two_blocks_of_a_large_bucket(spark, monkeypatch):
+    """All vectors share their buckets; no group that is compared has more than two blocks."""
+    monkeypatch.setattr(embedding_dedup, "SHARD_ROWS", 32)
+    found, materialise = [], embedding_dedup.materialise
+
+    def largest(*_):
+        def run(batches):
+            seen = Counter()
+            for b in batches:
+                seen.update(zip(*(b.column(i).to_pylist() for i in range(3)), strict=True))
+            if seen:
+                yield pa.RecordBatch.from_arrays([pa.array([max(seen.values())]), pa.array([0]), pa.array([0])],
+                                                 ["a", "b", "links"])
+        return run
+
+    def keep(df, name):
+        out = materialise(df, name)
+        found.extend([out] if name == "found" else [])
+        return out
+
+    monkeypatch.setattr(embedding_dedup, "_compare", largest)
+    monkeypatch.setattr(embedding_dedup, "materialise", keep)
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal(16) + rng.standard_normal((1000, 16)) * 1e-4
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    embedding_dedup.near_duplicate_groups(df)
+    most = max(r.a for r in found[0].collect())
+    assert 32 < most < 3 * 32
+    monkeypatch.undo()
+    monkeypatch.setattr(embedding_dedup, "SHARD_ROWS", 32)
+    got = embedding_dedup.near_duplicate_groups(df).collect()
+    assert {(r.n_links, r.component_id) for r in got} == {(999, 0)}
+
+
 def test_no_vectors(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embedding_dedup.near_duplicate_groups(df).count() == 0
