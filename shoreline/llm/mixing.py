@@ -2,11 +2,13 @@
 
 Domains are the combinations of the labels table (quality, toxic).  A classifier over
 token ids, fitted on labelled rows, gives every document a posterior over the domains.
-Nonnegative rates per document are then fitted by projected gradient descent on the
-least-squares distance between the expected domain token totals and the targets.  The
-gradient is taken in the metric of the documents' token mass and the residual scaled by
-the totals' Gram matrix, which makes a unit step valid; an iteration is one aggregation
-over the table of token counts and posteriors that brings back one number per domain.
+Nonnegative rates per document are then fitted by least squares of the expected domain
+token totals against the targets, in the metric of the totals' Gram matrix, and of the best
+ones the nearest to 1: these are max(0, 1 - dual . p) for one number per domain, which
+damped Newton steps find.  A step is an aggregation over the table of token counts and
+posteriors.  They end where every domain is within ``TOLERANCE`` of its own target, where
+the residual proves that no rates come nearer, or after ``ITERATIONS`` with the nearest
+rates met; what was reached is logged by domain.
 The total is set so that the first domain keeps its tokens.
 
 A document's rate becomes copies: its whole part, and one more where a uniform number
@@ -25,6 +27,7 @@ other columns are not read and come through ``mix`` as they are.
 
 from __future__ import annotations
 
+import logging
 import zlib
 
 import numpy as np
@@ -40,10 +43,12 @@ TARGETS = {(1, 0): 0.93, (1, 1): 0.05, (0, 0): 0.018, (0, 1): 0.002}
 FIT_DOCS = 8_000
 ITERATIONS = 40
 TOLERANCE = 1e-3
-#: Steps end once one takes away less than this part of the distance (targets that no
-#: rates can reach).
-STALL = 0.99
+#: Part of the totals' Gram matrix added to that of the documents with a rate, in a step.
+DAMPING = 1e-6
+#: Targets count as out of reach where the residual proves the distance least, but for this part.
+OPTIMAL = 1e-4
 SEED = 7
+_LOG = logging.getLogger("shoreline.mixing")
 
 
 def _weights(counts: np.ndarray) -> np.ndarray:
@@ -172,9 +177,29 @@ def memberships(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     return materialise(rows, "memberships"), [domains[i] for i in present]
 
 
-def _totals(rows: DataFrame, k: int, rate: Column) -> np.ndarray:
-    got = rows.agg(*[F.sum(F.col("n_tokens") * rate * F.col("p")[i]) for i in range(k)]).first()
-    return np.array([x or 0.0 for x in got])
+def _rate(dual: np.ndarray) -> Column:
+    return F.greatest(F.lit(0.0), sum((F.col("p")[i] * float(-x) for i, x in enumerate(dual)), F.lit(1.0)))
+
+
+def _moments(rows: DataFrame, k: int, dual: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """At the rates of ``dual``: half the sum of tokens times squared rate, the domain
+    totals, and the Gram matrix of the posteriors of the documents with a rate."""
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    mass = F.when(F.col("rate") > 0, F.col("n_tokens")).otherwise(F.lit(0))
+    got = rows.withColumn("rate", _rate(dual)).agg(
+        F.sum(F.col("n_tokens") * F.col("rate") * F.col("rate") / 2),
+        *[F.sum(F.col("n_tokens") * F.col("rate") * F.col("p")[i]) for i in range(k)],
+        *[F.sum(mass * F.col("p")[i] * F.col("p")[j]) for i, j in pairs]).first()
+    got = [x or 0.0 for x in got]
+    gram = np.zeros((k, k))
+    for (i, j), x in zip(pairs, got[1 + k:], strict=True):
+        gram[i, j] = gram[j, i] = x
+    return got[0], np.array(got[1:1 + k]), gram
+
+
+def reached(now: np.ndarray, target: np.ndarray, tolerance: float = TOLERANCE) -> bool:
+    """Whether every domain's total is within ``tolerance`` of its own target."""
+    return bool((np.abs(now - target) <= tolerance * np.maximum(target, 1e-6 * target.sum())).all())
 
 
 def fit_rates(rows: DataFrame, weights: list[float], iterations: int = ITERATIONS,
@@ -182,27 +207,39 @@ def fit_rates(rows: DataFrame, weights: list[float], iterations: int = ITERATION
     """``memberships`` -> (the rows with their rate, targets, expected totals)."""
     k = len(weights)
     share = np.array(weights, float) / sum(weights)
-    gram = rows.agg(*[F.sum(F.col("n_tokens") * F.col("p")[i] * F.col("p")[j])
-                      for i in range(k) for j in range(k)]).first()
-    gram = np.array([x or 0.0 for x in gram]).reshape(k, k)
-    gram += np.eye(k) * (1e-9 * np.trace(gram) + 1e-12)
-    now = _totals(rows, k, F.lit(1.0))
-    target = share * (now[0] / share[0] if share[0] else now.sum())
-    rows = rows.withColumn("rate", F.lit(1.0))
-    scale = max(target.sum(), 1e-12)
-    before = np.inf
-    for step in range(iterations):
-        off = np.abs(now - target).sum()
-        if off <= tolerance * scale or off > STALL * before:
+    dual = np.zeros(k)
+    at = _moments(rows, k, dual)
+    target = share * (at[1][0] / share[0] if share[0] else at[1].sum())
+    gram = at[2] + np.eye(k) * (1e-9 * np.trace(at[2]) + 1e-12)
+
+    def distance(at):
+        return (at[1] - target) @ np.linalg.solve(gram, at[1] - target)
+
+    def hopeless(at):
+        """Whether the residual itself proves that no rates come nearer."""
+        g = np.linalg.solve(gram, at[1] - target)
+        if -target @ g < (1 - OPTIMAL) * distance(at):
+            return False
+        low = rows.agg(F.min(sum((F.col("p")[i] * float(x) for i, x in enumerate(g)), F.lit(0.0)))).first()[0]
+        return low is None or low >= -OPTIMAL * np.abs(g).max()
+
+    best = dual, at
+    for _ in range(iterations):
+        if reached(at[1], target, tolerance) or hopeless(at):
             break
-        before = off
-        g = np.linalg.solve(gram, now - target)
-        move = sum((F.col("p")[i] * float(g[i]) for i in range(k)), F.lit(0.0))
-        rows = rows.withColumn("rate", F.greatest(F.lit(0.0), F.col("rate") - move))
-        if step % 10 == 9:
-            rows = materialise(rows, "rates")
-        now = _totals(rows, k, F.col("rate"))
-    return rows, target, now
+        down = at[1] - target
+        step = np.linalg.solve(at[2] + DAMPING * gram, down)
+        size, old = 1.0, at[0] + dual @ target
+        while True:
+            new = dual + size * step
+            there = _moments(rows, k, new)
+            if there[0] + new @ target <= old - 1e-4 * size * (down @ step) or size < 1e-4:
+                break
+            size /= 4
+        dual, at = new, there
+        if distance(at) < distance(best[1]) or reached(at[1], target, tolerance):
+            best = dual, at
+    return rows.withColumn("rate", _rate(best[0])), target, best[1][1]
 
 
 def copies(rate: Column, doc_id: Column, seed: int = SEED) -> Column:
@@ -216,7 +253,10 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[tuple[int, int], flo
     """One row per document: id, h, n_tokens, p (map domain -> posterior), rate, copies."""
     targets = targets or TARGETS
     rows, domains = memberships(docs, labels, id_col, text_col, list(targets), vocabulary)
-    rows, _, _ = fit_rates(rows, [targets[d] for d in domains])
+    rows, target, now = fit_rates(rows, [targets[d] for d in domains])
+    level = logging.INFO if reached(now, target) else logging.WARNING
+    for (q, t), want, got in zip(domains, target, now, strict=True):
+        _LOG.log(level, "quality %s, toxic %s: %.1f of %.1f tokens (%.4f)", q, t, got, want, got / want if want else 1)
     names = F.array(*[F.lit(f"quality{q}_toxic{t}") for q, t in domains])
     return rows.select("id", "h", "n_tokens", F.map_from_arrays(names, "p").alias("p"), "rate",
                        copies(F.col("rate"), F.col("id")).alias("copies"))

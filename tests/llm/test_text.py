@@ -276,6 +276,48 @@ def test_rates_reach_the_targets(spark):
     assert np.allclose(totals, now) and np.allclose(target / target.sum(), [0.7, 0.25, 0.05])
 
 
+def least_distance(a, b):
+    """|a x - b| at the nonnegative least squares, by active sets (Lawson and Hanson)."""
+    size = np.linalg.norm(a, axis=0) + 1e-300
+    a, x, used = a / size, np.zeros(a.shape[1]), []
+    for _ in range(1000):
+        w = a.T @ (b - a @ x)
+        w[used] = -np.inf
+        j = int(w.argmax())
+        if w[j] <= 1e-9 * np.linalg.norm(b):
+            break
+        used.append(j)
+        while True:
+            z = np.linalg.lstsq(a[:, used], b, rcond=None)[0]
+            if (z > 0).all():
+                break
+            old = x[used]
+            step = min(o / (o - s) for o, s in zip(old, z, strict=True) if s <= 0)
+            x[used] = old + step * (z - old)
+            used = [u for u in used if x[u] > 1e-12 * x.max()]
+            x[[i for i in range(len(x)) if i not in set(used)]] = 0
+        x[:] = 0
+        x[used] = z
+    return np.linalg.norm(a @ x - b)
+
+
+@pytest.mark.parametrize("name", ["sf0.001", "sf0.01"])
+def test_registered_mixing_is_as_near_as_least_squares(spark, name):
+    """Every domain within the tolerance, or the distance of the nonnegative least squares."""
+    rows = queries.queries()["op7_mixing"](spark, f"/root/testdata/{name}").collect()
+    n = np.array([r.n_tokens for r in rows], float)
+    p = np.array([[r[f"p_quality{q}_toxic{t}"] for q, t in mixing.TARGETS] for r in rows])
+    share = np.array(list(mixing.TARGETS.values()))
+    target = share * (n @ p[:, 0] / share[0])
+    now = (n * [r.rate for r in rows]) @ p
+    root = np.linalg.cholesky(np.linalg.inv((p * n[:, None]).T @ p)).T
+    scale = np.linalg.norm(root @ target)
+    best = least_distance(root @ (p * n[:, None]).T, root @ target)
+    off = np.linalg.norm(root @ (now - target))
+    print(name, now / target, off / scale, best / scale)
+    assert mixing.reached(now, target) or off <= 1.02 * best + 1e-6 * scale
+
+
 def test_copies_have_the_rate_as_mean(spark):
     df = spark.range(20_000).selectExpr("id", "CAST(1.3 AS DOUBLE) AS rate")
     got = [r[0] for r in df.select(mixing.copies(df.rate, df.id)).collect()]
