@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (embedding_dedup, exact_dedup, html_extract, mixing, packing, pii, quality, simhash_dedup,
-               token_counts, toxicity)
+from . import (conversation_repair, embedding_dedup, exact_dedup, html_extract, merkle, mixing, oracles, packing, pii,
+               quality, simhash_dedup, token_counts, topk_search, toxicity)
 from .common import fold, table
 
 
@@ -78,20 +78,30 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _joined("spans").alias("spans"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered, when = merkle.tampered_thirds()
+    return merkle.manifest(table(spark, sf_dir, "documents"), tampered=tampered, when=when).withColumnRenamed("id", "doc_id")
+
+
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.search(table(spark, sf_dir, "embeddings"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, real = conversation_repair.damage(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair(rows, real=real).report.withColumnRenamed("conv", "conv_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_html_extract, op2_toxicity, op3_exact_dedup, op4_token_counts, op5_quality,
-                                    op6_embedding_dedup, op7_mixing, op8_simhash, op9_packing, op10_pii)}
+                                    op6_embedding_dedup, op7_mixing, op8_simhash, op9_packing, op10_pii, op11_merkle,
+                                    op12_topk, op13_repair)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op3_exact_dedup": """
-            WITH t AS (SELECT doc_id, sha256(translate(coalesce(text, ''),
-                                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS s
-                       FROM documents)
-            SELECT doc_id, max(doc_id) OVER (PARTITION BY s) AS keep_id,
-                   count(*) OVER (PARTITION BY s) AS group_size,
-                   doc_id = max(doc_id) OVER (PARTITION BY s) AS kept,
-                   s AS text_sha256
-            FROM t""",
+        "op3_exact_dedup": oracles.EXACT_DEDUP,
+        "op11_merkle": oracles.MERKLE,
+        "op12_topk": oracles.TOPK,
+        "op13_repair": oracles.REPAIR,
     }
