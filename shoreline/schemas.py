@@ -59,9 +59,9 @@ PAYLOAD_DAILY = _st(("local", S), ("run", L), ("daily", _st(
     ("sunrise", T.ArrayType(S)), ("sunset", T.ArrayType(S)))))
 
 # A topic as files: one row per record, key + JSON value + explicit offset; its readers
-# also get the record's time, where its writer gave one.
+# also get the record's time and its partition, where its writer gave one.
 TOPIC_RECORD = _st(("topic", S), ("key", S), ("value", S), ("off", L))
-TOPIC_LOG = T.StructType([*TOPIC_RECORD.fields, T.StructField("timestamp", TS)])
+TOPIC_LOG = T.StructType([*TOPIC_RECORD.fields, T.StructField("timestamp", TS), T.StructField("partition", T.IntegerType())])
 
 # The versions a streaming stage stores.
 SUN_VERSION = _st(("local", S), ("dia", DT), ("sunrise", TS), ("sunset", TS), ("present", B),

@@ -7,20 +7,27 @@ below a shared folder, so batch and streaming readers see the same data; the
 Kafka connector is used only when it is on the classpath
 (``format="kafka"``; not the case in the test image).
 
+A batch of a derived stream is one folder of its topic (``write_batch``): it is written
+aside and renamed, so it is there whole or not at all, and a retry of a batch that is there
+changes nothing.  Its records are placed by key: ``partition`` is a hash of the key, and
+``off`` rises within a partition, batch after batch.
+
 ``value`` encoding keeps NULL fields (``ignoreNullFields=false``): a producer
 that writes ``"pp": null`` must be read back as a NULL, not a missing field.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoreline.functions import parse_wire, tolerant_double
 from shoreline.schemas import TOPIC_LOG, TOPIC_RECORD
+from shoreline.sources.files import Files
 
 JSON_OPTIONS = {"ignoreNullFields": "false"}
 
@@ -53,6 +60,41 @@ def write_topic(records: DataFrame, path: str, fmt: str = "json", mode: str = "a
     records.write.mode(mode).format(fmt).save(path)
 
 
+# Bits of an offset that count records of one batch in one partition.
+_BATCH_BITS = 36
+
+
+def placed(records: DataFrame, partitions: int, spread: Sequence[str] = (), order: Sequence[str] = ()) -> DataFrame:
+    """Records (key, value, ...) with the topic ``partition`` of their key and ``at``, their
+    number there in the order of (key, ``order``, value).  With ``spread`` columns a key's
+    records go to one partition per value of those."""
+    where = F.pmod(F.xxhash64("key", *spread), F.lit(partitions)).cast("int")
+    line = Window.partitionBy("partition").orderBy("key", *order, "value")
+    return (records.withColumn("partition", where)
+            .withColumn("at", (F.row_number().over(line) - 1).cast("bigint")))
+
+
+def write_batch(records: DataFrame, path: str, topic: str, batch_id: int, partitions: int = 3,
+                spread: Sequence[str] = (), order: Sequence[str] = ()) -> bool:
+    """Records (key, value) as batch ``batch_id`` of a topic; False where the batch is there
+    already.  Offsets are ``batch_id`` in the high bits and the number in the partition in
+    the low ones, so they are unique and rise within a partition."""
+    files = Files(records.sparkSession, path)
+    name = f"batch-{batch_id:012d}"
+    if files.exists(name):
+        return False
+    at = F.when(F.col("at") < F.lit(1 << _BATCH_BITS), F.col("at")).otherwise(
+        F.raise_error(F.lit("a topic partition took too many records in one batch")).cast("bigint"))
+    out = placed(records, partitions, spread, order).select(
+        F.lit(topic).alias("topic"), "key", "value", (F.lit(batch_id << _BATCH_BITS) + at).alias("off"), "partition")
+    aside = f"_writing/{name}-{uuid.uuid4().hex}"
+    out.write.json(f"{files.root}/{aside}")
+    if files.rename(aside, name):
+        return True
+    files.delete(aside)                                   # another attempt came first
+    return False
+
+
 def kafka_records(records: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
     """The columns a broker takes: each record's own topic unless the options name one
     topic for all of them (the broker gives the offsets)."""
@@ -73,7 +115,7 @@ def read_topic(spark: SparkSession, path: str | None, fmt: str = "json",
     if fmt == "kafka":
         return _broker_records(spark.read.format("kafka").option("startingOffsets", "earliest")
                                .options(**(options or {})).load())
-    return spark.read.schema(TOPIC_LOG).format(fmt).load(path)
+    return spark.read.schema(TOPIC_LOG).option("recursiveFileLookup", "true").format(fmt).load(path)
 
 
 def stream_records(spark: SparkSession, path: str | None, fmt: str = "json",
@@ -82,7 +124,8 @@ def stream_records(spark: SparkSession, path: str | None, fmt: str = "json",
     if fmt == "kafka":
         return _broker_records(spark.readStream.format("kafka").option("startingOffsets", "earliest")
                                .options(**(options or {})).load())
-    return spark.readStream.schema(TOPIC_LOG).format(fmt).options(**(options or {})).load(path)
+    return (spark.readStream.schema(TOPIC_LOG).option("recursiveFileLookup", "true").format(fmt)
+            .options(**(options or {})).load(path))
 
 
 def retain(records: DataFrame, now: str, minutes: int, time: str = "timestamp") -> DataFrame:

@@ -22,13 +22,19 @@ built-in expressions, with no Python state:
   again from the stored versions with the batch operators and writes them as a
   new version.  The stored tables are the state, so any time value is exact, a
   day needs no bound on its hours in a state store, and a batch executed again
-  writes the same days again.
+  writes the same days again.  Their inputs are opened by the folders of the
+  changed days (``store.StageTable``); no other day is listed or read.
 * ``days_ever_good`` — the original accumulation: hours once good stay in the
-  day (``collect_set`` in ``update`` mode) and periods are rebuilt with the
+  day, as one bit each in ``update`` mode, and periods are rebuilt with the
   ``aggregate`` higher-order function.
 
+State of the stages with a state store can expire (``ttl``): an event-time watermark
+over the key's own time evicts keys older than the newest time less ``ttl``, in the
+JVM.  What arrives for an evicted key is left out; without ``ttl`` every key is kept.
+
 A sink writes each micro-batch to its own ``version=<n>`` folder, in overwrite
-mode: a re-executed batch replaces its rows.  Serving views take the latest
+mode: a re-executed batch replaces its rows.  A version counts once the list of its
+days is written; ``StageTable.compact`` merges versions into a base.  Serving views take the latest
 version per key.  Versions are (epoch, batch id); raise the epoch when a stage
 starts from a new checkpoint over an old output.
 """
@@ -42,13 +48,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoreline.functions import day_of
-from shoreline.operators.joins import fk_join, latest_join
+from shoreline.functions import day_of, day_start_sql, hour_floor_sql, plus_hours_sql
+from shoreline.operators.joins import fk_join, latest_join_tagged, tag_sources
 from shoreline.operators.latest import latest_per_key
 from shoreline.operators.periods import GROUP, explode_periods, merge_periods, periods_of
 from shoreline.operators.rules import day_flag_sql, good_hour_sql, only_good
 from shoreline.schemas import FILTERED_VERSION, HOUR_VERSION, SUN_VERSION
 from shoreline.sources import topics
+from shoreline.sources.files import Files
+from shoreline.streaming.store import StageTable
 
 HOUR_KEY = ("local", "hora")
 DAY_KEY = ("local", "dia")
@@ -87,21 +95,32 @@ def _timed(log: DataFrame) -> DataFrame:
     return log.where("hora IS NOT NULL")
 
 
-def sun_hour_updates(sunrise: DataFrame, sunset: DataFrame) -> DataFrame:
+def expiring(rows: DataFrame, time: str, ttl: str | None) -> DataFrame:
+    """State keyed by ``time`` is evicted once ``ttl`` older than the newest time seen."""
+    return rows.withWatermark(time, ttl) if ttl else rows
+
+
+def _latest_join(sources, time: str, ttl: str | None) -> DataFrame:
+    tagged = expiring(tag_sources(sources, ["local", time]), time, ttl)
+    return latest_join_tagged(tagged, {n: v for n, (_, v) in sources.items()}, ["local", time])
+
+
+def sun_hour_updates(sunrise: DataFrame, sunset: DataFrame, ttl: str | None = None) -> DataFrame:
     """Latest sunrise with latest sunset per (local, dia), once both have reported."""
-    rise = _timed(sunrise).select("off", "local", day_of("hora").alias("dia"), F.col("hora").alias("sunrise"))
-    sets = _timed(sunset).select("off", "local", day_of("hora").alias("dia"), F.col("hora").alias("sunset"))
-    agg = latest_join({"sunrise": (rise, ["sunrise"]), "sunset": (sets, ["sunset"])}, DAY_KEY)
-    return agg.select("local", "dia", "sunrise", "sunset",
+    midnight = F.expr(day_start_sql("hora")).alias("day_start")
+    rise = _timed(sunrise).select("off", "local", midnight, F.col("hora").alias("sunrise"))
+    sets = _timed(sunset).select("off", "local", midnight, F.col("hora").alias("sunset"))
+    agg = _latest_join({"sunrise": (rise, ["sunrise"]), "sunset": (sets, ["sunset"])}, "day_start", ttl)
+    return agg.select("local", day_of("day_start").alias("dia"), "sunrise", "sunset",
                       _all_not_null(["sunrise", "sunset"]).alias("present"))
 
 
 def filtered_updates(temperature: DataFrame, precipitation: DataFrame,
-                     uv_index: DataFrame) -> DataFrame:
+                     uv_index: DataFrame, ttl: str | None = None) -> DataFrame:
     """Latest of the three hourly logs per (local, hora), once all have reported."""
-    agg = latest_join({"temperature": (_timed(temperature), ["temperatura"]),
-                       "precipitation": (_timed(precipitation), ["pp"]),
-                       "uv": (_timed(uv_index).withColumnRenamed("uv_index", "uv"), ["uv"])}, HOUR_KEY)
+    agg = _latest_join({"temperature": (_timed(temperature), ["temperatura"]),
+                        "precipitation": (_timed(precipitation), ["pp"]),
+                        "uv": (_timed(uv_index).withColumnRenamed("uv_index", "uv"), ["uv"])}, "hora", ttl)
     return agg.select("local", "hora", day_of("hora").alias("dia"), *HOUR_VALUES,
                       _all_not_null(["local", *HOUR_VALUES]).alias("present"))
 
@@ -136,87 +155,131 @@ def beach_days(hour_versions: DataFrame, changed: DataFrame, compat: bool = Fals
     return changed.join(merge_periods(only_good(hours), GROUP, "hora", compat=compat), list(DAY_KEY), "left")
 
 
-def days_ever_good(hour_versions: DataFrame, compat: bool = False) -> DataFrame:
-    """Never-retract accumulation: every hour that was ever emitted good stays in its day."""
+def hour_bit_sql(time: str = "hora") -> str:
+    """SQL: the bit of a full hour of the day; any other time is an error, not a lost hour."""
+    return (f"CASE WHEN {hour_floor_sql(time)} = {time} THEN shiftleft(1, hour({time})) "
+            f"ELSE CAST(raise_error('a time off the full hour: use whole_hours=False') AS INT) END")
+
+
+def hours_of_bits_sql(bits: str, day: str) -> str:
+    """SQL: the sorted times of a day whose hours are set in ``bits``."""
+    return (f"transform(filter(sequence(0, 23), h -> getbit({bits}, h) = 1), "
+            f"h -> {plus_hours_sql(day_start_sql(day), 'h')})")
+
+
+def days_ever_good(hour_versions: DataFrame, compat: bool = False, whole_hours: bool = True,
+                   ttl: str | None = None) -> DataFrame:
+    """Never-retract accumulation: every hour that was ever emitted good stays in its day.
+
+    A day's hours are bits of one integer (``bit_or``), so a group's state is of constant
+    size.  Times off the full hour have no bit: ``whole_hours=False`` collects the times
+    themselves instead."""
     good = hour_versions.filter(F.col("present") & F.col("boaHora"))
-    grouped = good.groupBy(*GROUP).agg(F.array_sort(F.collect_set("hora")).alias("horas"))
+    day_start = F.col("dia").cast("timestamp_ntz").alias("day_start")
+    good = expiring(good.select("local", day_start, "isDay", "boaHora", "hora"), "day_start", ttl)
+    keys = ["local", "day_start", "isDay", "boaHora"]
+    if whole_hours:
+        grouped = good.groupBy(*keys).agg(F.expr(f"bit_or({hour_bit_sql()}) AS bits"))
+        horas = F.expr(hours_of_bits_sql("bits", "day_start"))
+    else:
+        grouped = good.groupBy(*keys).agg(F.collect_set("hora").alias("times"))
+        horas = F.array_sort("times")
+    grouped = grouped.select("local", F.col("day_start").cast("date").alias("dia"), "isDay", "boaHora", horas.alias("horas"))
     with_periods = grouped.select(*GROUP, periods_of("horas", compat).alias("periodos"))
     return explode_periods(with_periods, keep=GROUP)
 
 
 # ------------------------------------------------------------------ sinks and serving
 
-def version_sink(path: str, partition_by: Sequence[str] = (), epoch: int = 0):
+def version_number(batch_id: int, epoch: int = 0) -> int:
+    return (epoch << 32) + batch_id
+
+
+def version_sink(path: str, partition_by: Sequence[str] = (), epoch: int = 0, files_per_day: int = 4):
     """foreachBatch writer: the batch as folder ``version=<n>`` of ``path``, replacing what an
-    earlier attempt of the same batch left there.  ``n`` orders by (epoch, batch id)."""
+    earlier attempt of the same batch left there.  ``n`` orders by (epoch, batch id).  The
+    version is published with the list of its days.  Rows of a day are dealt to at most
+    ``files_per_day`` tasks by city, so a batch leaves few files whatever its partitions."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.write.mode("overwrite").partitionBy(*partition_by)
-         .parquet(f"{path}/version={(epoch << 32) + batch_id}"))
+        version = version_number(batch_id, epoch)
+        rows = batch
+        if partition_by and "local" in batch.columns:
+            rows = batch.repartition(*partition_by, F.pmod(F.xxhash64("local"), F.lit(files_per_day)))
+        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/version={version}")
+        StageTable(batch.sparkSession, path, batch.schema).commit(version)
     return write
 
 
-def refresh_sink(path: str, rebuild: Callable[[DataFrame], DataFrame],
+def refresh_sink(path: str, rebuild: Callable[[DataFrame, list], DataFrame],
                  partition_by: Sequence[str] = ("dia",), epoch: int = 0):
     """foreachBatch writer of a stage that is computed again where its inputs changed:
-    ``rebuild`` gets the distinct (local, dia) of the batch and returns their rows, which
-    become a new version.  Rows follow the tables as stored when the batch runs; whatever
-    is stored later comes with its own change, so the newest version is always right."""
+    ``rebuild`` gets the distinct (local, dia) of the batch and the list of its days, and
+    returns their rows, which become a new version.  Rows follow the tables as stored when
+    the batch runs; whatever is stored later comes with its own change, so the newest
+    version is always right.  The batch is read once; its days, not its rows, visit the
+    driver."""
     write = version_sink(path, partition_by, epoch)
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        write(rebuild(batch.select(*DAY_KEY).dropna().distinct()), batch_id)
+        changed = batch.select(*DAY_KEY).dropna().distinct().persist()
+        try:
+            days = [r.dia for r in changed.select("dia").distinct().collect()]
+            write(rebuild(changed, days), batch_id)
+        finally:
+            changed.unpersist()
     return refresh
 
 
 def beach_hours_sink(path: str, filtered_path: str, sun_path: str, epoch: int = 0, **thresholds):
     """``refresh_sink`` of the hour stage over the stored filtered hours and sun rows."""
-    def rebuild(changed: DataFrame) -> DataFrame:
+    def rebuild(changed: DataFrame, days: list) -> DataFrame:
         spark = changed.sparkSession
-        return beach_hours(read_versions(spark, filtered_path, FILTERED_VERSION),
-                           read_versions(spark, sun_path, SUN_VERSION), changed, **thresholds)
+        return beach_hours(read_versions(spark, filtered_path, FILTERED_VERSION, days),
+                           read_versions(spark, sun_path, SUN_VERSION, days), changed, **thresholds)
     return refresh_sink(path, rebuild, epoch=epoch)
 
 
 def beach_days_sink(path: str, hours_path: str, epoch: int = 0, compat: bool = False):
     """``refresh_sink`` of the day stage over the stored hours."""
-    def rebuild(changed: DataFrame) -> DataFrame:
-        return beach_days(read_versions(changed.sparkSession, hours_path, HOUR_VERSION), changed, compat)
+    def rebuild(changed: DataFrame, days: list) -> DataFrame:
+        return beach_days(read_versions(changed.sparkSession, hours_path, HOUR_VERSION, days), changed, compat)
     return refresh_sink(path, rebuild, epoch=epoch)
 
 
-def _ensure_folder(spark: SparkSession, path: str) -> None:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
-
-
-def read_versions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All versions of a stage (empty where it has written nothing yet)."""
-    _ensure_folder(spark, path)
-    return spark.read.schema(schema).parquet(path)
+def read_versions(spark: SparkSession, path: str, schema: T.StructType, days: list | None = None) -> DataFrame:
+    """The published versions of a stage over its base (empty where it has written nothing
+    yet); with ``days`` only those days' folders are opened."""
+    return StageTable(spark, path, schema).read(days)
 
 
 def stream_versions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The versions of a stage as a stream.  A batch that was executed again replaced its
     files, so one that is gone by now is passed over: its successor comes as well."""
-    _ensure_folder(spark, path)
+    Files(spark, path).ensure()
     return spark.readStream.schema(schema).option("ignoreMissingFiles", "true").parquet(path)
 
 
-def topic_sink(path: str, topic: str, key: str = "local", records=None):
+def topic_sink(path: str, topic: str, key: str = "local", records=None, partitions: int = 3,
+               spread: Sequence[str] = (), order: Sequence[str] = ()):
     """foreachBatch writer: the batch as keyed JSON topic records (``key`` + the other
     columns as a JSON value, NULL fields kept) — the wire form of a derived stream.
     ``records`` may shape the batch into ``key, value`` itself (e.g. the beachDay
-    wire form with text booleans); the batch id becomes the records' offset."""
+    wire form with text booleans).
+
+    A batch is one folder of the topic, which appears whole by a rename, so a batch executed
+    again finds it there and changes nothing.  Every key's records go to one of
+    ``partitions`` (a hot key to several with ``spread``) and offsets rise within each
+    (``topics.write_batch``)."""
     def write(batch: DataFrame, batch_id: int) -> None:
+        columns = list(dict.fromkeys([*spread, *order]))
         if records is not None:
-            shaped = records(batch).select(
-                F.lit(topic).alias("topic"), "key", "value",
-                F.lit(batch_id).cast("bigint").alias("off"))
+            shaped = records(batch)
+            shaped = shaped.select("key", "value", *[c for c in columns if c in shaped.columns])
         else:
             values = [c for c in batch.columns if c != key]
-            shaped = topics.to_records(batch.withColumn("off", F.lit(batch_id).cast("bigint")),
-                                       [key, *values], key=key, off="off", topic=topic)
-        topics.write_topic(shaped, path)
+            shaped = batch.select(F.col(key).cast("string").alias("key"),
+                                  topics.json_value([key, *values]).alias("value"), *columns)
+        topics.write_batch(shaped, path, topic, batch_id, partitions, spread, order)
     return write
 
 
