@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shoreline.functions import wire_time
 from shoreline.operators import views
+from shoreline.operators.latest import latest_per_key
 from shoreline.plans.beach import BEACH_HOUR_COLS
 from shoreline.plans.catalog import chain, register
 from shoreline.schemas import PAYLOAD_DAILY, PAYLOAD_HOURLY, PAYLOAD_UV
@@ -107,6 +108,26 @@ def documents_hourly_ingest(spark, sf_dir):
     return payloads.ingest_hourly(_landed(spark, payload, "hourly", PAYLOAD_HOURLY))
 
 
+LONG_RUN = 5_000
+
+
+@register("documents_long_ingest", _with(_HOURLY_ROWS.split("hourly_ingest AS")[0].rstrip().rstrip(",") + f"""
+, long_ingest AS (
+  SELECT off // {LONG_RUN} AS run, local, hora, temperatura, pp,
+         row_number() OVER (PARTITION BY local, off // {LONG_RUN} ORDER BY hora, off) - 1 AS pos
+  FROM hourly_rows)""", """
+SELECT local, hora, temperatura, pp, run, pos FROM (
+  SELECT *, row_number() OVER (PARTITION BY local, hora ORDER BY run DESC, pos DESC) AS rn FROM long_ingest)
+WHERE rn = 1"""))
+def documents_long_ingest(spark, sf_dir):
+    """Landed documents of far more than one week's slots, ordered by (run, position); of
+    every hour the latest value."""
+    payload = payloads.hourly_payloads(_hourly_rows(spark, sf_dir), LONG_RUN)
+    log = payloads.ingest_hourly(_landed(spark, payload, "long", PAYLOAD_HOURLY), order="pair")
+    latest = latest_per_key(log, ["local", "hora"], ["temperatura", "pp"])
+    return latest.select("local", "hora", "temperatura", "pp", "off.run", "off.pos")
+
+
 @register("documents_uv_ingest", """
 SELECT (off // 168) * 168
          + row_number() OVER (PARTITION BY local, off // 168 ORDER BY hora, off) - 1 AS off,

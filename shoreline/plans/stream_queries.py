@@ -17,14 +17,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoreline.functions import parse_wire, plus_minutes, wire_time
+from shoreline.operators.changes import apply_feed, change_feed
 from shoreline.operators.latest import latest_per_key
 from shoreline.operators.periods import GROUP
 from shoreline.plans.catalog import register
 from shoreline.plans.oracle import BASE_CTES
-from shoreline.schemas import DAY_VERSION, FILTERED_VERSION, HOUR_VERSION, SUN_VERSION
+from shoreline.schemas import BEACH_HOUR_FILTERED_WIRE, DAY_VERSION, FILTERED_VERSION, HOUR_VERSION, SUN_VERSION
 from shoreline.session import shared_dir
 from shoreline.sources import topics, weather
 from shoreline.streaming import apps
+from shoreline.streaming.store import StageTable, latest_groups, latest_rows
+from shoreline.streaming.supervisor import App, Supervisor
 
 N_RUNS = 3
 RETENTION_NOW = "2024-01-30 23:30:00"
@@ -79,6 +82,20 @@ class Landing:
     def out(self, stage: str) -> str:
         return f"{self.root}/{stage}"
 
+    def checkpoint(self, stage: str) -> str:
+        return f"{self.root}/_checkpoints/{stage}"
+
+    def table(self, stage: str) -> StageTable:
+        return StageTable(self.spark, self.out(stage), VERSIONS[stage])
+
+    def compact(self) -> None:
+        """Merge what every stage has stored; all of it was consumed by the stages after it."""
+        for stage, merge in MERGES.items():
+            table = self.table(stage)
+            consumed = max(table.versions(), default=-1)
+            table.compact(merge)
+            table.vacuum(consumed)
+
     def land(self, run: int) -> None:
         for name, df in self.tables.items():
             fields = ["local", wire_time("hora").alias("hora"), *[n for n, _ in VALUE_SCHEMAS[name]]]
@@ -101,6 +118,10 @@ SUN = ["sunrise", "sunset"]
 VERSIONS = {"sunHour": SUN_VERSION, "beachHourFiltered": FILTERED_VERSION, "beachHour": HOUR_VERSION,
             "beachDay": DAY_VERSION, "beachDayEver": DAY_VERSION}
 
+# How a stage's versions merge: of a key its latest row, of a day its latest rows.
+MERGES = {"sunHour": latest_rows(["local", "dia"]), "beachHourFiltered": latest_rows(["local", "hora", "dia"]),
+          "beachHour": latest_rows(["local", "hora", "dia"]), "beachDay": latest_groups(["local", "dia"])}
+
 # Stage -> (its stream, its sink).
 STAGES: dict[str, Callable[[Landing], tuple[DataFrame, Callable]]] = {
     "sunHour": lambda l: (apps.sun_hour_updates(*(l.stream(n) for n in SUN)),
@@ -124,7 +145,8 @@ def run_stages(landing: Landing, stages: list[str]) -> list:
     done = []
     for stage in stages:
         updates, sink = STAGES[stage](landing)
-        done.append(apps.run_available_now(updates, sink, f"{landing.root}/_checkpoints/{stage}", f"{stage}_{tag}"))
+        done.append(apps.run_available_now(updates, sink, landing.checkpoint(stage), f"{stage}_{tag}",
+                                           partitions=landing.spark.sparkContext.defaultParallelism))
     return done
 
 
@@ -183,6 +205,129 @@ def stream_beach_hour_keyed(spark, sf_dir):
                                     ["beachHourFiltered", "beachHour", "sunHour", "beachHour"]))
 
 
+@register("stream_beach_hour_compacted", _HOUR_SQL)
+def stream_beach_hour_compacted(spark, sf_dir):
+    """After every run the stored versions are merged into the base and deleted; later runs
+    and the served table read the base and what came after it."""
+    l = Landing(spark, sf_dir, HOURLY + SUN)
+    for run in range(N_RUNS):
+        l.land(run)
+        run_stages(l, [*HOUR_CHAIN, "beachDay"])
+        if run < N_RUNS - 1:
+            l.compact()
+    return _served_hours(l)
+
+
+@register("stream_wire_topic", _FILTERED_SQL)
+def stream_wire_topic(spark, sf_dir):
+    """The filtered hours as a keyed JSON topic, every batch written twice; its reader takes
+    the latest record of each key."""
+    l = Landing(spark, sf_dir, HOURLY)
+    out = f"{l.root}/topics/beachHourFiltered"
+    records = apps.topic_sink(out, "beachHourFiltered", order=["hora"], records=filtered_records)
+
+    def twice(batch, batch_id):
+        records(batch, batch_id)
+        records(batch, batch_id)
+
+    for run in range(N_RUNS):
+        l.land(run)
+        apps.run_available_now(apps.filtered_updates(*(l.stream(n) for n in HOURLY)), twice, l.checkpoint("wire"),
+                               f"wire_{l.root[-8:]}", partitions=spark.sparkContext.defaultParallelism)
+    wire = T.StructType([*BEACH_HOUR_FILTERED_WIRE.fields, T.StructField("present", T.BooleanType())])
+    log = topics.decode(topics.read_topic(spark, out), wire).withColumn("hora", parse_wire("hora"))
+    latest = latest_per_key(log, ["local", "hora"], ["temperatura", "pp", "uv", "present"])
+    return latest.where("present").select("local", "hora", "temperatura", "pp", "uv")
+
+
+def filtered_records(rows: DataFrame) -> DataFrame:
+    value = topics.json_value(["local", wire_time("hora").alias("hora"), "temperatura", "pp", "uv", "present"])
+    return rows.select(F.col("local").alias("key"), value.alias("value"), "hora")
+
+
+@register("stream_supervised", "SELECT local, dia, isDay, boaHora, inicio, fim FROM beach_day")
+def stream_supervised(spark, sf_dir):
+    """The apps with their periodic triggers under the supervisor, one of them failing in
+    mid-run; they are drained when everything has landed."""
+    l = Landing(spark, sf_dir, HOURLY + SUN)
+    stages = [*HOUR_CHAIN, "beachDay"]
+    broken = {"beachHour"}
+
+    def app(stage):
+        def build():
+            updates, sink = STAGES[stage](l)
+
+            def write(batch, batch_id):
+                if stage in broken:
+                    broken.discard(stage)
+                    raise RuntimeError("lost in mid-run")
+                sink(batch, batch_id)
+            return updates, write
+        return App(build, l.checkpoint(stage), every="1 second", partitions=spark.sparkContext.defaultParallelism)
+
+    tag = l.root[-8:]
+    watch = Supervisor(spark, {f"{s}_{tag}": app(s) for s in stages})
+    l.land(0)
+    watch.start()
+    try:
+        watch.settle()
+        for run in range(1, N_RUNS):
+            l.land(run)
+            watch.settle()
+    finally:
+        watch.stop()
+    days = apps.serve_days(l.versions("beachDay"), ["local", "dia"])
+    return days.filter(F.col("inicio").isNotNull()).select(*GROUP, "inicio", "fim")
+
+
+_HOUR_VALUES = ["temperatura", "pp", "uv", "isDay", "boaHora"]
+
+
+def _two_states(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The served hours after the first producer run and after the last."""
+    l = Landing(spark, sf_dir, HOURLY + SUN)
+    states = []
+    for run in range(N_RUNS):
+        l.land(run)
+        run_stages(l, HOUR_CHAIN)
+        if run in (0, N_RUNS - 1):
+            states.append(max(l.table("beachHour").versions(), default=-1))
+    old, new = (apps.latest_versions(l.table("beachHour").as_of(v), ["local", "hora"], [*_HOUR_VALUES, "present"])
+                for v in states)
+    return old, new
+
+
+def _first_run_sql(columns: str) -> str:
+    ctes = BASE_CTES.replace("FROM events)", "FROM events WHERE ((event_id - (SELECT min(event_id) FROM events)) * "
+                             f"{N_RUNS}) // ((SELECT max(event_id) FROM events) - (SELECT min(event_id) FROM events) + 1) = 0)", 1)
+    return f"(WITH {ctes.strip()} SELECT {columns} FROM beach_hour)"
+
+
+@register("hour_change_feed", f"""
+SELECT coalesce(n.local, o.local) AS local, coalesce(n.hora, o.hora) AS hora,
+       CASE WHEN o.local IS NULL THEN 'insert' WHEN n.local IS NULL THEN 'delete' ELSE 'update' END AS op,
+       o.temperatura AS old_temperatura, o.isDay AS "old_isDay", o.boaHora AS "old_boaHora",
+       n.temperatura AS new_temperatura, n.isDay AS "new_isDay", n.boaHora AS "new_boaHora"
+FROM {_first_run_sql('local, hora, temperatura, pp, uv, isDay, boaHora')} o
+FULL JOIN (SELECT local, hora, temperatura, pp, uv, isDay, boaHora FROM beach_hour) n
+  ON o.local = n.local AND o.hora = n.hora
+WHERE (o.temperatura, o.pp, o.uv, o.isDay, o.boaHora) IS DISTINCT FROM (n.temperatura, n.pp, n.uv, n.isDay, n.boaHora)
+   OR o.local IS NULL OR n.local IS NULL""")
+def hour_change_feed(spark, sf_dir):
+    """What changed in the served hours between the first producer run and the last."""
+    feed = change_feed(*_two_states(spark, sf_dir), ["local", "hora"], _HOUR_VALUES)
+    picked = [F.col(f"{side}.{v}").alias(f"{name}_{v}") for side, name in (("before", "old"), ("after", "new"))
+              for v in ("temperatura", "isDay", "boaHora")]
+    return feed.select("local", "hora", "op", *picked)
+
+
+@register("hour_feed_applied", _HOUR_SQL)
+def hour_feed_applied(spark, sf_dir):
+    """The feed applied to the state after the first run gives the state after the last."""
+    old, new = _two_states(spark, sf_dir)
+    return apply_feed(old, change_feed(old, new, ["local", "hora"], _HOUR_VALUES), ["local", "hora"], _HOUR_VALUES)
+
+
 _ANY_TIME_CTES = BASE_CTES.replace(
     "date_trunc('hour', ts) AS hora",
     "date_trunc('hour', ts) + to_minutes(CAST(hour(ts) * 7 % 60 AS BIGINT)) AS hora", 1)

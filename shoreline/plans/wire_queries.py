@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -9,7 +10,7 @@ from shoreline.functions import parse_wire, wire_date, wire_period_end, wire_tim
 from shoreline.operators.periods import GROUP, as_intervalos, explode_periods, periods_of
 from shoreline.plans import beach
 from shoreline.plans.catalog import chain, register
-from shoreline.schemas import BEACH_DAY_GROUPED_WIRE, BEACH_HOUR_FILTERED_WIRE, TEMPERATURE_WIRE
+from shoreline.schemas import BEACH_DAY_GROUPED_WIRE, BEACH_HOUR_FILTERED_WIRE, BEACH_HOUR_WIRE, TEMPERATURE_WIRE
 from shoreline.session import shared_dir
 from shoreline.sources import topics, weather
 
@@ -72,6 +73,24 @@ def topic_roundtrip(spark, sf_dir):
     return decoded.select("local", parse_wire("hora").alias("hora"), "temperatura", "pp", "uv")
 
 
+@register("topic_placement", """
+SELECT local, hora, boaHora, row_number() OVER (PARTITION BY local ORDER BY hora) AS n, 1 AS n_partitions
+FROM beach_hour""")
+def topic_placement(spark, sf_dir):
+    """Hours as a topic placed by city: every city's records are in one partition, and there
+    in the order of their time."""
+    path = shared_dir(spark, "topics", "beachHour")
+    value = topics.json_value(["local", wire_time("hora").alias("hora"), "boaHora"])
+    hours = chain(spark, sf_dir).beach_hour()
+    topics.write_batch(hours.select(F.col("local").alias("key"), value.alias("value"), "hora"), path, "beachHour", 0,
+                       partitions=3, order=["hora"])
+    log = topics.decode(topics.read_topic(spark, path), BEACH_HOUR_WIRE, keep=("off", "partition"))
+    city = Window.partitionBy("local")
+    return log.select("local", parse_wire("hora").alias("hora"), "boaHora",
+                      F.row_number().over(city.orderBy("off")).cast("bigint").alias("n"),
+                      (F.max("partition").over(city) - F.min("partition").over(city) + 1).alias("n_partitions"))
+
+
 def grouped_rows(records):
     """beachDayGrouped wire records -> group columns + ``horas``, the sorted distinct times of
     ``intervalos``.  Text that is no such array is an empty day; unreadable times are left out."""

@@ -31,6 +31,7 @@ SUN_HOUR = _st(("local", S), ("dia", DT), ("sunrise", TS), ("sunset", TS))
 BEACH_HOUR_FILTERED = _st(("local", S), ("hora", TS), ("temperatura", D), ("pp", D), ("uv", D))
 # Wire form: times travel as ``yyyy-MM-dd'T'HH:mm`` text.
 BEACH_HOUR_FILTERED_WIRE = _st(("local", S), ("hora", S), ("temperatura", D), ("pp", D), ("uv", D))
+BEACH_HOUR_WIRE = _st(("local", S), ("hora", S), ("boaHora", B))
 TEMPERATURE_WIRE = _st(("local", S), ("hora", S), ("temperatura", D))
 # ``intervalos`` is a JSON array as text.
 BEACH_DAY_GROUPED_WIRE = _st(("local", S), ("boaHora", B), ("isDay", B), ("dia", S), ("intervalos", S))

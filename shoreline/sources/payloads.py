@@ -7,9 +7,12 @@ every array is sliced to the common length first).  Hourly weather and UV rows
 earlier than the current hour are dropped (horizon filter, ``now`` is a
 parameter so runs are reproducible); sun rows are not filtered.
 
-Each payload is one producer run for one city; the events it yields get the
-offset ``run * RUN_SLOTS + position``, so a later run always wins over an
-earlier one and, inside a run, a later slot over an earlier one.
+Each payload is one producer run for one city; a later run always wins over an
+earlier one and, inside a run, a later slot over an earlier one.  The events carry
+that order as ``off``: ``run * RUN_SLOTS + position`` (``order="slot"``; a document of
+more than ``RUN_SLOTS`` slots is an error there, since its offsets would run into the next
+run's), or the struct (run, position) (``order="pair"``), which orders documents of any
+length and which ``latest_per_key`` and ``latest_join`` take like a number.
 
 ``hourly_payloads`` / ``uv_payloads`` / ``daily_payloads`` rebuild payloads from
 the derived weather logs so the ingest path runs on the test tables: one payload
@@ -53,8 +56,13 @@ def _explode(payload: DataFrame, arrays: dict[str, Column]) -> DataFrame:
     return zipped.select("local", "run", F.posexplode("z").alias("pos", "e"))
 
 
-def _offset() -> Column:
-    return F.col("run") * RUN_SLOTS + F.col("pos")
+def _offset(order: str) -> Column:
+    if order == "pair":
+        return F.struct(F.col("run"), F.col("pos").cast("bigint").alias("pos"))
+    if order != "slot":
+        raise ValueError(f"order is 'slot' or 'pair', not {order!r}")
+    full = F.raise_error(F.lit(f"a document of more than {RUN_SLOTS} slots: use order='pair'")).cast("bigint")
+    return F.when(F.col("pos") < RUN_SLOTS, F.col("run") * RUN_SLOTS + F.col("pos")).otherwise(full)
 
 
 def horizon(df: DataFrame, now: str | None, time: str = "hora") -> DataFrame:
@@ -65,31 +73,31 @@ def horizon(df: DataFrame, now: str | None, time: str = "hora") -> DataFrame:
     return df.filter(F.col(time) >= start)
 
 
-def ingest_hourly(payload: DataFrame, now: str | None = None) -> DataFrame:
+def ingest_hourly(payload: DataFrame, now: str | None = None, order: str = "slot") -> DataFrame:
     """Hourly weather payload -> ``off, local, hora, temperatura, pp``."""
     h = F.col("hourly")
     rows = _explode(payload, {"time": h["time"], "temperature_2m": h["temperature_2m"],
                               "precipitation_probability": h["precipitation_probability"]})
-    out = rows.select(_offset().alias("off"), "local", parse_wire(F.col("e.time")).alias("hora"),
+    out = rows.select(_offset(order).alias("off"), "local", parse_wire(F.col("e.time")).alias("hora"),
                       F.col("e.temperature_2m").alias("temperatura"),
                       F.col("e.precipitation_probability").alias("pp"))
     return horizon(out, now)
 
 
-def ingest_uv(payload: DataFrame, now: str | None = None) -> DataFrame:
+def ingest_uv(payload: DataFrame, now: str | None = None, order: str = "slot") -> DataFrame:
     """Hourly UV payload -> ``off, local, hora, uv_index``."""
     h = F.col("hourly")
     rows = _explode(payload, {"time": h["time"], "uv_index": h["uv_index"]})
-    out = rows.select(_offset().alias("off"), "local", parse_wire(F.col("e.time")).alias("hora"),
+    out = rows.select(_offset(order).alias("off"), "local", parse_wire(F.col("e.time")).alias("hora"),
                       F.col("e.uv_index").alias("uv_index"))
     return horizon(out, now)
 
 
-def ingest_daily(payload: DataFrame) -> DataFrame:
+def ingest_daily(payload: DataFrame, order: str = "slot") -> DataFrame:
     """Daily payload -> ``off, local, sunrise, sunset`` (no horizon filter)."""
     d = F.col("daily")
     rows = _explode(payload, {"sunrise": d["sunrise"], "sunset": d["sunset"]})
-    return rows.select(_offset().alias("off"), "local",
+    return rows.select(_offset(order).alias("off"), "local",
                        parse_wire(F.col("e.sunrise")).alias("sunrise"),
                        parse_wire(F.col("e.sunset")).alias("sunset"))
 
@@ -115,23 +123,23 @@ def split_topics(rows: DataFrame, topics: dict[str, Sequence[str]],
 
 # ------------------------------------------------------------------ payload fixtures
 
-def _run() -> Column:
-    return F.floor(F.col("off") / F.lit(RUN_SLOTS)).cast("bigint").alias("run")
+def _run(slots: int) -> Column:
+    return F.floor(F.col("off") / F.lit(slots)).cast("bigint").alias("run")
 
 
-def _collect(rows: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Per (local, run): the rows as one array sorted by (hora, off)."""
+def _collect(rows: DataFrame, fields: Sequence[str], slots: int = RUN_SLOTS) -> DataFrame:
+    """Per (local, run of ``slots`` offsets): the rows as one array sorted by (hora, off)."""
     elem = F.struct(F.col("hora"), F.col("off"), *[F.col(f) for f in fields])
-    return rows.groupBy("local", _run()).agg(F.array_sort(F.collect_list(elem)).alias("a"))
+    return rows.groupBy("local", _run(slots)).agg(F.array_sort(F.collect_list(elem)).alias("a"))
 
 
 def _arr(field: str, fn=None) -> Column:
     return F.transform(F.col("a"), lambda e: fn(e[field]) if fn else e[field])
 
 
-def hourly_payloads(temperature_pp: DataFrame) -> DataFrame:
+def hourly_payloads(temperature_pp: DataFrame, slots: int = RUN_SLOTS) -> DataFrame:
     """``off, local, hora, temperatura, pp`` rows -> hourly payloads."""
-    g = _collect(temperature_pp, ["temperatura", "pp"])
+    g = _collect(temperature_pp, ["temperatura", "pp"], slots)
     return g.select("local", "run", F.struct(
         _arr("hora", wire_time).alias("time"),
         _arr("temperatura").alias("temperature_2m"),

@@ -95,14 +95,20 @@ def _timed(log: DataFrame) -> DataFrame:
     return log.where("hora IS NOT NULL")
 
 
-def expiring(rows: DataFrame, time: str, ttl: str | None) -> DataFrame:
-    """State keyed by ``time`` is evicted once ``ttl`` older than the newest time seen."""
-    return rows.withWatermark(time, ttl) if ttl else rows
+def expiring(rows: DataFrame, keys: Sequence[str], time: str, ttl: str | None) -> tuple[DataFrame, list[str]]:
+    """(rows, grouping keys) whose state is evicted once the key's ``time`` is ``ttl`` older
+    than the newest seen.  A watermark wants an instant: the key gets one beside its time,
+    read as UTC whatever the session's zone."""
+    if not ttl:
+        return rows, list(keys)
+    parts = [f"{part}({time})" for part in ("year", "month", "day", "hour", "minute")]
+    instant = f"make_timestamp({', '.join(parts)}, extract(SECOND FROM {time}), 'UTC')"
+    return rows.withColumn("_instant", F.expr(instant)).withWatermark("_instant", ttl), [*keys, "_instant"]
 
 
 def _latest_join(sources, time: str, ttl: str | None) -> DataFrame:
-    tagged = expiring(tag_sources(sources, ["local", time]), time, ttl)
-    return latest_join_tagged(tagged, {n: v for n, (_, v) in sources.items()}, ["local", time])
+    tagged, keys = expiring(tag_sources(sources, ["local", time]), ["local", time], time, ttl)
+    return latest_join_tagged(tagged, {n: v for n, (_, v) in sources.items()}, keys)
 
 
 def sun_hour_updates(sunrise: DataFrame, sunset: DataFrame, ttl: str | None = None) -> DataFrame:
@@ -176,8 +182,8 @@ def days_ever_good(hour_versions: DataFrame, compat: bool = False, whole_hours:
     themselves instead."""
     good = hour_versions.filter(F.col("present") & F.col("boaHora"))
     day_start = F.col("dia").cast("timestamp_ntz").alias("day_start")
-    good = expiring(good.select("local", day_start, "isDay", "boaHora", "hora"), "day_start", ttl)
-    keys = ["local", "day_start", "isDay", "boaHora"]
+    good, keys = expiring(good.select("local", day_start, "isDay", "boaHora", "hora"),
+                          ["local", "day_start", "isDay", "boaHora"], "day_start", ttl)
     if whole_hours:
         grouped = good.groupBy(*keys).agg(F.expr(f"bit_or({hour_bit_sql()}) AS bits"))
         horas = F.expr(hours_of_bits_sql("bits", "day_start"))
@@ -294,27 +300,41 @@ def start_periodic(updates: DataFrame, sink, checkpoint: str, name: str,
                    every: str = "1 hour", partitions: int | None = None):
     """Long-running form: a micro-batch every ``every`` (the producers' hourly cadence).
     ``sink`` is a foreachBatch writer such as ``version_sink`` or ``topic_sink``."""
-    with state_partitions(updates.sparkSession, partitions):
+    with state_store(updates.sparkSession, partitions):
         return (updates.writeStream.outputMode("update").foreachBatch(sink)
                 .option("checkpointLocation", checkpoint).queryName(name)
                 .trigger(processingTime=every).start())
 
 
+_PARTITIONS = "spark.sql.shuffle.partitions"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 @contextmanager
-def state_partitions(spark: SparkSession, n: int | None = None):
-    """Number of state-store partitions for queries *started* inside the block.
-
-    A stateful query fixes its state partitioning at its first start (it is kept
-    in the checkpoint) and adaptive execution does not coalesce stateful stages,
-    so it is sized here: by default one partition per core of the cluster
-    (``defaultParallelism``).  The session setting is restored afterwards."""
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(n or max(1, spark.sparkContext.defaultParallelism)))
+def state_store(spark: SparkSession, partitions: int | None = None):
+    """State of queries *started* inside the block: its number of partitions, and RocksDB,
+    which spills to disk where the default store must hold all keys in memory.
+
+    A stateful query fixes both at its first start (they are kept in the checkpoint) and
+    adaptive execution does not coalesce stateful stages, so on a cluster the number must
+    be given; a local master takes one per core.  The session's settings are restored."""
+    if partitions is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("give the number of state partitions: the checkpoint keeps it for good")
+        partitions = max(1, spark.sparkContext.defaultParallelism)
+    wanted = {_PARTITIONS: str(partitions), _PROVIDER: ROCKSDB}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def run_available_now(updates: DataFrame, sink, checkpoint: str, name: str,
@@ -322,7 +342,7 @@ def run_available_now(updates: DataFrame, sink, checkpoint: str, name: str,
     """Process everything that has landed since the last run into ``sink`` (a foreachBatch
     writer), then stop; returns the finished query (its ``recentProgress`` holds rows,
     durations and state sizes)."""
-    with state_partitions(updates.sparkSession, partitions):
+    with state_store(updates.sparkSession, partitions):
         q = (updates.writeStream.outputMode("update")
              .foreachBatch(sink)
              .option("checkpointLocation", checkpoint)

@@ -129,6 +129,12 @@ class StageTable:
             out = out.unionByName(f.select(*names))
         return out
 
+    def as_of(self, version: int, days: Iterable | None = None) -> DataFrame:
+        """The rows up to ``version``, which must not be older than the base."""
+        if version < self.pointer()[1]["through"]:
+            raise ValueError(f"version {version} was merged into the base")
+        return self.read(days).where(F.col("version") <= version)
+
     def _base_schema(self) -> T.StructType:
         return T.StructType([*self.schema.fields, T.StructField("run", T.StringType())])
 
