@@ -33,8 +33,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents come as often as their fitted rate says, which brings the expected
-    token totals of the domains to the target weights."""
-    return mixing.mix(docs, table(spark, sf_dir, "labels"))
+    token totals of the domains to the target weights.  The posterior is learnt from the
+    table of documents as it was given: of low quality hardly any are left here."""
+    return mixing.mix(docs, table(spark, sf_dir, "labels"), train=table(spark, sf_dir, "documents"))
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,13 +2,20 @@
 
 Domains are the combinations of the labels table (quality, toxic).  A classifier over
 token ids, fitted on labelled rows, gives every document a posterior over the domains.
-Nonnegative rates per document are then fitted by least squares of the expected domain
-token totals against the targets, in the metric of the totals' Gram matrix, and of the best
-ones the nearest to 1: these are max(0, 1 - dual . p) for one number per domain, which
-damped Newton steps find.  A step is an aggregation over the table of token counts and
-posteriors.  They end where every domain is within ``TOLERANCE`` of its own target, where
-the residual proves that no rates come nearer, or after ``ITERATIONS`` with the nearest
-rates met; what was reached is logged by domain.
+Rates per document, between 0 and ``MAX_RATE``, are then fitted by projected gradient: the
+objective is half the squared distance of the expected domain token totals from the
+targets, in the metric of the totals' Gram matrix, plus ``KEEP`` / 2 times the
+token-weighted mean square distance of the rates from 1.  The second part keeps the corpus:
+among rates that serve the targets as well it wants those near 1, and where targets are out
+of reach it holds the rates back from a few documents with extreme posteriors.
+
+All rates start at 1.  A step needs one number per domain from the whole table (the
+residual), and a document's rate follows from its posterior and the steps so far, so a task
+replays the steps on its rows and hands on sums; nothing per document is kept between
+steps.  Steps are extrapolated (momentum, dropped where the objective rises) and end where
+the projected gradient's norm is under ``OPTIMAL``, or after ``ITERATIONS``.  A target
+missed by more than ``TOLERANCE`` is reported by name; the effective number of documents,
+the share of documents without a rate and the totals by domain are logged.
 The total is set so that the first domain keeps its tokens.
 
 A document's rate becomes copies: its whole part, and one more where a uniform number
@@ -41,12 +48,15 @@ from .tokens import ChunkEncoder, tokenizer_path
 #: (quality, toxic) -> share of the tokens; the first one is the domain that is kept.
 TARGETS = {(1, 0): 0.93, (1, 1): 0.05, (0, 0): 0.018, (0, 1): 0.002}
 FIT_DOCS = 8_000
-ITERATIONS = 40
-TOLERANCE = 1e-3
-#: Part of the totals' Gram matrix added to that of the documents with a rate, in a step.
-DAMPING = 1e-6
-#: Targets count as out of reach where the residual proves the distance least, but for this part.
-OPTIMAL = 1e-4
+#: No document comes more often than this.
+MAX_RATE = 8.0
+#: Weight of the rates' distance from 1 against the targets.
+KEEP = 5e-4
+ITERATIONS = 200
+#: Norm of the projected gradient, a token-weighted mean over documents, that ends the fit.
+OPTIMAL = 3e-5
+#: Part of its target by which a domain's total may be off without being reported.
+TOLERANCE = 0.02
 SEED = 7
 _LOG = logging.getLogger("shoreline.mixing")
 
@@ -155,11 +165,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, domains:
 
 def memberships(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 domains: list[tuple[int, int]] | None = None,
-                vocabulary: str | None = None) -> tuple[DataFrame, list[tuple[int, int]]]:
+                vocabulary: str | None = None, train: DataFrame | None = None) -> tuple[DataFrame, list[tuple[int, int]]]:
     """((id, h, n_tokens, p array<double>) of every row, the domains of ``p``)."""
     domains = domains or list(TARGETS)
     vocab = _vocabulary(docs.sparkSession, vocabulary)
-    model, present = fit(docs, labels, id_col, text_col, domains, vocab)
+    model, present = fit(docs if train is None else train, labels, id_col, text_col, domains, vocab)
     shipped = Shipped(docs.sparkSession, model)
 
     def run(batches):
@@ -177,69 +187,134 @@ def memberships(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     return materialise(rows, "memberships"), [domains[i] for i in present]
 
 
-def _rate(dual: np.ndarray) -> Column:
-    return F.greatest(F.lit(0.0), sum((F.col("p")[i] * float(-x) for i, x in enumerate(dual)), F.lit(1.0)))
+class Steps:
+    """The projected-gradient steps so far; replays them on any documents."""
 
+    def __init__(self, keep: float = KEEP, max_rate: float = MAX_RATE):
+        self.keep, self.max_rate = keep, max_rate
+        self.steps: list[tuple[float, np.ndarray]] = []
+
+    def add(self, momentum: float, slope: np.ndarray) -> None:
+        """A step: how far to extrapolate, and the totals' gradient there by domain."""
+        self.steps.append((momentum, slope))
+
+    def rates(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rates, rates one step before) of documents with posteriors ``p``."""
+        now = before = np.ones(len(p))
+        for momentum, slope in self.steps:
+            at = now + momentum * (now - before)
+            step = (p @ slope + self.keep * (at - 1)) / (1 + self.keep)
+            before, now = now, np.clip(at - step, 0.0, self.max_rate)
+        return now, before
+
+    def violation(self, p: np.ndarray, rate: np.ndarray, slope: np.ndarray) -> np.ndarray:
+        """The projected gradient of the objective at ``rate``, where ``slope`` is that of
+        the totals."""
+        step = p @ slope + self.keep * (rate - 1)
+        return rate - np.clip(rate - step, 0.0, self.max_rate)
 
-def _moments(rows: DataFrame, k: int, dual: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-    """At the rates of ``dual``: half the sum of tokens times squared rate, the domain
-    totals, and the Gram matrix of the posteriors of the documents with a rate."""
-    pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    mass = F.when(F.col("rate") > 0, F.col("n_tokens")).otherwise(F.lit(0))
-    got = rows.withColumn("rate", _rate(dual)).agg(
-        F.sum(F.col("n_tokens") * F.col("rate") * F.col("rate") / 2),
-        *[F.sum(F.col("n_tokens") * F.col("rate") * F.col("p")[i]) for i in range(k)],
-        *[F.sum(mass * F.col("p")[i] * F.col("p")[j]) for i, j in pairs]).first()
-    got = [x or 0.0 for x in got]
-    gram = np.zeros((k, k))
-    for (i, j), x in zip(pairs, got[1 + k:], strict=True):
-        gram[i, j] = gram[j, i] = x
-    return got[0], np.array(got[1:1 + k]), gram
 
+class Fit:
+    """Targets, what the rates reach, and how much of the corpus they keep."""
 
-def reached(now: np.ndarray, target: np.ndarray, tolerance: float = TOLERANCE) -> bool:
-    """Whether every domain's total is within ``tolerance`` of its own target."""
-    return bool((np.abs(now - target) <= tolerance * np.maximum(target, 1e-6 * target.sum())).all())
+    def __init__(self, target, reached, documents, dropped, effective, effective_before, steps, optimal):
+        self.target, self.reached = np.asarray(target), np.asarray(reached)
+        self.documents, self.dropped = documents, dropped
+        self.effective, self.effective_before = effective, effective_before
+        self.steps, self.optimal = steps, optimal
 
+    def missed(self, tolerance: float = TOLERANCE) -> list[int]:
+        """The domains whose total is off its target by more than ``tolerance``."""
+        off = np.abs(self.reached - self.target) > tolerance * np.maximum(self.target, 1e-9 * self.target.sum())
+        return [int(i) for i in np.flatnonzero(off)]
 
-def fit_rates(rows: DataFrame, weights: list[float], iterations: int = ITERATIONS,
-              tolerance: float = TOLERANCE) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-    """``memberships`` -> (the rows with their rate, targets, expected totals)."""
+
+def _posteriors(column, k: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+
+
+def _sums(rows: DataFrame, k: int, steps: Steps, slope: np.ndarray | None = None) -> np.ndarray:
+    """Over all documents, at the rates of ``steps``: domain totals, sum of tokens x (rate - 1)^2,
+    of tokens x violation^2 (with ``slope``, for the rates one step before), of tokens x rate
+    and of its square, documents, those without a rate, and tokens and their squares."""
+    def run(batches):
+        total = np.zeros(k + 8)
+        for b in batches:
+            n, p = b.column(0).to_numpy(zero_copy_only=False).astype(float), _posteriors(b.column(1), k)
+            rate, before = steps.rates(p)
+            off = steps.violation(p, before, slope) if slope is not None else np.zeros(len(n))
+            mass = n * rate
+            total[:k] += mass @ p
+            total[k:] += [n @ (rate - 1) ** 2, n @ off ** 2, mass.sum(), mass @ mass, len(n), (rate == 0).sum(),
+                          n.sum(), n @ n]
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total], [f"s{i}" for i in range(k + 8)])
+
+    names = [f"s{i}" for i in range(k + 8)]
+    got = (rows.select("n_tokens", "p").mapInArrow(run, ", ".join(f"{c} double" for c in names))
+           .agg(*[F.sum(c) for c in names]).first())
+    return np.array([x or 0.0 for x in got])
+
+
+def fit_rates(rows: DataFrame, weights: list[float], iterations: int = ITERATIONS, optimal: float = OPTIMAL,
+              keep: float = KEEP, max_rate: float = MAX_RATE) -> tuple[DataFrame, Fit]:
+    """``memberships`` -> (the rows with their rate, what the fit reached)."""
     k = len(weights)
     share = np.array(weights, float) / sum(weights)
-    dual = np.zeros(k)
-    at = _moments(rows, k, dual)
-    target = share * (at[1][0] / share[0] if share[0] else at[1].sum())
-    gram = at[2] + np.eye(k) * (1e-9 * np.trace(at[2]) + 1e-12)
-
-    def distance(at):
-        return (at[1] - target) @ np.linalg.solve(gram, at[1] - target)
-
-    def hopeless(at):
-        """Whether the residual itself proves that no rates come nearer."""
-        g = np.linalg.solve(gram, at[1] - target)
-        if -target @ g < (1 - OPTIMAL) * distance(at):
-            return False
-        low = rows.agg(F.min(sum((F.col("p")[i] * float(x) for i, x in enumerate(g)), F.lit(0.0)))).first()[0]
-        return low is None or low >= -OPTIMAL * np.abs(g).max()
-
-    best = dual, at
+    steps = Steps(keep, max_rate)
+    first = _sums(rows, k, steps)
+    tokens = first[k + 6]
+    target = share * (first[0] / share[0] if share[0] else tokens)
+    if not tokens:
+        return _rated(rows, k, steps), Fit(target, first[:k], int(first[k + 4]), 0, 0.0, 0.0, 0, True)
+    gram = _gram(rows, k) / tokens
+    gram += np.eye(k) * (1e-9 * np.trace(gram) + 1e-12)
+    want = target / tokens
+
+    def slope(totals):
+        return np.linalg.solve(gram, totals - want)
+
+    now = before = first[:k] / tokens
+    sums, value, pace, momentum, done = first, np.inf, 1.0, 0.0, False
     for _ in range(iterations):
-        if reached(at[1], target, tolerance) or hopeless(at):
+        at = now + momentum * (now - before)
+        here = slope(now)
+        steps.add(momentum, slope(at))
+        new = _sums(rows, k, steps, here)
+        # the violation is that of the rates before this step
+        if np.sqrt(new[k + 1] / tokens) <= optimal:
+            steps.steps.pop()
+            done = True
             break
-        down = at[1] - target
-        step = np.linalg.solve(at[2] + DAMPING * gram, down)
-        size, old = 1.0, at[0] + dual @ target
-        while True:
-            new = dual + size * step
-            there = _moments(rows, k, new)
-            if there[0] + new @ target <= old - 1e-4 * size * (down @ step) or size < 1e-4:
-                break
-            size /= 4
-        dual, at = new, there
-        if distance(at) < distance(best[1]) or reached(at[1], target, tolerance):
-            best = dual, at
-    return rows.withColumn("rate", _rate(best[0])), target, best[1][1]
+        before, now, sums = now, new[:k] / tokens, new
+        rise = 0.5 * (now - want) @ slope(now) + 0.5 * keep * sums[k] / tokens
+        if rise > value:
+            pace, momentum = 1.0, 0.0
+        else:
+            faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
+            pace, momentum = faster, (pace - 1) / faster
+        value = rise
+    return _rated(rows, k, steps), Fit(target, sums[:k], int(sums[k + 4]), int(sums[k + 5]), sums[k + 2] ** 2 / sums[k + 3]
+                                       if sums[k + 3] else 0.0, tokens ** 2 / sums[k + 7], len(steps.steps), done)
+
+
+def _gram(rows: DataFrame, k: int) -> np.ndarray:
+    """Token-weighted second moments of the posteriors."""
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    got = rows.agg(*[F.sum(F.col("n_tokens") * F.col("p")[i] * F.col("p")[j]) for i, j in pairs]).first()
+    gram = np.zeros((k, k))
+    for (i, j), x in zip(pairs, got, strict=True):
+        gram[i, j] = gram[j, i] = x or 0.0
+    return gram
+
+
+def _rated(rows: DataFrame, k: int, steps: Steps) -> DataFrame:
+    """``rows`` with the rate that the steps lead to."""
+    def run(batches):
+        for b in batches:
+            rate = steps.rates(_posteriors(b.column(b.schema.get_field_index("p")), k))[0]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rate)], [*b.schema.names, "rate"])
+
+    return rows.mapInArrow(run, rows.schema.simpleString()[len("struct<"):-1] + ",rate:double")
 
 
 def copies(rate: Column, doc_id: Column, seed: int = SEED) -> Column:
@@ -249,23 +324,33 @@ def copies(rate: Column, doc_id: Column, seed: int = SEED) -> Column:
 
 
 def rates(docs: DataFrame, labels: DataFrame, targets: dict[tuple[int, int], float] | None = None,
-          id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
-    """One row per document: id, h, n_tokens, p (map domain -> posterior), rate, copies."""
+          id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None,
+          train: DataFrame | None = None) -> DataFrame:
+    """One row per document: id, h, n_tokens, p (map domain -> posterior), rate, copies.  The
+    posterior is learnt from the labelled rows of ``train`` (``docs`` unless given)."""
     targets = targets or TARGETS
-    rows, domains = memberships(docs, labels, id_col, text_col, list(targets), vocabulary)
-    rows, target, now = fit_rates(rows, [targets[d] for d in domains])
-    level = logging.INFO if reached(now, target) else logging.WARNING
-    for (q, t), want, got in zip(domains, target, now, strict=True):
-        _LOG.log(level, "quality %s, toxic %s: %.1f of %.1f tokens (%.4f)", q, t, got, want, got / want if want else 1)
+    rows, domains = memberships(docs, labels, id_col, text_col, list(targets), vocabulary, train)
+    rows, fit = fit_rates(rows, [targets[d] for d in domains])
+    report(fit, domains)
     names = F.array(*[F.lit(f"quality{q}_toxic{t}") for q, t in domains])
     return rows.select("id", "h", "n_tokens", F.map_from_arrays(names, "p").alias("p"), "rate",
                        copies(F.col("rate"), F.col("id")).alias("copies"))
 
 
+def report(fit: Fit, domains: list[tuple[int, int]]) -> None:
+    """Log what a fit reached, with a warning for every target it missed."""
+    missed = set(fit.missed())
+    for i, ((q, t), want, got) in enumerate(zip(domains, fit.target, fit.reached, strict=True)):
+        _LOG.log(logging.WARNING if i in missed else logging.INFO, "quality %s, toxic %s: %.1f of %.1f tokens (%.4f)%s",
+                 q, t, got, want, got / want if want else 1, ": target missed" if i in missed else "")
+    _LOG.info("%d documents, %d without a rate; effective number %.1f, %.1f before; %d steps%s", fit.documents, fit.dropped,
+              fit.effective, fit.effective_before, fit.steps, "" if fit.optimal else ", not at the optimum")
+
+
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[tuple[int, int], float] | None = None,
-        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        id_col: str = "doc_id", text_col: str = "text", train: DataFrame | None = None) -> DataFrame:
     """The columns of ``docs``, each row as often as its copies say."""
-    other = rates(docs, labels, targets, id_col, text_col).where("copies <> 1").select("id", "h", "copies").distinct()
+    other = rates(docs, labels, targets, id_col, text_col, train=train).where("copies <> 1").select("id", "h", "copies").distinct()
     other = materialise(other, "copies")
     names = {c: fresh(docs, f"mix_{c}") for c in other.columns}
     other = other.select(*[F.col(c).alias(n) for c, n in names.items()]).hint("shuffle_hash")

@@ -2,9 +2,10 @@
 
 from collections import Counter
 
+import numpy as np
 import pytest
 from test_dedup import LOWER, plain_components, plain_fingerprint
-from test_text import check_packing
+from test_text import best_rates, check_packing, objective
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
@@ -62,9 +63,36 @@ def test_simhash_stage(stages):
 
 def test_mixing_stage(spark, stages):
     before, after, *_ = stages[3]
-    docs = spark.createDataFrame(before, table(spark, SF, "documents").schema)
-    want = {r.id: r.copies for r in mixing.rates(docs, table(spark, SF, "labels")).collect()}
-    assert Counter(r.doc_id for r in after) == Counter({i: c for i, c in want.items() if c})
+    docs, full = spark.createDataFrame(before, table(spark, SF, "documents").schema), table(spark, SF, "documents")
+    rows = mixing.rates(docs, table(spark, SF, "labels"), train=full).collect()
+    assert Counter(r.doc_id for r in after) == Counter({r.id: r.copies for r in rows if r.copies})
+    # the rates are the minimum of the objective over what reached the stage
+    n = np.array([r.n_tokens for r in rows], float)
+    p = np.array([[r.p[f"quality{q}_toxic{t}"] for q, t in mixing.TARGETS] for r in rows])
+    share, rate = np.array(list(mixing.TARGETS.values())), np.array([r.rate for r in rows])
+    value, off, *_ = objective(n, p, rate, share)
+    assert off <= 2 * mixing.OPTIMAL and value <= objective(n, p, best_rates(n, p, share), share)[0] * (1 + 1e-3)
+
+
+@pytest.mark.parametrize("name", ["sf0.01", "sf0.1"])
+def test_the_pipeline_keeps_the_corpus(spark, name):
+    """At least half of the good documents that reach the mixing stage stay in it, none
+    beyond the stated repetition, and the domains whose targets can be reached reach them."""
+    sf = f"/root/testdata/{name}"
+    docs, full, labels = table(spark, sf, "documents"), table(spark, sf, "documents"), table(spark, sf, "labels")
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = materialise(stage(spark, docs, sf), "test_keeps")
+    rows, domains = mixing.memberships(docs, labels, domains=list(mixing.TARGETS), train=full)
+    rated, fit = mixing.fit_rates(rows, [mixing.TARGETS[d] for d in domains])
+    rated = rated.withColumn("copies", mixing.copies(rated.rate, rated.id))
+    good = labels.where("quality = 1 AND toxic = 0").select("doc_id")
+    got = rated.join(good, rated.id == good.doc_id).selectExpr("count(*) AS n", "count_if(copies > 0) AS kept").first()
+    most = rated.selectExpr("max(copies)").first()[0]
+    print(name, got, most, fit.reached / fit.target, fit.dropped, fit.effective, fit.effective_before)
+    assert got.kept >= got.n / 2 and most <= mixing.MAX_RATE
+    assert fit.effective >= 0.6 * fit.effective_before
+    if name == "sf0.1":
+        assert not fit.missed()
 
 
 def test_packing_stage(spark, stages):
