@@ -17,7 +17,8 @@ task hands on, per vector, the number of its links (each weighted by the other's
 copies), and a spanning forest of the links for the components.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components
-link with nothing; so do vectors of another length than the commonest; repeated rows are
+link with nothing; vectors of different lengths do not link, those of each length are
+hashed and compared among themselves; finite vectors of any size count; repeated rows are
 copies of one vector and link with each other; a null id is reported like any other and
 names a component only where all its members lack one; an empty table gives no rows;
 other columns are ignored.
@@ -60,44 +61,61 @@ def plan(n: int, threshold: float = THRESHOLD, width: float = WIDTH, recall: flo
 
 
 class Hasher:
-    def __init__(self, dim: int, k: int, tables: int, width: float, seed: int = SEED):
+    """Quantised projections for vectors of any length: each length has its own, drawn from
+    the seed, and its own buckets."""
+
+    def __init__(self, k: int, tables: int, width: float, seed: int = SEED):
+        self.k, self.tables, self.width, self.seed = k, tables, width, seed
         rng = np.random.default_rng(seed)
-        self.k, self.tables, self.width = k, tables, width
-        self.a = rng.standard_normal((dim, k * tables))
-        self.b = rng.uniform(0, width, k * tables)
         self.mix = rng.integers(-(1 << 62), 1 << 62, k, dtype=np.int64) | 1
-        self.salt = rng.integers(-(1 << 62), 1 << 62, tables, dtype=np.int64)
+        self.drawn = {}
+
+    def _draws(self, dim: int):
+        if dim not in self.drawn:
+            if len(self.drawn) > 8:
+                self.drawn.clear()
+            rng = np.random.default_rng((self.seed, dim))
+            self.drawn[dim] = (rng.standard_normal((dim, self.k * self.tables)), rng.uniform(0, self.width, self.k * self.tables),
+                               rng.integers(-(1 << 62), 1 << 62, self.tables, dtype=np.int64))
+        return self.drawn[dim]
 
     def buckets(self, x: np.ndarray) -> np.ndarray:
         """One 64-bit bucket per vector and table (n x L)."""
-        q = np.floor((x @ self.a + self.b) / self.width).astype(np.int64)
+        a, b, salt = self._draws(x.shape[1])
+        q = np.floor((x @ a + b) / self.width).astype(np.int64)
         q = q.reshape(len(x), self.tables, self.k)
         with np.errstate(over="ignore"):
-            h = (q * self.mix).sum(axis=2) + self.salt
+            h = (q * self.mix).sum(axis=2) + salt
             h ^= h >> 29
             h *= np.int64(-4658895280553007687)
             h ^= h >> 32
         return h
 
 
-def _vectors(column) -> np.ndarray:
-    return np.stack([np.frombuffer(v, "<f8") for v in column.to_pylist()])
+def _by_length(values: list[bytes]):
+    """(positions, vectors) of each length."""
+    size = np.array([len(v) for v in values])
+    for n in np.unique(size):
+        at = np.flatnonzero(size == n)
+        yield at, np.frombuffer(b"".join(values[i] for i in at), "<f8").reshape(len(at), n // 8)
 
 
 def _unit(batches):
-    """(id, list) -> (id, unit vector as bytes, length or null)."""
+    """(id, list) -> (id, unit vector as bytes or null)."""
     for b in batches:
         out = []
         for v in b.column(1).to_pylist():
             x = None
             if v and not any(c is None for c in v):
                 x = np.asarray(v, "<f8")
-                size = np.linalg.norm(x / np.abs(x).max()) * np.abs(x).max() if np.isfinite(x).all() and x.any() else 0
-                x = x / size if size and np.isfinite(size) else None
+                if np.isfinite(x).all() and x.any():
+                    x = x / np.abs(x).max()       # its norm cannot overflow or vanish now
+                    x = x / np.linalg.norm(x)
+                else:
+                    x = None
             out.append(x)
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array([None if x is None else x.tobytes() for x in out], pa.binary()),
-             pa.array([None if x is None else len(x) for x in out], pa.int32())], ["id", "unit", "dim"])
+            [b.column(0), pa.array([None if x is None else x.tobytes() for x in out], pa.binary())], ["id", "unit"])
 
 
 def _hash(hasher):
@@ -105,9 +123,11 @@ def _hash(hasher):
         for b in batches:
             for at in range(0, b.num_rows, 1024):
                 part = b.slice(at, 1024)
-                h = hasher.value.buckets(_vectors(part.column(1)))
-                v = np.repeat(part.column(0).to_numpy(zero_copy_only=False), h.shape[1])
-                yield pa.RecordBatch.from_arrays([pa.array(h.ravel()), pa.array(v)], ["bucket", "v"])
+                ids = part.column(0).to_numpy(zero_copy_only=False)
+                for rows, x in _by_length(part.column(1).to_pylist()):
+                    h = hasher.value.buckets(x)
+                    v = np.repeat(ids[rows], h.shape[1])
+                    yield pa.RecordBatch.from_arrays([pa.array(h.ravel()), pa.array(v)], ["bucket", "v"])
     return run
 
 
@@ -148,6 +168,13 @@ def _compare(hasher, threshold: float):
                 yield i[ok], j[ok], v, n, keys
 
     def links(rows, bucket, alone):
+        # a bucket is one length's, but for a rare collision of bucket numbers
+        size = np.array([len(u) for u in rows[1]])
+        for length in np.unique(size):
+            same = size == length
+            yield from same_length([x[same] for x in rows], bucket, alone)
+
+    def same_length(rows, bucket, alone):
         for i, j, v, n, keys in one(rows, alone):
             if not len(i):
                 continue
@@ -173,19 +200,20 @@ def _compare(hasher, threshold: float):
 
         def group(rows, bucket, alone):
             nonlocal held
-            total = None
+            totals = {}
             for v, n, i, j in links(rows, bucket, alone):
-                if total is None:
-                    total = np.zeros(len(v), np.int64)
+                # the rows of one length share one array of numbers
+                _, total = totals.setdefault(id(v), (v, np.zeros(len(v), np.int64)))
                 np.add.at(total, i, n[j])
                 np.add.at(total, j, n[i])
                 u, w = forest(v[i], v[j]) if len(i) else (v[:0], v[:0])
                 us.append(u)
                 vs.append(w)
                 held += len(u)
-            if total is not None and total.any():
+            for v, total in totals.values():
                 at = np.flatnonzero(total)
-                yield v[at], total[at]
+                if len(at):
+                    yield v[at], total[at]
 
         def out(a, b, links):
             return pa.RecordBatch.from_arrays(
@@ -230,17 +258,15 @@ def near_duplicate_groups(table: DataFrame, id_col: str = "vec_id", vec_col: str
     id_type = table.schema[id_col].dataType.simpleString()
     rows = materialise(
         table.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("x"))
-        .mapInArrow(_unit, f"id {id_type}, unit binary, dim int"), "units")
-    usual = rows.where("dim IS NOT NULL").groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
-    dim = usual.dim if usual else 1
+        .mapInArrow(_unit, f"id {id_type}, unit binary"), "units")
     # a distinct vector's number: its rank of creation, fixed once written
     distinct = materialise(
-        rows.where(F.col("dim") == dim).groupBy("unit")
+        rows.where("unit IS NOT NULL").groupBy("unit")
         .agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"))
         .withColumn("v", F.monotonically_increasing_id()), "distinct")
     size = distinct.count()
     k, tables = plan(size, threshold, width, recall)
-    hasher = Shipped(spark, Hasher(dim, k, tables, width))
+    hasher = Shipped(spark, Hasher(k, tables, width))
 
     hashed = materialise(distinct.select("v", "unit").mapInArrow(_hash(hasher), "bucket long, v long"), "buckets")
     full = materialise(

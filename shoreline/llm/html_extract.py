@@ -8,6 +8,10 @@ capacities from the source and to the sink.  Smoothness edges join nodes that fo
 each other and nodes that share an enclosing element, stronger the deeper that element
 is.  The maximum flow's minimum cut parts content from boilerplate.
 
+Names speak against an element (a class such as "sidebar"), but not against one that holds
+the page's prose.  Attributes are read one after the other as a browser does, so a name in
+another attribute's value says nothing.
+
 Scripts, styles, controls, comments of the markup and other parts without prose never
 become blocks.  Those without an end tag end where an element around them does or the
 next flow element begins; a script or style goes on to the end of the page, as in a
@@ -53,10 +57,12 @@ _SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"t
 _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "tbody", "thead", "tfoot"},
           "td": {"table", "tr"}, "th": {"table", "tr"}, "p": {"article", "section", "div", "main", "body", "td", "li",
                                                               "aside", "header", "footer", "nav", "blockquote"}}
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|(<)",
-                    re.DOTALL)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|aria-label|hidden|aria-hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?",
-                        re.IGNORECASE)
+_TAG_NAME = re.compile(r"[A-Za-z][^\s/>]*")
+_COMMENT_END = re.compile(r"--!?>")
+_GAP = re.compile(r"[\s/]*")
+_ATTRIBUTE_NAME = re.compile(r"=?[^\s/>=]*")
+_EQUALS = re.compile(r"\s*=\s*")
+_BARE_VALUE = re.compile(r"[^\s>]*")
 _NAME_WORD = re.compile(r"[a-z]+")
 
 # Weights of the classifier: the cost difference (positive: boilerplate) each sign adds.
@@ -76,6 +82,8 @@ ROLE_COST = {"navigation": 8.0, "banner": 6.0, "contentinfo": 8.0, "complementar
 HIDDEN = 12.0
 FORM_COST = 8.0       # of a form, unless it holds at least FORM_SHARE of the page's prose, with an article,
 FORM_SHARE = 0.5      # a main element or a block of LONG characters in it
+NAME_SHARE = 0.5      # names do not speak against an article or main element with this share of the prose,
+WRAP_SHARE = 0.9      # nor against another element with this one, around an article or main element
 LINK_COST = 4.0       # times the share of the text that is link text
 SHORT_COST = 1.5      # times the shortfall of a node below SHORT characters
 SHORT = 80
@@ -87,28 +95,30 @@ NEXT_EDGE = 0.4       # smoothness of nodes that follow each other
 SHARED_EDGE = 0.5     # and, times the share of the path they have in common, of nodes in one element
 
 
-def _attribute_cost(tag: str, raw: str) -> float:
+def _attribute_cost(tag: str, attributes: dict[str, str]) -> tuple[float, float]:
+    """(cost, cost without what its names say against it) of an element."""
     cost = TAG_COST.get(tag, 0.0)
-    if tag in ("html", "body") or not raw or "=" not in raw and "hidden" not in raw.lower():
-        return cost
-    best_bad, good = 0.0, 0.0
-    for name, value in _ATTRIBUTE.findall(raw):
-        name, value = name.lower(), value.strip("\"'").lower()
+    if tag in ("html", "body") or not attributes:
+        return cost, cost
+    hidden = bad = good = 0.0
+    for name, value in attributes.items():
+        value = value.lower() if name == "role" else value
         if name in ("class", "id", "aria-label"):
-            found = set(_NAME_WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value)))
+            found = set(_NAME_WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value).lower()))
             if found & GOOD_NAMES and name == "class" and found & BAD_NAMES:
                 continue  # a layout wrapper such as "content has-sidebar"
             if found & BAD_NAMES:
-                best_bad = NAME_BAD
+                bad = NAME_BAD
             elif found & GOOD_NAMES:
                 good = NAME_GOOD
         elif name == "role":
-            cost += ROLE_COST.get(value, 0.0)
-        elif name == "hidden" or name == "aria-hidden" and value == "true":
-            best_bad = max(best_bad, HIDDEN)
-        elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            best_bad = max(best_bad, HIDDEN)
-    return max(cost, 0.0) + best_bad if best_bad else cost + good
+            cost += ROLE_COST.get(value.strip(), 0.0)
+        elif name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true":
+            hidden = HIDDEN
+        elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value.lower()):
+            hidden = HIDDEN
+    plain = max(cost, 0.0) + hidden if hidden else cost + good
+    return (max(cost, 0.0) + max(bad, hidden) if bad else plain), plain
 
 
 class Block:
@@ -120,20 +130,89 @@ class Block:
         self.path, self.text, self.linked = path, text, linked
 
 
-def _tokens(html: str) -> list[tuple[int, int, str | None, bool, str]]:
+class Tag:
+    """The attributes of a start tag, by lower-case name, and whether it closes itself."""
+
+    __slots__ = ("attributes", "closed")
+
+    def __init__(self, attributes=None, closed=False):
+        self.attributes, self.closed = attributes or {}, closed
+
+
+_NO_TAG = Tag()
+
+
+class Reader:
+    """Finds tags and comments.  Places from which no tag end can be reached are remembered,
+    so a page full of signs that open nothing is still read in linear time."""
+
+    def __init__(self, html: str):
+        self.html, self.n = html, len(html)
+        self.last = {c: html.rfind(c) for c in "\"'>"}
+        self.dead: set[int] = set()
+
+    def tag(self, at: int) -> tuple[int, Tag] | None:
+        """(end, attributes) of a tag whose name ends at ``at``; None where no sign ends it."""
+        html, attributes, seen = self.html, {}, []
+        while True:
+            gap = _GAP.match(html, at)
+            slash = gap.end() > at and html[gap.end() - 1] == "/"
+            at = gap.end()
+            if at >= self.n or at > self.last[">"] or at in self.dead:
+                self.dead.update(seen)
+                return None
+            if html[at] == ">":
+                return at + 1, Tag(attributes, slash)
+            seen.append(at)
+            name = _ATTRIBUTE_NAME.match(html, at)
+            at, value = name.end(), ""
+            if equals := _EQUALS.match(html, at):
+                at = equals.end()
+                quote = html[at:at + 1]
+                if quote and quote in "\"'" and at < self.last[quote]:
+                    end = html.index(quote, at + 1)
+                    value, at = html[at + 1:end], end + 1
+                else:
+                    bare = _BARE_VALUE.match(html, at)
+                    value, at = bare.group(), bare.end()
+            attributes.setdefault(name.group().lower(), unescape(value) if "&" in value else value)
+
+    def skip(self, at: int) -> int | None:
+        """The end of a comment or declaration that begins at ``at``; None where none does."""
+        html = self.html
+        if html.startswith("<!--", at):
+            for short in (">", "->"):
+                if html.startswith(short, at + 4):
+                    return at + 4 + len(short)
+            end = _COMMENT_END.search(html, at + 4)
+            return end.end() if end else self.n
+        if html.startswith(("<!", "<?"), at):
+            end = html.find(">", at)
+            return end + 1 if end >= 0 else self.n
+        return None
+
+
+def _tokens(html: str) -> list[tuple[int, int, str | None, bool, Tag]]:
     """(start, stop, tag, closing, attributes) in page order; the tag is "<" for a bare
     sign and None for comments.  A raw element is one token up to the end of its end tag;
     without one, scripts and styles go to the end of the page, others to the next sign."""
     out, at, n = [], 0, len(html)
-    endless = set()
-    while m := _TOKEN.search(html, at):
-        at = m.end()
-        if m.group(4):
-            out.append((m.start(), at, "<", False, ""))
+    reader, endless = Reader(html), set()
+    while (start := html.find("<", at)) >= 0:
+        end = reader.skip(start)
+        if end is not None:
+            out.append((start, end, None, False, _NO_TAG))
+            at = end
             continue
-        tag, closing = m.group(2), bool(m.group(1))
-        tag = tag and tag.lower()
-        if tag in _RAW and not closing and not m.group(3).endswith("/"):
+        closing = html.startswith("/", start + 1)
+        name = _TAG_NAME.match(html, start + 1 + closing)
+        found = reader.tag(name.end()) if name else None
+        if not found:
+            out.append((start, start + 1, "<", False, _NO_TAG))
+            at = start + 1
+            continue
+        tag, (at, raw) = name.group().lower(), found
+        if tag in _RAW and not closing and not raw.closed:
             end = None if tag in endless else _RAW_END[tag].search(html, at)
             if end:
                 gt = html.find(">", end.end())
@@ -142,7 +221,7 @@ def _tokens(html: str) -> list[tuple[int, int, str | None, bool, str]]:
                 endless.add(tag)
                 sign = -1 if tag in ("script", "style") else html.find("<", at)
                 at = n if sign < 0 else sign
-        out.append((m.start(), at, tag, closing, m.group(3) or ""))
+        out.append((start, at, tag, closing, raw))
     return out
 
 
@@ -155,7 +234,7 @@ def _ends(tokens) -> dict[int, tuple[int, bool]]:
         return ends
     for k, (_, _, tag, closing, raw) in enumerate(tokens):
         if tag in _OPAQUE:
-            if not closing and not raw.endswith("/"):
+            if not closing and not raw.closed:
                 opened.setdefault(tag, []).append(k)
             elif closing and opened.get(tag):
                 ends[opened[tag].pop()] = k, True
@@ -193,7 +272,7 @@ def _ends(tokens) -> dict[int, tuple[int, bool]]:
                 while stack[-1][0] != tag:
                     pop(k)
                 pop(k)
-            if not (raw.endswith("/") and tag not in ("p", "div")) and not (tag == "form" and depth.get(tag)):
+            if not (raw.closed and tag not in ("p", "div")) and not (tag == "form" and depth.get(tag)):
                 stack.append((tag, k))
                 depth[tag] = depth.get(tag, 0) + 1
         k += 1
@@ -206,24 +285,33 @@ def _ends(tokens) -> dict[int, tuple[int, bool]]:
     return ends
 
 
-def _price_forms(blocks: list[Block], forms: dict[int, bool]) -> None:
-    """Give the forms (serial number -> holds an article or main element) their cost."""
-    prose = {f: 0 for f in forms}
+def _reprice(blocks: list[Block], forms: dict[int, bool], named: dict[int, tuple[str, float]], main: dict[int, bool]) -> None:
+    """Give the forms (serial number -> holds an article or main element) their cost, and take
+    from elements that hold the page's prose what their names say against them.  ``named``:
+    serial number -> (tag, cost without the names); ``main``: whether an article or main element
+    stands in it whose own names are good."""
+    prose = dict.fromkeys((*forms, *named), 0)
     large = dict(forms)
     total = 0
     for b in blocks:
-        if len(b.text) < SHORT or b.linked >= 0.5 or any(c > 2 for _, c in b.path):
+        if len(b.text) < SHORT or b.linked >= 0.5 or any(c > 2 and s not in named for s, c in b.path):
+            continue
+        if any(s in named and named[s][1] > 2 for s, _ in b.path):
             continue
         total += len(b.text)
         for serial, _ in b.path:
             if serial in prose:
                 prose[serial] += len(b.text)
-                large[serial] |= len(b.text) >= LONG
+                if serial in large:
+                    large[serial] |= len(b.text) >= LONG
     dear = {f for f in forms if not (large[f] and prose[f] and prose[f] >= FORM_SHARE * total)}
+    freed = {s: cost for s, (tag, cost) in named.items()
+             if prose[s] and (prose[s] >= NAME_SHARE * total if tag in ("article", "main")
+                              else main[s] and prose[s] >= WRAP_SHARE * total)}
     new: dict[tuple, tuple] = {}
     for b in blocks:
         if b.path not in new:
-            new[b.path] = tuple((s, max(c, 0.0) + FORM_COST if s in dear else c) for s, c in b.path)
+            new[b.path] = tuple((s, max(c, 0.0) + FORM_COST if s in dear else freed.get(s, c)) for s, c in b.path)
         b.path = new[b.path]
 
 
@@ -233,6 +321,8 @@ def read_blocks(html: str) -> list[Block]:
     path: tuple = ()
     parts: list[str] = []
     forms: dict[int, bool] = {}
+    named: dict[int, tuple[str, float]] = {}
+    main: dict[int, bool] = {}
     linked = links = 0
     serial = at = k = 0
 
@@ -270,7 +360,7 @@ def read_blocks(html: str) -> list[Block]:
             parts.append(" " if tag == "br" else "")
             continue
         if tag in SKIPPED and tag not in _VOID:
-            if closing or raw.endswith("/"):
+            if closing or raw.closed:
                 continue
             if tag not in ("button", "input", "svg"):
                 flush()
@@ -321,18 +411,23 @@ def read_blocks(html: str) -> list[Block]:
                     break
                 if stack[i][0] in _SCOPE[tag]:
                     break
-        if raw.endswith("/") and tag not in ("p", "div"):
+        if raw.closed and tag not in ("p", "div"):
             continue
         serial += 1
-        stack.append((tag, serial, _attribute_cost(tag, raw)))
-        path += ((serial, stack[-1][2]),)
+        cost, plain = _attribute_cost(tag, raw.attributes)
+        stack.append((tag, serial, cost))
+        path += ((serial, cost),)
+        if cost > plain:
+            named[serial], main[serial] = (tag, plain), False
+        elif named and tag in ("article", "main"):
+            main.update((s, True) for _, s, _ in stack if s in main)
         if tag == "form":
             forms[serial] = False
         elif forms and tag in ("article", "main"):
             forms.update((s, True) for t, s, _ in stack if t == "form")
     flush()
-    if forms:
-        _price_forms(blocks, forms)
+    if forms or named:
+        _reprice(blocks, forms, named, main)
     return blocks
 
 
@@ -416,8 +511,8 @@ def _cost(path, chars: int, linked: float) -> float:
     return cost
 
 
-def label(blocks: list[Block]) -> list[bool]:
-    """Whether each block is content."""
+def graph(blocks: list[Block]) -> tuple[list[list[int]], list[float], list[tuple[int, int, float]]]:
+    """(blocks of each node, cost of its being content, smoothness edges)."""
     # Blocks that differ in the innermost element only belong together where that
     # element itself gives no sign.
     nodes: list[list[int]] = []
@@ -429,29 +524,38 @@ def label(blocks: list[Block]) -> list[bool]:
         else:
             keys.append(key)
             nodes.append([i])
-    n = len(nodes)
-    net = FlowNet(n + 2)
-    source, sink = n, n + 1
+    costs, edges = [], []
     last_in: dict[int, int] = {}
     for k, members in enumerate(nodes):
         chars = sum(len(blocks[i].text) for i in members)
         linked = sum(blocks[i].linked * len(blocks[i].text) for i in members) / chars
-        cost = _cost(blocks[members[0]].path if len(members) == 1 else keys[k], chars, linked)
-        if cost > 0:
-            net.edge(k, sink, cost)
-        else:
-            net.edge(source, k, -cost)
+        costs.append(_cost(blocks[members[0]].path if len(members) == 1 else keys[k], chars, linked))
         if k:
-            net.edge(k - 1, k, NEXT_EDGE, NEXT_EDGE)
+            edges.append((k - 1, k, NEXT_EDGE))
         # the last node that stands right in the deepest element around this one
         for depth in range(len(keys[k]), 0, -1):
             other = last_in.get(keys[k][depth - 1][0])
             if other is not None:
-                w = SHARED_EDGE * depth / len(keys[k])
-                net.edge(other, k, w, w)
+                edges.append((other, k, SHARED_EDGE * depth / len(keys[k])))
                 break
         if keys[k]:
             last_in[keys[k][-1][0]] = k
+    return nodes, costs, edges
+
+
+def label(blocks: list[Block]) -> list[bool]:
+    """Whether each block is content."""
+    nodes, costs, edges = graph(blocks)
+    n = len(nodes)
+    net = FlowNet(n + 2)
+    source, sink = n, n + 1
+    for k, cost in enumerate(costs):
+        if cost > 0:
+            net.edge(k, sink, cost)
+        else:
+            net.edge(source, k, -cost)
+    for a, b, w in edges:
+        net.edge(a, b, w, w)
     side = net.run(source, sink)
     out = [False] * len(blocks)
     for k, members in enumerate(nodes):

@@ -1,8 +1,12 @@
 """Packing of documents into fixed-length token sequences, first-fit decreasing.
 
-Documents are dealt at random (by the hash of their id and text) into groups of about
-``group_docs`` documents; groups are packed independently, in the task that encodes
-their texts, so only texts cross the network, once.  In a group every document's ids
+Documents are dealt at random into groups of about ``group_docs`` documents; groups are
+packed independently, in the task that encodes their texts, so only texts cross the
+network, once.  The draw is seeded and goes by the row, not by its content, so copies of
+one row are spread like any others; over stored tables it comes out the same when a task
+is run again.  A group is closed early once it holds ``GROUP_CHARS`` characters, so very
+long texts do not add up in a task, and the number of tasks follows the number of groups.
+In a group every document's ids
 (with the end id) are cut into full sequences and a remainder; the remainders are
 placed largest first, each in the first sequence with room, found by descending a
 tournament tree of the sequences' free space.  Then sequences that still have room are
@@ -28,6 +32,11 @@ from .tokens import ChunkEncoder, tokenizer_path
 CAPACITY = 4096
 END_ID = 2
 GROUP_DOCS = 2048
+GROUP_CHARS = 1 << 25
+#: Groups of a task, about, up to the number of tasks a shuffle takes well.
+TASK_GROUPS = 4
+MAX_TASKS = 50_000
+SEED = 9
 
 
 class Tournament:
@@ -109,13 +118,14 @@ def _top_up(bins, capacity):
     return out
 
 
-def _packer(vocab, capacity: int, end_id: int, schema: pa.Schema, want_ids: bool):
+def _packer(vocab, capacity: int, end_id: int, schema: pa.Schema, want_ids: bool, group_chars: int):
     end = end_id.to_bytes(4, "little")
 
-    def one_group(group, ids, texts, encoder):
+    def one_group(group, first, ids, texts, encoder):
+        """The pieces of a group, or of a part of it, with sequences numbered from ``first``."""
         codes = [c + end for c in encoder.encode_many(texts)]
         cols = {name: [] for name in schema.names}
-        for k, seq in enumerate(pack([len(c) // 4 for c in codes], capacity)):
+        for k, seq in enumerate(pack([len(c) // 4 for c in codes], capacity), first):
             offset = 0
             for d, start, n in seq:
                 raw = codes[d][4 * start:4 * (start + n)]
@@ -130,23 +140,26 @@ def _packer(vocab, capacity: int, end_id: int, schema: pa.Schema, want_ids: bool
 
     def run(batches):
         encoder = worker_cache(("encoder", zlib.crc32(vocab.value.encode())), lambda: ChunkEncoder(vocab.value))
-        group, ids, texts = None, [], []
+        group, first, ids, texts, chars = None, 0, [], [], 0
         for b in batches:
             for g, i, t in zip(*[b.column(k).to_pylist() for k in range(3)], strict=True):
-                if g != group and ids:
-                    yield one_group(group, ids, texts, encoder)
-                    ids, texts = [], []
+                if ids and (g != group or chars >= group_chars):
+                    out = one_group(group, first, ids, texts, encoder)
+                    yield out
+                    first = int(out.column("sequence_id")[-1].as_py() & 0xFFFFFFFF) + 1 if g == group else 0
+                    ids, texts, chars = [], [], 0
                 group = g
                 ids.append(i)
                 texts.append(t)
+                chars += len(t or "")
         if ids:
-            yield one_group(group, ids, texts, encoder)
+            yield one_group(group, first, ids, texts, encoder)
     return run
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    capacity: int = CAPACITY, end_id: int = END_ID, group_docs: int = GROUP_DOCS,
-                   vocabulary: str | None = None, ids: bool = False) -> DataFrame:
+                   group_chars: int = GROUP_CHARS, vocabulary: str | None = None, ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
     offset, and with ``ids`` the token ids themselves."""
     from pyspark.sql.types import ArrayType, LongType, StructField, StructType
@@ -162,7 +175,9 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = StructType(fields)
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    dealt = (docs.select(F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(groups)).alias("g"),
-                         F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-             .repartition("g").sortWithinPartitions("g", "id", F.octet_length("t")))
-    return dealt.mapInArrow(_packer(vocab, capacity, end_id, to_arrow_schema(schema), ids), schema)
+    spark = docs.sparkSession
+    tasks = max(min(groups, spark.sparkContext.defaultParallelism), min(-(-groups // TASK_GROUPS), MAX_TASKS))
+    dealt = (docs.select(F.floor(F.rand(SEED) * groups).cast("long").alias("g"), F.col(id_col).alias("id"),
+                         F.col(text_col).alias("t"))
+             .repartition(tasks, "g").sortWithinPartitions("g", "id", F.octet_length("t")))
+    return dealt.mapInArrow(_packer(vocab, capacity, end_id, to_arrow_schema(schema), ids, group_chars), schema)

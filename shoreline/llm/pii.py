@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: Tried only where a run of digits begins: it matches from there or not at all.
+_IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -47,7 +48,7 @@ def luhn(digits: str) -> bool:
 
 def _valid(kind: str, found: str) -> bool:
     if kind == "ip":
-        return all(len(p) < 20 and int(p) <= 255 for p in found.split("."))
+        return all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in found.split("."))
     digits = _NOT_DIGIT.sub("", found)
     if kind == "card":
         return 12 <= len(digits) <= 19 and luhn(digits)
@@ -112,11 +113,19 @@ _NUMBER = "|".join(sorted(SPELLED, key=len, reverse=True))
 _SPELLED_RUN = re.compile(
     rf"(?i)(?<![^\W\d_])(?:{_NUMBER}|[0-9])(?:[\x20.,-]{{1,2}}(?:{_NUMBER}|[0-9]+)(?![^\W\d_])){{2,}}")
 _SPELLED_ONE = re.compile(rf"(?i){_NUMBER}")
-_AT = re.compile(r"(?i)[\x20]*[(\[{<][\x20]*(?:at|@|arroba)[\x20]*[)\]}>][\x20]*")
-_DOT = re.compile(r"(?i)[\x20]*[(\[{<][\x20]*(?:dot|punkt|point|punto|\.)[\x20]*[)\]}>][\x20]*")
+#: A run of spaces is tried from its first one, so long runs are passed once.
+_AT = re.compile(r"(?i)(?:(?<!\x20)\x20+|(?<=\x20)|(?<!\x20))[(\[{<][\x20]*(?:at|@|arroba)[\x20]*[)\]}>][\x20]*")
+_DOT = re.compile(r"(?i)(?:(?<!\x20)\x20+|(?<=\x20)|(?<!\x20))[(\[{<][\x20]*(?:dot|punkt|point|punto|\.)[\x20]*[)\]}>][\x20]*")
 #: Two or three numbers after the word are a time, price or date, not a host.
 _AT_WORD = re.compile(
     r"(?i)(?<=[a-z0-9])\x20+(?:at|arroba)\x20+(?![0-9]+(?:\.[0-9]+){1,2}(?!\.?[a-z0-9-]))(?=[a-z0-9-]+(?:(?:\x20+(?:dot|punkt|punto)\x20+|\.)[a-z0-9-]+)+)")
+_HOST = re.compile(r"(?i)[a-z0-9-]+(?:(?:\x20+(?:dot|punkt|punto)\x20+|\.)[a-z0-9-]+)+")
+_SPACED_DOT = re.compile(r"\x20")
+#: Words before it that make "name at host.com" an address.
+_CALLS = re.compile(r"(?i)(?<![^\W\d_])(?:e-?mails?|mails?|mailto|write|contact|reach|correo|escrib\w*|contacto|courriel|"
+                    r"écri\w*|contacte\w*|schreib\w*|kontakt\w*)(?![^\W\d_])")
+#: How far before it such a word may stand.
+_NEAR = 60
 _DOT_WORD = re.compile(r"(?i)(?<=[a-z0-9])\x20+(?:dot|punkt|punto)\x20+(?=[a-z0-9-])")
 #: What each of the patterns above needs, whatever follows; on text without odd characters.
 _BRACKETED = re.compile(r"(?i)[(\[{<]\x20*(?:at|@|arroba|dot|punkt|point|punto|\.)\x20*[)\]}>]")
@@ -187,10 +196,26 @@ def _spelled(tape: Tape) -> Tape:
     return tape.rewrite(out) if out else tape
 
 
+def _is_address(text: str, m: re.Match) -> bool:
+    """Whether the word "at" joins a name and a host, and is not that of "look at x.com": the
+    host has a spelled dot, the name a digit or sign inside it, or a word before calls for
+    an address."""
+    host = _HOST.match(text, m.end())
+    if host and _SPACED_DOT.search(host.group()):
+        return True
+    start = m.start()
+    while start > 0 and text[start - 1] in _LOCAL and m.start() - start < 64:
+        start -= 1
+    name = text[start:m.start()].strip("._%+-")
+    if not name.isalpha() and any(c.isalpha() for c in name):
+        return True
+    return _CALLS.search(text, max(0, start - _NEAR), start) is not None
+
+
 def _signs(tape: Tape) -> Tape:
     for pattern, new in ((_AT, "@"), (_DOT, "."), (_AT_WORD, "@"), (_DOT_WORD, ".")):
         out = [(m.start(), m.end(), new) for m in pattern.finditer(tape.text)
-               if m.start() < m.end()]
+               if m.start() < m.end() and (pattern is not _AT_WORD or _is_address(tape.text, m))]
         if new == "." and pattern is _DOT_WORD and "@" not in tape.text:
             out = [p for p in out if tape.text[p[0] - 1].isdigit() and tape.text[p[1]].isdigit()]
         if out:

@@ -252,6 +252,28 @@ def test_a_task_holds_two_blocks_of_a_large_bucket(spark, monkeypatch):
     assert {(r.n_links, r.component_id) for r in got} == {(999, 0)}
 
 
+def test_vectors_of_every_length_and_size_are_compared(spark):
+    rng = np.random.default_rng(6)
+    rows, want = [], {}
+    for d, at in ((1, 0), (3, 100), (8, 200), (9, 300), (64, 400)):
+        for k in range(6):
+            v = rng.standard_normal(d)
+            for copy in range(3):
+                rows.append((at + 10 * k + copy, (v + (rng.standard_normal(d) * 1e-3 if d > 1 else 0)).tolist()))
+    rows += [(900, [1.7e308, 1.7e308]), (901, [1.7e308, 1.7e308]), (902, [1.0, 1.0]), (903, [1e-300, 1e-300]),
+             (904, [5e-324, 5e-324]), (905, [-1.7e308, 1.7e308])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {r.id: r for r in embedding_dedup.near_duplicate_groups(df).collect()}
+
+    def unit(v):
+        v = np.array(v) / np.abs(v).max()
+        return v / np.linalg.norm(v)
+    for i, v in rows:
+        want[i] = sum(len(v) == len(w) and unit(v) @ unit(w) >= 0.95 for j, w in rows if j != i)
+    assert {i: got[i].n_links for i, _ in rows} == want
+    assert want[900] == 4 and want[905] == 0
+
+
 def test_no_vectors(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embedding_dedup.near_duplicate_groups(df).count() == 0

@@ -112,6 +112,74 @@ def test_minimum_cut_is_minimal():
         assert cost(side[:n]) == min(map(cost, itertools.product((False, True), repeat=n)))
 
 
+@pytest.mark.parametrize("page", [
+    '<article title="The hidden valley"><p>{0}</p><p>{1}</p></article>',
+    '<article data-layout="class=sidebar"><p>{0}</p><p>{1}</p></article>',
+    '<article data-id="comment-17"><p>{0}</p><p>{1}</p></article>',
+    '<article id="search-for-life"><p>{0}</p><p>{1}</p></article>',
+    '<article class="trending-topic"><p>{0}</p><p>{1}</p></article>',
+    '<div class="page-with-sidebar widget"><article><p>{0}</p><p>{1}</p></article></div><div class=footer>Legal</div>',
+    '<!--><article><p>{0}</p><p>{1}</p></article>',
+    '<!---><article><p>{0}</p><p>{1}</p></article>',
+    '<!-- a --!><article><p>{0}</p><p>{1}</p></article><!-- b -- > c -->',
+    "<article><p data-x=it's>{0}</p><p data-y='>'>{1}</p></article>",
+    '<article><p a="x>y" b = \'>\' c>{0}</p><p =d e=>{1}</p></article>',
+    '<article><p title="5 > 3">{0}</p><br/><p/ class=x>{1}</p></article>',
+    "<!DOCTYPE html><?xml version=1?><article><p>{0}</p><p>{1}</p></article>",
+    '<div class="comments"><article class="comment"><p>Short word</p></article></div><article><p>{0}</p><p>{1}</p></article>',
+])
+def test_attributes_and_comments_as_a_browser_reads_them(page):
+    assert html.extract(page.format(PROSE, MORE)) == f"{PROSE} {MORE}"
+
+
+@pytest.mark.parametrize("page", [
+    '<article><p>{0}</p></article><div class="comments"><p>{1}</p></div>',
+    '<article><p>{0}</p></article><div id=comments><article class=comment><p>{1}</p></article><article class=comment><p>{1}</p></article></div>',
+    '<article><p>{0}</p></article><div class="sidebar"><p>{1}</p><p>{1}</p></div>',
+    '<article><p>{0}</p></article><article hidden><p>{1}</p><p>{1}</p></article>',
+    "<article><p>{0}</p></article><section class='related'><article><p>{1}</p></article></section>",
+])
+def test_names_speak_against_what_is_not_the_prose(page):
+    assert html.extract(page.format(PROSE, MORE)) == PROSE
+
+
+@pytest.mark.parametrize("unit", ["<a ", "if a <b and c ", "<a x=\">\" ", "<a x='", "<p \"", "<!-", "</", "<a x=\"y> ", "<b>\"<i x=", "<!-- ", "&", "<script "])
+def test_a_page_of_signs_takes_linear_time(unit):
+    import time
+    t = time.perf_counter()
+    html.extract(unit * (1_000_000 // len(unit)))
+    assert time.perf_counter() - t < 8
+
+
+def test_labels_of_small_pages_are_the_cheapest():
+    rnd = random.Random(5)
+    texts = [PROSE, MORE, "Home", "Read more about it", "word " * 30, "Share"]
+    tags = ["p", "div", "nav", "article", "aside class=widget", "div class=content", "li", "section id=comments", "h1", "a href=x"]
+
+    def element(depth):
+        tag = rnd.choice(tags)
+        inside = "".join(element(depth - 1) if depth and rnd.random() < .5 else rnd.choice(texts) for _ in range(rnd.randint(1, 3)))
+        return f"<{tag}>{inside}</{tag.split()[0]}>"
+
+    sizes = Counter()
+    for _ in range(300):
+        blocks = html.read_blocks("".join(element(2) for _ in range(rnd.randint(1, 4))))
+        nodes, costs, edges = html.graph(blocks)
+        if not 0 < len(nodes) <= 11:
+            continue
+        sizes[len(nodes)] += 1
+
+        def price(side, costs=costs, edges=edges):
+            return (sum(max(c, 0) if on else max(-c, 0) for c, on in zip(costs, side, strict=True)) +
+                    sum(w for a, b, w in edges if side[a] != side[b]))
+
+        kept = html.label(blocks)
+        side = [kept[n[0]] for n in nodes]
+        assert all(kept[i] == on for n, on in zip(nodes, side, strict=True) for i in n)
+        assert price(side) <= min(map(price, itertools.product((False, True), repeat=len(nodes)))) + 1e-9
+    assert len(sizes) > 6
+
+
 def test_pages_table(spark):
     rows = [(1, "u", PAGE, "x"), (2, None, None, None), (None, "v", "", "y"), (1, "u", PAGE, "x"),
             (3, "w", "<article>" + "<p>word word</p>" * 20_000 + "</article>", "z")]
@@ -227,6 +295,25 @@ def test_packing_round_trip(spark, hostile, no_docs, tokenizer):
     assert packing.pack_documents(no_docs).count() == 0
 
 
+def test_equal_rows_are_spread_over_groups(spark):
+    df = spark.range(6000).selectExpr("CAST(7 AS BIGINT) AS doc_id", "'the same words again' AS text").repartition(4)
+    got = packing.pack_documents(df, group_docs=256).collect()
+    rows = Counter(r.sequence_id >> 32 for r in got if r.start == 0)
+    assert len(rows) == -(-6000 // 256) and max(rows.values()) < 512 and sum(rows.values()) == 6000
+
+
+def test_a_group_is_closed_at_its_characters(spark, tokenizer):
+    rnd = random.Random(2)
+    rows = [(i, " ".join(rnd.choice("abcdefg") * 3 for _ in range(rnd.randint(0, 900)))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = packing.pack_documents(df, group_docs=10_000, group_chars=5_000, ids=True).collect()
+    check_packing(rows, got, tokenizer)
+    assert len({r.sequence_id for r in got}) > 10
+    # the same rows give the same packing, as when a task is run again
+    key = lambda rs: sorted((r.doc_id, r.start, r.length, r.sequence_id, r.offset) for r in rs)
+    assert key(got) == key(packing.pack_documents(df, group_docs=10_000, group_chars=5_000, ids=True).collect())
+
+
 def check_packing(docs, got, tokenizer):
     codes = Counter()
     for i, t in docs:
@@ -426,6 +513,37 @@ def test_digits_spelled_in_odd_letters_do_not_fail(text):
     assert pii.find(text) == ([], [])
 
 
+@pytest.mark.parametrize("text,n_ip", [("00000000000000000000001.2.3.4", 1), ("0.0.0.0", 1), ("1.2.3.000256", 0),
+                                       ("1.2.3." + "0" * 30 + "255", 1), ("1.2.3." + "9" * 4000, 0)])
+def test_address_parts_go_by_their_value(text, n_ip):
+    assert pii.find(text)[0] == plain(text) and sum(s[0] == "ip" for s in pii.find(text)[0]) == n_ip
+
+
+@pytest.mark.parametrize("text", ["Look at example.com for more", "We met at acme.co.uk", "Meet us at 5 at acme.co.uk.",
+                                  "She works at example.org, at home. At x.org!"])
+def test_the_word_at_alone_is_no_address(text):
+    assert pii.find(text) == ([], [])
+
+
+@pytest.mark.parametrize("text,found", [("Mail: john at example.com", "john at example.com"),
+                                        ("see john.doe at example.com", "john.doe at example.com"),
+                                        ("see joe99 at example.com", "joe99 at example.com"),
+                                        ("see joe at example dot com", "joe at example dot com"),
+                                        ("Schreiben: ana at example.org", "ana at example.org")])
+def test_the_word_at_with_a_reason_is_an_address(text, found):
+    at = text.index(found)
+    assert ("email", at, at + len(found)) in pii.find(text)[1]
+
+
+@pytest.mark.parametrize("text", ["1" * 200_000, " " * 200_000 + "(at)", "x" + " (" * 60_000, "1." * 100_000, "+1" + " " * 200_000,
+                                  "1 " * 100_000, "one " * 50_000, "a at " * 40_000, "(at) " * 40_000, "a@" * 80_000, " dot " * 40_000])
+def test_runs_of_one_kind_take_linear_time(text):
+    import time
+    t = time.perf_counter()
+    pii.find(text + " joe (at) x.org")
+    assert time.perf_counter() - t < 6
+
+
 @pytest.mark.parametrize("text", ["we meet at 10.30 today", "sold at 3.50.", "seen at 12.3.2024, [at] home"])
 def test_numbers_after_at_are_no_host(text):
     assert pii.find(text) == ([], [])
