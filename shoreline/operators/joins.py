@@ -31,11 +31,6 @@ from pyspark.sql import functions as F
 from shoreline.functions import q
 
 
-def offset_column(name: str) -> str:
-    """Name of the per-source offset column in a tagged frame."""
-    return f"_off_{name}"
-
-
 def _off(name: str) -> str:
     return f"_off_{name}"
 

@@ -13,7 +13,7 @@ from shoreline.plans.beach import BEACH_HOUR_COLS
 from shoreline.plans.catalog import chain, register
 from shoreline.schemas import PAYLOAD_DAILY, PAYLOAD_HOURLY, PAYLOAD_UV
 from shoreline.session import shared_dir
-from shoreline.sources import payloads, weather
+from shoreline.sources import payloads, topics, weather
 from shoreline.sources.cities import city_coordinates, read_cities, write_city_file
 from shoreline.sources.topics import json_value
 
@@ -167,12 +167,12 @@ fanout AS (
 
 def _fanout(spark, sf_dir) -> DataFrame:
     rows = _hourly_ingest(spark, sf_dir).withColumn("hora", wire_time("hora"))
-    topics = payloads.split_topics(rows, {"temperature": ["hora", "temperatura"],
+    fanned = payloads.split_topics(rows, {"temperature": ["hora", "temperatura"],
                                           "precipitationProbability": ["hora", "pp"]})
     value = F.when(F.col("topic") == "temperature",
                    json_value(["local", "hora", "temperatura"])).otherwise(
         json_value(["local", "hora", "pp"]))
-    return topics.select("topic", "off", F.col("local").alias("key"), value.alias("value"),
+    return fanned.select("topic", "off", F.col("local").alias("key"), value.alias("value"),
                          F.floor(F.col("off") / F.lit(payloads.RUN_SLOTS)).cast("bigint")
                          .alias("run"))
 
@@ -190,6 +190,17 @@ def emit_counts(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("n_events")))
 
 
+@register("emit_counts_observed", _with(_HOURLY_ROWS + "," + _FANOUT_SQL, """
+SELECT topic, key AS local, count(*) AS n_events FROM fanout GROUP BY topic, key"""))
+def emit_counts_observed(spark, sf_dir):
+    """What a fan-out wrote, by topic and city, as counted by the write itself."""
+    path = shared_dir(spark, "topics", "counted")
+    records = _fanout(spark, sf_dir).select("topic", "key", "value", "off")
+    counts = topics.write_counted(records, path, ["temperature", "precipitationProbability"],
+                                  [name for name, *_ in city_coordinates()])
+    return spark.createDataFrame(counts, "topic string, local string, n_events long")
+
+
 _COORDS = ", ".join(f"('{name}', CAST({lat} AS DOUBLE), CAST({lon} AS DOUBLE))"
                     for name, lat, lon in city_coordinates())
 

@@ -16,12 +16,15 @@ views that read it:
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from shoreline.session import shared_dir
+from shoreline.session import ensure_checkpoint_dir, shared_dir
+from shoreline.sources.files import Files
 
 
 def materialize(spark: SparkSession, df: DataFrame, name: str,
@@ -42,25 +45,49 @@ def write_table(spark: SparkSession, df: DataFrame, name: str,
     return path
 
 
-# (application, source, table) -> folder of the table as last written
-_WRITTEN: dict[tuple[str, str, str], str] = {}
+def _registry(spark: SparkSession) -> Files:
+    return Files(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/shoreline/served")
+
+
+def _state_of(spark: SparkSession, source: str) -> str:
+    """What the source holds: names, sizes and times of its files."""
+    files = Files(spark, source)
+    path = files.path("")
+    if not files.fs.exists(path):
+        return source
+    seen = sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in files.fs.listStatus(path))
+    return json.dumps([source, seen])
+
+
+def _entry(spark: SparkSession, source: str, name: str) -> str:
+    return f"{name}-{hashlib.sha256(_state_of(spark, source).encode()).hexdigest()[:24]}"
 
 
 def served(spark: SparkSession, source: str, name: str, build: Callable[[], DataFrame],
            partition_by: Sequence[str] = ("dia",), cluster_by: Sequence[str] = ("local",)) -> DataFrame:
-    """The served table ``name`` of ``source``: written on first use (or after
-    ``refresh``, or where its folder is gone), only read afterwards."""
-    key = (spark.sparkContext.applicationId, source, name)
-    if key in _WRITTEN:
-        try:
-            return spark.read.parquet(_WRITTEN[key])
-        except AnalysisException:
-            pass
-    _WRITTEN[key] = write_table(spark, build(), name, partition_by, cluster_by)
-    return spark.read.parquet(_WRITTEN[key])
+    """The served table ``name`` of ``source``: written on first use (or after ``refresh``,
+    or where its folder is gone, or where the source's files have changed), only read
+    afterwards, by this application and any other that shares the folder.  The entry that
+    names the table's folder appears after the table is whole; of two applications that
+    write it at once, both read the one whose entry came first."""
+    entries, entry = _registry(spark), _entry(spark, source, name)
+    for attempt in (0, 1):
+        numbers = [int(n) for n in entries.names(entry) if n.isdigit()]
+        if numbers and (path := entries.read(f"{entry}/{max(numbers)}")):
+            try:
+                return spark.read.parquet(path)
+            except AnalysisException:
+                pass
+        if attempt == 0:
+            path = write_table(spark, build(), name, partition_by, cluster_by)
+            entries.write(f"{entry}/{max(numbers, default=-1) + 1}", path)
+    return spark.read.parquet(path)
 
 
 def refresh(spark: SparkSession, source: str, name: str) -> None:
     """Let the next read of a served table write it anew; readers of the old one keep
     theirs, since every write has a folder of its own."""
-    _WRITTEN.pop((spark.sparkContext.applicationId, source, name), None)
+    entries, entry = _registry(spark), _entry(spark, source, name)
+    numbers = [int(n) for n in entries.names(entry) if n.isdigit()]
+    if numbers:
+        entries.write(f"{entry}/{max(numbers) + 1}", "")

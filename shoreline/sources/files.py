@@ -17,26 +17,26 @@ class Files:
         self.jvm = self.gateway.jvm
         self.conf = spark.sparkContext._jsc.hadoopConfiguration()
         self.root = root.rstrip("/")
-        self.fs = self._path("").getFileSystem(self.conf)
+        self.fs = self.path("").getFileSystem(self.conf)
 
-    def _path(self, name: str):
+    def path(self, name: str):
         return self.jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
 
     def ensure(self, name: str = "") -> None:
-        self.fs.mkdirs(self._path(name))
+        self.fs.mkdirs(self.path(name))
 
     def exists(self, name: str) -> bool:
-        return self.fs.exists(self._path(name))
+        return self.fs.exists(self.path(name))
 
     def names(self, name: str) -> list[str]:
         """Names in a folder; none where it does not exist."""
-        path = self._path(name)
+        path = self.path(name)
         if not self.fs.exists(path):
             return []
         return [s.getPath().getName() for s in self.fs.listStatus(path)]
 
     def read(self, name: str) -> str:
-        stream = self.fs.open(self._path(name))
+        stream = self.fs.open(self.path(name))
         try:
             return bytes(self.jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
         finally:
@@ -48,7 +48,7 @@ class Files:
         folder, _, leaf = name.rpartition("/")
         self.ensure(folder)
         part = f"{folder}/.{leaf}.{uuid.uuid4().hex}"
-        stream = self.fs.create(self._path(part))
+        stream = self.fs.create(self.path(part))
         try:
             stream.write(bytearray(text.encode()))
         finally:
@@ -68,7 +68,7 @@ class Files:
         fs = self.jvm.org.apache.hadoop.fs
         none = self.gateway.new_array(getattr(fs, "Options$Rename"), 0)
         try:
-            fs.FileContext.getFileContext(self.fs.getUri(), self.conf).rename(self._path(old), self._path(new), none)
+            fs.FileContext.getFileContext(self.fs.getUri(), self.conf).rename(self.path(old), self.path(new), none)
             return True
         except Py4JJavaError as err:
             if not self.exists(new):
@@ -76,4 +76,4 @@ class Files:
             return False
 
     def delete(self, name: str) -> None:
-        self.fs.delete(self._path(name), True)
+        self.fs.delete(self.path(name), True)

@@ -21,7 +21,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,6 +101,21 @@ def kafka_records(records: DataFrame, options: dict[str, str] | None = None) ->
     return records.select(*([] if "topic" in (options or {}) else ["topic"]), "key", "value")
 
 
+def write_counted(records: DataFrame, path: str, topics: Sequence[str], keys: Sequence[str], fmt: str = "json",
+                  options: dict[str, str] | None = None) -> list[tuple[str, str | None, int]]:
+    """``write_topic`` that says what it wrote: (topic, key, records) of every topic and known
+    key, and of all other keys of a topic together (key NULL).  The counts are taken by the
+    write itself (an observation), not by a second pass."""
+    cells = [(t, k) for t in topics for k in (*keys, None)]
+    other = ~F.col("key").isin(list(keys)) | F.col("key").isNull() if keys else F.lit(True)
+    seen = Observation()
+    counts = [F.count_if((F.col("topic") == t) & (other if k is None else F.col("key") == k)).alias(f"c{i}")
+              for i, (t, k) in enumerate(cells)]
+    write_topic(records.observe(seen, *counts), path, fmt, options=options)
+    got = seen.get
+    return [(t, k, got[f"c{i}"]) for i, (t, k) in enumerate(cells) if got[f"c{i}"]]
+
+
 def _broker_records(raw: DataFrame) -> DataFrame:
     """Records as the broker's connector delivers them -> the columns of a topic here (and
     the ``partition`` its offset counts in)."""

@@ -153,8 +153,3 @@ def sunrise(spark: SparkSession, sf_dir: str, city_key: str = "city") -> DataFra
 
 def sunset(spark: SparkSession, sf_dir: str, city_key: str = "city") -> DataFrame:
     return table(spark, sf_dir, "sunset", city_key)
-
-
-def weather_tables(spark: SparkSession, sf_dir: str, city_key: str = "city") -> dict[str, DataFrame]:
-    b = base(spark, sf_dir, city_key)
-    return {name: fn(b) for name, fn in DERIVE.items()}

@@ -352,6 +352,35 @@ def test_debug_console_takes_every_row(spark, path):
     assert sum(p["numInputRows"] for p in q.recentProgress) == 2
 
 
+def test_a_write_counts_what_it_wrote(spark, path):
+    rows = [("t", "A", "1")] * 3 + [("t", "B", "2"), ("u", "A", "3"), ("u", None, "4"), ("u", "Z", "5"), ("v", "A", "6")]
+    df = spark.createDataFrame([(*r, 0) for r in rows], "topic string, key string, value string, off long").repartition(4)
+    assert topics.write_counted(df, path, ["t", "u"], ["A", "B"]) == [
+        ("t", "A", 3), ("t", "B", 1), ("u", "A", 1), ("u", None, 2)]
+    assert topics.read_topic(spark, path).count() == len(rows)
+    assert topics.write_counted(df.limit(0), f"{path}/none", ["t"], []) == []
+
+
+def test_served_tables_are_shared_until_their_source_changes(spark, path):
+    from shoreline.plans import serving
+    source, made = f"{path}/source", []
+    spark.createDataFrame([("A", DAY)], "local string, dia date").write.parquet(source)
+
+    def build():
+        made.append(1)
+        return spark.read.parquet(source)
+
+    for _ in range(2):
+        assert serving.served(spark, source, "days", build).count() == 1
+    assert len(made) == 1
+    other = spark.newSession()                                 # as another application finds it
+    assert serving.served(other, source, "days", build).count() == 1 and len(made) == 1
+    spark.createDataFrame([("B", DAY)], "local string, dia date").write.mode("append").parquet(source)
+    assert serving.served(spark, source, "days", build).count() == 2 and len(made) == 2
+    serving.refresh(spark, source, "days")
+    assert serving.served(spark, source, "days", build).count() == 2 and len(made) == 3
+
+
 def test_documents_longer_than_a_run_need_the_pair_order(spark):
     doc = spark.createDataFrame([("A", 0, (["2024-01-05T%02d:00" % (i % 24) for i in range(200)], [float(i) for i in range(200)], [0.0] * 200)),
                                  ("A", 1, (["2024-01-05T00:00"], [-1.0], [0.0]))], schemas.PAYLOAD_HOURLY)
