@@ -81,23 +81,3 @@ def at_limits(hist: DataFrame, limits: list[int]) -> DataFrame:
 def quantile(hist: DataFrame, q: float) -> DataFrame:
     """The smallest length that at least the share ``q`` of documents does not exceed."""
     return hist.where(F.col("share_at_most") >= q).agg(F.min("n_tokens").alias("n_tokens"))
-
-
-def with_token_count(docs: DataFrame, text_col: str = "text", name: str = "n_tokens",
-                     vocabulary: str | None = None) -> tuple[DataFrame, str]:
-    """``docs`` with a token count in a column of a free name, and that name."""
-    import pandas as pd
-
-    with open(vocabulary or tokenizer_path(), encoding="utf-8") as f:
-        vocab = docs.sparkSession.sparkContext.broadcast(f.read())
-
-    def run(parts):
-        encoder = worker_cache(("encoder", zlib.crc32(vocab.value.encode())), lambda: ChunkEncoder(vocab.value))
-        for s in parts:
-            yield pd.Series([len(c) // 4 for c in encoder.encode_many(list(s))], dtype="int64")
-
-    from collections.abc import Iterator
-    run.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    name = fresh(docs, name)
-    col: Column = F.pandas_udf(run, "long").asNondeterministic()(F.col(text_col))
-    return docs.withColumn(name, col), name

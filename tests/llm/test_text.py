@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shoreline.llm import html_extract as html
@@ -225,6 +226,81 @@ def test_classifiers_on_hostile_tables(spark, hostile, no_docs, few_labels, no_l
         assert kept.columns == docs.columns and kept.count() <= docs.count()
 
 
+def plain_kneser_ney(counted, order=5, shared=2, size=32, discount=0.75):
+    """{class: probability(sequence)} straight from the definitions, by dictionaries."""
+    tables = {}
+    for c in counted:
+        per, longer = {}, {s: n for s, n in counted[c].items() if n}
+        per[order] = longer
+        for n in range(order - 1, shared, -1):
+            per[n] = Counter(s[1:] for s in per[n + 1])
+        tables[c] = per
+    both = {s[-(shared + 1):] for c in counted for s in counted[c] if counted[c][s]}
+    for n in range(shared, 0, -1):
+        same = Counter(s[1:] for s in both)
+        for c in counted:
+            tables[c][n] = same
+        both = set(same)
+
+    def probability(c, seq):
+        p = 1 / size
+        for n in range(1, order + 1):
+            s, context = seq[-n:], seq[-n:-1] if n > 1 else ()
+            at = {k: v for k, v in tables[c][n].items() if k[:-1] == context}
+            if at:
+                p = (max(at.get(s, 0) - discount, 0) + discount * len(at) * p) / sum(at.values())
+        return p
+    return probability
+
+
+def test_evidence_is_kneser_ney_written_out():
+    rnd = random.Random(4)
+    vocab = ["".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 6))) for _ in range(25)] + ["été", "слово"]
+    texts = {c: [rnd.choice(vocab[c * 5:]) for _ in range(60)] for c in (0, 1)}
+
+    def spelled(word):
+        return [0, 0, 0, 0, *toxicity.letter_codes(word), 0]
+
+    counted = {c: Counter(tuple(s[i:i + 5]) for w in ws for s in [spelled(w)] for i in range(len(s) - 4)) for c, ws in texts.items()}
+    every = sorted(set(counted[0]) | set(counted[1]))
+    number = [sum(x * 32 ** (4 - i) for i, x in enumerate(s)) for s in every]
+    counts = np.array([[counted[c][s] for s in every] for c in (0, 1)])
+    order = np.argsort(number)
+    model = toxicity.Counts(np.array(number)[order], counts[:, order]).scorer().model
+    p = plain_kneser_ney(counted)
+    words = [*vocab, "zzz", "abcabc", "x"]
+    got, sizes = model.evidence(words)
+    for w, value, n in zip(words, got, sizes, strict=True):
+        s = spelled(w)
+        seqs = [tuple(s[i:i + 5]) for i in range(len(s) - 4)]
+        assert n == len(seqs)
+        assert value == pytest.approx(sum(np.log(p(1, q)) - np.log(p(0, q)) for q in seqs), abs=1e-9)
+    for c in (0, 1):                                   # each context's probabilities sum to one
+        for context in {s[:-1] for s in every[:40]}:
+            assert sum(p(c, (*context, x)) for x in range(32)) == pytest.approx(1)
+
+
+def test_quality_features_are_compressed_sizes(spark):
+    import zstandard as zs
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality.fit(docs, labels)
+    some = docs.orderBy("doc_id").limit(12)
+    got = [r.s for r in some.select("doc_id", model.score_column(F.col("text")).alias("s")).orderBy("doc_id").collect()]
+
+    def size(part, data, raw):
+        d = zs.ZstdCompressionDict(data, dict_type=zs.DICT_TYPE_RAWCONTENT if raw else zs.DICT_TYPE_FULLDICT)
+        c = zs.ZstdCompressor(level=quality.LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+        return len(c.compress(part)) - len(c.compress(b""))
+
+    for r, score in zip(some.orderBy("doc_id").collect(), got, strict=True):
+        raw = (r.text or "").encode()
+        parts = [raw[i:i + quality.BLOCK] for i in range(0, len(raw), quality.BLOCK)]
+        good, bad = (sum(size(x, *d) for x in parts) for d in (model.good, model.bad))
+        diff, near = (bad - good) / max(1, len(raw)), min(good / max(1, len(raw)), 1.2)
+        want = model.calibration.predict(np.array([[diff, near, diff * diff, near * near, diff * near]]))[0]
+        assert score == pytest.approx(want, abs=0.02)
+
+
 def test_logistic_orders_and_falls_back():
     x = np.arange(100.0)[:, None]
     p = Logistic(x, x[:, 0] > 60).predict(x)
