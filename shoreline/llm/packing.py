@@ -5,7 +5,7 @@ packed independently, in the task that encodes their texts, so only texts cross
 network, once.  The draw is seeded and goes by the row, not by its content, so copies of
 one row are spread like any others; over stored tables it comes out the same when a task
 is run again.  A group is closed early once it holds ``GROUP_CHARS`` characters, so very
-long texts do not add up in a task, and the number of tasks follows the number of groups.
+long texts do not add up in a task; tasks follow the number of groups and get equally many.
 In a group every document's ids
 (with the end id) are cut into full sequences and a remainder; the remainders are
 placed largest first, each in the first sequence with room, found by descending a
@@ -179,5 +179,6 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     tasks = max(min(groups, spark.sparkContext.defaultParallelism), min(-(-groups // TASK_GROUPS), MAX_TASKS))
     dealt = (docs.select(F.floor(F.rand(SEED) * groups).cast("long").alias("g"), F.col(id_col).alias("id"),
                          F.col(text_col).alias("t"))
-             .repartition(tasks, "g").sortWithinPartitions("g", "id", F.octet_length("t")))
+             .repartitionById(tasks, (F.col("g") % tasks).cast("int"))
+             .sortWithinPartitions("g", "id", F.octet_length("t")))
     return dealt.mapInArrow(_packer(vocab, capacity, end_id, to_arrow_schema(schema), ids, group_chars), schema)
