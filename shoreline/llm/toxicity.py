@@ -12,8 +12,10 @@ What is gathered: every labelled text outside the held-out fold, whole, is count
 into words per class in the tasks that read it, merged by word over the cluster, and
 turned into letter-sequence counts that are merged likewise; it grows with the labelled
 rows.  What is broadcast is bounded by the alphabet: letters are folded to 32 codes, so
-there are at most 32^5 sequences, and the counts of a text collection of any size fill a
-small part of them.  Calibration reads the features (numbers) of at most
+there are at most 32^5 sequences of 12 bytes each, and the counts of a text collection of
+any size fill a small part of them.  The fold keeps a-z apart; letters of other scripts
+share five codes, so texts in Cyrillic, Greek or CJK are told apart by little more than
+word lengths and their Latin parts.  Calibration reads the features (numbers) of at most
 ``CALIBRATION_DOCS`` texts of fold 1, in the order of the ids' hash; the models count
 the other folds.
 
@@ -171,15 +173,28 @@ class Scorer:
         return out
 
 
+class Counts:
+    """The sequences seen and their counts by class, as small as they are: what is sent to
+    the workers, which build the models from them."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        self.keys = keys.astype(np.int32)         # below CODES ** ORDER = 2^25
+        whole = counts.astype(np.int64)
+        self.counts = whole.astype(np.uint32) if whole.max(initial=0) < 1 << 32 else whole
+
+    def scorer(self) -> Scorer:
+        return Scorer(KneserNey(self.keys.astype(np.int64), self.counts))
+
+
 class Model:
-    def __init__(self, kneser_ney: KneserNey, calibration: Logistic, key):
-        self.kneser_ney, self.calibration, self.key = kneser_ney, calibration, key
+    def __init__(self, counts: Counts, calibration: Logistic, key):
+        self.counts, self.calibration, self.key = counts, calibration, key
 
     def score_column(self, spark, text: Column) -> Column:
-        shipped, key, calibration = Shipped(spark, self.kneser_ney), self.key, self.calibration
+        shipped, key, calibration = Shipped(spark, self.counts), self.key, self.calibration
 
         def run(parts):
-            scorer = worker_cache(key, lambda: Scorer(shipped.value))
+            scorer = worker_cache(key, lambda: shipped.value.scorer())
             for s in parts:
                 yield pd.Series(calibration.predict(scorer.features(list(s))), dtype="float64")
 
@@ -251,11 +266,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     keys = grams.g.to_numpy(np.int64)
     counts = np.array([grams.ordinary.to_numpy(float), grams.toxic.to_numpy(float)]).reshape(2, len(keys))
     key = ("kneser-ney", zlib.crc32(keys.tobytes()), zlib.crc32(counts.tobytes()))
-    model = KneserNey(keys, counts)
+    model = Counts(keys, counts)
     shipped = Shipped(spark, model)
 
     def measure(parts):
-        scorer = worker_cache(key, lambda: Scorer(shipped.value))
+        scorer = worker_cache(key, lambda: shipped.value.scorer())
         for s in parts:
             yield pd.Series(scorer.features(list(s)).tolist())
 
