@@ -10,7 +10,13 @@ plus the threshold (about 75 anchors at threshold 2): that includes the home anc
 of every fingerprint it may link with, so comparing home rows with all rows of an
 anchor finds every link.  Rows are compared in sorted order per anchor by vectorised
 exclusive-or; each task hands on a spanning forest of the links it found, never the
-pairs, and anchors with many home rows are dealt over several shards.
+pairs.
+
+An anchor with too many rows for one task is compared segment by segment: fingerprints
+that differ in at most ``max_bits`` bits agree in one of ``max_bits + 1`` segments, so its
+rows are grouped by the value of each.  A group that is still too large is dealt on both
+sides, and each pair of a block of home rows and a block of rows is a tile of its own, so
+a task holds two blocks whatever the anchor.
 
 Defined cases: a null text counts as empty; texts without words have fingerprint
 zero, which links like any other; a null id is reported with its component and sorts
@@ -36,8 +42,9 @@ from .components import connected_components, forest
 SHINGLE = 3
 MAX_BITS = 2
 SEED = 42
-#: Home rows of one anchor and shard that are compared in one task, about.
-SHARD_HOMES = 2048
+#: Home rows and rows of one tile of a large group, about: what a task holds of it.
+TILE_HOMES = 2048
+TILE_ROWS = 1 << 15
 _CHUNK = 1 << 16
 _PAIRS = 1 << 20
 
@@ -167,7 +174,8 @@ def _replicate(max_bits: int):
 
 
 def _compare(max_bits: int):
-    """Rows sorted by (anchor, shard), home rows first -> links, as a forest."""
+    """(anchor, tile, fp, home) sorted by (anchor, tile) -> links between the home rows and
+    all rows of each, as a forest."""
     def group_links(keys, fps, home):
         """Links between the home rows and all rows of each group, in bounded steps."""
         start = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
@@ -198,30 +206,33 @@ def _compare(max_bits: int):
     def run(batches):
         rest = None
         us, vs, held = [], [], 0
+
+        def add(group, fp, home):
+            nonlocal held
+            u, v = group_links(group, fp.view(np.uint64), home)
+            us.append(u)
+            vs.append(v)
+            held += len(u)
+            if held > _PAIRS:
+                u, v = forest(np.concatenate(us), np.concatenate(vs))
+                us[:], vs[:], held = [u], [v], 0
+
         for b in batches:
-            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
             if rest is not None:
                 cols = [np.concatenate(c) for c in zip(rest, cols, strict=True)]
-            anchor, shard, fp, home = cols
-            if not len(anchor):
+            if not len(cols[0]):
                 continue
-            last = (anchor == anchor[-1]) & (shard == shard[-1])
-            cut = int(np.argmax(last))
+            new = np.zeros(len(cols[0]), bool)
+            for key in cols[:2]:
+                new[1:] |= key[1:] != key[:-1]
+            group = np.cumsum(new)
+            cut = int(np.searchsorted(group, group[-1]))
             rest = [c[cut:] for c in cols]
             if cut:
-                key = np.flatnonzero(np.r_[True, (anchor[1:cut] != anchor[:cut - 1]) | (shard[1:cut] != shard[:cut - 1])])
-                keys = np.repeat(np.arange(len(key)), np.diff(np.r_[key, cut]))
-                u, v = group_links(keys, fp[:cut].view(np.uint64), home[:cut])
-                us.append(u)
-                vs.append(v)
-                held += len(u)
-            if held > _PAIRS:
-                u, v = forest(np.concatenate(us), np.concatenate(vs))
-                us, vs, held = [u], [v], 0
+                add(group[:cut], cols[2][:cut], cols[3][:cut])
         if rest is not None and len(rest[0]):
-            u, v = group_links(np.zeros(len(rest[0]), np.int64), rest[2].view(np.uint64), rest[3])
-            us.append(u)
-            vs.append(v)
+            add(np.zeros(len(rest[0]), np.int64), rest[2], rest[3])
         if sum(map(len, us)):
             u, v = forest(np.concatenate(us), np.concatenate(vs))
             for at in range(0, len(u), 50_000):
@@ -234,31 +245,59 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Distinct ``fp`` values -> (a, b): links whose components are those of all pairs
     within ``max_bits`` bits."""
     rows = fps.select("fp").mapInArrow(_replicate(max_bits), "anchor long, fp long, home boolean")
-    hot = materialise(_home_counts(fps), "hot")
+    hot = materialise(_large(rows, "anchor"), "hot")
     if hot.isEmpty():
-        rows = rows.withColumn("shard", F.lit(0))
+        dealt = rows.withColumn("tile", F.lit(0).cast("long"))
     else:
-        rows = rows.join(hot, "anchor", "left").withColumn("n", F.coalesce("n", F.lit(1)))
-        own = F.pmod(F.xxhash64("fp"), F.col("n")).cast("int")
-        # a home row is compared in its own shard and stands as a plain row in the others
-        rows = (rows.select("anchor", "fp", "home", own.alias("own"),
-                            F.explode(F.expr("sequence(0, n - 1)")).alias("shard"))
-                .select("anchor", "shard", "fp", (F.col("home") & (F.col("own") == F.col("shard"))).alias("home")))
-    rows = (rows.select("anchor", "shard", "fp", "home").repartition("anchor", "shard")
-            .sortWithinPartitions("anchor", "shard"))
-    return rows.mapInArrow(_compare(max_bits), "a long, b long")
-
-
-def _home_counts(fps: DataFrame) -> DataFrame:
-    """Anchors that are home to many fingerprints, with their number of shards."""
-    def run(batches):
-        tables = _golay_tables(0)
-        for b in batches:
-            _, a, _ = anchors(b.column(0).to_numpy(zero_copy_only=False), 0, tables)
-            yield pa.RecordBatch.from_arrays([pa.array(a)], ["anchor"])
-
-    n = F.ceil(F.count(F.lit(1)) / SHARD_HOMES).cast("int")
-    return (fps.select("fp").mapInArrow(run, "anchor long").groupBy("anchor").agg(n.alias("n")).where("n > 1"))
+        cold = rows.join(hot.select("anchor"), "anchor", "left_anti")
+        # rows of an anchor that is nobody's home are compared at other anchors
+        split = rows.join(hot.where("homes > 0").select("anchor"), "anchor")
+        split = materialise(split.select("anchor", "fp", "home", F.posexplode(_segments(F.col("fp"), max_bits + 1))
+                                         .alias("part", "bits")), "split")
+        # tiles whose numbers collide are compared together, which loses nothing
+        tile = F.xxhash64("part", "bits", "i", "j").alias("tile")
+        dealt = (cold.withColumn("tile", F.lit(0).cast("long"))
+                 .unionByName(_tiles(split, "anchor", "part", "bits").select("anchor", tile, "fp", "home")))
+    dealt = (dealt.select("anchor", "tile", "fp", "home").repartition("anchor", "tile")
+             .sortWithinPartitions("anchor", "tile"))
+    return dealt.mapInArrow(_compare(max_bits), "a long, b long")
+
+
+def _large(rows: DataFrame, *key: str) -> DataFrame:
+    """Groups too large for one task, with the numbers of their rows and home rows."""
+    return (rows.groupBy(*key).agg(F.count(F.lit(1)).alias("size"), F.count_if("home").alias("homes"))
+            .where((F.col("size") > TILE_ROWS) | (F.col("homes") > TILE_HOMES)))
+
+
+def _segments(fp: Column, n: int) -> Column:
+    """The 64 bits as ``n`` numbers: of two fingerprints that differ in fewer than ``n``
+    bits at least one is equal."""
+    ends = [64 * i // n for i in range(n + 1)]
+    out = []
+    for lo, hi in zip(ends, ends[1:], strict=False):
+        part = F.shiftrightunsigned(fp, lo)
+        out.append(part if hi - lo == 64 else part.bitwiseAND(F.lit((1 << (hi - lo)) - 1).cast("long")))
+    return F.array(*out)
+
+
+def _tiles(rows: DataFrame, *key: str) -> DataFrame:
+    """``rows`` with a tile (i, j): home rows are dealt over blocks i and stand in every
+    tile of their block; all rows are dealt over blocks j likewise, as plain rows.  Groups
+    that fit one task are one tile."""
+    large = materialise(
+        _large(rows, *key).select(*key, F.ceil(F.col("homes") / TILE_HOMES).cast("int").alias("ni"),
+                                  F.ceil(F.col("size") / TILE_ROWS).cast("int").alias("nj")), "large")
+    small = (rows.join(large.select(*key), list(key), "left_anti")
+             .withColumn("i", F.lit(0)).withColumn("j", F.lit(0)))
+    if large.isEmpty():
+        return small
+    rows = rows.join(large.where("ni > 0"), list(key))
+    own_i = F.pmod(F.xxhash64("fp"), F.col("ni")).cast("int")
+    own_j = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("nj")).cast("int")
+    homes = rows.where("home").withColumn("i", own_i).withColumn("j", F.explode(F.expr("sequence(0, nj - 1)")))
+    plain = (rows.withColumn("home", F.lit(False)).withColumn("j", own_j)
+             .withColumn("i", F.explode(F.expr("sequence(0, ni - 1)"))))
+    return small.unionByName(homes.unionByName(plain).drop("ni", "nj"))
 
 
 def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -121,10 +121,11 @@ def test_simhash_drop(hostile):
     assert len(kept) == len({(r.id, r.h) for r in report if r.kept})
 
 
-@pytest.mark.parametrize("shard", [3, 2048])
-def test_links_find_every_component(spark, monkeypatch, shard):
-    """Clusters around a few centres, some far too large for one shard."""
-    monkeypatch.setattr(simhash_dedup, "SHARD_HOMES", shard)
+@pytest.mark.parametrize("homes,size", [(2, 3), (2, 40), (2048, 20), (2048, 1 << 15)])
+def test_links_find_every_component(spark, monkeypatch, homes, size):
+    """Clusters around a few centres, some far too large for one tile."""
+    monkeypatch.setattr(simhash_dedup, "TILE_HOMES", homes)
+    monkeypatch.setattr(simhash_dedup, "TILE_ROWS", size)
     rng = np.random.default_rng(1)
     fps = set()
     for _ in range(6):
@@ -148,6 +149,40 @@ def test_links_find_every_component(spark, monkeypatch, shard):
     assert sorted(map(sorted, mine.values())) == sorted(map(sorted, theirs.values()))
 
 
+def test_a_hot_anchor_is_dealt_on_both_sides(spark, monkeypatch):
+    """Each home row meets each row of its group in one tile; no tile holds more than about
+    two blocks."""
+    monkeypatch.setattr(simhash_dedup, "TILE_HOMES", 50)
+    monkeypatch.setattr(simhash_dedup, "TILE_ROWS", 200)
+    rows = spark.createDataFrame([(1, f, f % 2 == 0) for f in range(2000)] + [(2, f, True) for f in range(9)]
+                                 + [(3, f, False) for f in range(500)], "key long, fp long, home boolean")
+    tiles = defaultdict(lambda: ([], []))
+    for r in simhash_dedup._tiles(rows, "key").collect():
+        homes, plain = tiles[(r.key, r.i, r.j)]
+        (homes if r.home else plain).append(r.fp)
+    assert max(len(h) for h, _ in tiles.values()) < 100
+    assert max(len(p) for _, p in tiles.values()) < 300
+    met = Counter((h, p) for (key, _, _), (hs, ps) in tiles.items() if key == 1 for h in hs for p in ps)
+    assert met == Counter((h, p) for h in range(0, 2000, 2) for p in range(2000))
+    assert sorted(tiles[(2, 0, 0)][0]) == list(range(9)) and not any(key == 3 for key, _, _ in tiles)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5])
+def test_near_fingerprints_share_a_segment(spark, n):
+    rng = np.random.default_rng(n)
+    x = rng.integers(-(1 << 63), (1 << 63) - 1, 200, dtype=np.int64)
+    y = x.copy()
+    for i in range(len(y)):
+        for b in rng.choice(64, n - 1, replace=False):
+            y[i] ^= np.int64(np.uint64(1 << int(b)).astype(np.int64))
+    df = spark.createDataFrame(list(zip(x.tolist(), y.tolist(), strict=True)), "x long, y long")
+    got = df.select(simhash_dedup._segments(F.col("x"), n).alias("p"), simhash_dedup._segments(F.col("y"), n).alias("q"))
+    for r in got.collect():
+        assert len(r.p) == n and any(a == b for a, b in zip(r.p, r.q, strict=True))
+    whole = df.select("x", simhash_dedup._segments(F.col("x"), n).alias("p")).distinct()
+    assert whole.select("p").distinct().count() == whole.count()
+
+
 def test_every_anchor_within_reach_is_used():
     """Any two fingerprints within two bits meet at the home anchor of either."""
     rng = np.random.default_rng(2)
