@@ -245,8 +245,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Distinct ``fp`` values -> (a, b): links whose components are those of all pairs
     within ``max_bits`` bits."""
     rows = fps.select("fp").mapInArrow(_replicate(max_bits), "anchor long, fp long, home boolean")
-    hot = materialise(_large(rows, "anchor"), "hot")
-    if hot.isEmpty():
+    hot = _hot_anchors(rows, fps.count())
+    if hot is None:
         dealt = rows.withColumn("tile", F.lit(0).cast("long"))
     else:
         cold = rows.join(hot.select("anchor"), "anchor", "left_anti")
@@ -263,6 +263,19 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return dealt.mapInArrow(_compare(max_bits), "a long, b long")
 
 
+def _hot_anchors(rows: DataFrame, n: int) -> DataFrame | None:
+    """Anchors with too many of the replicas of ``n`` fingerprints for one task, counted in
+    two steps: nearly all anchors are small, and the sums over hashed sets of anchors, few
+    groups on the map side, show for most sets that all of theirs are."""
+    sets = 1 << min(22, max(10, (n >> 5).bit_length()))
+    rows = rows.withColumn("set", F.pmod(F.xxhash64("anchor"), F.lit(sets)))
+    full = materialise(_large(rows, "set"), "full")
+    if full.isEmpty():
+        return None
+    hot = materialise(_large(rows.join(full.select("set"), "set", "left_semi"), "anchor"), "hot")
+    return None if hot.isEmpty() else hot
+
+
 def _large(rows: DataFrame, *key: str) -> DataFrame:
     """Groups too large for one task, with the numbers of their rows and home rows."""
     return (rows.groupBy(*key).agg(F.count(F.lit(1)).alias("size"), F.count_if("home").alias("homes"))
