@@ -10,8 +10,8 @@ the threshold shares one in some table with probability ``RECALL``.
 Buckets with a single vector are dropped before any vector moves; only the others are
 joined with their vectors.  In a bucket every pair is compared exactly, in double
 precision; the members of a large bucket are dealt into blocks of about ``SHARD_ROWS``,
-and each pair of blocks is a tile of its own, so a task holds two blocks at most and the
-vectors shuffled are m * m / ``SHARD_ROWS`` for m members.  A pair counts in the
+fewer where vectors are long, and each pair of blocks is a tile of its own, so a task
+holds two blocks at most and the vectors shuffled are m * m / ``SHARD_ROWS`` for m members.  A pair counts in the
 first table whose bucket it shares, so each link counts once without being written: a
 task hands on, per vector, the number of its links (each weighted by the other's
 copies), and a spanning forest of the links for the components.
@@ -40,8 +40,10 @@ THRESHOLD = 0.95
 WIDTH = 2.0
 RECALL = 0.998
 SEED = 6
-#: Rows of one block of a bucket, about; a task compares two blocks at a time.
-SHARD_ROWS = 1024
+#: Rows and bytes of one block of a bucket, about, whichever is less; a task compares two
+#: blocks at a time.
+SHARD_ROWS = 4096
+SHARD_BYTES = 32 << 20
 _BLOCK = 2048
 _PRODUCTS = 1 << 21
 
@@ -127,7 +129,9 @@ def _hash(hasher):
                 for rows, x in _by_length(part.column(1).to_pylist()):
                     h = hasher.value.buckets(x)
                     v = np.repeat(ids[rows], h.shape[1])
-                    yield pa.RecordBatch.from_arrays([pa.array(h.ravel()), pa.array(v)], ["bucket", "v"])
+                    size = np.full(len(v), x.shape[1] * 8)
+                    yield pa.RecordBatch.from_arrays([pa.array(h.ravel()), pa.array(v), pa.array(size)],
+                                                     ["bucket", "v", "bytes"])
     return run
 
 
@@ -268,11 +272,13 @@ def near_duplicate_groups(table: DataFrame, id_col: str = "vec_id", vec_col: str
     k, tables = plan(size, threshold, width, recall)
     hasher = Shipped(spark, Hasher(k, tables, width))
 
-    hashed = materialise(distinct.select("v", "unit").mapInArrow(_hash(hasher), "bucket long, v long"), "buckets")
+    hashed = materialise(distinct.select("v", "unit").mapInArrow(_hash(hasher), "bucket long, v long, bytes long"),
+                         "buckets")
     full = materialise(
-        hashed.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"))
-        .where("m > 1").withColumn("shards", F.ceil(F.col("m") / SHARD_ROWS).cast("int")), "full")
-    members = hashed.join(full, "bucket").select("bucket", "v", "shards")
+        hashed.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.sum("bytes").alias("bytes"))
+        .where("m > 1").withColumn("shards", F.greatest(F.ceil(F.col("m") / SHARD_ROWS),
+                                                        F.ceil(F.col("bytes") / SHARD_BYTES)).cast("int")), "full")
+    members = hashed.select("bucket", "v").join(full.select("bucket", "shards"), "bucket")
     members = members.join(distinct.select("v", "unit", "n"), "v")
     own = F.pmod(F.xxhash64("v"), F.col("shards")).cast("int")
     dealt = (members.select("bucket", F.explode(F.expr("sequence(0, shards - 1)")).alias("other"), "v", "unit", "n",

@@ -253,9 +253,10 @@ def test_large_bucket_over_shards(spark, monkeypatch):
     assert all(got[i].n_links <= n for i, n in enumerate(want))
 
 
-def test_a_task_holds_two_blocks_of_a_large_bucket(spark, monkeypatch):
+@pytest.mark.parametrize("limit,value", [("SHARD_ROWS", 32), ("SHARD_BYTES", 32 * 16 * 8)])
+def test_a_task_holds_two_blocks_of_a_large_bucket(spark, monkeypatch, limit, value):
     """All vectors share their buckets; no group that is compared has more than two blocks."""
-    monkeypatch.setattr(embedding_dedup, "SHARD_ROWS", 32)
+    monkeypatch.setattr(embedding_dedup, limit, value)
     found, materialise = [], embedding_dedup.materialise
 
     def largest(*_):
@@ -282,7 +283,7 @@ def test_a_task_holds_two_blocks_of_a_large_bucket(spark, monkeypatch):
     most = max(r.a for r in found[0].collect())
     assert 32 < most < 3 * 32
     monkeypatch.undo()
-    monkeypatch.setattr(embedding_dedup, "SHARD_ROWS", 32)
+    monkeypatch.setattr(embedding_dedup, limit, value)
     got = embedding_dedup.near_duplicate_groups(df).collect()
     assert {(r.n_links, r.component_id) for r in got} == {(999, 0)}
 
