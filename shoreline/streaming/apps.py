@@ -201,17 +201,38 @@ def version_number(batch_id: int, epoch: int = 0) -> int:
     return (epoch << 32) + batch_id
 
 
-def version_sink(path: str, partition_by: Sequence[str] = (), epoch: int = 0, files_per_day: int = 4):
+#: Small days are merged into fewer tasks only as far as every core keeps one.
+_WRITE = {"spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+
+
+@contextmanager
+def _settings(spark: SparkSession, wanted: dict[str, str]):
+    """The session's settings while the block runs."""
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def version_sink(path: str, partition_by: Sequence[str] = (), epoch: int = 0):
     """foreachBatch writer: the batch as folder ``version=<n>`` of ``path``, replacing what an
     earlier attempt of the same batch left there.  ``n`` orders by (epoch, batch id).  The
-    version is published with the list of its days.  Rows of a day are dealt to at most
-    ``files_per_day`` tasks by city, so a batch leaves few files whatever its partitions."""
+    version is published with the list of its days.  Rows are rebalanced by day: a small day
+    becomes one file, and one beyond the advisory partition size is split over tasks.  That
+    needs adaptive execution, which a stateful query switches off in its session for the
+    plan of its state; that plan is fixed by the time the sink runs."""
     def write(batch: DataFrame, batch_id: int) -> None:
         version = version_number(batch_id, epoch)
-        rows = batch
-        if partition_by and "local" in batch.columns:
-            rows = batch.repartition(*partition_by, F.pmod(F.xxhash64("local"), F.lit(files_per_day)))
-        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/version={version}")
+        rows = batch.hint("rebalance", *partition_by) if partition_by else batch
+        with _settings(batch.sparkSession, _WRITE):
+            rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/version={version}")
         StageTable(batch.sparkSession, path, batch.schema).commit(version)
     return write
 
@@ -308,13 +329,16 @@ def start_periodic(updates: DataFrame, sink, checkpoint: str, name: str,
 
 _PARTITIONS = "spark.sql.shuffle.partitions"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 @contextmanager
 def state_store(spark: SparkSession, partitions: int | None = None):
     """State of queries *started* inside the block: its number of partitions, and RocksDB,
-    which spills to disk where the default store must hold all keys in memory.
+    which spills to disk where the default store must hold all keys in memory.  A batch
+    checkpoints the changes it made, not a snapshot of the whole state, so its cost follows
+    the batch; snapshots are made in the background.
 
     A stateful query fixes both at its first start (they are kept in the checkpoint) and
     adaptive execution does not coalesce stateful stages, so on a cluster the number must
@@ -323,18 +347,8 @@ def state_store(spark: SparkSession, partitions: int | None = None):
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("give the number of state partitions: the checkpoint keeps it for good")
         partitions = max(1, spark.sparkContext.defaultParallelism)
-    wanted = {_PARTITIONS: str(partitions), _PROVIDER: ROCKSDB}
-    before = {k: spark.conf.get(k, None) for k in wanted}
-    for k, v in wanted.items():
-        spark.conf.set(k, v)
-    try:
+    with _settings(spark, {_PARTITIONS: str(partitions), _PROVIDER: ROCKSDB, _CHANGELOG: "true"}):
         yield
-    finally:
-        for k, v in before.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
 
 
 def run_available_now(updates: DataFrame, sink, checkpoint: str, name: str,
