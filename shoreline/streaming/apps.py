@@ -71,8 +71,8 @@ def topic_stream(spark: SparkSession, path: str | None, schema: T.StructType,
     """Streaming read of a topic (``topics.stream_records``), decoded to ``off`` + typed
     columns.  Records lacking a ``required`` field (or not JSON at all) are left out; read
     them with ``rejected_stream`` and give them their own sink."""
-    accepted, _ = topics.split_rejected(topics.stream_records(spark, path, fmt, options), required)
-    return topics.decode(accepted, schema, tolerant=tolerant)
+    return topics.decode_accepted(topics.stream_records(spark, path, fmt, options), schema, required,
+                                  tolerant=tolerant)
 
 
 def rejected_stream(spark: SparkSession, path: str | None,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import types as T
 
 from helpers import ts
 from shoreline import schemas
@@ -12,6 +13,7 @@ from shoreline.operators import views
 from shoreline.session import shared_dir
 from shoreline.sources import payloads, topics
 from shoreline.sources.cities import city_dimension, read_cities
+from shoreline.streaming import apps
 
 
 def _hourly(spark, times, temps, pps, run=0):
@@ -182,3 +184,48 @@ def test_broken_hour_lists_of_grouped_records(spark):
              % __import__("json").dumps(v),) for v in lists]
     got = grouped_rows(spark.createDataFrame(rows, "value string")).collect()
     assert [None if r["horas"] is None else [h.hour for h in r["horas"]] for r in got] == [[8, 9], [], None]
+
+
+_T0 = "2024-01-05T10:00"
+ODD_VALUES = [
+    None, "", "{}", "[]", "null", "5", "not json", '{"local":"A","temperatura":1.0}', '{"hora":"%s"}' % _T0,
+    '{"local":"A","hora":"%s","temperatura":1.5}' % _T0, '{"local":null,"hora":"%s"}' % _T0, '{"local":"A","hora":null}',
+    '{"local":"A","hora":"soon"}', '{"local":"A","hora":5}', '{"local":"A","hora":{"a":1}}', '[{"local":"A","hora":"%s"}]' % _T0,
+    '{"local":"A","hora":"%s","temperatura":NaN}' % _T0, '{"local":"A","hora":"%s","x":-INF}' % _T0,
+    '{"local":"A","hora":"%s","temperatura":"NaN"}' % _T0, '{"local":"NaNville","hora":"%s","temperatura":3}' % _T0,
+    '{"local":"A","hora":"%s","temperatura":1x}' % _T0, '{"local":"A","hora":"%s","temperatura":tru}' % _T0,
+    '{"local":"A","hora":"%s","temperatura":"7"}' % _T0, '{"local":"A","hora":"%s","temperatura":"abc"}' % _T0,
+    '{"local":"A","hora":"%s","temperatura":' % _T0, '{"local":"A","hora":"%s"} rest' % _T0,
+    '{"local":"a\tb","hora":"%s"}' % _T0, '{"local":"a\tb","hora":"bad"}', "{'local':'A','hora':'%s'}" % _T0,
+    '{"local":"\\u0041","h\\u006fra":"%s"}' % _T0, '{"local":"A","hora":"%s","hora":"bad"}' % _T0,
+    '{"local":"A","hora":"bad","hora":"%s"}' % _T0, '{"local":"A","hora":"bad","hora":null}']
+
+
+@pytest.mark.parametrize("tolerant", [False, True])
+def test_a_record_is_either_decoded_or_rejected(spark, tolerant):
+    schema = T.StructType([T.StructField("local", T.StringType()), T.StructField("hora", T.StringType()),
+                           T.StructField("temperatura", T.DoubleType())])
+    recs = spark.createDataFrame([("t", "A", v, i) for i, v in enumerate(ODD_VALUES)], topics.TOPIC_RECORD)
+    rows = lambda df: {r.off: tuple(map(repr, r)) for r in df.collect()}  # noqa: E731 (NaN equals itself as text)
+    for columns in (schema, T.StructType(schema.fields[2:]), T.StructType([T.StructField("hora", T.TimestampNTZType())])):
+        ok, bad = topics.split_rejected(recs)
+        got = rows(topics.decode_accepted(recs, columns, tolerant=tolerant))
+        assert got == rows(topics.decode(ok, columns, tolerant=tolerant))
+        rejected = {r.off for r in bad.collect()}
+        assert not rejected & set(got) and rejected | set(got) == set(range(len(ODD_VALUES)))
+
+
+def test_a_sound_record_is_parsed_once(spark, monkeypatch):
+    # key lookups stand in the ELSE of a CASE; the parse is a generator's, below the filter
+    schema = T.StructType([T.StructField("local", T.StringType()), T.StructField("hora", T.StringType())])
+    recs = spark.createDataFrame([], topics.TOPIC_RECORD)
+    path = shared_dir(spark, "test-one-parse")
+    topics.write_topic(recs, path)
+    monkeypatch.setattr(topics, "stream_records", lambda spark, path, *_: topics.read_topic(spark, path))
+    plan = apps.topic_stream(spark, path, schema)._jdf.queryExecution().optimizedPlan().toString()
+    above, generate = plan.split("Generate", 1)
+    assert generate.count("from_json") == 1
+    sound, rest = above.split("ELSE (coalesce(", 1)
+    assert "Filter CASE WHEN" in sound
+    for parse in ("jsonObjectKeys", "get_json_object", "from_json"):
+        assert parse not in sound and parse in rest
