@@ -11,7 +11,9 @@ the latest-value stages equals the batch result, so the batch oracles apply.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,10 +99,19 @@ class Landing:
             table.vacuum(consumed)
 
     def land(self, run: int) -> None:
+        """The records of a run to their topics, which are written side by side: a run's offsets
+        lie in few of the input's splits, so the tasks of one topic leave cores idle."""
+        records = {}
         for name, df in self.tables.items():
             fields = ["local", wire_time("hora").alias("hora"), *[n for n, _ in VALUE_SCHEMAS[name]]]
             rows = df.filter(run_of(self.lo, self.hi) == run)
-            topics.write_topic(topics.to_records(rows, fields, topic=name), self.path(name))
+            records[name] = topics.to_records(rows, fields, topic=name)
+        with ThreadPoolExecutor(len(records)) as pool:
+            # each thread gets local properties of its own
+            writes = [pool.submit(inheritable_thread_target(self.spark)(topics.write_topic), rows, self.path(name))
+                      for name, rows in records.items()]
+        for write in writes:
+            write.result()
 
     def stream(self, name: str) -> DataFrame:
         s = apps.topic_stream(self.spark, self.path(name), _value_schema(name))

@@ -354,3 +354,43 @@ def test_a_doubled_batch_serves_each_period_once(spark):
     df = spark.createDataFrame(rows, "local string, dia string, isDay boolean, boaHora boolean, inicio string, version long")
     assert apps.serve_days(df).count() == 1
     assert apps.serve_days(df.withColumnRenamed("version", "day_version"), ["local", "dia"], "day_version").count() == 1
+
+
+def test_the_topics_of_a_run_are_landed_side_by_side(spark, monkeypatch):
+    import threading
+
+    from shoreline.plans import stream_queries as sq
+    from shoreline.sources import weather
+
+    sf, names = "/root/testdata/sf0.001", sq.HOURLY + sq.SUN
+    under_way, write = threading.Barrier(len(names), timeout=60), topics.write_topic
+
+    def together(records, path):
+        under_way.wait()                                  # broken unless all writes are under way
+        write(records, path)
+
+    monkeypatch.setattr(topics, "write_topic", together)
+    landing = sq.Landing(spark, sf, names)
+    for run in range(sq.N_RUNS):
+        landing.land(run)
+        for name in names:
+            offs = [r.off for r in topics.read_topic(spark, landing.path(name)).select("off").collect()]
+            expected = weather.table(spark, sf, name).where(sq.run_of(landing.lo, landing.hi) <= run)
+            assert sorted(offs) == sorted(r.off for r in expected.select("off").collect())
+
+
+def test_a_failed_landing_is_not_passed_over(spark, monkeypatch):
+    import pytest
+
+    from shoreline.plans import stream_queries as sq
+
+    write = topics.write_topic
+
+    def broken(records, path):
+        if path.endswith("/uvIndex"):
+            raise RuntimeError("disk full")
+        write(records, path)
+
+    monkeypatch.setattr(topics, "write_topic", broken)
+    with pytest.raises(RuntimeError, match="disk full"):
+        sq.Landing(spark, "/root/testdata/sf0.001", sq.HOURLY).land(0)
